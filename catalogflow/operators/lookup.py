@@ -322,13 +322,12 @@ def merge_second_source(products: DataFrame, extra: DataFrame, key: list[str]) -
         F.col("__gallery"),
         lambda u, i: F.struct((i + 1).cast("bigint").alias("position"), u.alias("src"), F.coalesce(F.col("title"), F.lit("Product")).alias("alt")),
     )
-    kind = products.schema["images"].dataType
     return joined.withColumns(
         {
             "documents": F.when(F.col("__docs").isNull(), F.col("documents")).otherwise(
                 F.concat(F.coalesce("documents", F.slice("__docs", 1, 0)), "__docs")
             ),
-            "images": F.when(blank_array(F.col("images")) & ~blank_array(F.col("__gallery")), given.cast(kind)).otherwise(F.col("images")),
+            "images": F.when(blank_array(F.col("images")) & ~blank_array(F.col("__gallery")), given).otherwise(F.col("images")),
         }
     ).drop("__docs", "__gallery")
 

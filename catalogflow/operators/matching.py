@@ -15,6 +15,7 @@ from ..functions.sizes import extract_sizes, sizes_match
 from ..functions.text import keyword_set, word_tokens
 from ..functions.urls import strip_query
 from ..functions.values import strip
+from ..session import materialize
 
 
 def keyword_score(candidate: Column, query: Column) -> Column:
@@ -304,12 +305,12 @@ def nearest_title(
     of ratios; each rung sees only the titles still open, so the wide low rungs stay small. Every rung is exact.
     """
     names = inputs.select(F.col(title).alias("title")).filter(F.col("title").isNotNull()).distinct()
-    keyed = names.withColumn("q", sorted_words(F.col("title")))
+    keyed = materialize(names.withColumn("q", sorted_words(F.col("title"))))
     queries = keyed.select("q").distinct()
     side = index.select(sorted_words(F.col(index_title)).alias("t"), F.col(index_title).alias("matched_title"), F.col(index_order).alias("__ord"))
-    titles = side.groupBy("t").agg(F.min_by("matched_title", "__ord").alias("matched_title"), F.min("__ord").alias("__ord"))
+    titles = materialize(side.groupBy("t").agg(F.min_by("matched_title", "__ord").alias("matched_title"), F.min("__ord").alias("__ord")))
     same = queries.join(titles, queries["q"] == titles["t"]).select("q", "matched_title", F.lit(100.0).alias("score"))
-    done, still = same, queries.join(titles, queries["q"] == titles["t"], "left_anti")
+    done, still = same, materialize(queries.join(titles, queries["q"] == titles["t"], "left_anti"))
     for rung in [*[r for r in ladder if r > threshold], threshold]:
         scored = title_pairs(still, titles, rung / 100).withColumn("score", sorted_ratio("q", "t"))
         best = (
@@ -318,7 +319,10 @@ def nearest_title(
             .agg(F.max_by(F.struct("matched_title", "score"), F.struct("score", -F.col("__ord"))).alias("b"))
             .select("q", "b.matched_title", "b.score")
         )
+        best = materialize(best)
         done = done.unionByName(best)
         still = still.join(best, "q", "left_anti")
+        if still.isEmpty():
+            break
     return keyed.join(done, "q").select("title", "matched_title", "score")
 

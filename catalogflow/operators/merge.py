@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.values import blank_text
+from ..session import materialize
 from .aggregate import last_wins
 from .order import ROWS_PER_BUCKET, group_position
 
@@ -156,6 +157,7 @@ def merge_variants(
         "unit",
         F.when(F.col("skip") & F.col("old_sku").isNotNull(), F.col("old_sku")).otherwise(F.col("new_sku")).alias("sku"),
     ).filter(F.col("sku").isNotNull())
+    keyed = materialize(keyed)
     claimed = keyed.select(*key, "source").distinct()
     spare_new = new.select(*key, F.lit("generated").alias("source"), F.col("new_sku").alias("sku"), F.col("new_ord").alias("rank"))
     spare_old = last_wins(existing, key, ["ord"]).select(*key, F.lit("existing").alias("source"), "sku", F.col("ord").alias("rank"))

@@ -13,6 +13,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..session import reusable
+
 ROWS_PER_BUCKET = 1_000_000
 MAX_BUCKETS = 4096
 _SAMPLED_KEYS_PER_BUCKET = 16
@@ -100,9 +102,11 @@ def running_values(
     """Add running values per group in ascending order. (group, order) must identify a row.
 
     Costs one pass over the key columns to count and place the bounds, one to total the buckets, and one range
-    shuffle of the rows; inputs that fit one bucket per group skip all but the window.
+    shuffle of the rows; inputs that fit one bucket skip all but the window. An input that is more than a scan is
+    written once to the shared folder first, so these passes do not repeat its joins.
     """
     keys = [*group, *order]
+    df = reusable(df)
     rows = df.count()
     buckets = min(MAX_BUCKETS, -(-rows // rows_per_bucket))
     found = _bounds(df, keys, buckets, rows) if buckets > 1 else []

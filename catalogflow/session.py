@@ -43,12 +43,23 @@ def new_shared_path(spark: SparkSession, label: str) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage through the shared folder, so a lost executor does not recompute the upstream."""
-    spark = df.sparkSession
-    folder = shared_dir(spark)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    """The frame written once to the shared folder and read back.
+
+    Cuts lineage, so a lost executor does not recompute the upstream, and later passes read only the columns they
+    need (a plain count reads none).
+    """
+    path = new_shared_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_COSTLY = ("Join", "Aggregate", "Window", "Generate", "MapInPandas", "Union")
+
+
+def reusable(df: DataFrame) -> DataFrame:
+    """The frame itself when it is a scan with filters and columns, else its materialized form."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return materialize(df) if any(node in plan for node in _COSTLY) else df
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
