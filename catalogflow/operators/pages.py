@@ -202,8 +202,8 @@ def block_images(html: Column, block: str) -> Column:
 def extract_gallery(*sources: Column, swatches: Column | None = None, clean=unwrap_proxy, join: bool = False) -> Column:
     """Gallery of a page: first filled source (or all in order), cleaned, without swatches, deduped."""
     raw = F.concat(*sources) if join else first_filled(*sources)
-    out = dedupe_urls(F.transform(raw, clean))
-    return F.array_except(out, F.transform(swatches, clean)) if swatches is not None else out
+    out = dedupe_urls(F.transform(raw, lambda u: clean(u)))
+    return F.array_except(out, F.transform(swatches, lambda u: clean(u))) if swatches is not None else out
 
 
 def classify_page(html: Column, shop_host: str, info_host: str) -> Column:

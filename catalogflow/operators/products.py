@@ -6,12 +6,17 @@ a product with very many variants goes on in further parts instead of filling on
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from functools import cached_property
+
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions import fixed
 from ..functions.markup import body_html, clean_html, filter_alt, specification_html
 from ..functions.sizes import portal_weight, product_weight, unit_weight
 from ..functions.text import normalize_size
 from ..functions.values import blank_array, blank_text, strip
+from ..session import materialize
 from .aggregate import default_options, option_title, option_values
 from .checks import variant_unit
 from .lookup import gallery_by_color, variant_image_lookup
@@ -133,37 +138,67 @@ def product_videos(variants: DataFrame, media: DataFrame) -> DataFrame:
     )
 
 
-def build_family_products(
-    families: DataFrame, parsed: DataFrame, media: DataFrame, image_map: DataFrame, data_columns: list[str], vendor: str,
-    max_items: int = 1000, rows_per_bucket: int = ROWS_PER_BUCKET,
-) -> dict[str, DataFrame]:
-    """Store products of item families: head (one row per family), variants, options, images, videos, nested.
+@dataclass
+class FamilyProducts:
+    """Store products of item families; each table is planned when first asked for.
 
-    parsed: family, title, brand_hint, description, features_benefits, nutrients, feeding_directions, documents
-    (JSON text), model_number. `nested` has one row per family and part with the JSON text of the product.
+    families: output of family_join. parsed: family, title, brand_hint, description, features_benefits, nutrients,
+    feeding_directions, documents (JSON text), model_number. media and image_map as in variant_image_map.
     """
-    variants = family_variants(families, data_columns, parsed, image_map)
-    parents = families.filter("is_child = 0").groupBy("family").agg(F.min_by("description_1", "family_pos").alias("__name"))
-    head = parents.join(parsed, "family", "left")
-    fields = [
-        ("features", clean_html(F.col("features_benefits")), "rich_text_field", F.col("features_benefits")),
-        ("nutritional_information", clean_html(F.col("nutrients")), "rich_text_field", F.col("nutrients")),
-        ("directions", clean_html(F.col("feeding_directions")), "rich_text_field", F.col("feeding_directions")),
-        ("documentation", F.col("documents"), "json", F.col("documents")),
-    ]
-    head = head.select(
-        "family",
-        F.coalesce(F.col("title"), F.col("__name"), F.lit("Unknown Product")).alias("title"),
-        body_html(F.col("description")).alias("descriptionHtml"),
-        F.coalesce("brand_hint", F.lit(vendor)).alias("vendor"),
-        F.lit("ACTIVE").alias("status"),
-        F.array_compact(F.array(*[metafield(k, v, t, ~blank_text(c)) for k, v, t, c in fields])).alias("metafields"),
-    )
-    options = variant_options(variants)
-    images = product_images(variants, media, head)
-    videos = product_videos(variants, media)
-    nested = pack_products(head, variants, options, images, videos, max_items, rows_per_bucket)
-    return {"head": head, "variants": variants, "options": options, "images": images, "videos": videos, "nested": nested}
+
+    families: DataFrame
+    parsed: DataFrame
+    media: DataFrame
+    image_map: DataFrame
+    data_columns: list[str]
+    vendor: str
+    max_items: int = 1000
+    rows_per_bucket: int = ROWS_PER_BUCKET
+
+    @cached_property
+    def variants(self) -> DataFrame:
+        return family_variants(self.families, self.data_columns, self.parsed, self.image_map)
+
+    @cached_property
+    def head(self) -> DataFrame:
+        """One row per family: title, description, vendor, status, metafields."""
+        parents = self.families.filter("is_child = 0").groupBy("family").agg(
+            F.min_by("description_1", "family_pos").alias("__name")
+        )
+        fields = [
+            ("features", clean_html(F.col("features_benefits")), "rich_text_field", F.col("features_benefits")),
+            ("nutritional_information", clean_html(F.col("nutrients")), "rich_text_field", F.col("nutrients")),
+            ("directions", clean_html(F.col("feeding_directions")), "rich_text_field", F.col("feeding_directions")),
+            ("documentation", F.col("documents"), "json", F.col("documents")),
+        ]
+        return parents.join(self.parsed, "family", "left").select(
+            "family",
+            F.coalesce(F.col("title"), F.col("__name"), F.lit("Unknown Product")).alias("title"),
+            body_html(F.col("description")).alias("descriptionHtml"),
+            F.coalesce("brand_hint", F.lit(self.vendor)).alias("vendor"),
+            F.lit("ACTIVE").alias("status"),
+            F.array_compact(F.array(*[metafield(k, v, t, ~blank_text(c)) for k, v, t, c in fields])).alias("metafields"),
+        )
+
+    @cached_property
+    def options(self) -> DataFrame:
+        return variant_options(self.variants)
+
+    @cached_property
+    def images(self) -> DataFrame:
+        return product_images(self.variants, self.media, self.head)
+
+    @cached_property
+    def videos(self) -> DataFrame:
+        return product_videos(self.variants, self.media)
+
+    @cached_property
+    def nested(self) -> DataFrame:
+        """(family, part, product as JSON text)."""
+        self.__dict__["variants"] = materialize(self.variants)
+        return pack_products(
+            self.head, self.variants, self.options, self.images, self.videos, self.max_items, self.rows_per_bucket
+        )
 
 
 def pack_products(
@@ -212,54 +247,86 @@ def priced_rows(inputs: DataFrame) -> DataFrame:
     return rows.filter("family != ''").withColumn("unit", unit).withColumns({"unit_cost": cost, "unit_price": price})
 
 
-def build_paver_products(
-    rows: DataFrame, public: DataFrame, portal: DataFrame, portal_images: DataFrame, public_images: DataFrame,
-    registry: DataFrame, vendor: str, start_sku: int, inventory: int = 5, max_items: int = 1000,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
-) -> dict[str, DataFrame]:
-    """Store products of title families sold by piece, kit or area.
+@dataclass
+class PaverProducts:
+    """Store products of title families sold by piece, kit or area; each table is planned when first asked for.
 
     rows: output of priced_rows with ord. public: family, description, specifications. portal: family, color, weight,
-    model_number, swatch. Rows whose conversion factor is zero come back in `errors` with the reason.
+    model_number, swatch. Rows whose conversion factor is zero are in `errors`, and fail their whole family.
     """
-    priced = rows.filter(F.col("unit").isNotNull())
-    joined = priced.join(portal.select("family", "color", "weight", "model_number", "swatch"), ["family", "color"], "left")
-    cube = portal_weight(F.col("weight"))
-    weighed = joined.withColumn("__cube", cube).withColumn(
-        "w", unit_weight(F.col("__cube.value"), F.col("__cube.unit"), F.col("unit"), F.col("pieces_per_cube"), F.col("sq_ft_per_cube"))
-    )
-    bad = weighed.filter(F.col("w.error").isNotNull()).select("family", "ord", "color", F.col("w.error").alias("error"))
-    # one bad row fails its whole family
-    good = weighed.join(bad.select("family").distinct(), "family", "left_anti")
-    numbered = allocate_skus(good, registry, ["ord"], start_sku, rows_per_bucket)
-    placed = group_position(numbered, ["family"], ["ord"], "position", rows_per_bucket)
-    variants = placed.select(
-        "family", "position", "sku", F.col("unit_price").cast("string").alias("price"), F.col("unit_cost").cast("string").alias("cost"),
-        F.coalesce(F.col("item_no").cast("string"), F.lit("")).alias("barcode"), F.lit(inventory).alias("inventory_quantity"),
-        F.col("w.weight").alias("weight"),
-        F.when(F.col("__cube.unit") != "", F.regexp_replace("__cube.unit", "s$", "")).otherwise(F.lit("lb")).alias("weight_unit"),
-        F.col("w.grams").alias("grams"), F.col("color").alias("option1"), F.col("unit").alias("option2"),
-        F.lit(None).cast("string").alias("option3"), F.lit(None).cast("string").alias("option4"),
-        F.lit(None).cast("bigint").alias("image_id"),
-        F.array_compact(
-            F.array(
-                metafield("color_swatch_image", F.col("swatch"), "single_line_text_field", ~blank_text(F.col("swatch"))),
-                metafield("model_number", F.col("model_number"), "single_line_text_field", ~blank_text(F.col("model_number"))),
-                metafield("unit_of_sale", F.col("unit"), "single_line_text_field", F.lit(True)),
-            )
-        ).alias("metafields"),
-    )
-    rank = F.when(F.col("option2") == "Piece", 0).when(F.col("option2") == "Kit", 1).otherwise(2)
-    colors = option_values(variants, "family", "position", [(1, F.lit("Color"), F.col("option1"))])
-    units = option_values(variants.withColumn("__rank", rank), "family", "__rank", [(2, F.lit("Unit of Sale"), F.col("option2"))])
-    images = gallery_by_color(
-        priced.withColumn("title", F.col("family")), portal_images, public_images, "family", "title", rows_per_bucket
-    ).withColumn("sub", F.lit(0))
-    hide = F.array(metafield("hide_online_price", F.lit("true"), "boolean", F.lit(True)))
-    head = variants.select("family").distinct().join(public, "family", "left").select(
-        "family", F.col("family").alias("title"), specification_html(F.col("description"), F.col("specifications")).alias("descriptionHtml"),
-        F.lit(vendor).alias("vendor"), F.lit("ACTIVE").alias("status"), hide.alias("metafields"),
-    )
-    options = colors.unionByName(units)
-    nested = pack_products(head, variants, options, images, None, max_items, rows_per_bucket)
-    return {"head": head, "variants": variants, "options": options, "images": images, "errors": bad, "nested": nested}
+
+    rows: DataFrame
+    public: DataFrame
+    portal: DataFrame
+    portal_images: DataFrame
+    public_images: DataFrame
+    registry: DataFrame
+    vendor: str
+    start_sku: int = fixed.FIRST_AUTO_SKU
+    inventory: int = 5
+    max_items: int = 1000
+    rows_per_bucket: int = ROWS_PER_BUCKET
+
+    @cached_property
+    def weighed(self) -> DataFrame:
+        priced = self.rows.filter(F.col("unit").isNotNull())
+        side = self.portal.select("family", "color", "weight", "model_number", "swatch")
+        joined = priced.join(side, ["family", "color"], "left").withColumn("__cube", portal_weight(F.col("weight")))
+        weight = unit_weight(
+            F.col("__cube.value"), F.col("__cube.unit"), F.col("unit"), F.col("pieces_per_cube"), F.col("sq_ft_per_cube")
+        )
+        return joined.withColumn("w", weight)
+
+    @cached_property
+    def errors(self) -> DataFrame:
+        return self.weighed.filter(F.col("w.error").isNotNull()).select("family", "ord", "color", F.col("w.error").alias("error"))
+
+    @cached_property
+    def variants(self) -> DataFrame:
+        good = self.weighed.join(self.errors.select("family").distinct(), "family", "left_anti")
+        numbered = allocate_skus(good, self.registry, ["ord"], self.start_sku, self.rows_per_bucket)
+        placed = group_position(numbered, ["family"], ["ord"], "position", self.rows_per_bucket)
+        none = F.lit(None).cast("string")
+        return placed.select(
+            "family", "position", "sku", F.col("unit_price").cast("string").alias("price"),
+            F.col("unit_cost").cast("string").alias("cost"), F.coalesce(F.col("item_no").cast("string"), F.lit("")).alias("barcode"),
+            F.lit(self.inventory).alias("inventory_quantity"), F.col("w.weight").alias("weight"),
+            F.when(F.col("__cube.unit") != "", F.regexp_replace("__cube.unit", "s$", "")).otherwise(F.lit("lb")).alias("weight_unit"),
+            F.col("w.grams").alias("grams"), F.col("color").alias("option1"), F.col("unit").alias("option2"),
+            none.alias("option3"), none.alias("option4"), F.lit(None).cast("bigint").alias("image_id"),
+            F.array_compact(
+                F.array(
+                    metafield("color_swatch_image", F.col("swatch"), "single_line_text_field", ~blank_text(F.col("swatch"))),
+                    metafield("model_number", F.col("model_number"), "single_line_text_field", ~blank_text(F.col("model_number"))),
+                    metafield("unit_of_sale", F.col("unit"), "single_line_text_field", F.lit(True)),
+                )
+            ).alias("metafields"),
+        )
+
+    @cached_property
+    def options(self) -> DataFrame:
+        rank = F.when(F.col("option2") == "Piece", 0).when(F.col("option2") == "Kit", 1).otherwise(2)
+        colors = option_values(self.variants, "family", "position", [(1, F.lit("Color"), F.col("option1"))])
+        ranked = self.variants.withColumn("__rank", rank)
+        return colors.unionByName(option_values(ranked, "family", "__rank", [(2, F.lit("Unit of Sale"), F.col("option2"))]))
+
+    @cached_property
+    def images(self) -> DataFrame:
+        titled = self.rows.filter(F.col("unit").isNotNull()).withColumn("title", F.col("family"))
+        gallery = gallery_by_color(titled, self.portal_images, self.public_images, "family", "title", self.rows_per_bucket)
+        return gallery.withColumn("sub", F.lit(0))
+
+    @cached_property
+    def head(self) -> DataFrame:
+        hide = F.array(metafield("hide_online_price", F.lit("true"), "boolean", F.lit(True)))
+        return self.variants.select("family").distinct().join(self.public, "family", "left").select(
+            "family", F.col("family").alias("title"),
+            specification_html(F.col("description"), F.col("specifications")).alias("descriptionHtml"),
+            F.lit(self.vendor).alias("vendor"), F.lit("ACTIVE").alias("status"), hide.alias("metafields"),
+        )
+
+    @cached_property
+    def nested(self) -> DataFrame:
+        """(family, part, product as JSON text)."""
+        self.__dict__["variants"] = materialize(self.variants)
+        return pack_products(self.head, self.variants, self.options, self.images, None, self.max_items, self.rows_per_bucket)

@@ -2,87 +2,119 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from functools import cached_property
+
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions import fixed
 from ..functions.values import blank_array, blank_text, strip
 from ..operators.checks import variant_complete
 from ..operators.lookup import color_title, lookup_title
 from ..operators.merge import merge_variants, skip_variants, upsert
 from ..operators.order import ROWS_PER_BUCKET, allocate_skus, record_range
 from ..operators.products import priced_rows
+from ..session import materialize
+
 
+@dataclass
+class CatalogRun:
+    """Status of every family, merged variants, updated product list and summary of one run.
 
-def process_products(
-    inputs: DataFrame, public_index: DataFrame, public_pages: DataFrame, portal_index: DataFrame, existing: DataFrame,
-    registry: DataFrame, mode: str = "skip", start: int | None = None, end: int | None = None, start_sku: int = 50000,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
-) -> dict[str, DataFrame]:
-    """Status of every family and the merged variants; a failing family never stops the others.
+    A failing family never stops the others: failures are statuses with a reason (skipped, failed, ok,
+    ok_portal_only). Each table is planned when first asked for.
 
     inputs: ord, portal_title, public_title, color, item_no and the unit price columns. Indexes: title, url, ord.
-    public_pages: url, title, description, hero_image, gallery_images. existing: family, ord, color, unit, sku, price, cost.
-    Statuses: skipped, failed (with reason), ok, ok_portal_only. Output: families, variants, upserted, summary.
+    public_pages: url, title, description, hero_image, gallery_images. existing: family, ord, color, unit, sku, price,
+    cost. mode: 'skip' keeps complete old variants, 'overwrite' builds all anew.
     """
-    sliced = record_range(inputs, ["ord"], start, end, rows_per_bucket)
-    rows = priced_rows(sliced)
-    old = existing.withColumn("complete", variant_complete(F.col("sku"), F.col("price"), F.col("cost")))
-    if mode == "skip":
-        marked = skip_variants(rows, old, "family")
-    else:
-        marked = rows.withColumns({"skip": F.lit(False), "family_skipped": F.lit(False)})
-    families = marked.groupBy("family").agg(
-        F.min("ord").alias("ord"),
-        F.min_by(strip(F.coalesce("public_title", F.lit(""))), "ord").alias("public_title"),
-        F.bool_and("family_skipped").alias("family_skipped"),
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count_if("skip").alias("n_skipped"),
-    )
-    title = F.when(F.col("public_title") != "", F.col("public_title"))
-    found = lookup_title(families, public_index, title, ["ord"]).withColumnRenamed("matched_url", "public_url")
-    pages = public_pages.select(
-        F.col("url").alias("public_url"), F.col("title").alias("__page_title"), F.lit(True).alias("__page"),
-        (blank_text(F.col("description")) & blank_text(F.col("hero_image")) & blank_array(F.col("gallery_images"))).alias("__thin"),
-    )
-    found = found.join(pages, "public_url", "left")
-    colors = marked.filter(~F.col("skip") & ~blank_text(F.col("color"))).select("family", "color").distinct()
-    portal = lookup_title(colors, portal_index, color_title(F.col("family"), F.col("color")), ["ord"]).withColumnRenamed(
-        "matched_url", "portal_url"
-    )
-    portal_hits = portal.groupBy("family").agg(F.count("portal_url").alias("n_portal"), F.count(F.lit(1)).alias("n_colors"))
-    state = found.join(portal_hits, "family", "left")
-    n_portal = F.coalesce("n_portal", F.lit(0))
-    no_public = F.col("public_url").isNull()
-    bad_page = ~no_public & blank_text(F.coalesce("__page_title", F.lit("")))
-    status = (
-        F.when(F.col("family_skipped"), "skipped")
-        .when(bad_page, "failed")
-        .when(no_public & (n_portal == 0), "failed")
-        .when(no_public, "ok_portal_only")
-        .otherwise("ok")
-    )
-    reason = F.when(bad_page, "Public data validation failed").when(
-        no_public & (n_portal == 0), "Product not found on public site or portal"
-    )
-    warnings = F.when(F.coalesce("__thin", F.lit(False)) | (n_portal < F.coalesce("n_colors", F.lit(0))), 1).otherwise(0)
-    state = state.withColumn("status", status).select(
-        "family", "ord", "n_rows", "n_skipped", "status",
-        F.when(F.col("status") == "failed", reason).alias("reason"),
-        F.when(F.col("status").startswith("ok"), warnings).otherwise(0).alias("warnings"),
-    )
-    built = state.filter(F.col("status").startswith("ok")).select("family")
-    todo = marked.join(built, "family", "left_semi")
-    fresh = allocate_skus(todo.filter(~F.col("skip") & F.col("unit").isNotNull()), registry, ["ord"], start_sku, rows_per_bucket)
-    generated = fresh.select("family", "ord", "color", "unit", "sku")
-    merged = merge_variants(todo.select("family", "ord", "color", "unit", "skip"), old, generated, "family", rows_per_bucket)
-    new_products = merged.groupBy("family").agg(F.count(F.lit(1)).alias("n_variants")).join(state.select("family", "ord"), "family")
-    old_products = old.groupBy("family").agg(F.min("ord").alias("ord"), F.count(F.lit(1)).alias("n_variants"))
-    upserted = upsert(old_products, new_products, ["family"], "ord")
-    summary = state.agg(
-        F.count(F.lit(1)).alias("total"),
-        F.count_if(F.col("status").startswith("ok")).alias("successful"),
-        F.count_if(F.col("status") == "skipped").alias("skipped"),
-        F.count_if(F.col("status") == "failed").alias("failed"),
-        F.count_if((F.col("warnings") > 0) & F.col("status").startswith("ok")).alias("with_warnings"),
-        F.sum("n_skipped").alias("variants_skipped"),
-    )
-    return {"families": state, "variants": merged, "upserted": upserted, "summary": summary}
+
+    inputs: DataFrame
+    public_index: DataFrame
+    public_pages: DataFrame
+    portal_index: DataFrame
+    existing: DataFrame
+    registry: DataFrame
+    mode: str = "skip"
+    start: int | None = None
+    end: int | None = None
+    start_sku: int = fixed.FIRST_AUTO_SKU
+    rows_per_bucket: int = ROWS_PER_BUCKET
+
+    @cached_property
+    def old_variants(self) -> DataFrame:
+        return self.existing.withColumn("complete", variant_complete(F.col("sku"), F.col("price"), F.col("cost")))
+
+    @cached_property
+    def rows(self) -> DataFrame:
+        """Input rows of the slice with family, unit, skip and family_skipped; used by every later step."""
+        sliced = self.inputs
+        if self.start or self.end:
+            sliced = record_range(sliced, ["ord"], self.start, self.end, self.rows_per_bucket)
+        priced = priced_rows(sliced)
+        if self.mode == "skip":
+            return materialize(skip_variants(priced, self.old_variants, "family"))
+        return materialize(priced.withColumns({"skip": F.lit(False), "family_skipped": F.lit(False)}))
+
+    @cached_property
+    def families(self) -> DataFrame:
+        families = self.rows.groupBy("family").agg(
+            F.min("ord").alias("ord"),
+            F.min_by(strip(F.coalesce("public_title", F.lit(""))), "ord").alias("public_title"),
+            F.bool_and("family_skipped").alias("family_skipped"),
+            F.count(F.lit(1)).alias("n_rows"),
+            F.count_if("skip").alias("n_skipped"),
+        )
+        title = F.when(F.col("public_title") != "", F.col("public_title"))
+        found = lookup_title(families, self.public_index, title, ["ord"]).withColumnRenamed("matched_url", "public_url")
+        thin = blank_text(F.col("description")) & blank_text(F.col("hero_image")) & blank_array(F.col("gallery_images"))
+        pages = self.public_pages.select(F.col("url").alias("public_url"), F.col("title").alias("__page_title"), thin.alias("__thin"))
+        found = found.join(pages, "public_url", "left")
+        colors = self.rows.filter(~F.col("skip") & ~blank_text(F.col("color"))).select("family", "color").distinct()
+        portal = lookup_title(colors, self.portal_index, color_title(F.col("family"), F.col("color")), ["ord"])
+        portal_hits = portal.groupBy("family").agg(F.count("matched_url").alias("n_portal"), F.count(F.lit(1)).alias("n_colors"))
+        state = found.join(portal_hits, "family", "left")
+        n_portal = F.coalesce("n_portal", F.lit(0))
+        no_public = F.col("public_url").isNull()
+        bad_page = ~no_public & blank_text(F.coalesce("__page_title", F.lit("")))
+        nowhere = no_public & (n_portal == 0)
+        status = (
+            F.when(F.col("family_skipped"), "skipped").when(bad_page | nowhere, "failed").when(no_public, "ok_portal_only").otherwise("ok")
+        )
+        reason = F.when(bad_page, "Public data validation failed").when(nowhere, "Product not found on public site or portal")
+        warned = F.coalesce("__thin", F.lit(False)) | (n_portal < F.coalesce("n_colors", F.lit(0)))
+        return state.withColumn("status", status).select(
+            "family", "ord", "n_rows", "n_skipped", "status",
+            F.when(F.col("status") == "failed", reason).alias("reason"),
+            F.when(F.col("status").startswith("ok") & warned, 1).otherwise(0).alias("warnings"),
+        )
+
+    @cached_property
+    def variants(self) -> DataFrame:
+        built = self.families.filter(F.col("status").startswith("ok")).select("family")
+        todo = materialize(self.rows.join(built, "family", "left_semi"))
+        fresh = allocate_skus(
+            todo.filter(~F.col("skip") & F.col("unit").isNotNull()), self.registry, ["ord"], self.start_sku, self.rows_per_bucket
+        )
+        generated = fresh.select("family", "ord", "color", "unit", "sku")
+        inputs = todo.select("family", "ord", "color", "unit", "skip")
+        return merge_variants(inputs, self.old_variants, generated, "family", self.rows_per_bucket)
+
+    @cached_property
+    def products(self) -> DataFrame:
+        """Old and new products after the run: family, ord, n_variants, is_new."""
+        new = self.variants.groupBy("family").agg(F.count(F.lit(1)).alias("n_variants")).join(self.families.select("family", "ord"), "family")
+        old = self.old_variants.groupBy("family").agg(F.min("ord").alias("ord"), F.count(F.lit(1)).alias("n_variants"))
+        return upsert(old, new, ["family"], "ord")
+
+    @cached_property
+    def summary(self) -> DataFrame:
+        ok = F.col("status").startswith("ok")
+        return self.families.agg(
+            F.count(F.lit(1)).alias("total"),
+            F.count_if(ok).alias("successful"),
+            F.count_if(F.col("status") == "skipped").alias("skipped"),
+            F.count_if(F.col("status") == "failed").alias("failed"),
+            F.count_if(ok & (F.col("warnings") > 0)).alias("with_warnings"),
+            F.sum("n_skipped").alias("variants_skipped"),
+        )
