@@ -8,7 +8,7 @@ from pyspark.sql import Column, functions as F
 
 from . import fixed
 from .text import unescape_entities
-from .values import strip
+from .values import let, strip
 
 ELEMENTS = "(?is)" + "|".join(f"<{tag}[^>]*>.*?</{tag}>" for tag in fixed.DROPPED_ELEMENTS) + "|<img[^>]*>"
 ATTRIBUTES = "|".join(rf'\s*{name}="[^"]*"' for name in fixed.DROPPED_ATTRIBUTES) + r'|\s*(?i:on[a-z]+)="[^"]*"'
@@ -27,16 +27,19 @@ def clean_html(c: Column, drop_empty: bool = True) -> Column:
 
 def body_html(c: Column, drop_empty: bool = True) -> Column:
     """Cleaned HTML with every bare part in a paragraph."""
-    cleaned = clean_html(c, drop_empty)
+    return let(clean_html(c, drop_empty), _paragraphs)
+
+
+def _paragraphs(cleaned: Column) -> Column:
     has_paragraphs = cleaned.rlike("(?i)<p[^>]*>")
     parts = F.filter(F.transform(F.split(cleaned, r"(?i)<br\s*/?>"), strip), lambda p: p != "")
 
-    def wrap(part: Column) -> Column:
-        return F.when(has_paragraphs & part.startswith("<"), part).otherwise(
-            F.concat(F.lit("<p>"), part, F.lit("</p>"))
-        )
+    def wrap(part: Column, always: bool) -> Column:
+        wrapped = F.concat(F.lit("<p>"), part, F.lit("</p>"))
+        return wrapped if always else F.when(part.startswith("<"), part).otherwise(wrapped)
 
-    joined = F.array_join(F.transform(parts, wrap), "")
+    kept = F.array_join(F.transform(parts, lambda p: wrap(p, False)), "")
+    joined = F.when(has_paragraphs, kept).otherwise(F.array_join(F.transform(parts, lambda p: wrap(p, True)), ""))
     bare = F.when(~has_paragraphs & (F.size(parts) == 0), F.concat(F.lit("<p>"), cleaned, F.lit("</p>"))).otherwise(joined)
     return F.when(cleaned == "", F.lit("")).otherwise(bare)
 

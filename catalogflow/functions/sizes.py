@@ -7,7 +7,7 @@ import json
 from pyspark.sql import Column, functions as F
 
 from . import fixed
-from .values import strip
+from .values import let, strip
 
 _NUMBER = r"\d+(?:\.\d+)?"
 
@@ -32,35 +32,45 @@ def extract_sizes(c: Column) -> Column:
         )
 
     measured = F.filter(F.transform(found, measure), lambda m: m["family"].isNotNull())
-    entries = F.transform(
-        F.array(*[F.lit(name) for name in fixed.SIZE_FAMILIES]),
-        lambda name: F.struct(
-            name.alias("key"),
-            F.array_distinct(
-                F.transform(F.filter(measured, lambda m: m["family"] == name), lambda m: m["value"])
-            ).alias("value"),
-        ),
-    )
-    return F.map_from_entries(F.filter(entries, lambda e: F.size(e["value"]) > 0))
+
+    def by_family(known: Column) -> Column:
+        entries = F.transform(
+            F.array_distinct(F.transform(known, lambda m: m["family"])),
+            lambda name: F.struct(
+                name.alias("key"),
+                F.array_distinct(
+                    F.transform(F.filter(known, lambda m: m["family"] == name), lambda m: m["value"])
+                ).alias("value"),
+            ),
+        )
+        return F.map_from_entries(entries)
+
+    return let(measured, by_family)
 
 
 def sizes_match(query: Column, product: Column, tolerance: float = fixed.SIZE_TOLERANCE) -> Column:
     """True unless a family named on both sides has no pair of values within the tolerance."""
 
-    def family_agrees(name: Column) -> Column:
-        return F.exists(
-            F.try_element_at(product, name),
-            lambda p: (p != 0)
-            & F.exists(F.try_element_at(query, name), lambda q: F.abs(p - q) / F.nullif(p, F.lit(0.0)) <= tolerance),
-        )
+    def agree(both: Column) -> Column:
+        def family_agrees(name: Column) -> Column:
+            return F.exists(
+                F.try_element_at(both["p"], name),
+                lambda p: (p != 0)
+                & F.exists(F.try_element_at(both["q"], name), lambda q: F.abs(p - q) / F.nullif(p, F.lit(0.0)) <= tolerance),
+            )
+
+        shared = F.array_intersect(F.map_keys(both["p"]), F.map_keys(both["q"]))
+        return F.forall(shared, family_agrees)
 
-    shared = F.array_intersect(F.map_keys(product), F.map_keys(query))
-    return F.forall(shared, family_agrees)
+    return let(F.struct(query.alias("q"), product.alias("p")), agree)
 
 
 def parse_weight(c: Column) -> Column:
     """struct(weight, unit, grams) of a size text; weight and unit null and grams 0 when it is no weight."""
-    text = F.upper(strip(c))
+    return let(F.upper(strip(c)), _weight_of)
+
+
+def _weight_of(text: Column) -> Column:
     counted = rf"^({_NUMBER})\s*-\s*({_NUMBER})\s*([A-Z]+)"
     simple = rf"^({_NUMBER})\s*([A-Z]+)?$"
 

@@ -5,12 +5,13 @@ from __future__ import annotations
 import html.entities
 import json
 import unicodedata
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column, functions as F, types as T
 
 from . import fixed
-from .values import distinct_ignoring_case, strip
+from .values import distinct_ignoring_case, let, strip
 
 _BREAK = r"(?i)<\s*br\s*/?>"
 _TAG = r"<[^>]+>"
@@ -71,19 +72,22 @@ def bullet_points(c: Column) -> Column:
     marked = F.regexp_replace(marked, r"(?U)\n?\s*[–—-]\s+", "\n")
     parts = F.transform(F.split(marked, "\n"), lambda p: F.regexp_replace(p, "^[ .•\t]+|[ .•\t]+$", ""))
     parts = F.filter(parts, lambda p: p != "")
-    short = F.size(F.filter(parts, lambda p: F.length(p) <= fixed.BULLET_MAX_CHARS))
-    needed = F.greatest(F.lit(2), F.floor(F.size(parts) * F.lit(0.6)))
 
-    def tidy(part: Column) -> Column:
-        text = strip(part)
-        text = F.when(text.endswith("."), strip(F.left(text, F.length(text) - 1))).otherwise(text)
+    def sentence_case(text: Column) -> Column:
         shouted = (F.length(text) > 2) & (text == F.upper(text)) & (text != F.lower(text))
         sentence = F.concat(F.upper(F.left(text, F.lit(1))), F.lower(F.substring(text, F.lit(2), F.length(text))))
         return F.when(shouted, sentence).otherwise(text)
 
-    items = distinct_ignoring_case(F.filter(F.transform(parts, tidy), lambda p: p != ""))
-    listed = (F.size(parts) >= 2) & (short >= needed)
-    return F.when(listed, items).otherwise(F.array().cast(_TEXTS))
+    def tidy(part: Column) -> Column:
+        return let(strip(F.regexp_replace(strip(part), r"\.$", "")), sentence_case)
+
+    def items(found: Column) -> Column:
+        short = F.size(F.filter(found, lambda p: F.length(p) <= fixed.BULLET_MAX_CHARS))
+        needed = F.greatest(F.lit(2), F.floor(F.size(found) * F.lit(0.6)))
+        kept = let(F.filter(F.transform(found, tidy), lambda p: p != ""), distinct_ignoring_case)
+        return F.when((F.size(found) >= 2) & (short >= needed), kept).otherwise(F.array().cast(_TEXTS))
+
+    return let(parts, items)
 
 
 def fix_description(c: Column) -> Column:
@@ -220,34 +224,35 @@ def normalize_size(c: Column) -> Column:
 
 def query_variants(c: Column, cap: int = fixed.QUERY_VARIANT_CAP) -> Column:
     """Spelling variants of a search text: the original first, then by length, case-blind distinct."""
-    base = strip(F.coalesce(c, F.lit("")))
+    return let(strip(F.coalesce(c, F.lit(""))), lambda base: _spellings(base, cap))
+
+
+def _spellings(base: Column, cap: int) -> Column:
     none = F.array().cast(_TEXTS)
     found = F.array(base)
     for pattern in fixed.TWO_IN_ONE_PATTERNS:
         forms = F.array(*[F.regexp_replace(base, pattern, form) for form in fixed.TWO_IN_ONE_FORMS])
         found = F.concat(found, F.when(base.rlike(pattern), forms).otherwise(none))
-    inches = F.flatten(
-        F.transform(
-            found,
-            lambda t: F.array(
-                F.regexp_replace(t, r'(\d+)"', r"$1 in"),
-                F.replace(F.regexp_replace(t, r'(\d+)"', r"$1in"), F.lit('"'), F.lit("")),
-            ),
-        )
-    )
-    found = F.array_distinct(F.concat(found, F.when(base.contains('"'), inches).otherwise(none)))
+
+    def extended(arr: Column, forms: Callable[[Column], Column]) -> Column:
+        return let(arr, lambda known: F.array_distinct(F.concat(known, F.flatten(F.transform(known, lambda t: forms(t))))))
+
+    def inch_forms(t: Column) -> Column:
+        spaced = F.regexp_replace(t, r'(\d+)"', r"$1 in")
+        glued = F.replace(F.regexp_replace(t, r'(\d+)"', r"$1in"), F.lit('"'), F.lit(""))
+        return F.when(base.contains('"'), F.array(spaced, glued)).otherwise(none)
+
+    found = extended(found, inch_forms)
 
     def pair_forms(t: Column) -> Column:
         a, b = F.regexp_extract(t, fixed.SIZE_PAIR, 1), F.regexp_extract(t, fixed.SIZE_PAIR, 2)
         forms = [F.regexp_replace(t, F.lit(fixed.SIZE_PAIR), F.concat(a, F.lit(sep), b)) for sep in ("x", " x ", "×", "/")]
         return F.when(t.rlike(fixed.SIZE_PAIR), F.array(*forms)).otherwise(none)
 
-    found = F.array_distinct(F.concat(found, F.flatten(F.transform(found, pair_forms))))
-    found = F.array_distinct(F.concat(found, F.transform(found, lambda t: F.replace(t, F.lit("-"), F.lit(" ")))))
-    found = F.array_distinct(
-        F.concat(found, F.transform(found, lambda t: F.regexp_replace(t, r"(?i)\bgrizzle\b", "grizzly")))
-    )
-    found = distinct_ignoring_case(F.filter(F.transform(found, squeeze_ws), lambda t: t != ""))
+    found = extended(found, pair_forms)
+    found = extended(found, lambda t: F.array(F.replace(t, F.lit("-"), F.lit(" "))))
+    found = extended(found, lambda t: F.array(F.regexp_replace(t, r"(?i)\bgrizzle\b", "grizzly")))
+    found = let(F.filter(F.transform(found, squeeze_ws), lambda t: t != ""), distinct_ignoring_case)
     ranked = F.array_sort(
         F.transform(
             found,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 
@@ -47,7 +49,14 @@ def first_text(*cols: Column) -> Column:
     return F.coalesce(*[F.when(c != "", c) for c in cols])
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with the value computed once; an expression inside a lambda would run again per element."""
+    return F.get(F.transform(F.array(value), lambda v: body(v)), F.lit(0))
+
+
 def distinct_ignoring_case(arr: Column) -> Column:
     """Distinct texts compared without case; the first spelling stays, in first-seen order."""
-    lowered = F.transform(arr, F.lower)
-    return F.filter(arr, lambda x, i: F.array_position(lowered, F.lower(x)) == i + 1)
+    pairs = F.struct(arr.alias("own"), F.transform(arr, F.lower).alias("low"))
+    return let(
+        pairs, lambda p: F.filter(p["own"], lambda x, i: F.array_position(p["low"], F.lower(x)) == i + 1)
+    )

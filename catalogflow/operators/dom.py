@@ -8,8 +8,9 @@ from __future__ import annotations
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ..functions.text import text_only
 from ..functions.values import blank_text
@@ -18,6 +19,8 @@ from ..functions.values import blank_text
 _VOID = {
     "area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr",
 }
+# An output batch is closed after the page that reaches this many nodes.
+_ROWS_PER_BATCH = 20_000
 _SCHEMA = "node int, ancestors array<int>, tag string, attrs map<string,string>, inner string"
 
 
@@ -29,9 +32,10 @@ class _Nodes(HTMLParser):
         self.rows: list[list] = []
         self.open: list[int] = []
         self.spans: list[list[int]] = []
+        # the parser counts \n as the only line end
         self.starts = [0]
-        for line in html.splitlines(keepends=True):
-            self.starts.append(self.starts[-1] + len(line))
+        for line in html.split("\n"):
+            self.starts.append(self.starts[-1] + len(line) + 1)
         self.feed(html)
         self.close()
         for node in self.open:
@@ -44,7 +48,7 @@ class _Nodes(HTMLParser):
     def handle_starttag(self, tag, attrs):
         node = len(self.rows)
         begin = self._at() + len(self.get_starttag_text())
-        self.rows.append([node, list(self.open), tag, {k: v or "" for k, v in attrs}])
+        self.rows.append([node, list(self.open), tag, list({k: v or "" for k, v in attrs}.items())])
         self.spans.append([begin, begin])
         if tag not in _VOID:
             self.open.append(node)
@@ -69,27 +73,33 @@ def dom_nodes(pages: DataFrame, page: str, html: str = "html", inner_of: list[st
     inner_of: tags whose inner HTML is kept (None = every tag); text is text_only(inner).
     """
     kept = None if inner_of is None else set(inner_of)
+    field = pages.schema[page]
+    key_type = to_arrow_type(field.dataType)
+    schema = pa.schema(
+        [
+            (page, key_type), ("node", pa.int32()), ("ancestors", pa.list_(pa.int32())), ("tag", pa.string()),
+            ("attrs", pa.map_(pa.string(), pa.string())), ("inner", pa.string()),
+        ]
+    )
 
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for key, source in zip(batch[page], batch[html]):
+            rows: list[list] = [[] for _ in schema]
+            for key, source in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 text = source or ""
-                # the parser counts only \n as a line end; other breaks must not shift positions
-                parser = _Nodes(text.replace("\r", " ").replace("\x0b", " ").replace("\x0c", " ")
-                                .replace("\x1c", " ").replace("\x1d", " ").replace("\x1e", " ")
-                                .replace("\x85", " ").replace(" ", " ").replace(" ", " "))
-                if not parser.rows:
-                    continue
-                frame = pd.DataFrame(parser.rows, columns=["node", "ancestors", "tag", "attrs"])
-                frame["inner"] = [
-                    text[a:b] if kept is None or row[2] in kept else None
-                    for (a, b), row in zip(parser.spans, parser.rows)
-                ]
-                frame.insert(0, page, key)
-                yield frame
-
-    kind = pages.schema[page].dataType.simpleString()
-    return pages.select(page, html).mapInPandas(parse, f"{page} {kind}, {_SCHEMA}")
+                parser = _Nodes(text)
+                for (node, ancestors, tag, attrs), (begin, end) in zip(parser.rows, parser.spans):
+                    inner = text[begin:end] if kept is None or tag in kept else None
+                    for column, value in zip(rows, (key, node, ancestors, tag, attrs, inner)):
+                        column.append(value)
+                if len(rows[0]) > _ROWS_PER_BATCH:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(rows, schema)], schema=schema)
+                    rows = [[] for _ in schema]
+            if rows[0]:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(rows, schema)], schema=schema)
+
+    kind = field.dataType.simpleString()
+    return pages.select(page, html).mapInArrow(parse, f"{page} {kind}, {_SCHEMA}")
 
 
 def has_class(name: str) -> Column:

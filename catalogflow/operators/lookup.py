@@ -12,7 +12,7 @@ from ..functions.codes import effective_upc, upc_candidates, upc_digits
 from ..functions.markup import lifestyle_alt, variant_alt
 from ..functions.text import bullet_points, fix_description, squeeze_ws, text_only
 from ..functions.urls import dedupe_urls, https_url, strip_query
-from ..functions.values import blank_array, blank_text
+from ..functions.values import blank_array, blank_text, let
 from .aggregate import first_wins, last_wins
 from .order import ROWS_PER_BUCKET, group_position
 
@@ -253,20 +253,20 @@ SWATCH_WIDGET = "Magento_Swatches/js/swatch-renderer"
 _ATTRIBUTES = "map<string,struct<code:string,options:array<struct<id:string,label:string,products:array<string>>>>>"
 
 
-def swatch_config(blob: Column) -> Column:
+def swatch_config(blob: Column, depth: int = 3) -> Column:
     """JSON text of the widget's configuration, at the top or up to two levels down."""
-    found = None
-    level = F.array(blob)
-    for _ in range(3):
-        here = F.filter(
-            F.transform(level, lambda j: F.get_json_object(j, f"$['{SWATCH_WIDGET}']")), lambda v: v.isNotNull()
-        )
-        first = F.get(here, F.lit(0))
-        found = first if found is None else F.coalesce(found, first)
-        level = F.flatten(
+
+    def search(level: Column, left: int) -> Column:
+        here = F.transform(level, lambda j: F.get_json_object(j, f"$['{SWATCH_WIDGET}']"))
+        first = F.get(F.filter(here, lambda v: v.isNotNull()), F.lit(0))
+        if left == 1:
+            return first
+        below = F.flatten(
             F.transform(level, lambda j: F.coalesce(F.map_values(F.from_json(j, "map<string,string>")), F.array().cast("array<string>")))
         )
-    return found
+        return F.coalesce(first, let(below, lambda deeper: search(deeper, left - 1)))
+
+    return search(F.array(blob), depth)
 
 
 def swatch_options(pages: DataFrame, page: str, blob: str) -> DataFrame:

@@ -14,7 +14,7 @@ from ..functions.names import flavors, forms, normalize_name, product_lines, tax
 from ..functions.sizes import extract_sizes, sizes_match
 from ..functions.text import keyword_set, word_tokens
 from ..functions.urls import strip_query
-from ..functions.values import strip
+from ..functions.values import let, strip
 from ..session import materialize
 
 
@@ -78,53 +78,66 @@ def match_keywords(
     )
 
 
-def attribute_score(pairs: DataFrame) -> DataFrame:
-    """Score of (query, title, slug, page_text, page_taxonomy) pairs; null where a gate rejects the pair.
+def query_attributes(queries: DataFrame) -> DataFrame:
+    """Attributes of the asked name, once per row. query_text is the name, query its normal form."""
+    return queries.withColumns(
+        {
+            "q_words": F.filter(F.split("query", " "), lambda w: w != ""),
+            "q_taxonomy": taxonomy(F.col("query_text")),
+            "q_flavors": flavors(F.col("query_text")),
+            "q_lines": product_lines(F.col("query_text")),
+            "q_forms": forms(F.col("query")),
+            "q_sizes": extract_sizes(F.col("query_text")),
+        }
+    )
 
-    query_text is the row's own name; query is its normal form.
-    """
-    q_tax, title = taxonomy(F.col("query_text")), F.col("title")
-    page_taxonomy = F.lower(F.coalesce("page_taxonomy", F.lit("")))
-    title_norm = normalize_name(title)
-    pairs = pairs.withColumns(
+
+def title_attributes(candidates: DataFrame) -> DataFrame:
+    """Attributes of a candidate page, once per candidate. Needs title, url, page_text, page_taxonomy."""
+    named = candidates.withColumns({"title_norm": normalize_name(F.col("title")), "t_slug": F.upper(url_slug(F.col("url")))})
+    return named.withColumns(
         {
-            "__qt": F.filter(F.split("query", " "), lambda t: t != ""),
-            "__tt": F.filter(F.split(title_norm, " "), lambda t: t != ""),
-            "__slug": F.upper("slug"),
-            "__qf": flavors(F.col("query_text")),
-            "__ql": product_lines(F.col("query_text")),
-            "__qo": forms(F.col("query")),
-            "__qs": extract_sizes(F.col("query_text")),
-            "__pf": flavors(F.upper("page_text")),
-            "__pl": product_lines(title_norm),
-            "__po": forms(title_norm),
-            "__ps": extract_sizes(title),
+            "t_words": F.filter(F.split("title_norm", " "), lambda w: w != ""),
+            "t_taxonomy": F.lower(F.coalesce("page_taxonomy", F.lit(""))),
+            "t_flavors": flavors(F.upper("page_text")),
+            "t_lines": product_lines(F.col("title_norm")),
+            "t_forms": forms(F.col("title_norm")),
+            "t_sizes": extract_sizes(F.col("title")),
         }
     )
-    clash = ((q_tax == "cat") & (page_taxonomy.contains("dog") | title.rlike(r"(?i)\bdog\b"))) | (
-        (q_tax == "dog") & (page_taxonomy.contains("cat") | title.rlike(r"(?i)\bcat\b"))
+
+
+def attribute_score(pairs: DataFrame) -> DataFrame:
+    """Score of each (query_attributes, title_attributes) pair that passes the gates and coverage tests.
+
+    Gates come first and the coverage tests work on what they leave.
+    """
+    title = F.col("title")
+    clash = ((F.col("q_taxonomy") == "cat") & (F.col("t_taxonomy").contains("dog") | title.rlike(r"(?i)\bdog\b"))) | (
+        (F.col("q_taxonomy") == "dog") & (F.col("t_taxonomy").contains("cat") | title.rlike(r"(?i)\bcat\b"))
     )
     gate = (
         ~clash
-        & ((F.size("__qf") == 0) | F.arrays_overlap("__qf", "__pf"))
-        & ((F.size("__ql") == 0) | F.arrays_overlap("__ql", "__pl"))
-        & sizes_match(F.col("__qs"), F.col("__ps"))
+        & ((F.size("q_flavors") == 0) | F.arrays_overlap("q_flavors", "t_flavors"))
+        & ((F.size("q_lines") == 0) | F.arrays_overlap("q_lines", "t_lines"))
+        & sizes_match(F.col("q_sizes"), F.col("t_sizes"))
+    )
+    reach = F.concat(F.col("t_words"), F.split("t_slug", "-"))
+    counted = pairs.filter(gate).withColumn(
+        "n_match", let(reach, lambda known: F.size(F.filter("q_words", lambda w: F.array_contains(known, w))))
     )
-    reach = F.concat(F.col("__tt"), F.split("__slug", "-"))
-    matches = F.size(F.filter("__qt", lambda t: F.array_contains(reach, t)))
-    n_title = F.greatest(F.lit(1), F.size("__tt"))
-    coverage, q_coverage = matches / n_title, matches / F.greatest(F.lit(1), F.size("__qt"))
+    matches = F.col("n_match")
+    n_title = F.greatest(F.lit(1), F.size("t_words"))
     enough = (
         (matches >= 2)
-        & (coverage >= F.when(n_title <= 4, F.lit(0.75)).otherwise(F.lit(0.60)))
-        & (q_coverage >= 0.50)
+        & (matches / n_title >= F.when(n_title <= 4, F.lit(0.75)).otherwise(F.lit(0.60)))
+        & (matches / F.greatest(F.lit(1), F.size("q_words")) >= 0.50)
     )
-    form_hits = F.size(F.array_intersect("__qo", "__po"))
-    form_part = F.when(F.size("__qo") == 0, F.lit(0.0)).when(form_hits > 0, form_hits * 1.5).otherwise(F.lit(-0.8))
-    slug_hits = F.size(F.filter("__qt", lambda t: F.col("__slug").contains(t)))
+    form_hits = F.size(F.array_intersect("q_forms", "t_forms"))
+    form_part = F.when(F.size("q_forms") == 0, F.lit(0.0)).when(form_hits > 0, form_hits * 1.5).otherwise(F.lit(-0.8))
+    slug_hits = F.size(F.filter("q_words", lambda w: F.col("t_slug").contains(w)))
     score = matches * 1.2 + form_part + F.when(slug_hits >= 2, F.lit(0.6)).otherwise(F.lit(0.0))
-    kept = [c for c in pairs.columns if not c.startswith("__")]
-    return pairs.withColumn("score", F.when(gate & enough, score)).select(*kept, "score")
+    return counted.filter(enough).withColumn("score", score)
 
 
 def url_slug(c: Column) -> Column:
@@ -140,9 +153,8 @@ def match_attributes(inputs: DataFrame, candidates: DataFrame, cap: int | None =
     """
     listed = candidates.filter(F.col("pos") <= cap) if cap else candidates
     queries = inputs.select("input_id", F.col("name").alias("query_text"), normalize_name(F.col("name")).alias("query"))
-    scored = attribute_score(listed.withColumn("slug", url_slug(F.col("url"))).join(queries, "input_id"))
-    ok = scored.filter(F.col("score").isNotNull())
-    best = ok.groupBy("input_id").agg(_best(F.col("url"), F.col("score"), F.col("pos"), F.lit(True)).alias("b"))
+    scored = attribute_score(title_attributes(listed).join(query_attributes(queries), "input_id"))
+    best = scored.groupBy("input_id").agg(_best(F.col("url"), F.col("score"), F.col("pos"), F.lit(True)).alias("b"))
     return best.select("input_id", "b.url", "b.score")
 
 
@@ -257,15 +269,20 @@ def sorted_words(c: Column) -> Column:
 
 def _letters_rare_first(text: Column) -> Column:
     """(letter, n-th use) tokens of a text as strings, rarest first; equal multisets share all tokens."""
+
+    def numbered(chars: Column) -> Column:
+        return F.transform(
+            chars,
+            lambda x, i: F.struct(x.alias("x"), F.size(F.filter(F.slice(chars, F.lit(1), i + 1), lambda y: y == x)).alias("n")),
+        )
+
+    def ranked(use: Column) -> Column:
+        place = F.instr(F.lit(_COMMON_FIRST), use["x"])
+        rarity = F.when(place > 0, place).otherwise(40) + 8 * use["n"]
+        return F.struct((-rarity).alias("rank"), F.concat(use["x"], use["n"].cast("string")).alias("token"))
+
     chars = F.filter(F.split(text, ""), lambda x: x != "")
-    tokens = F.transform(
-        chars,
-        lambda x, i: F.struct(
-            (-(F.when(F.instr(F.lit(_COMMON_FIRST), x) > 0, F.instr(F.lit(_COMMON_FIRST), x)).otherwise(40)
-               + 8 * F.size(F.filter(F.slice(chars, F.lit(1), i + 1), lambda y: y == x)))).alias("rank"),
-            F.concat(x, F.size(F.filter(F.slice(chars, F.lit(1), i + 1), lambda y: y == x)).cast("string")).alias("token"),
-        ),
-    )
+    tokens = F.transform(let(chars, numbered), ranked)
     return F.transform(F.array_sort(tokens), lambda t: t["token"])
 
 

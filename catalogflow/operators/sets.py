@@ -53,20 +53,30 @@ def category_urls(trees: DataFrame, tree: str, levels: int = 6, skip: str = "/ac
     """
     keys = [c for c in trees.columns if c != tree]
     roots = F.from_json(F.col(tree), T.ArrayType(category_tree_schema(levels)))
-    level = trees.select(*keys, F.posexplode(roots).alias("__i", "node")).select(
-        *keys, F.array("__i").alias("path"), "node"
-    )
-    found = None
+    walk = trees.select(*keys, F.transform(roots, lambda n, i: F.struct(F.array(i).alias("path"), n.alias("node"))).alias("l0"))
     for depth in range(levels):
-        level = level.filter(~F.coalesce(F.col("node.fullurl").startswith(skip), F.lit(False)))
-        here = level.select(
-            *keys, "path", F.col("node.fullurl").alias("url"), F.coalesce(F.col("node.level").try_cast("int"), F.lit(1)).alias("level")
-        )
-        found = here if found is None else found.unionByName(here)
+        # each level is a column of its own, so the document is parsed once
+        kept = F.filter(F.col(f"l{depth}"), lambda x: ~F.coalesce(x["node"]["fullurl"].startswith(skip), F.lit(False)))
+        walk = walk.withColumn(f"l{depth}", kept)
         if depth < levels - 1:
-            level = level.select(*keys, "path", F.posexplode("node.categories").alias("__i", "child")).select(
-                *keys, F.concat("path", F.array("__i")).alias("path"), F.col("child").alias("node")
+            below = F.transform(
+                F.col(f"l{depth}"),
+                lambda x: F.transform(
+                    x["node"]["categories"], lambda c, i: F.struct(F.concat(x["path"], F.array(i)).alias("path"), c.alias("node"))
+                ),
             )
+            walk = walk.withColumn(f"l{depth + 1}", F.flatten(F.filter(below, lambda x: x.isNotNull())))
+    entries = [
+        F.transform(
+            F.col(f"l{depth}"),
+            lambda x: F.struct(
+                x["path"].alias("path"), x["node"]["fullurl"].alias("url"),
+                F.coalesce(x["node"]["level"].try_cast("int"), F.lit(1)).alias("level"),
+            ),
+        )
+        for depth in range(levels)
+    ]
+    found = walk.select(*keys, F.explode(F.concat(*[F.coalesce(e, F.slice(entries[0], 1, 0)) for e in entries])).alias("e")).select(*keys, "e.*")
     slashes = F.length("url") - F.length(F.replace(F.col("url"), F.lit("/"), F.lit("")))
     pages = found.filter((F.col("level") >= 2) & ~blank_text(F.col("url")) & (slashes >= 2))
     return pages.groupBy(*keys, "url").agg(F.min("path").alias("path"))

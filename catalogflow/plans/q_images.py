@@ -35,16 +35,16 @@ def j1(t):
     """WITH p AS (SELECT vec_id, i // 8 AS r, i % 8 AS c, least(floor(abs(embedding[i + 1]::DOUBLE) * 800), 254) AS g FROM embeddings, (SELECT unnest(range(64)) AS i)),
     n AS (SELECT a.vec_id, a.r, a.c, -4 * any_value(a.g) + sum(b.g * CASE WHEN (a.r IN (0, 7) AND b.r <> a.r) OR (a.c IN (0, 7) AND b.c <> a.c) THEN 2 ELSE 1 END) AS lap
       FROM p a JOIN p b ON a.vec_id = b.vec_id AND abs(a.r - b.r) + abs(a.c - b.c) = 1 GROUP BY 1, 2, 3)
-    SELECT CAST(vec_id AS VARCHAR) AS origin, round(var_pop(lap), 3) AS sharpness FROM n GROUP BY 1""",
+    SELECT CAST(vec_id AS VARCHAR) AS origin, CAST(floor(var_pop(lap) * 4096 + 0.5) AS BIGINT) AS sharpness_4096 FROM n GROUP BY 1""",
 )
 def j1_sharpness(t):
-    """Without white pixels the crop is the whole image."""
+    """Without white pixels the crop is the whole image; its variance is a multiple of 1/4096."""
     pixel = F.transform("embedding", lambda x: F.lpad(F.hex(F.least(F.floor(F.abs(x).cast("double") * 800), F.lit(254))), 2, "0"))
     image = F.struct(
         text("vec_id").alias("origin"), F.lit(8).alias("height"), F.lit(8).alias("width"), F.lit(1).alias("nChannels"), F.lit(0).alias("mode"),
         F.unhex(F.array_join(pixel, "")).alias("data"),
     )
-    return I.image_metrics(t.embeddings.select(image.alias("image"))).select("origin", F.round("sharpness", 3).alias("sharpness"))
+    return I.image_metrics(t.embeddings.select(image.alias("image"))).select("origin", F.floor(F.col("sharpness") * 4096 + 0.5).alias("sharpness_4096"))
 
 
 @query("J1_perceptual_hash")

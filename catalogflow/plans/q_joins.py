@@ -30,8 +30,9 @@ def catalog_inputs(t):
 
 C1_SQL = """SELECT l_orderkey, l_linenumber, l_partkey, coalesce(p_name, '') AS product_name, coalesce(p_brand, '') AS brand,
     coalesce(p_name || '. ' || p_type, '') AS description, coalesce(p_type, '') AS ingredients,
-    CASE WHEN p_partkey IS NULL THEN '' ELSE 'https://img/' || p_partkey || ' https://img/' || p_size END AS images,
-    CASE WHEN p_partkey IS NULL THEN '' ELSE lpad(CAST(p_partkey AS VARCHAR), 12, '0') || '_1.jpg ' || lpad(CAST(p_partkey AS VARCHAR), 12, '0') || '_2.jpg' END AS media
+    CASE WHEN p_partkey IS NULL THEN '' ELSE 'https://img/' || p_partkey || CASE WHEN p_size = p_partkey THEN '' ELSE ' https://img/' || p_size END END AS images,
+    CASE WHEN p_partkey IS NULL THEN '' ELSE lpad(CAST(p_partkey AS VARCHAR), 12, '0') || '_1.jpg'
+      || CASE WHEN p_size = p_partkey THEN '' ELSE ' ' || lpad(CAST(p_partkey AS VARCHAR), 12, '0') || '_2.jpg' END END AS media
     FROM lineitem LEFT JOIN part ON l_partkey = p_partkey AND (l_returnflag = 'A' OR l_linestatus = 'O')"""
 
 
