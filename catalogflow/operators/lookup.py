@@ -17,29 +17,29 @@ from .aggregate import first_wins, last_wins
 from .order import ROWS_PER_BUCKET, group_position
 
 
-def manufacturer_struct(hit: Column, homepage: str) -> Column:
-    """The manufacturer record of a catalog row; only the homepage is filled when there was no hit."""
-    none = F.array().cast("array<string>")
+def manufacturer_record(homepage: str, known: bool = True) -> Column:
+    """The manufacturer record of a catalog row; with known=False the one of a row without catalog entry."""
+    none, empty = F.array().cast("array<string>"), F.lit("")
 
     def filled(value: Column) -> Column:
-        return F.when(hit, F.coalesce(value, F.lit(""))).otherwise(F.lit(""))
+        return F.coalesce(value, empty) if known else empty
 
-    name, raw = text_only(F.col("__c.product_name")), text_only(F.col("__c.description"))
-    media = dedupe_urls(F.transform(F.coalesce("__c.image_urls", none), https_url))
+    name, raw = text_only(F.col("product_name")), text_only(F.col("description"))
+    media = dedupe_urls(F.transform(F.coalesce("image_urls", none), https_url))
     return F.struct(
-        filled(F.trim(F.col("__c.product_url"))).alias("product_url"),
+        filled(F.trim(F.col("product_url"))).alias("product_url"),
         F.lit(homepage).alias("homepage"),
         filled(name).alias("name"),
-        filled(text_only(F.col("__c.brand"))).alias("brand"),
+        filled(text_only(F.col("brand"))).alias("brand"),
         filled(name).alias("product_name"),
         filled(fix_description(raw)).alias("description"),
-        F.when(hit, bullet_points(raw)).otherwise(none).alias("benefits_text"),
-        filled(text_only(F.col("__c.ingredients"))).alias("ingredients_text"),
+        (bullet_points(raw) if known else none).alias("benefits_text"),
+        filled(text_only(F.col("ingredients"))).alias("ingredients_text"),
         F.create_map().cast("map<string,string>").alias("nutrition_text"),
-        F.lit("").alias("directions_for_use"),
-        F.when(hit, media).otherwise(none).alias("media"),
+        empty.alias("directions_for_use"),
+        (media if known else none).alias("media"),
         none.alias("source_urls"),
-        F.lit("").alias("platform_guess"),
+        empty.alias("platform_guess"),
         none.alias("ui_cues"),
     )
 
@@ -51,26 +51,24 @@ def enrich_from_catalog(
 
     Adds manufacturer, shopify.media ('{code}_{i}.jpg' per image) and an empty distributors_or_retailers.
     catalog: upc, product_url, product_name, brand, description, ingredients, image_urls. Without catalog_order
-    its codes must be unique already.
+    its codes must be unique already. Records are built on the catalog side, once per code, not per input row.
     """
     coded = catalog.withColumn("__upc", upc_digits(F.col("upc"))).filter("__upc != ''")
     if catalog_order is not None:
         coded = last_wins(coded, ["__upc"], catalog_order)
-    side = coded.select("__upc", F.struct(*catalog.columns).alias("__c"))
+    side = coded.select("__upc", manufacturer_record(homepage).alias("manufacturer"))
     code = effective_upc(*[F.col(c) for c in upc_columns])
     # blank codes never match: null keys are not worth a lookup
-    keyed = inputs.withColumn("__upc", F.when(code != "", code))
-    joined = keyed.join(side, "__upc", "left")
-    hit = F.col("__c").isNotNull()
-    media = F.transform(
+    joined = inputs.withColumn("__upc", F.when(code != "", code)).join(side, "__upc", "left")
+    names = F.transform(
         F.col("manufacturer.media"),
         lambda _, i: F.concat(F.coalesce(F.col("__upc"), F.lit("")), F.lit("_"), (i + 1).cast("string"), F.lit(".jpg")),
     )
     return (
-        joined.withColumn("manufacturer", manufacturer_struct(hit, homepage))
-        .withColumn("shopify", F.struct(media.alias("media")))
+        joined.withColumn("manufacturer", F.coalesce("manufacturer", manufacturer_record(homepage, known=False)))
+        .withColumn("shopify", F.struct(names.alias("media")))
         .withColumn("distributors_or_retailers", F.array().cast("array<string>"))
-        .drop("__upc", "__c")
+        .drop("__upc")
     )
 
 

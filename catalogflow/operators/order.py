@@ -65,6 +65,8 @@ def _bounds(df: DataFrame, keys: list[str], buckets: int, rows: int) -> list:
     step = max(1, rows // wanted)
     sample = df.select(*keys).filter(F.pmod(F.xxhash64(*keys), F.lit(step)) == 0)
     ordered = sample.orderBy(*keys).limit(wanted * 4).collect()
+    if not ordered:  # a sample of some 16 keys per bucket came out empty: any keys are valid bounds
+        ordered = df.select(*keys).orderBy(*keys).limit(wanted).collect()
     gap = max(1, len(ordered) // buckets)
     return ordered[gap::gap][: buckets - 1]
 

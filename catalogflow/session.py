@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_written: list[str] = []
+
+
 def build_session(app: str = "catalogflow", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the operators assume (UTC, AQE with skew handling)."""
     builder = SparkSession.builder.appName(app)
@@ -50,12 +53,20 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     path = new_shared_path(df.sparkSession, "table")
     df.write.parquet(path)
+    _written.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 _COSTLY = ("Join", "Aggregate", "Window", "Generate", "MapInPandas", "Union")
 
 
+def release(spark: SparkSession) -> None:
+    """Delete the tables this process materialized; call it when their results have been written."""
+    while _written:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def reusable(df: DataFrame) -> DataFrame:
     """The frame itself when it is a scan with filters and columns, else its materialized form."""
     plan = df._jdf.queryExecution().optimizedPlan().toString()

@@ -26,12 +26,23 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def _broken() -> Column:
+    return (F.trim("line") != "") & F.try_parse_json(F.regexp_replace("line", _NAN, "null")).isNull()
+
+
 def bad_lines(spark: SparkSession, path: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
-    """(file, line_no, line) of the NDJSON lines that are no JSON."""
+    """(file, line_no, line) of the NDJSON lines that are no JSON: the reject table of a lenient read."""
     numbered = group_position(_lines(spark, path), ["file"], ["pos"], "line_no", rows_per_bucket)
-    fixed = F.regexp_replace("line", _NAN, "null")
-    broken = (F.trim("line") != "") & F.try_parse_json(fixed).isNull()
-    return numbered.filter(broken).select("file", "line_no", "line")
+    return numbered.filter(_broken()).select("file", "line_no", "line")
+
+
+def _fail_on_bad_line(spark: SparkSession, path: str) -> None:
+    """One pass that keeps a single row; the line number is counted only when there is a bad line."""
+    lines = _lines(spark, path)
+    first = lines.filter(_broken()).agg(F.min(F.struct("file", "pos")).alias("at")).first()["at"]
+    if first:
+        number = lines.filter((F.col("file") == first["file"]) & (F.col("pos") <= first["pos"])).count()
+        raise ValueError(f"{first['file']}: bad JSON on line {number}")
 
 
 def read_records(
@@ -54,9 +65,7 @@ def read_records(
         kind = kind if kind.startswith("struct<") else T.StructType.fromDDL(kind).simpleString()
         return text.select(F.explode(F.from_json(value, f"array<{kind}>")).alias("r")).select("r.*")
     if strict:
-        first = bad_lines(spark, path).orderBy("file", "line_no").limit(1).collect()
-        if first:
-            raise ValueError(f"{first[0]['file']}: bad JSON on line {first[0]['line_no']}")
+        _fail_on_bad_line(spark, path)
     lines = _lines(spark, path).filter(F.trim("line") != "")
     value = F.regexp_replace("line", _NAN, "null") if fix_nan else F.col("line")
     parsed = lines.select(F.from_json(value, schema).alias("r"), value.alias("v"))

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions.codes import upc_digits
 from ..operators.aggregate import last_wins
 from ..operators.lookup import enrich_from_catalog
 from ..operators.order import Running, running_values
+from ..session import materialize
 
 
 def file_stream(spark: SparkSession, path: str, schema, name: str | None = None, files_per_trigger: int | None = None) -> DataFrame:
@@ -25,8 +27,13 @@ def file_stream(spark: SparkSession, path: str, schema, name: str | None = None,
 def enrich_stream(
     inputs: DataFrame, catalog: DataFrame, upc_columns: list[str], catalog_order: list[str], homepage: str = ""
 ) -> DataFrame:
-    """Catalog enrichment of a stream: a stream-static left join, no state to keep."""
-    return enrich_from_catalog(inputs, catalog, upc_columns, catalog_order, homepage)
+    """Catalog enrichment of a stream: a stream-static left join, no state to keep.
+
+    The catalog is deduped once and stored, not again in every micro-batch.
+    """
+    coded = catalog.withColumn("upc", upc_digits(F.col("upc"))).filter("upc != ''")
+    unique = materialize(last_wins(coded, ["upc"], catalog_order))
+    return enrich_from_catalog(inputs, unique, upc_columns, None, homepage)
 
 
 def drain(stream: DataFrame, target: str, checkpoint: str) -> None:
@@ -72,14 +79,14 @@ def upsert_stream(
     Each micro-batch writes only its own folder, named by the batch id, so a replayed batch replaces itself and a
     batch costs its own size. `read_upserted` gives the current table.
     """
-    schema = stream.schema
+    stored = T.StructType([*stream.schema.fields, T.StructField("batch", T.LongType())])
     _make_folder(stream.sparkSession, target)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         rows = last_wins(batch, key, order)
         if mode == "skip":
-            done = committed(spark, target, batch_id, schema.add("batch", "bigint") if "batch" not in schema.names else schema)
+            done = committed(spark, target, batch_id, stored)
             rows = rows.join(done.select(*key), key, "left_anti")
         rows.write.mode("overwrite").parquet(_batch_path(target, batch_id))
 
