@@ -6,6 +6,8 @@ partial aggregation. Only `nearest_title` compares two whole title lists, throug
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -80,12 +82,17 @@ def match_keywords(
 
 def query_attributes(queries: DataFrame) -> DataFrame:
     """Attributes of the asked name, once per row. query_text is the name, query its normal form."""
+
+    def own_or_alternate(attribute: Callable[[Column], Column]) -> Column:
+        own = attribute(F.col("query_text"))
+        return F.when(F.size(own) > 0, own).otherwise(attribute(F.col("alt_text")))
+
     return queries.withColumns(
         {
             "q_words": F.filter(F.split("query", " "), lambda w: w != ""),
             "q_taxonomy": taxonomy(F.col("query_text")),
-            "q_flavors": flavors(F.col("query_text")),
-            "q_lines": product_lines(F.col("query_text")),
+            "q_flavors": own_or_alternate(flavors),
+            "q_lines": own_or_alternate(product_lines),
             "q_forms": forms(F.col("query")),
             "q_sizes": extract_sizes(F.col("query_text")),
         }
@@ -149,10 +156,14 @@ def url_slug(c: Column) -> Column:
 def match_attributes(inputs: DataFrame, candidates: DataFrame, cap: int | None = 10) -> DataFrame:
     """Best candidate per row by gated token score: (input_id, url, score). Rows without one are absent.
 
-    inputs: input_id, name. candidates: input_id, pos, url, title, page_text, page_taxonomy. `cap` as in the search.
+    inputs: input_id, name and, if there is one, alt_name, whose flavors and lines count where the name has none.
+    candidates: input_id, pos, url, title, page_text, page_taxonomy. `cap` as in the search.
     """
     listed = candidates.filter(F.col("pos") <= cap) if cap else candidates
-    queries = inputs.select("input_id", F.col("name").alias("query_text"), normalize_name(F.col("name")).alias("query"))
+    alternate = F.col("alt_name") if "alt_name" in inputs.columns else F.lit("")
+    queries = inputs.select(
+        "input_id", F.col("name").alias("query_text"), normalize_name(F.col("name")).alias("query"), alternate.alias("alt_text")
+    )
     scored = attribute_score(title_attributes(listed).join(query_attributes(queries), "input_id"))
     best = scored.groupBy("input_id").agg(_best(F.col("url"), F.col("score"), F.col("pos"), F.lit(True)).alias("b"))
     return best.select("input_id", "b.url", "b.score")
@@ -286,30 +297,36 @@ def _letters_rare_first(text: Column) -> Column:
     return F.transform(F.array_sort(tokens), lambda t: t["token"])
 
 
+def _lettered(df: DataFrame, text: str) -> DataFrame:
+    return df.withColumn(f"{text}_letters", _letters_rare_first(F.col(text)))
+
+
 def title_pairs(queries: DataFrame, titles: DataFrame, ratio: float) -> DataFrame:
     """Every (q, t) pair whose letters allow a ratio of at least `ratio`; no such pair is lost.
 
     LCS <= shared letters, so a pair needs ratio/2 * (len q + len t) letters in common. Two token sets with that
     overlap meet inside their rarest len - ceil(ratio / (2 - ratio) * len) + 1 tokens, which makes it an equi join.
     """
+    pairs = _letter_pairs(_lettered(queries, "q"), _lettered(titles, "t"), ratio)
+    return pairs.select(*queries.columns, *titles.columns)
+
 
-    def prefixed(df: DataFrame, text: str, name: str) -> DataFrame:
-        letters = df.withColumn(f"{name}_letters", _letters_rare_first(F.col(text)))
+def _letter_pairs(queries: DataFrame, titles: DataFrame, ratio: float) -> DataFrame:
+    def prefixed(df: DataFrame, name: str) -> DataFrame:
         length = F.size(f"{name}_letters")
         needed = F.ceil(length * F.lit(ratio / (2 - ratio)) - F.lit(1e-9))
         prefix = F.slice(f"{name}_letters", F.lit(1), (length - needed + 1).cast("int"))
-        return letters.withColumn(f"{name}_prefix", prefix).filter(length > 0)
+        return df.filter(length > 0).withColumn(f"{name}_prefix", prefix).withColumn("token", F.explode(f"{name}_prefix"))
 
-    left = prefixed(queries, "q", "q").withColumn("token", F.explode("q_prefix"))
-    right = prefixed(titles, "t", "t").withColumn("token", F.explode("t_prefix"))
-    pairs = left.join(right, "token")
+    pairs = prefixed(queries, "q").join(prefixed(titles, "t"), "token")
     q_len, t_len = F.size("q_letters"), F.size("t_letters")
     needed = F.lit(ratio / 2) * (q_len + t_len) - F.lit(1e-9)
     return pairs.filter(
         (F.least(q_len, t_len) >= needed)
+        # a pair meets on every shared prefix token; keep the meeting on the rarest
         & (F.get(F.array_intersect("q_prefix", "t_prefix"), F.lit(0)) == F.col("token"))
         & (F.size(F.array_intersect("q_letters", "t_letters")) >= needed)
-    ).select(*queries.columns, *titles.columns)
+    )
 
 
 def nearest_title(
@@ -323,23 +340,23 @@ def nearest_title(
     """
     names = inputs.select(F.col(title).alias("title")).filter(F.col("title").isNotNull()).distinct()
     keyed = materialize(names.withColumn("q", sorted_words(F.col("title"))))
-    queries = keyed.select("q").distinct()
     side = index.select(sorted_words(F.col(index_title)).alias("t"), F.col(index_title).alias("matched_title"), F.col(index_order).alias("__ord"))
-    titles = materialize(side.groupBy("t").agg(F.min_by("matched_title", "__ord").alias("matched_title"), F.min("__ord").alias("__ord")))
-    same = queries.join(titles, queries["q"] == titles["t"]).select("q", "matched_title", F.lit(100.0).alias("score"))
-    done, still = same, materialize(queries.join(titles, queries["q"] == titles["t"], "left_anti"))
+    first = side.groupBy("t").agg(F.min_by("matched_title", "__ord").alias("matched_title"), F.min("__ord").alias("__ord"))
+    titles = materialize(_lettered(first, "t"))
+    queries = keyed.select("q").distinct()
+    done = queries.join(titles.withColumnRenamed("t", "q"), "q").select("q", "matched_title", F.lit(100.0).alias("score"))
+    still = queries.join(titles.select(F.col("t").alias("q")), "q", "left_anti")
+    still = materialize(_lettered(still, "q"))
     for rung in [*[r for r in ladder if r > threshold], threshold]:
-        scored = title_pairs(still, titles, rung / 100).withColumn("score", sorted_ratio("q", "t"))
-        best = (
+        if still.isEmpty():
+            break
+        scored = _letter_pairs(still, titles, rung / 100).withColumn("score", sorted_ratio("q", "t"))
+        best = materialize(
             scored.filter(F.col("score") >= rung)
             .groupBy("q")
             .agg(F.max_by(F.struct("matched_title", "score"), F.struct("score", -F.col("__ord"))).alias("b"))
             .select("q", "b.matched_title", "b.score")
         )
-        best = materialize(best)
         done = done.unionByName(best)
         still = still.join(best, "q", "left_anti")
-        if still.isEmpty():
-            break
     return keyed.join(done, "q").select("title", "matched_title", "score")
-

@@ -53,6 +53,29 @@ def extract_pages(pages: DataFrame, rules: dict[str, dict], site: Column, html:
     return tagged.withColumns(out).drop("__site", html)
 
 
+def nutrition_text(analysis: Column, calories: Column) -> Column:
+    """Analysis and caloric content as lines of one text."""
+    labelled = F.when(~blank_text(calories), F.concat(F.lit("Caloric Content: "), calories))
+    return F.concat_ws("\n", F.when(~blank_text(analysis), analysis), labelled)
+
+
+def spaced_list(c: Column) -> Column:
+    """A blank after every comma that has none."""
+    return F.regexp_replace(c, r",(?=\S)", ", ")
+
+
+def size_info(c: Column) -> Column:
+    return F.regexp_replace(F.regexp_replace(strip(c), r"\.$", ""), r"(?U)\s+", " ")
+
+
+def media_addresses(html: Column, address: Column, suffix: str) -> Column:
+    """Addresses of the media ids in data-media lists ('key:id;key:id'), first-seen order."""
+    lists = F.regexp_extract_all(html, F.lit(r'(?is)data-media="([^"]+)"'), F.lit(1))
+    parts = F.flatten(F.transform(lists, lambda v: F.split(v, ";")))
+    ids = dedupe_urls(F.transform(parts, lambda p: strip(F.regexp_replace(p, r"(?s)^[^:]*:", ""))))
+    return F.transform(ids, lambda i: F.concat(address, i, F.lit(suffix)))
+
+
 def halved(title: Column) -> Column:
     """A title longer than 30 characters that is its own half twice is halved."""
     half = F.floor(F.length(title) / 2).cast("int")

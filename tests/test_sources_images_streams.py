@@ -126,6 +126,15 @@ def test_dom_positions(spark):
     assert got[7] == ("p", "end", [])
 
 
+def test_page_details(value):
+    assert value(pages.nutrition_text(F.lit("Protein 3%"), F.lit("300 kcal"))) == "Protein 3%\nCaloric Content: 300 kcal"
+    assert value(pages.nutrition_text(F.lit(""), F.lit(""))) == ""
+    assert value(pages.spaced_list(F.lit("a,b, c"))) == "a, b, c"
+    assert value(pages.size_info(F.lit(" 5 lb,  10 lb. "))) == "5 lb, 10 lb"
+    html = '<i data-media="a:G1; b:G2 ;G3"></i><i data-media="c:G1"></i>'
+    assert value(pages.media_addresses(F.lit(html), F.lit("https://c/"), "_m")) == ["https://c/G1_m", "https://c/G2_m", "https://c/G3_m"]
+
+
 def test_title_rules(value):
     twice = "Omega Match Oil Supplement" * 2
     assert value(pages.halved(F.lit(twice))) == "Omega Match Oil Supplement"
