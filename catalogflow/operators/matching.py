@@ -18,6 +18,7 @@ from ..functions.text import keyword_set, word_tokens
 from ..functions.urls import strip_query
 from ..functions.values import let, strip
 from ..session import materialize
+from .skew import skew_join
 
 
 def keyword_score(candidate: Column, query: Column) -> Column:
@@ -52,7 +53,7 @@ def match_keywords(
     )
     listed = candidates.filter(F.col("pos") <= cap) if cap else candidates
     named = listed.withColumns({"low": F.lower("name"), "words": keyword_set(F.col("name"))})
-    pairs = named.join(queries, "input_id")
+    pairs = skew_join(named, queries, ["input_id"])
     by_description, by_title, second = [F.col("source") == s for s in ("by_description", "by_title", "second")]
     has_query = F.col("q") != ""
     contained = by_description & has_query & (F.col("low").contains(F.col("q")) | F.col("q").contains(F.col("low")))
@@ -164,7 +165,7 @@ def match_attributes(inputs: DataFrame, candidates: DataFrame, cap: int | None =
     queries = inputs.select(
         "input_id", F.col("name").alias("query_text"), normalize_name(F.col("name")).alias("query"), alternate.alias("alt_text")
     )
-    scored = attribute_score(title_attributes(listed).join(query_attributes(queries), "input_id"))
+    scored = attribute_score(skew_join(title_attributes(listed), query_attributes(queries), ["input_id"]))
     best = scored.groupBy("input_id").agg(_best(F.col("url"), F.col("score"), F.col("pos"), F.lit(True)).alias("b"))
     return best.select("input_id", "b.url", "b.score")
 
@@ -181,7 +182,7 @@ def rank_titles(inputs: DataFrame, candidates: DataFrame) -> DataFrame:
 
     inputs: input_id, query. candidates: input_id, pos, name, url.
     """
-    pairs = candidates.join(inputs.select("input_id", "query"), "input_id")
+    pairs = skew_join(candidates, inputs.select("input_id", "query"), ["input_id"])
     scored = pairs.withColumn("score", title_score(F.col("name"), F.col("query")))
     best = scored.groupBy("input_id").agg(_best(F.col("url"), F.col("score"), F.col("pos"), F.lit(True)).alias("b"))
     return best.select("input_id", "b.url", "b.score")
@@ -209,7 +210,7 @@ def match_style(references: DataFrame, labels: DataFrame, key: list[str]) -> Dat
 
     references: key, reference. labels: key, pos, label.
     """
-    scored = labels.join(references.select(*key, "reference"), key).withColumn(
+    scored = skew_join(labels, references.select(*key, "reference"), key).withColumn(
         "score", style_score(F.col("label"), F.col("reference"))
     )
     best = scored.groupBy(*key).agg(_best(F.col("label"), F.col("score"), F.col("pos"), F.lit(True)).alias("b"))
@@ -221,7 +222,7 @@ def match_option(chosen: DataFrame, options: DataFrame, key: list[str]) -> DataF
 
     chosen: key, label. options: key, pos, option_id, option_label.
     """
-    pairs = options.join(chosen.select(*key, _style_text(F.col("label")).alias("__want")), key)
+    pairs = skew_join(options, chosen.select(*key, _style_text(F.col("label")).alias("__want")), key)
     low = F.lower("option_label")
     score = (
         F.when(low == F.col("__want"), F.lit(1000))
@@ -237,7 +238,7 @@ def match_child(chosen: DataFrame, labels: DataFrame, key: list[str]) -> DataFra
 
     chosen: key, label, tokens. labels: key, child, child_pos, label (one row per child label).
     """
-    joined = labels.withColumnRenamed("label", "__have").join(chosen.select(*key, "label", "tokens"), key)
+    joined = skew_join(labels.withColumnRenamed("label", "__have"), chosen.select(*key, "label", "tokens"), key)
     want = F.array_union(word_tokens(F.col("label")), F.col("tokens"))
     words = joined.withColumns(
         {"__exact": (F.lower("__have") == F.lower("label")).cast("int"), "__hits": F.array_intersect(word_tokens(F.col("__have")), want)}

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import reusable
 
-ROWS_PER_BUCKET = 1_000_000
+ROWS_PER_BUCKET = 250_000
 MAX_BUCKETS = 4096
 _SAMPLED_KEYS_PER_BUCKET = 16
 _BUCKET = "__bucket"

@@ -344,6 +344,20 @@ def test_second_source(spark):
     assert out[2]["documents"] == ["c"] and [(i["position"], i["src"], i["alt"]) for i in out[2]["images"]] == [(1, "g1", "U"), (2, "g2", "U")]
 
 
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_skew_join_equals_join(spark, how):
+    from catalogflow.operators.skew import skew_join
+
+    rows, df = skewed(spark)
+    df = df.unionByName(spark.createDataFrame([(None, 1000 + i, 0) for i in range(30)], df.schema))
+    small = spark.createDataFrame([("hot", 1), ("hot", 2), ("g1", 3), ("none", 4)], "g string, w int")
+    even = skew_join(df, small, ["g"], how, rows_per_part=20)
+    assert sorted(map(tuple, even.select("g", "o", "v", "w").collect()), key=str) == sorted(
+        map(tuple, df.join(small, "g", how).select("g", "o", "v", "w").collect()), key=str
+    )
+    assert "__salt" in even._jdf.queryExecution().analyzed().toString()
+
+
 def test_native_operators_have_no_python_node(spark):
     rows, df = skewed(spark)
     for out in (order.group_position(df, ["g"], ["o"], rows_per_bucket=9), aggregate.last_wins(df, ["g"], ["o"])):
