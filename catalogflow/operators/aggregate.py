@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.values import blank_text
+from ..functions.values import blank_array, blank_text
 from .order import ROWS_PER_BUCKET, Running, group_position, nest, running_values
 
 
@@ -134,6 +134,16 @@ def missing_report(variants: DataFrame, product: str, missing: str = "missing")
     )
 
 
+def product_gaps(products: DataFrame, images: str, description: str) -> DataFrame:
+    """One row: products, products without images, products without description."""
+    no_text = blank_text(F.regexp_replace(F.coalesce(description, F.lit("")), r"(?U)^\s+|\s+$", ""))
+    return products.agg(
+        F.count(F.lit(1)).alias("products"),
+        F.count_if(blank_array(F.col(images))).alias("without_images"),
+        F.count_if(no_text).alias("without_description"),
+    )
+
+
 def run_summary(outcomes: DataFrame, status: str, reason: str) -> DataFrame:
     """Rows per status and reason with subtotals and the total."""
     return outcomes.rollup(status, reason).agg(F.count(F.lit(1)).alias("n"), F.grouping_id().cast("int").alias("level"))

@@ -12,7 +12,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from ..functions.codes import portal_price
 from ..functions.text import text_only
+from ..functions.urls import any_part
 from ..functions.values import blank_text
 
 # Elements without an end tag.
@@ -147,6 +149,26 @@ def tab_list(nodes: DataFrame, page: str, label: str) -> DataFrame:
     return items.select(page, "node", node_text().alias("text")).filter(~blank_text(F.col("text")))
 
 
+def tab_section(nodes: DataFrame, page: str, words: list[str], target: str) -> DataFrame:
+    """Block of the tab section that names one of the words: (page, html), the last such section wins.
+
+    The block is the section's first target element, without its attributes.
+    """
+    tabs = nodes.filter((F.col("tag") == "div") & class_part("tab"))
+    container = tabs.groupBy(page).agg(F.min("node").alias("node"))
+    sections = within(nodes.filter(F.col("tag").isin("div", "section")), container, page).drop("root")
+    named = sections.filter(any_part(F.lower(node_text()), words)).select(page, "node")
+    blocks = first_within(nodes.filter(F.col("tag") == target), named, page).select(page, "node", "inner").distinct()
+    last = blocks.groupBy(page).agg(F.max_by("inner", "node").alias("inner"))
+    return last.select(page, F.concat(F.lit(f"<{target}>"), "inner", F.lit(f"</{target}>")).alias("html"))
+
+
+def priced_element(nodes: DataFrame, page: str, part: str) -> DataFrame:
+    """Price of the first element of a class: its data-rate attribute, else its text: (page, price)."""
+    spots = nodes.filter(class_part(part)).withColumn("price", portal_price(F.col("attrs")["data-rate"], node_text()))
+    return spots.groupBy(page).agg(F.min_by("price", "node").alias("price"))
+
+
 def accordion_links(nodes: DataFrame, page: str, heading: str) -> DataFrame:
     """Links in the accordion item whose title contains the heading: (page, node, href, text)."""
     accordion = nodes.filter((F.col("tag") == "ul") & class_part("accordion"))

@@ -355,6 +355,27 @@ def fallback_route(status: Column, n_images: Column, has_good_image: Column) ->
     return F.struct(route.alias("route"), reason.alias("reason"))
 
 
+def fallback_parsed(rows: DataFrame, best: DataFrame, key: str, vendor: str) -> DataFrame:
+    """Page record of the rows routed to the fallback, made of their lookup fields and their best image.
+
+    rows: key, description_1, upcitemdb_description. best: key, url. Output has the fields of a parsed page.
+    """
+    none = F.lit(None).cast("string")
+    return rows.join(best.select(key, "url"), key).select(
+        key,
+        F.coalesce("description_1", F.lit("")).alias("title"),
+        F.lit(vendor).alias("brand_hint"),
+        F.coalesce("upcitemdb_description", F.lit("")).alias("description"),
+        F.array("url").alias("gallery_images"),
+        none.alias("features_benefits"),
+        none.alias("nutrients"),
+        none.alias("feeding_directions"),
+        none.alias("documents"),
+        none.alias("model_number"),
+        F.lit("lookup").alias("site_source"),
+    )
+
+
 def dedupe_across_sources(first: DataFrame, second: DataFrame, key: list[str]) -> DataFrame:
     """Matches of the first source plus those of the second for rows the first left open."""
     rest = second.join(first.select(*key), key, "left_anti")

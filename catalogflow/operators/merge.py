@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.values import blank_text
-from ..session import materialize
+from ..session import materialize, reusable
 from .aggregate import last_wins
 from .order import ROWS_PER_BUCKET, group_position
 
@@ -145,6 +145,8 @@ def merge_variants(
     color that no other row claims (new before old); unclaimed new variants come last.
     """
     key = [product, "color", "unit"]
+    # each is read several times below
+    inputs, existing, generated = reusable(inputs), reusable(existing), reusable(generated)
     old = last_wins(existing, key, ["ord"]).select(*key, F.col("sku").alias("old_sku"))
     new = last_wins(generated, key, ["ord"]).select(*key, F.col("sku").alias("new_sku"), F.col("ord").alias("new_ord"))
     with_unit = inputs.filter(F.col("unit").isNotNull() & ~blank_text(F.col("color")))

@@ -113,6 +113,18 @@ def d6(t):
     return A.missing_report(variants, "product")
 
 
+@query(
+    "D6_product_gaps",
+    """SELECT count(*) AS products, count(*) FILTER (p_size > 40) AS without_images, count(*) FILTER (p_type = 'PROMO') AS without_description FROM part""",
+)
+def d6_products(t):
+    none = F.array().cast("array<string>")
+    rows = t.part.select(
+        F.when(F.col("p_size") > 40, none).otherwise(F.array("p_name")).alias("images"), F.when(F.col("p_type") == "PROMO", " \n").otherwise("d").alias("description")
+    )
+    return A.product_gaps(rows, "images", "description")
+
+
 @query(
     "D7_run_summary",
     """WITH o AS (SELECT CASE event_type WHEN 'error' THEN 'failed' WHEN 'signup' THEN 'skipped' ELSE 'ok' END AS status,

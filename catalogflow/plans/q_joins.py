@@ -403,6 +403,20 @@ def c23(t):
     return t.events.select("event_id", route.alias("r")).select("event_id", "r.route", "r.reason")
 
 
+@query(
+    "C23_fallback_parsed",
+    """SELECT o_orderkey, 'Item ' || o_orderkey AS title, coalesce(nullif(o_orderstatus, 'P'), '') AS description, '/i/' || o_custkey AS images FROM orders WHERE o_orderpriority LIKE '1%'""",
+)
+def c23_parsed(t):
+    rows = t.orders.select(
+        "o_orderkey", F.concat(F.lit("Item "), text("o_orderkey")).alias("description_1"),
+        F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")).alias("upcitemdb_description"),
+    )
+    best = t.orders.filter("o_orderpriority like '1%'").select("o_orderkey", F.concat(F.lit("/i/"), text("o_custkey")).alias("url"))
+    parsed = L.fallback_parsed(rows, best, "o_orderkey", "Maker")
+    return parsed.select("o_orderkey", "title", "description", F.array_join("gallery_images", " ").alias("images"))
+
+
 @query(
     "C24_dedupe_across_sources",
     """SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 'shop' ELSE 'www' END AS site, CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 2 END AS source_rank

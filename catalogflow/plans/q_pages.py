@@ -88,7 +88,9 @@ def tree_html(t):
         F.lit('<div class="accordion-content"><p><a href="/getmedia/'), key, F.lit('"></a><a href="/'), key, F.lit('.PDF">Sheet</a><a href="/no">n</a></p></div></li></ul>'),
         F.lit("<h3>Care</h3><p>wash</p><h3>Materials</h3><div><p>made of "), brand, F.lit('</p></div><h4>Features</h4><ol><li>Big '), name,
         F.lit('</li></ol><span id="lblB">'), name, F.lit('</span><span id="lblA"> </span><div class="swatch-attribute style"><i class="swatch-option" data-option-label="'),
-        brand, F.lit('"></i><i class="swatch-option">'), name, F.lit("</i></div></body></html>"),
+        brand, F.lit('"></i><i class="swatch-option">'), name, F.lit('</i></div><div class="product-tabs"><section>Feeding directions<ul id="x"><li>'), key,
+        F.lit('</li></ul></section><section>Guaranteed Analysis<table class="t"><tr><td>'), name, F.lit('</td></tr></table></section></div><span class="price-lead" data-rate="'),
+        text("p_size"), F.lit('">x</span></body></html>'),
     )
     return t.part.select("p_partkey", html.alias("html"))
 
@@ -98,7 +100,9 @@ def tree_html(t):
     """SELECT p_partkey, 'tab' AS rule, p_name AS value FROM part UNION ALL SELECT p_partkey, 'tab', 'Fits ' || p_brand FROM part
     UNION ALL SELECT p_partkey, 'document', 'Document|/getmedia/' || p_partkey FROM part UNION ALL SELECT p_partkey, 'pdf', 'Sheet|/' || p_partkey || '.PDF' FROM part
     UNION ALL SELECT p_partkey, 'material', 'made of ' || p_brand FROM part UNION ALL SELECT p_partkey, 'list', 'Big ' || p_name FROM part
-    UNION ALL SELECT p_partkey, 'label', p_name FROM part UNION ALL SELECT p_partkey, 'swatch', p_brand FROM part UNION ALL SELECT p_partkey, 'swatch', p_name FROM part""",
+    UNION ALL SELECT p_partkey, 'label', p_name FROM part UNION ALL SELECT p_partkey, 'swatch', p_brand FROM part UNION ALL SELECT p_partkey, 'swatch', p_name FROM part
+    UNION ALL SELECT p_partkey, 'directions', '<ul><li>' || p_partkey || '</li></ul>' FROM part UNION ALL SELECT p_partkey, 'price', '$' || p_size || '.00' FROM part
+    UNION ALL SELECT p_partkey, 'analysis', '<table><tr><td>' || p_name || '</td></tr></table>' FROM part""",
 )
 def i5_selectors(t):
     from ..session import materialize
@@ -113,6 +117,9 @@ def i5_selectors(t):
         D.list_after_heading(nodes, k, "features").select(k, F.lit("list"), "text"),
         D.text_by_id(nodes, k, ["lblA", "lblB"]).select(k, F.lit("label"), "text"),
         D.swatch_labels_of_page(nodes, k).select(k, F.lit("swatch"), "label"),
+        D.tab_section(nodes, k, ["feeding direction", "directions for use"], "ul").select(k, F.lit("directions"), "html"),
+        D.tab_section(nodes, k, ["guaranteed analysis", "nutrient"], "table").select(k, F.lit("analysis"), "html"),
+        D.priced_element(nodes, k, "price-lead").select(k, F.lit("price"), "price"),
     ]
     out = parts[0]
     for part in parts[1:]:

@@ -10,7 +10,7 @@ from ..functions.text import canonical_key, slugify
 from ..functions.values import blank_text
 from ..operators.aggregate import last_wins
 from ..session import materialize
-from ..operators.order import ROWS_PER_BUCKET, group_position, nest, split_batches
+from ..operators.order import ROWS_PER_BUCKET, allocate_skus, group_position, mark_used, nest, split_batches
 
 # A bare NaN token, not one inside quotes.
 _NAN = r'(?<!")\bNaN\b(?!")'
@@ -186,6 +186,19 @@ def read_version(spark: SparkSession, path: str) -> DataFrame | None:
     return spark.read.parquet(found) if found else None
 
 
+def commit_skus(
+    df: DataFrame, path: str, order: list[str], start: int, rows_per_bucket: int = ROWS_PER_BUCKET
+) -> DataFrame:
+    """New stock numbers for the rows, recorded in the registry at `path` by one commit per batch of rows."""
+    spark = df.sparkSession
+    registry = read_version(spark, path)
+    if registry is None:
+        registry = spark.createDataFrame([], "sku string")
+    numbered = materialize(allocate_skus(df, registry, order, start, rows_per_bucket))
+    write_version(mark_used(registry, numbered), path)
+    return numbered
+
+
 def write_batches(df: DataFrame, path: str, size: int, order: list[str]) -> None:
     """Batches as folders batch=NNN of NDJSON."""
     labelled = split_batches(df, size, order).drop("batch").withColumnRenamed("batch_label", "batch")

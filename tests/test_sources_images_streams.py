@@ -53,6 +53,15 @@ def test_versions_replace_a_table_in_use(spark, tmp_path):
     assert records.read_version(spark, path).count() == 2
 
 
+def test_sku_registry_persists(spark, tmp_path):
+    path = str(tmp_path / "skus")
+    first = records.commit_skus(spark.range(3), path, ["id"], 50000)
+    second = records.commit_skus(spark.range(2), path, ["id"], 50000)
+    numbers = lambda df: [r["sku"] for r in df.orderBy("id").collect()]
+    assert numbers(first) == ["50000", "50001", "50002"] and numbers(second) == ["50003", "50004"]
+    assert records.read_version(spark, path).count() == 5
+
+
 def test_catalog_forms(spark, tmp_path):
     (tmp_path / "a.json").write_text('{" 1 ": " /a ", "2": "", "3": "/c"}')
     (tmp_path / "b.json").write_text('[{"upc": "3", "url": "/later"}, {"upc": "", "url": "/x"}]')
@@ -136,8 +145,8 @@ def test_page_details(value):
 
 
 def test_title_rules(value):
-    twice = "Omega Match Oil Supplement" * 2
-    assert value(pages.halved(F.lit(twice))) == "Omega Match Oil Supplement"
+    twice = "Golden Meadow Oil Supplement" * 2
+    assert value(pages.halved(F.lit(twice))) == "Golden Meadow Oil Supplement"
     assert value(pages.halved(F.lit("abab"))) == "abab"
     assert value(pages.brand_of_title(F.lit("Maker® Feed"), "X")) == "Maker"
 
