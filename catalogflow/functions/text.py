@@ -44,7 +44,7 @@ def unescape_entities(c: Column) -> Column:
 def text_only(c: Column) -> Column:
     """Text of an HTML fragment: line breaks kept, tags dropped, entities resolved."""
     bare = F.regexp_replace(F.regexp_replace(c, _BREAK, "\n"), _TAG, "")
-    return F.coalesce(strip(unescape_entities(bare)), F.lit(""))
+    return F.coalesce(strip(let(bare, unescape_entities)), F.lit(""))
 
 
 def plain_text(c: Column) -> Column:
@@ -91,10 +91,12 @@ def bullet_points(c: Column) -> Column:
 
 
 def fix_description(c: Column) -> Column:
-    out = strip(F.regexp_replace(c, r"(?U)\s*\.\.\s*", ". "))
-    words = F.size(F.filter(F.split(out, r"(?U)\s+"), lambda w: w != ""))
-    closed = F.when(~out.endswith(".") & (words > 8), F.concat(out, F.lit("."))).otherwise(out)
-    return F.coalesce(closed, F.lit(""))
+
+    def close(text: Column) -> Column:
+        words = F.size(F.filter(F.split(text, r"(?U)\s+"), lambda w: w != ""))
+        return F.when(~text.endswith(".") & (words > 8), F.concat(text, F.lit("."))).otherwise(text)
+
+    return F.coalesce(let(strip(F.regexp_replace(c, r"(?U)\s*\.\.\s*", ". ")), close), F.lit(""))
 
 
 def _latin_folding() -> tuple[str, str, str]:

@@ -24,24 +24,29 @@ def manufacturer_record(homepage: str, known: bool = True) -> Column:
     def filled(value: Column) -> Column:
         return F.coalesce(value, empty) if known else empty
 
-    name, raw = text_only(F.col("product_name")), text_only(F.col("description"))
-    media = dedupe_urls(F.transform(F.coalesce("image_urls", none), https_url))
-    return F.struct(
-        filled(F.trim(F.col("product_url"))).alias("product_url"),
-        F.lit(homepage).alias("homepage"),
-        filled(name).alias("name"),
-        filled(text_only(F.col("brand"))).alias("brand"),
-        filled(name).alias("product_name"),
-        filled(fix_description(raw)).alias("description"),
-        (bullet_points(raw) if known else none).alias("benefits_text"),
-        filled(text_only(F.col("ingredients"))).alias("ingredients_text"),
-        F.create_map().cast("map<string,string>").alias("nutrition_text"),
-        empty.alias("directions_for_use"),
-        (media if known else none).alias("media"),
-        none.alias("source_urls"),
-        empty.alias("platform_guess"),
-        none.alias("ui_cues"),
-    )
+    def record(name: Column, raw: Column) -> Column:
+        media = dedupe_urls(F.transform(F.coalesce("image_urls", none), https_url))
+        return F.struct(
+            filled(F.trim(F.col("product_url"))).alias("product_url"),
+            F.lit(homepage).alias("homepage"),
+            filled(name).alias("name"),
+            filled(text_only(F.col("brand"))).alias("brand"),
+            filled(name).alias("product_name"),
+            filled(fix_description(raw)).alias("description"),
+            (bullet_points(raw) if known else none).alias("benefits_text"),
+            filled(text_only(F.col("ingredients"))).alias("ingredients_text"),
+            F.create_map().cast("map<string,string>").alias("nutrition_text"),
+            empty.alias("directions_for_use"),
+            (media if known else none).alias("media"),
+            none.alias("source_urls"),
+            empty.alias("platform_guess"),
+            none.alias("ui_cues"),
+        )
+
+    if not known:
+        return record(empty, empty)
+    texts = F.struct(text_only(F.col("product_name")).alias("name"), text_only(F.col("description")).alias("raw"))
+    return let(texts, lambda t: record(t["name"], t["raw"]))
 
 
 def enrich_from_catalog(
