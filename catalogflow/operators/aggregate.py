@@ -127,11 +127,7 @@ def metafield(metafields: Column, key: str) -> Column:
 def missing_report(variants: DataFrame, product: str, missing: str = "missing") -> DataFrame:
     """Variants with missing fields, counted per product and field, with totals per product and overall."""
     long = variants.select(product, F.explode(missing).alias("field"))
-    return (
-        long.rollup(product, "field")
-        .agg(F.count(F.lit(1)).alias("n"), F.grouping_id().alias("level"))
-        .withColumn("level", F.col("level").cast("int"))
-    )
+    return _rollup_counts(long, product, "field")
 
 
 def product_gaps(products: DataFrame, images: str, description: str) -> DataFrame:
@@ -146,7 +142,13 @@ def product_gaps(products: DataFrame, images: str, description: str) -> DataFram
 
 def run_summary(outcomes: DataFrame, status: str, reason: str) -> DataFrame:
     """Rows per status and reason with subtotals and the total."""
-    return outcomes.rollup(status, reason).agg(F.count(F.lit(1)).alias("n"), F.grouping_id().cast("int").alias("level"))
+    return _rollup_counts(outcomes, status, reason)
+
+
+def _rollup_counts(df: DataFrame, outer: str, inner: str) -> DataFrame:
+    """Counts per (outer, inner) with subtotals; rows are counted first, so only the counts are repeated per level."""
+    counted = df.groupBy(outer, inner).agg(F.count(F.lit(1)).alias("__n"))
+    return counted.rollup(outer, inner).agg(F.sum("__n").alias("n"), F.grouping_id().cast("int").alias("level"))
 
 
 def bucket_manifest(df: DataFrame, key: Column) -> DataFrame:
