@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import read_table
-from . import language
+from . import language, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -34,3 +34,19 @@ def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
     model = language.train(docs.filter(F.crc32(F.col("doc_id").cast("string")) % 4 != 2))
     found = language.identify(docs.select("doc_id", held_out().alias("held_out"), "text"), model)
     return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
+def joined(spans):
+    """kind:start:end of each span, comma-joined."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+@query("op5_secret_scans")
+def op5_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    found = secrets.scan(docs).drop("text")
+    base = F.filter("secrets", lambda s: s["base"])
+    n = {f"n_{k}": F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("bigint") for k in secrets.KINDS}
+    return found.select(
+        "doc_id", *[c.alias(k) for k, c in n.items()], F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("secrets")).alias("spans")
+    )
