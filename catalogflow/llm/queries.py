@@ -41,12 +41,14 @@ def joined(spans):
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
+def counted(spans, kind: str):
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("bigint")
+
+
 @query("op5_secret_scans")
 def op5_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents").select("doc_id", "text")
     found = secrets.scan(docs).drop("text")
     base = F.filter("secrets", lambda s: s["base"])
-    n = {f"n_{k}": F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("bigint") for k in secrets.KINDS}
-    return found.select(
-        "doc_id", *[c.alias(k) for k, c in n.items()], F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("secrets")).alias("spans")
-    )
+    counts = [counted(base, k).alias(f"n_{k}") for k in secrets.KINDS]
+    return found.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("secrets")).alias("spans"))
