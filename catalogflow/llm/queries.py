@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import read_table
-from . import language, secrets
+from . import language, packing, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -52,3 +52,15 @@ def op5_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
     base = F.filter("secrets", lambda s: s["base"])
     counts = [counted(base, k).alias(f"n_{k}") for k in secrets.KINDS]
     return found.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("secrets")).alias("spans"))
+
+
+def byte_bpe() -> str:
+    """The public 50k byte-level vocabulary."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query("op10_packing")
+def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(read_table(spark, folder, "documents"), byte_bpe())
