@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import read_table
-from . import language, packing, secrets
+from . import language, packing, personal, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -64,3 +64,12 @@ def byte_bpe() -> str:
 @query("op10_packing")
 def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(read_table(spark, folder, "documents"), byte_bpe())
+
+
+@query("op8_personal_data")
+def op8_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    found = personal.detect(docs, personal.train(docs)).drop("text")
+    base = F.filter("personal", lambda s: s["base"])
+    counts = [counted(base, k).alias(f"n_{k}") for k in personal.KINDS]
+    return found.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("personal")).alias("spans"))
