@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import read_table
-from . import language, neighbours, packing, personal, secrets
+from . import jaccard, language, neighbours, packing, personal, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -71,6 +71,11 @@ def op6_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return neighbours.search(read_table(spark, folder, "embeddings"), F.col("id") % 100 == 0)
 
 
+@query("op7_jaccard_join")
+def op7_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.similar(read_table(spark, folder, "documents"))
+
+
 @query("op8_personal_data")
 def op8_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents").select("doc_id", "text")
