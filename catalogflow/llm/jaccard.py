@@ -163,12 +163,20 @@ def similar(docs: DataFrame, num: int = 90, den: int = 100, size: int = 3, doc_i
                 yield pa.RecordBatch.from_arrays([pa.array(np.array(name)[hit]), _lists(keep).cast(pa.list_(pa.int64()))], ["h", "s"])
 
     content = materialize(rows.select("text", F.xxhash64("doc_id").alias("k")).mapInArrow(arrays, "h bigint, s array<bigint>").join(nodes.select("h"), "h", "left_semi").dropDuplicates(["h"]))
-    summary = materialize(full.select("h", "n", "bits").join(nodes.select("h"), "h", "left_semi").dropDuplicates(["h"]))
+    parts = range(PARITY_BITS // 64)
+    summary = full.select("h", "n", *[F.col("bits")[i].alias(f"p{i}") for i in parts]).join(nodes.select("h"), "h", "left_semi")
+    summary = materialize(summary.dropDuplicates(["h"]))
 
-    def bounded(x: str, y: str, nx: str, ny: str) -> Column:
-        differ = F.aggregate(F.zip_with(x, y, lambda a, b: F.bit_count(a.bitwiseXOR(b)).cast("bigint")), F.lit(0).cast("bigint"), lambda a, b: a + b)
-        total = F.col(nx) + F.col(ny)
-        return (F.least(nx, ny) * den >= F.greatest(nx, ny) * num) & (differ * (den + num) <= total * (den - num))
+    def sides(df: DataFrame, own: list[str]) -> tuple[DataFrame, DataFrame]:
+        """The frame twice, with an x or a y after the names of its own columns."""
+        x, y = (df.select(*[c for c in df.columns if c not in own], *[F.col(c).alias(c + side) for c in own]) for side in "xy")
+        return x, y
+
+    def bounded() -> Column:
+        """Sizes and bitmaps allow a link."""
+        differ = sum((F.bit_count(F.col(f"p{i}x").bitwiseXOR(F.col(f"p{i}y"))).cast("bigint") for i in parts), F.lit(0).cast("bigint"))
+        total = F.col("nx") + F.col("ny")
+        return (F.least("nx", "ny") * den >= F.greatest("nx", "ny") * num) & (differ * (den + num) <= total * (den - num))
 
     def verified(pairs: DataFrame) -> DataFrame:
         """The pairs (a, b, na, nb) that are linked."""
@@ -177,16 +185,15 @@ def similar(docs: DataFrame, num: int = 90, den: int = 100, size: int = 3, doc_i
         return counted.filter((F.col("na") + F.col("nb") - F.col("both")) * num <= F.col("both") * den).select("a", "b")
 
     one = members.filter("h <> least").groupBy("h").agg(F.min("least").alias("b")).withColumnRenamed("h", "a")
-    left = summary.select(F.col("h").alias("a"), F.col("n").alias("na"), F.col("bits").alias("xa"))
-    right = summary.select(F.col("h").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("xb"))
-    first = one.join(left, "a").join(right, "b").filter(bounded("xa", "xb", "na", "nb"))
-    links = materialize(verified(first.select("a", "b", "na", "nb")))
+    left, right = sides(summary, summary.columns)
+    first = one.join(left.withColumnRenamed("hx", "a"), "a").join(right.withColumnRenamed("hy", "b"), "b").filter(bounded())
+    links = materialize(verified(first.select("a", "b", F.col("nx").alias("na"), F.col("ny").alias("nb"))))
     labels = components(links).withColumnRenamed("node", "h")
     labelled = materialize(members.drop("least").join(labels, "h", "left").withColumn("label", F.coalesce("component", "h")).drop("component"))
     mixed = labelled.groupBy("key").agg(F.min("label").alias("p"), F.max("label").alias("q")).filter("p < q").select("key")
     open_ = materialize(labelled.join(mixed, "key", "left_semi").join(summary, "h"))
-    x, y = (open_.select("key", *[F.col(c).alias(c + s) for c in ("h", "label", "n", "bits")]) for s in "xy")
-    meets = (F.col("hx") < F.col("hy")) & (F.col("labelx") != F.col("labely")) & bounded("bitsx", "bitsy", "nx", "ny")
+    x, y = sides(open_, [c for c in open_.columns if c != "key"])
+    meets = (F.col("hx") < F.col("hy")) & (F.col("labelx") != F.col("labely")) & bounded()
     pairs = x.join(y, "key").filter(meets).select(F.col("hx").alias("a"), F.col("hy").alias("b"), F.col("nx").alias("na"), F.col("ny").alias("nb")).distinct()
     links = links.union(verified(materialize(pairs)))
     groups = components(links).withColumnRenamed("node", "h")

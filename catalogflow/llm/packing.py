@@ -17,8 +17,8 @@ from ..session import materialize
 from .arrays import mix, powers, slices, utf8, with_arrow
 
 _U = np.uint64
-_SLICE = 2 << 20
-_CACHED_WORDS = 3_000_000
+_SLICE = 1 << 20
+_CACHED_WORDS = 2_000_000
 #: Unicode White_Space (fixed values)
 _WHITE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 LETTER, NUMBER, OTHER, WHITE = range(4)
@@ -82,33 +82,45 @@ class Encoder:
         self.clear()
 
     def clear(self) -> None:
-        self.index: dict[int, int] = {}
+        self.known = np.zeros(0, np.uint64)  # hashes in order, and where each word's ids are
+        self.place = np.zeros(0, np.int64)
+        self.n_words = 0
         self.ids = np.zeros(1 << 16, np.int32)
         self.ends = np.zeros(1 << 16, np.int64)
         self.used = 0
 
-    def _add(self, hashes: list[int], ids: np.ndarray, ends: np.ndarray) -> None:
+    def _add(self, hashes: np.ndarray, ids: np.ndarray, ends: np.ndarray) -> None:
         """Words with their ids end to end and the end of each in ids."""
-        n, size = len(self.index), self.used + len(ids)
+        n, size = self.n_words, self.used + len(ids)
         while size > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
         while n + len(hashes) + 1 > len(self.ends):
             self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
         self.ids[self.used : size] = ids
         self.ends[n + 1 : n + 1 + len(hashes)] = self.used + ends
-        self.index.update(zip(hashes, range(n, n + len(hashes)), strict=True))
-        self.used = size
-
-    def _learn(self, words: list[str], hashes: list[int]) -> None:
+        order = np.argsort(hashes)
+        at = np.searchsorted(self.known, hashes[order])
+        self.known = np.insert(self.known, at, hashes[order])
+        self.place = np.insert(self.place, at, n + order)
+        self.used, self.n_words = size, n + len(hashes)
+
+    def _find(self, hashes: np.ndarray) -> np.ndarray:
+        """Numbers of the words, -1 for new ones."""
+        if not self.n_words:
+            return np.full(len(hashes), -1)
+        at = np.minimum(np.searchsorted(self.known, hashes), self.n_words - 1)
+        return np.where(self.known[at] == hashes, self.place[at], -1)
+
+    def _learn(self, words: list[str], hashes: np.ndarray) -> None:
         joint = [k for k, w in enumerate(words) if len(w) > 1 and w[0] == " " and not w[1].isspace()]
         for a in range(0, len(joint), 2000):
             part = joint[a : a + 2000]
             ids = np.array(self.tokenizer.encode("".join(words[k] for k in part), add_special_tokens=False).ids, np.int64)
             ends = np.searchsorted(np.cumsum(self.sizes[ids]), np.cumsum([len(words[k].encode()) for k in part])) + 1
-            self._add([hashes[k] for k in part], ids, ends)
+            self._add(hashes[part], ids, ends)
         if alone := sorted(set(range(len(words))) - set(joint)):
             lists = [x.ids for x in self.tokenizer.encode_batch_fast([words[k] for k in alone], add_special_tokens=False)]
-            self._add([hashes[k] for k in alone], np.array([i for x in lists for i in x], np.int64), np.cumsum([len(x) for x in lists]))
+            self._add(hashes[alone], np.array([i for x in lists for i in x], np.int64), np.cumsum([len(x) for x in lists]))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end, and the offsets of the texts in them."""
@@ -128,14 +140,12 @@ class Encoder:
         np.cumsum(mix(code.astype(np.uint64) + _U(1)) * up[: len(code)], out=sums[1:])
         hashes = mix((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64))
         distinct, first, back = np.unique(hashes, return_index=True, return_inverse=True)
-        keys = distinct.tolist()
-        if len(self.index) > _CACHED_WORDS:
+        if self.n_words > _CACHED_WORDS:
             self.clear()
-        get = self.index.get
-        known = np.array([get(k, -1) for k in keys], np.int64)
+        known = self._find(distinct)
         if len(new := np.flatnonzero(known < 0)):
-            self._learn([whole[start[i] : end[i]] for i in first[new]], [keys[k] for k in new])
-            known[new] = [self.index[keys[k]] for k in new]
+            self._learn([whole[start[i] : end[i]] for i in first[new]], distinct[new])
+            known[new] = self._find(distinct[new])
         word = known[back]
         sizes = self.ends[word + 1] - self.ends[word]
         total = np.concatenate([[0], np.cumsum(sizes)])
@@ -241,7 +251,7 @@ def plan(counts: np.ndarray, window: int, depth: int = 3) -> tuple[np.ndarray, n
     return table[np.lexsort((table[:, 1], table[:, 0]))], counts - left, n_seq
 
 
-def pack(docs: DataFrame, tokenizer: str, window: int = 1024, end_id: int = 0, text: str | Column = "text", bucket_rows: int = 50_000) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, window: int = 1024, end_id: int = 0, text: str | Column = "text", bucket_rows: int = 10_000) -> DataFrame:
     """Pieces of all documents in sequences of at most `window` tokens.
 
     One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset. Each document is its ids and

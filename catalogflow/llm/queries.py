@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import read_table
-from . import jaccard, language, neighbours, packing, personal, secrets
+from . import decontaminate, jaccard, language, neighbours, packing, personal, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -45,6 +45,13 @@ def counted(spans, kind: str):
     return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("bigint")
 
 
+@query("op4_benchmark_decontamination")
+def op4_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    found = decontaminate.find(docs, read_table(spark, folder, "benchmark")).filter(F.size("leaks") > 0)
+    return found.select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
+
+
 @query("op5_secret_scans")
 def op5_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents").select("doc_id", "text")
