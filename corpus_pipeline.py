@@ -6,7 +6,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from catalogflow.llm import language
+from catalogflow.llm import decontaminate, jaccard, language, packing, secrets
+from catalogflow.llm.queries import byte_bpe
 from catalogflow.session import read_table, shared_dir
 
 ORACLE_SQL = None  # no stage can be put into SQL
@@ -18,7 +19,36 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return found.filter(F.col("_lang_pred") != language.UNKNOWN).select(*docs.columns)
 
 
-STAGES = [("language_id", language_id)]
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest doc_id of each group linked by a similarity of 0.8 or more on five words.
+
+    Rows without doc_id stay; rows that repeat a kept doc_id stay.
+    """
+    groups = jaccard.similar(docs, num=80, den=100, size=5)
+    gone = groups.filter("component_id < doc_id").select("doc_id")
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark."""
+    found = decontaminate.find(docs, read_table(spark, sf_dir, "benchmark"), out="_leaks")
+    return found.filter(F.size("_leaks") == 0).select(*docs.columns)
+
+
+def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with a mark in place of each secret and n_chars as it is then."""
+    clean = secrets.redact(docs)
+    return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in sequences of 1024 tokens."""
+    return packing.pack(docs, byte_bpe())
+
+
+STAGES = [
+    ("language_id", language_id), ("near_duplicates", near_duplicates), ("decontamination", decontamination), ("secret_scans", secret_scans), ("packing", packed),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
