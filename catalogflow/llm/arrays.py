@@ -62,8 +62,8 @@ def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int
         first = last
 
 
-def words(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash, first and end byte of every word (bytes other than ASCII white space; A-Z in lower case)."""
+def words(data: np.ndarray, at: np.ndarray, space: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, first and end byte of every word (bytes other than those of `space`, ASCII white space; A-Z in lower case)."""
     out: list[tuple[np.ndarray, ...]] = []
     n, begin = len(data), 0
     cuts = np.zeros(n + 1, bool)
@@ -71,21 +71,21 @@ def words(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
     while begin < n:
         end = min(n, begin + SLICE_BYTES)
         if end < n:  # not inside a word
-            gap = np.flatnonzero(SPACE[data[begin:end]])
+            gap = np.flatnonzero(space[data[begin:end]])
             if len(gap):
                 end = begin + int(gap[-1]) + 1
             else:
                 ahead = end
-                while ahead < n and not SPACE[data[ahead]]:
-                    more = np.flatnonzero(SPACE[data[ahead : ahead + SLICE_BYTES]])
+                while ahead < n and not space[data[ahead]]:
+                    more = np.flatnonzero(space[data[ahead : ahead + SLICE_BYTES]])
                     ahead = ahead + int(more[0]) if len(more) else min(n, ahead + SLICE_BYTES)
                 end = ahead
         part = data[begin:end]
-        ink = ~SPACE[part]
+        ink = ~space[part]
         first = ink.copy()
-        first[1:] &= SPACE[part[:-1]] | cuts[begin + 1 : end]
+        first[1:] &= space[part[:-1]] | cuts[begin + 1 : end]
         last = ink.copy()
-        last[:-1] &= SPACE[part[1:]] | cuts[begin + 1 : end]
+        last[:-1] &= space[part[1:]] | cuts[begin + 1 : end]
         a, b = np.flatnonzero(first), np.flatnonzero(last) + 1
         up, down = powers(len(part) + 1)
         sums = np.zeros(len(part) + 1, np.uint64)

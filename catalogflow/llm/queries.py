@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import read_table
-from . import decontaminate, jaccard, language, neighbours, packing, personal, secrets
+from . import decontaminate, jaccard, language, licenses, neighbours, packing, personal, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -61,6 +61,12 @@ def op5_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("secrets")).alias("spans"))
 
 
+@query("op9_license_scans")
+def op9_license_scans(spark: SparkSession, folder: str) -> DataFrame:
+    found = licenses.scan(read_table(spark, folder, "documents").select("doc_id", "text")).filter(F.size("licenses") > 0)
+    return found.select("doc_id", F.explode("licenses").alias("found")).select("doc_id", "found.*")
+
+
 def byte_bpe() -> str:
     """The public 50k byte-level vocabulary."""
     import public_tokenizers
