@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -70,7 +70,17 @@ def _parity(s: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
-def _lists(rows: list[np.ndarray]) -> pa.Array:
+def name(s: np.ndarray) -> int:
+    """64 bits that stand for a set."""
+    return int(mix(np.array([mix(s + _U(0x51)).sum(dtype=np.uint64) + _U(len(s))], np.uint64)).view(np.int64)[0])
+
+
+def _named(texts: pa.Array, size: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    found = [s for _, s in sets(texts, size) if len(s)]
+    return np.array([name(s) for s in found], np.int64), found
+
+
+def lists(rows: list[np.ndarray]) -> pa.Array:
     ends = np.concatenate([[0], np.cumsum([len(r) for r in rows])])
     return pa.LargeListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(rows).view(np.int64))) if rows else pa.array([], pa.large_list(pa.int64()))
 
@@ -82,14 +92,14 @@ def _features(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
         bands = Bands(num, den)
         for batch in batches:
             texts = batch.column(1)
-            n, name, bits, keys = [], [], [], []
+            n, names, bits, keys = [], [], [], []
             for _, s in sets(texts, size):
                 n.append(len(s))
-                name.append(int(mix(np.array([mix(s + _U(0x51)).sum(dtype=np.uint64) + _U(len(s))], np.uint64)).view(np.int64)[0]) if len(s) else 0)
+                names.append(name(s) if len(s) else 0)
                 bits.append(_parity(s))
                 keys.append(bands.keys(s))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(name, pa.int64()), _lists(bits).cast(pa.list_(pa.int64())), _lists(keys).cast(pa.list_(pa.int64()))],
+                [batch.column(0), pa.array(n, pa.int64()), pa.array(names, pa.int64()), lists(bits).cast(pa.list_(pa.int64())), lists(keys).cast(pa.list_(pa.int64()))],
                 ["doc_id", "n", "h", "bits", "keys"],
             )
 
@@ -109,29 +119,23 @@ def _common(left: pa.Array, right: pa.Array) -> pa.Array:
     return pa.array(out)
 
 
-def similar(docs: DataFrame, num: int = 90, den: int = 100, size: int = 3, doc_id: str = "doc_id", text: str | Column = "text") -> DataFrame:
-    """doc_id, n_shingles and component_id of every row: documents linked when den * |common| >= num * |union|.
+def cluster(rows: DataFrame, full: DataFrame, items: Callable[[pa.Array], tuple[np.ndarray, list[np.ndarray]]], num: int, den: int, words: int) -> DataFrame:
+    """h and component of every set that is linked: den * |common| >= num * |union|.
 
-    A document's set: its distinct shingles of `size` words (A-Z lower-cased, between ASCII white space), the whole
-    sequence if it has fewer words, nothing without words. component_id is the smallest doc_id reachable over links.
-    Null and empty texts are linked with nothing and are their own component. Rows that repeat a text are one class.
-    A row without doc_id belongs to its text's class and never names one. Other columns play no part; an empty table
-    gives no rows. Sets are named by 64 bits (two of n sets share a name with probability n * n / 2**65).
+    full: a row per occurrence of a set with doc_id, n (its size), h (its name), bits (a parity bitmap of so many 64-bit
+    words) and keys, of which linked sets share one. items: names and sorted arrays of all sets of some texts, with which
+    the arrays of sets that share a key are read again from rows (doc_id, text).
 
-    Steps: classes of equal sets; keys of hash partitions by size band, of which linked sets share one at least; for each
-    set one candidate, its smallest partner; their verified links make first components; then all partners of different
-    components, bound by bitmaps, are verified. Pairs in one component need no look. Verification compares sizes, then
-    the bits of the parity bitmaps (a lower bound of the difference), then the sorted arrays.
+    For each set one candidate, the smallest that shares a key; the verified links make first components; then all
+    partners of different components, bound by sizes and bitmaps, are verified. Pairs in one component need no look.
     """
-    rows = docs.select(F.col(doc_id).alias("doc_id"), (F.col(text) if isinstance(text, str) else text).alias("text"))
-    known = materialize(_features(rows, size, num, den))
-    full = known.filter("n > 0")
+    spark = rows.sparkSession
     names = full.groupBy("h").agg(F.min("doc_id").alias("first"))
     shared = (
         full.select("h", F.explode("keys").alias("key")).groupBy("key").agg(F.min("h").alias("least"), F.max("h").alias("most")).filter("least < most")
     )
     shared = materialize(shared.select("key", "least"))
-    bits = docs.sparkSession.sparkContext.broadcast(bitmap(shared, F.col("key"), 25))
+    bits = spark.sparkContext.broadcast(bitmap(shared, F.col("key"), 25))
 
     def kept(batches):
         for batch in batches:
@@ -145,25 +149,22 @@ def similar(docs: DataFrame, num: int = 90, den: int = 100, size: int = 3, doc_i
     nodes = materialize(members.select("h").distinct().join(names, "h"))
     by_set = bitmap(nodes, F.col("h"), 22)
     by_doc = bitmap(nodes, F.xxhash64("first"), 22)
-    wanted = docs.sparkSession.sparkContext.broadcast((by_set, by_doc))
+    wanted = spark.sparkContext.broadcast((by_set, by_doc))
 
     def arrays(batches):
         by_set, by_doc = wanted.value
         for batch in batches:
-            ok = in_bitmap(by_doc, np.asarray(batch.column(1)))
-            texts = batch.column(0).filter(pa.array(ok))
-            name, found = [], []
-            for _, s in sets(texts, size):
-                if len(s):
-                    name.append(int(mix(np.array([mix(s + _U(0x51)).sum(dtype=np.uint64) + _U(len(s))], np.uint64)).view(np.int64)[0]))
-                    found.append(s)
-            if name:
-                hit = in_bitmap(by_set, np.array(name, np.int64))
-                keep = [s for s, y in zip(found, hit, strict=True) if y]
-                yield pa.RecordBatch.from_arrays([pa.array(np.array(name)[hit]), _lists(keep).cast(pa.list_(pa.int64()))], ["h", "s"])
-
-    content = materialize(rows.select("text", F.xxhash64("doc_id").alias("k")).mapInArrow(arrays, "h bigint, s array<bigint>").join(nodes.select("h"), "h", "left_semi").dropDuplicates(["h"]))
-    parts = range(PARITY_BITS // 64)
+            texts = batch.column(0).filter(pa.array(in_bitmap(by_doc, np.asarray(batch.column(1)))))
+            for a, b in slices(texts):
+                own, found = items(texts.slice(a, b - a))
+                if len(own) and (hit := in_bitmap(by_set, own)).any():
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(own[hit]), lists([s for s, y in zip(found, hit, strict=True) if y]).cast(pa.list_(pa.int64()))], ["h", "s"]
+                    )
+
+    texts = rows.select("text", F.xxhash64("doc_id").alias("k")).mapInArrow(arrays, "h bigint, s array<bigint>")
+    content = materialize(texts.join(nodes.select("h"), "h", "left_semi").dropDuplicates(["h"]))
+    parts = range(words)
     summary = full.select("h", "n", *[F.col("bits")[i].alias(f"p{i}") for i in parts]).join(nodes.select("h"), "h", "left_semi")
     summary = materialize(summary.dropDuplicates(["h"]))
 
@@ -196,7 +197,24 @@ def similar(docs: DataFrame, num: int = 90, den: int = 100, size: int = 3, doc_i
     meets = (F.col("hx") < F.col("hy")) & (F.col("labelx") != F.col("labely")) & bounded()
     pairs = x.join(y, "key").filter(meets).select(F.col("hx").alias("a"), F.col("hy").alias("b"), F.col("nx").alias("na"), F.col("ny").alias("nb")).distinct()
     links = links.union(verified(materialize(pairs)))
-    groups = components(links).withColumnRenamed("node", "h")
+    return components(links).withColumnRenamed("node", "h")
+
+
+def similar(docs: DataFrame, num: int = 90, den: int = 100, size: int = 3, doc_id: str = "doc_id", text: str | Column = "text") -> DataFrame:
+    """doc_id, n_shingles and component_id of every row: documents linked when den * |common| >= num * |union|.
+
+    A document's set: its distinct shingles of `size` words (A-Z lower-cased, between ASCII white space), the whole
+    sequence if it has fewer words, nothing without words. component_id is the smallest doc_id reachable over links.
+    Null and empty texts are linked with nothing and are their own component. Rows that repeat a text are one class.
+    A row without doc_id belongs to its text's class and never names one. Other columns play no part; an empty table
+    gives no rows. Sets are named by 64 bits (two of n sets share a name with probability n * n / 2**65).
+
+    Keys are hash partitions by size band, of which linked sets share one at least (Bands). Verification compares sizes,
+    then the bits of the parity bitmaps (a lower bound of the difference), then the sorted arrays.
+    """
+    rows = docs.select(F.col(doc_id).alias("doc_id"), (F.col(text) if isinstance(text, str) else text).alias("text"))
+    known = materialize(_features(rows, size, num, den))
+    groups = cluster(rows, known.filter("n > 0"), lambda texts: _named(texts, size), num, den, PARITY_BITS // 64)
     placed = known.select("doc_id", "n", "h").join(groups, "h", "left").withColumn("group", F.when(F.col("n") > 0, F.coalesce("component", "h")))
     placed = materialize(placed.select("doc_id", "n", "group"))
     least = placed.filter("`group` IS NOT NULL").groupBy("group").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("many")).filter("many > 1")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import read_table
-from . import decontaminate, jaccard, language, licenses, neighbours, packing, personal, secrets
+from . import decontaminate, jaccard, language, licenses, neighbours, packing, paragraphs, personal, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -45,6 +45,11 @@ def counted(spans, kind: str):
     return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("bigint")
 
 
+@query("op3_substring_dedup")
+def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return paragraphs.repeated(read_table(spark, folder, "documents"))
+
+
 @query("op4_benchmark_decontamination")
 def op4_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents").select("doc_id", "text")
