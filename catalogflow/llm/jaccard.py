@@ -14,6 +14,7 @@ from .components import bitmap, components, in_bitmap
 
 _U = np.uint64
 PARITY_BITS = 512
+TRIES = 3
 SPARE = 2  # partitions beyond the bound, so that an empty partition in common proves nothing
 
 
@@ -126,8 +127,10 @@ def cluster(rows: DataFrame, full: DataFrame, items: Callable[[pa.Array], tuple[
     words) and keys, of which linked sets share one. items: names and sorted arrays of all sets of some texts, with which
     the arrays of sets that share a key are read again from rows (doc_id, text).
 
-    For each set one candidate, the smallest that shares a key; the verified links make first components; then all
-    partners of different components, bound by sizes and bitmaps, are verified. Pairs in one component need no look.
+    A few times, each set is compared with one candidate: of the sets that stand for a key and belong to another
+    component, the one with most keys in common. The verified links make components; then all partners of different
+    components, bound by sizes and bitmaps, are verified, each pair at the first key it shares. Pairs in one component
+    need no look.
     """
     spark = rows.sparkSession
     names = full.groupBy("h").agg(F.min("doc_id").alias("first"))
@@ -185,17 +188,33 @@ def cluster(rows: DataFrame, full: DataFrame, items: Callable[[pa.Array], tuple[
         counted = with_arrow(both, "both", [F.col("x"), F.col("y")], "bigint", _common).drop("x", "y")
         return counted.filter((F.col("na") + F.col("nb") - F.col("both")) * num <= F.col("both") * den).select("a", "b")
 
-    one = members.filter("h <> least").groupBy("h").agg(F.min("least").alias("b")).withColumnRenamed("h", "a")
-    left, right = sides(summary, summary.columns)
-    first = one.join(left.withColumnRenamed("hx", "a"), "a").join(right.withColumnRenamed("hy", "b"), "b").filter(bounded())
-    links = materialize(verified(first.select("a", "b", F.col("nx").alias("na"), F.col("ny").alias("nb"))))
-    labels = components(links).withColumnRenamed("node", "h")
-    labelled = materialize(members.drop("least").join(labels, "h", "left").withColumn("label", F.coalesce("component", "h")).drop("component"))
-    mixed = labelled.groupBy("key").agg(F.min("label").alias("p"), F.max("label").alias("q")).filter("p < q").select("key")
-    open_ = materialize(labelled.join(mixed, "key", "left_semi").join(summary, "h"))
-    x, y = sides(open_, [c for c in open_.columns if c != "key"])
-    meets = (F.col("hx") < F.col("hy")) & (F.col("labelx") != F.col("labely")) & bounded()
-    pairs = x.join(y, "key").filter(meets).select(F.col("hx").alias("a"), F.col("hy").alias("b"), F.col("nx").alias("na"), F.col("ny").alias("nb")).distinct()
+    def sized(pairs: DataFrame) -> DataFrame:
+        """Pairs (a, b) with sizes na and nb that sizes and bitmaps allow."""
+        left, right = sides(summary, summary.columns)
+        both = pairs.join(left.withColumnRenamed("hx", "a"), "a").join(right.withColumnRenamed("hy", "b"), "b").filter(bounded())
+        return both.select("a", "b", F.col("nx").alias("na"), F.col("ny").alias("nb"))
+
+    def labelled(links: DataFrame) -> DataFrame:
+        """The members of keys at which components still meet, each with the label of its component."""
+        labels = components(links).withColumnRenamed("node", "h")
+        own = members.select("key", "h").join(labels, "h", "left").select("key", "h", F.coalesce("component", "h").alias("label"))
+        own = materialize(own)
+        low = own.groupBy("key").agg(F.min(F.struct("label", "h")).alias("low"), F.max("label").alias("high")).filter("low.label < high")
+        return materialize(own.join(low.select("key", "low"), "key"))
+
+    links = tried = spark.createDataFrame([], "a bigint, b bigint")
+    open_ = members.select("key", "h", F.col("h").alias("label"), F.struct(F.col("least").alias("label"), F.col("least").alias("h")).alias("low"))
+    for _ in range(TRIES):  # each set with the one it shares most keys with, of those that stand for their key
+        near = open_.filter("label <> low.label").groupBy(F.col("h").alias("a"), F.col("low.h").alias("b")).agg(F.count(F.lit(1)).alias("n"))
+        best = near.join(tried, ["a", "b"], "left_anti").groupBy("a").agg(F.max(F.struct("n", "b")).alias("best"))
+        one = materialize(best.select("a", F.col("best.b").alias("b")))
+        links = links.union(materialize(verified(sized(one))))
+        tried = tried.union(one)
+        open_ = labelled(links)
+    keysets = open_.groupBy("h").agg(F.collect_list("key").alias("k"))  # of one set's own keys
+    x, y = sides(open_.select("key", "h", "label").join(summary, "h").join(keysets, "h"), ["h", "label", "k", *[c for c in summary.columns if c != "h"]])
+    meets = (F.col("hx") < F.col("hy")) & (F.col("labelx") != F.col("labely")) & bounded() & (F.array_min(F.array_intersect("kx", "ky")) == F.col("key"))
+    pairs = x.join(y, "key").filter(meets).select(F.col("hx").alias("a"), F.col("hy").alias("b"), F.col("nx").alias("na"), F.col("ny").alias("nb"))
     links = links.union(verified(materialize(pairs)))
     return components(links).withColumnRenamed("node", "h")
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import read_table
-from . import decontaminate, jaccard, language, licenses, neighbours, packing, paragraphs, personal, secrets
+from . import decontaminate, jaccard, language, licenses, neighbours, packing, paragraphs, personal, secrets, suffixes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -45,6 +45,13 @@ def counted(spans, kind: str):
     return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("bigint")
 
 
+@query("op2_suffix_dedup")
+def op2_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    cut = suffixes.remove(read_table(spark, folder, "documents"))
+    gone = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["start"])
+    return cut.select("doc_id", "n_bytes", gone.alias("n_removed"), F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op3_substring_dedup")
 def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return paragraphs.repeated(read_table(spark, folder, "documents"))
