@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.codes import valid_upc
 from ..functions.values import blank, blank_array, blank_text, no_number
 from ..functions import fixed
+from .lookup import family_key
 
 
 def missing_names(df: DataFrame, names: list[str]) -> Column:
@@ -76,7 +77,7 @@ def validate_input(
 ) -> DataFrame:
     """One row per violation: (item, rule, detail). Eight rules; joins only on item keys."""
     text = F.lit("").cast("string")
-    own, up = F.col(item), F.col(parent).cast(df.schema[item].dataType)
+    own, up = family_key(df, item, item), family_key(df, parent, item)
 
     def found(frame: DataFrame, rule: str, detail: Column = text) -> DataFrame:
         return frame.select(own.alias("item"), F.lit(rule).alias("rule"), detail.alias("detail"))

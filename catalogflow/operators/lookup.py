@@ -6,7 +6,7 @@ splitting skewed keys at run time.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.codes import effective_upc, upc_candidates, upc_digits
 from ..functions.markup import lifestyle_alt, variant_alt
@@ -54,7 +54,7 @@ def enrich_from_catalog(
 ) -> DataFrame:
     """Every input row with the catalog record of its code (the last one of a repeated code).
 
-    Adds manufacturer, shopify.media ('{code}_{i}.jpg' per image) and an empty distributors_or_retailers.
+    Adds manufacturer, shopify.media ('{code}_{i}.jpg' per image, from 0) and an empty distributors_or_retailers.
     catalog: upc, product_url, product_name, brand, description, ingredients, image_urls. Without catalog_order
     its codes must be unique already. Records are built on the catalog side, once per code, not per input row.
     """
@@ -67,7 +67,7 @@ def enrich_from_catalog(
     joined = inputs.withColumn("__upc", F.when(code != "", code)).join(side, "__upc", "left")
     names = F.transform(
         F.col("manufacturer.media"),
-        lambda _, i: F.concat(F.coalesce(F.col("__upc"), F.lit("")), F.lit("_"), (i + 1).cast("string"), F.lit(".jpg")),
+        lambda _, i: F.concat(F.coalesce(F.col("__upc"), F.lit("")), F.lit("_"), i.cast("string"), F.lit(".jpg")),
     )
     return (
         joined.withColumn("manufacturer", F.coalesce("manufacturer", manufacturer_record(homepage, known=False)))
@@ -124,6 +124,14 @@ def color_title(title: Column, color: Column) -> Column:
     return F.trim(F.concat(title, F.lit(" "), F.coalesce(color, F.lit(""))))
 
 
+def family_key(df: DataFrame, column: str, item: str) -> Column:
+    """A number of an item or a parent in the type of item: '36962.0' is 36962, blank or unreadable is null."""
+    kind = df.schema[column].dataType
+    raw = F.col(column).try_cast("decimal(38,0)") if isinstance(kind, (T.DoubleType, T.FloatType)) else F.col(column)
+    plain = F.nullif(F.regexp_replace(F.trim(raw.cast("string")), r"^(-?[0-9]+)\.0*$", "$1"), F.lit(""))
+    return plain if isinstance(df.schema[item].dataType, T.StringType) else plain.try_cast(df.schema[item].dataType)
+
+
 def family_join(
     df: DataFrame, item: str, parent: str, order: str, rows_per_bucket: int = ROWS_PER_BUCKET
 ) -> tuple[DataFrame, DataFrame]:
@@ -131,7 +139,7 @@ def family_join(
 
     A blank parent makes a family of one; children whose parent is not in the input are orphans.
     """
-    own, up = F.col(item), F.col(parent).cast(df.schema[item].dataType)
+    own, up = family_key(df, item, item), family_key(df, parent, item)
     parents = df.filter(up.isNull() | (up == own)).select(own.alias("__p")).distinct()
     tagged = df.withColumns({"family": F.coalesce(up, own), "is_child": (up.isNotNull() & (up != own)).cast("int")})
     child = F.col("is_child") == 1
@@ -192,10 +200,11 @@ def gallery_by_color(
     variants: product, title, ord, color, unit. portal_images: product, color, ord, url.
     public_images: product, kind (hero or lifestyle), ord, url. Output: product, position, src, alt.
     """
-    with_unit = variants.filter(F.col("unit").isNotNull() & ~blank_text(F.col("color")))
-    colors = with_unit.groupBy(product, "color").agg(
-        F.min("ord").alias("color_ord"), F.max_by("unit", "ord").alias("unit"), F.first(title).alias("__title")
+    has_unit = F.col("unit").isNotNull()
+    colors = variants.filter(~blank_text(F.col("color"))).groupBy(product, "color").agg(
+        F.min("ord").alias("color_ord"), F.max_by("unit", F.when(has_unit, F.col("ord"))).alias("unit"), F.min_by(title, "ord").alias("__title")
     )
+    colors = colors.filter(F.col("unit").isNotNull())  # a color's place is its first row of any kind
     own = first_wins(
         portal_images.withColumn("url", strip_query(F.col("url"), keep_fragment=True)).filter("url != ''").withColumn("__low", F.lower("url")),
         [product, "color", "__low"],

@@ -33,14 +33,14 @@ def _best(url: Column, score: Column, pos: Column, when: Column) -> Column:
 
 
 def match_keywords(
-    inputs: DataFrame, candidates: DataFrame, threshold: float = fixed.KEYWORD_THRESHOLD, cap: int | None = 10
+    inputs: DataFrame, candidates: DataFrame, threshold: float = fixed.KEYWORD_THRESHOLD, cap: int | None = None
 ) -> DataFrame:
     """Waterfall match: (input_id, url, tier, score); url '' and tier 0 where nothing matched.
 
     inputs: input_id, description, title. candidates: input_id, source, pos, name, url with source 'by_description',
     'by_title' (same site, searched by the second name) or 'second' (the other site). Tiers: 1 one name contains the
-    other; 2 words shared with the description; 3 with the title; 4 second site. `cap` is the number of results a
-    search returns, as in the search itself; None keeps all.
+    other; 2 words shared with the description; 3 with the title; 4 second site. `cap` leaves out what stands behind
+    that place of a search; by default every candidate counts.
     """
     description, title = strip(F.coalesce("description", F.lit(""))), strip(F.coalesce("title", F.lit("")))
     queries = inputs.select(
@@ -154,11 +154,11 @@ def url_slug(c: Column) -> Column:
     return F.coalesce(F.element_at(F.split(F.regexp_replace(path, "^/+|/+$", ""), "/"), -1), F.lit(""))
 
 
-def match_attributes(inputs: DataFrame, candidates: DataFrame, cap: int | None = 10) -> DataFrame:
+def match_attributes(inputs: DataFrame, candidates: DataFrame, cap: int | None = None) -> DataFrame:
     """Best candidate per row by gated token score: (input_id, url, score). Rows without one are absent.
 
     inputs: input_id, name and, if there is one, alt_name, whose flavors and lines count where the name has none.
-    candidates: input_id, pos, url, title, page_text, page_taxonomy. `cap` as in the search.
+    candidates: input_id, pos, url, title, page_text, page_taxonomy. `cap` leaves out places behind it; none by default.
     """
     listed = candidates.filter(F.col("pos") <= cap) if cap else candidates
     alternate = F.col("alt_name") if "alt_name" in inputs.columns else F.lit("")
@@ -208,10 +208,12 @@ def style_score(label: Column, reference: Column, tokens: Column | None = None)
 def match_style(references: DataFrame, labels: DataFrame, key: list[str]) -> DataFrame:
     """Best style label per row, first among equals: key.., label, score.
 
-    references: key, reference. labels: key, pos, label.
+    references: key, reference and, if the row has some, tokens (words of its variant, counted like the reference's).
+    labels: key, pos, label.
     """
-    scored = skew_join(labels, references.select(*key, "reference"), key).withColumn(
-        "score", style_score(F.col("label"), F.col("reference"))
+    tokens = F.coalesce("tokens", F.array().cast("array<string>")) if "tokens" in references.columns else F.array().cast("array<string>")
+    scored = skew_join(labels, references.select(*key, "reference", tokens.alias("__tokens")), key).withColumn(
+        "score", style_score(F.col("label"), F.col("reference"), F.col("__tokens"))
     )
     best = scored.groupBy(*key).agg(_best(F.col("label"), F.col("score"), F.col("pos"), F.lit(True)).alias("b"))
     return best.select(*key, F.col("b.url").alias("label"), "b.score")

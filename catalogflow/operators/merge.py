@@ -120,19 +120,23 @@ def skip_variants(df: DataFrame, existing: DataFrame, product: str) -> DataFrame
 def upsert(existing: DataFrame, new: DataFrame, key: list[str], order: str) -> DataFrame:
     """New rows replace old ones of the same key in place; the rest is kept; unknown keys go to the end.
 
-    `is_new` then `order` is the output order.
+    Columns of either side are kept; one that only old rows have stays as it was, one that only new rows have is null
+    elsewhere. `is_new` then `order` is the output order; order may be null.
     """
-    o, n = existing.alias("o"), last_wins(new, key, [order]).alias("n")
+    o = existing.withColumn("__old", F.lit(True)).alias("o")
+    n = last_wins(new, key, [order]).withColumn("__new", F.lit(True)).alias("n")
     joined = o.join(n, key, "full")
-    old_key, new_key = F.col(f"o.{order}").isNotNull(), F.col(f"n.{order}").isNotNull()
-    values = [
-        F.when(new_key, F.col(f"n.{c}")).otherwise(F.col(f"o.{c}")).alias(c)
-        for c in existing.columns
-        if c not in key and c != order
-    ]
-    return joined.select(
-        *key, F.coalesce(f"o.{order}", f"n.{order}").alias(order), *values, (~old_key).alias("is_new")
-    )
+    replaced = F.col("n.__new").isNotNull()
+
+    def value(c: str) -> Column:
+        if c not in new.columns:
+            return F.col(f"o.{c}")
+        old = F.col(f"o.{c}") if c in existing.columns else F.lit(None)
+        return F.when(replaced, F.col(f"n.{c}")).otherwise(old).alias(c)
+
+    every = [*existing.columns, *[c for c in new.columns if c not in existing.columns]]
+    values = [value(c) for c in every if c not in key and c != order]
+    return joined.select(*key, F.coalesce(f"o.{order}", f"n.{order}").alias(order), *values, F.col("o.__old").isNull().alias("is_new"))
 
 
 def merge_variants(

@@ -265,8 +265,9 @@ def allocate_skus(
 
 
 def mark_used(registry: DataFrame, used: DataFrame) -> DataFrame:
-    """Registry with more numbers in use."""
-    return registry.select("sku").unionByName(used.select(F.col("sku").cast("string"))).distinct()
+    """Registry with more numbers in use; a stored next number stays on its rows."""
+    more = used.select(F.col("sku").cast("string"))
+    return registry.unionByName(more, allowMissingColumns=True).distinct()
 
 
 def search_breaker(

@@ -132,8 +132,10 @@ _VARIANT_JSON = (
 
 def embedded_product(html: Column) -> Column:
     """Product record of the page's script (variants and media), null when absent or broken."""
-    blob = F.regexp_extract(html, r"(?s)var\s+\w+\s*=\s*(\{[^<]*?variants[^<]*?\});", 1)
-    return F.from_json(F.nullif(blob, F.lit("")), _VARIANT_JSON)
+    scripts = F.regexp_extract_all(html, F.lit(r"(?is)<script\b[^>]*>(.*?)</script>"), F.lit(1))
+    blobs = F.transform(scripts, lambda s: F.regexp_extract(s, r"(?s)var\s+\w+\s*=\s*(\{.*?variants.*?\});", 1))
+    records = F.transform(F.filter(blobs, lambda b: b != ""), lambda b: F.from_json(b, _VARIANT_JSON))
+    return F.get(F.filter(records, lambda r: r["variants"].isNotNull()), F.lit(0))
 
 
 def embedded_variants(pages: DataFrame, page: str, html: str = "html") -> DataFrame:

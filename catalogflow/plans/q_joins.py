@@ -28,18 +28,19 @@ def catalog_inputs(t):
     return t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", code.alias("upc"), spare.alias("upc_updated"))
 
 
-C1_SQL = """SELECT l_orderkey, l_linenumber, l_partkey, coalesce(p_name, '') AS product_name, coalesce(p_brand, '') AS brand,
+C1_SQL = """SELECT l_orderkey, l_linenumber, l_partkey, coalesce('/p/' || p_partkey, '') AS product_url, 'https://shop.example' AS homepage, coalesce(p_name, '') AS product_name, coalesce(p_brand, '') AS brand,
     coalesce(p_name || '. ' || p_type, '') AS description, coalesce(p_type, '') AS ingredients,
     CASE WHEN p_partkey IS NULL THEN '' ELSE 'https://img/' || p_partkey || CASE WHEN p_size = p_partkey THEN '' ELSE ' https://img/' || p_size END END AS images,
-    CASE WHEN p_partkey IS NULL THEN '' ELSE lpad(CAST(p_partkey AS VARCHAR), 12, '0') || '_1.jpg'
-      || CASE WHEN p_size = p_partkey THEN '' ELSE ' ' || lpad(CAST(p_partkey AS VARCHAR), 12, '0') || '_2.jpg' END END AS media
+    CASE WHEN p_partkey IS NULL THEN '' ELSE lpad(CAST(p_partkey AS VARCHAR), 12, '0') || '_0.jpg'
+      || CASE WHEN p_size = p_partkey THEN '' ELSE ' ' || lpad(CAST(p_partkey AS VARCHAR), 12, '0') || '_1.jpg' END END AS media
     FROM lineitem LEFT JOIN part ON l_partkey = p_partkey AND (l_returnflag = 'A' OR l_linestatus = 'O')"""
 
 
 def enriched_columns(df):
     m = F.col("manufacturer")
     return df.select(
-        "l_orderkey", "l_linenumber", "l_partkey", m["product_name"].alias("product_name"), m["brand"].alias("brand"),
+        "l_orderkey", "l_linenumber", "l_partkey", m["product_url"].alias("product_url"), m["homepage"].alias("homepage"),
+        m["product_name"].alias("product_name"), m["brand"].alias("brand"),
         m["description"].alias("description"), m["ingredients_text"].alias("ingredients"),
         F.array_join(m["media"], " ").alias("images"), F.array_join("shopify.media", " ").alias("media"),
     )
@@ -287,7 +288,7 @@ def c17(t):
 @query(
     "C18_gallery_by_color",
     f"""WITH {LINES}, v AS (SELECT l_orderkey AS product, 'T' || l_orderkey AS title, l_linenumber AS ord, rf AS color, CASE WHEN q >= 5 THEN ls END AS unit, p, s FROM lines),
-    col AS (SELECT product, color, min(ord) AS color_ord, arg_max(unit, ord) AS unit, any_value(title) AS title FROM v WHERE unit IS NOT NULL GROUP BY 1, 2),
+    col AS (SELECT product, color, min(ord) AS color_ord, arg_max(unit, ord) FILTER (unit IS NOT NULL) AS unit, arg_min(title, ord) AS title FROM v GROUP BY 1, 2 HAVING count(unit) > 0),
     own AS (SELECT product, color, url, row_number() OVER (PARTITION BY product, color ORDER BY ord, lower(url)) AS counter FROM (
       SELECT product, color, 'Img/' || p AS url, min(ord) AS ord FROM v GROUP BY 1, 2, 3)),
     pub AS (SELECT product, CASE WHEN ord = 1 THEN 1 ELSE 2 END AS kind, ord, CASE WHEN s > 50 THEN 'IMG/' || p ELSE 'pub/' || s END AS url FROM v),
@@ -334,7 +335,7 @@ def c19(t):
 def swatch_pages(t):
     """One configuration blob per order: attribute 1 is the style, children are parts."""
     lines = t.lines()
-    # an order has at most seven line numbers
+    # one order is one document, as long as it has lines
     option = F.struct(F.col("s").cast("string").alias("id"), F.concat("rf", F.lit(" "), "ls").alias("label"), F.array(text("p")).alias("products"))
     options = lines.groupBy("l_orderkey").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", option.alias("o")))), lambda x: x["o"]).alias("options"),

@@ -188,12 +188,12 @@ def f6(t):
     """WITH h AS (SELECT page_id, regexp_extract_all(html, 'href="(/[A-Z][^"]*)"', 1) AS a, regexp_extract_all(html, 'href="([^"]+)"', 1) AS b FROM pages),
     p AS (SELECT page_id, u, min(i) AS i FROM (SELECT page_id, unnest(list_concat(a, b)) AS u, unnest(range(len(a) + len(b))) AS i FROM h) GROUP BY 1, 2),
     r AS (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY i) AS rn FROM p)
-    SELECT page_id, string_agg(u, ' ' ORDER BY rn) AS urls FROM r WHERE rn <= 12 GROUP BY 1""",
+    SELECT page_id, string_agg(u, ' ' ORDER BY rn) AS urls FROM r GROUP BY 1""",
 )
 def f7(t):
     upper = F.regexp_extract_all("html", F.lit('href="(/[A-Z][^"]*)"'), F.lit(1))
     every = F.regexp_extract_all("html", F.lit('href="([^"]+)"'), F.lit(1))
-    out = t.pages.select("page_id", S.union_candidates(upper, every, cap=12).alias("u"))
+    out = t.pages.select("page_id", S.union_candidates(upper, every).alias("u"))
     return out.filter(F.size("u") > 0).select("page_id", F.array_join("u", " ").alias("urls"))
 
 
@@ -209,7 +209,7 @@ def f8(t):
     leaf = F.struct(F.concat(second, F.lit("/"), text("s")).alias("fullurl"), F.lit("3").alias("level"))
     middle = F.struct(second.alias("fullurl"), F.lit("2").alias("level"), F.array(leaf).alias("categories"))
     top = F.struct(root.alias("fullurl"), F.lit("1").alias("level"), F.array(middle).alias("categories"))
-    # an order has at most seven line numbers
+    # one order is one document, as long as it has lines
     trees = t.lines().groupBy("l_orderkey").agg(F.to_json(F.collect_list(top)).alias("tree"))
     return S.category_urls(trees, "tree").select("l_orderkey", "url")
 

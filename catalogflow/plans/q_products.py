@@ -104,7 +104,7 @@ def paver_inputs(t):
     nan = F.lit(float("nan"))
     lines = t.lines()
     return lines.select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("ord"), F.concat(F.lit(" T"), text("l_orderkey")).alias("portal_title"),
+        (F.col("l_orderkey") * 1000 + F.col("l_linenumber")).alias("ord"), F.concat(F.lit(" T"), text("l_orderkey")).alias("portal_title"),
         F.concat(F.lit("P"), (F.col("l_orderkey") % 500).cast("string")).alias("public_title"),
         F.concat("rf", text("l_linenumber")).alias("color"), F.col("p").alias("item_no"),
         F.when(q > 30, q).otherwise(nan).alias("cost_per_piece"), F.when(q > 30, q + 1).alias("price_per_piece"),
@@ -114,7 +114,7 @@ def paver_inputs(t):
     )
 
 
-_PAVERS = LINES + """, r AS (SELECT l_orderkey * 10 + l_linenumber AS ord, 'T' || l_orderkey AS family, rf || l_linenumber AS color, p, q, l_linenumber,
+_PAVERS = LINES + """, r AS (SELECT l_orderkey * 1000 + l_linenumber AS ord, 'T' || l_orderkey AS family, rf || l_linenumber AS color, p, q, l_linenumber,
    CASE WHEN q > 30 THEN 'Piece' WHEN q > 15 THEN 'Kit' WHEN q > 5 THEN 'Sq Ft' END AS unit FROM lines)"""
 
 

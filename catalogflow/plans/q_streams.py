@@ -25,7 +25,7 @@ class _Arriving:
 @query("K1_enrich_stream", C1_SQL)
 def k1(t):
     target, checkpoint = new_shared_path(t.spark, "k1"), new_shared_path(t.spark, "k1c")
-    stream = S.enrich_stream(catalog_inputs(_Arriving(t, "lineitem")), part_catalog(t), ["upc", "upc_updated"], ["p_partkey"])
+    stream = S.enrich_stream(catalog_inputs(_Arriving(t, "lineitem")), part_catalog(t), ["upc", "upc_updated"], ["p_partkey"], "https://shop.example")
     S.drain(enriched_columns(stream), target, checkpoint)
     return t.spark.read.parquet(target)
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..session import read_table
 
@@ -25,18 +25,22 @@ class Tables:
         return read_table(self.spark, self.folder, name)
 
     def lines(self) -> DataFrame:
-        """One row per order and line number (lineitem may repeat a line number)."""
-        return self.lineitem.groupBy("l_orderkey", "l_linenumber").agg(
-            F.min("l_partkey").alias("p"),
-            F.min("l_suppkey").alias("s"),
-            F.min("l_returnflag").alias("rf"),
-            F.min("l_linestatus").alias("ls"),
-            F.min("l_quantity").alias("q"),
+        """Every line of every order, numbered through within its order (lineitem may repeat a line number)."""
+        order = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus", "l_quantity")
+        return self.lineitem.select(
+            "l_orderkey",
+            F.row_number().over(order).cast(self.lineitem.schema["l_linenumber"].dataType).alias("l_linenumber"),
+            F.col("l_partkey").alias("p"),
+            F.col("l_suppkey").alias("s"),
+            F.col("l_returnflag").alias("rf"),
+            F.col("l_linestatus").alias("ls"),
+            F.col("l_quantity").alias("q"),
         )
 
 
-LINES = """lines AS (SELECT l_orderkey, l_linenumber, min(l_partkey) AS p, min(l_suppkey) AS s,
- min(l_returnflag) AS rf, min(l_linestatus) AS ls, min(l_quantity) AS q FROM lineitem GROUP BY 1, 2)"""
+LINES = """lines AS (SELECT l_orderkey, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey,
+ l_returnflag, l_linestatus, l_quantity) AS INTEGER) AS l_linenumber, l_partkey AS p, l_suppkey AS s, l_returnflag AS rf, l_linestatus AS ls,
+ l_quantity AS q FROM lineitem)"""
 
 
 def query(name: str, sql: str | None = None):

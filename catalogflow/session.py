@@ -29,13 +29,16 @@ def build_session(app: str = "catalogflow", master: str | None = None, **conf: s
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder the cluster names in spark.checkpoint.dir; a local one only where it is unset."""
+    """The folder the cluster names in spark.checkpoint.dir; a local one where it is unset and all runs on one machine."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     local = tempfile.mkdtemp(prefix="spark-")
     spark.sparkContext.setCheckpointDir(local)
     return local

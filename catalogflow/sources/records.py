@@ -10,7 +10,7 @@ from ..functions.text import canonical_key, slugify
 from ..functions.values import blank_text
 from ..operators.aggregate import last_wins
 from ..session import materialize
-from ..operators.order import ROWS_PER_BUCKET, allocate_skus, group_position, mark_used, nest, split_batches
+from ..operators.order import ROWS_PER_BUCKET, allocate_skus, group_position, mark_used, nest, sku_base, split_batches
 
 # A bare NaN token, not one inside quotes.
 _NAN = r'(?<!")\bNaN\b(?!")'
@@ -76,7 +76,7 @@ def normalize_input(documents: DataFrame, text: str) -> DataFrame:
     """Records of whole JSON documents: (keys.., index, record as JSON text).
 
     A list of objects gives its objects; an object with exactly one list-of-objects field gives that list; any other
-    object is one record; a list with scalars gives {value, index} records.
+    object is one record; a list with scalars gives {value, index} records; a scalar document fails the job.
     """
     keys = [c for c in documents.columns if c != text]
     doc = F.try_parse_json(F.col(text))
@@ -100,7 +100,7 @@ def normalize_input(documents: DataFrame, text: str) -> DataFrame:
     )
     records = F.when(is_list & all_objects(as_list), texts(as_list)).when(is_list, wrapped).when(
         F.size(lists) == 1, texts(F.get(lists, F.lit(0)))
-    ).otherwise(F.array(F.to_json(doc)))
+    ).when(doc.isNull() | F.schema_of_variant(doc).startswith("OBJECT"), F.array(F.to_json(doc))).otherwise(F.raise_error(F.lit("a scalar document holds no records")))
     return documents.select(*keys, F.posexplode(F.coalesce(records, empty)).alias("index", "record"))
 
 
@@ -193,9 +193,12 @@ def commit_skus(
     spark = df.sparkSession
     registry = read_version(spark, path)
     if registry is None:
-        registry = spark.createDataFrame([], "sku string")
+        registry = spark.createDataFrame([], "sku string, next_auto_sku bigint")
     numbered = materialize(allocate_skus(df, registry, order, start, rows_per_bucket))
-    write_version(mark_used(registry, numbered), path)
+    used = mark_used(registry.select("sku"), numbered)
+    ahead = sku_base(registry.unionByName(numbered.select(F.col("sku").cast("string")), allowMissingColumns=True), start).select("next_auto_sku")
+    # the next number is a row of its own, so it outlives the rows it was promised after
+    write_version(used.unionByName(ahead, allowMissingColumns=True).filter("sku IS NOT NULL OR next_auto_sku IS NOT NULL"), path)
     return numbered
 
 
@@ -259,7 +262,10 @@ def split_manifest(split: DataFrame) -> DataFrame:
 
 
 def write_split(split: DataFrame, path: str, keep: list[str]) -> None:
-    split.select(*keep, "slug", "part").write.mode("overwrite").partitionBy("slug", "part").json(path)
+    """One folder per key and part; the key itself is written with the rows, as two keys may share a slug."""
+    folder = F.concat_ws("-", F.nullif("slug", F.lit("")), F.substring(F.sha2("bucket", 256), 1, 16))
+    rows = split.select(*keep, *[c for c in ["bucket"] if c not in keep], folder.alias("folder"), "part")
+    rows.write.mode("overwrite").partitionBy("folder", "part").json(path)
 
 
 def flatten_wide(df: DataFrame, id_field: str | None = None) -> DataFrame:

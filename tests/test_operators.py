@@ -6,7 +6,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import Row, functions as F
 
-from catalogflow.operators import aggregate, checks, lookup, matching, merge, order, products, sets
+from catalogflow.operators import aggregate, checks, lookup, matching, merge, order, pages, products, sets
 
 ONE_BIG_GROUP = 7  # rows per bucket in skew tests, so a group of hundreds is spread over many buckets
 
@@ -161,7 +161,7 @@ def test_enrich_from_catalog(spark):
     m = out[1]["manufacturer"]
     assert (m["product_url"], m["name"], m["description"], m["media"]) == ("https://x/new", "New", "Soft. tough", ["https://a/1.jpg", "https://a/2.jpg"])
     assert m["benefits_text"] == ["Soft", "tough"]
-    assert out[1]["shopify"]["media"] == ["012345678901_1.jpg", "012345678901_2.jpg"]
+    assert out[1]["shopify"]["media"] == ["012345678901_0.jpg", "012345678901_1.jpg"]
     for i in (2, 3):
         assert out[i]["manufacturer"]["homepage"] == "https://home" and out[i]["manufacturer"]["name"] == "" and out[i]["shopify"]["media"] == []
 
@@ -363,3 +363,53 @@ def test_native_operators_have_no_python_node(spark):
     for out in (order.group_position(df, ["g"], ["o"], rows_per_bucket=9), aggregate.last_wins(df, ["g"], ["o"])):
         plan = out._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "CartesianProduct" not in plan
+
+
+def test_parents_in_any_form(spark):
+    rows = [("36962", "36962.0", 1), ("33673", "36962.0", 2), ("7", "", 3), ("8", None, 4), ("9", "99", 5)]
+    families, orphans = lookup.family_join(spark.createDataFrame(rows, "item string, parent string, ord int"), "item", "parent", "ord")
+    assert sorted((r.item, r.family, r.is_child) for r in families.collect()) == [("33673", "36962", 1), ("36962", "36962", 0), ("7", "7", 0), ("8", "8", 0)]
+    assert [r.item for r in orphans.collect()] == ["9"]
+    numbers = spark.createDataFrame([(1, "1.0", 1), (2, "1.0", 2), (3, "", 3)], "item bigint, parent string, ord int")
+    families, orphans = lookup.family_join(numbers, "item", "parent", "ord")
+    assert sorted((r.item, r.family) for r in families.collect()) == [(1, 1), (2, 1), (3, 3)] and orphans.count() == 0
+
+
+def test_color_stands_where_its_first_row_does(spark):
+    variants = spark.createDataFrame(
+        [("p", "T", 1, "Red", None), ("p", "T", 2, "Blue", "Piece"), ("p", "T", 3, "Red", "Kit"), ("p", "T", 4, "Gray", None)],
+        "product string, title string, ord int, color string, unit string",
+    )
+    none = spark.createDataFrame([], "product string, color string, ord int, url string")
+    hero = spark.createDataFrame([("p", "hero", 1, "h")], "product string, kind string, ord int, url string")
+    out = lookup.gallery_by_color(variants, none, hero, "product", "title").orderBy("position").collect()
+    assert [r.alt.split("#")[1:] for r in out] == [["Red", "Kit"], ["Blue", "Piece"]]
+
+
+def test_every_candidate_counts(spark):
+    inputs = spark.createDataFrame([(1, "Premium Horse Feed", "")], "input_id bigint, description string, title string")
+    names = [(1, "by_description", k, "Other Thing", f"/{k}") for k in range(20)] + [(1, "by_description", 20, "Premium Horse Feed 50 LB", "/hit")]
+    found = matching.match_keywords(inputs, spark.createDataFrame(names, "input_id bigint, source string, pos int, name string, url string"))
+    assert found.first()["url"] == "/hit"
+
+
+def test_style_counts_the_variant_tokens(spark):
+    labels = spark.createDataFrame([(1, 0, "green moss"), (1, 1, "dark oak")], "k int, pos int, label string")
+    plain = spark.createDataFrame([(1, "moss blanket", None), ], "k int, reference string, tokens array<string>")
+    more = spark.createDataFrame([(1, "moss blanket", ["dark", "oak"])], "k int, reference string, tokens array<string>")
+    assert matching.match_style(plain, labels, ["k"]).first()["label"] == "green moss"
+    assert matching.match_style(more, labels, ["k"]).first()["label"] == "dark oak"
+
+
+def test_upsert_keeps_columns_and_rows_without_order(spark):
+    old = spark.createDataFrame([(1, 1, "a", "x"), (2, 2, "b", "y")], "k int, ord int, v string, only_old string")
+    new = spark.createDataFrame([(2, None, "c", 7), (3, 5, "d", 8)], "k int, ord int, v string, only_new int")
+    out = {r.k: r for r in merge.upsert(old, new, ["k"], "ord").collect()}
+    assert (out[2].v, out[2].only_old, out[2].only_new, out[2].ord, out[2].is_new) == ("c", "y", 7, 2, False)
+    assert (out[1].v, out[1].only_new, out[3].v, out[3].only_old, out[3].is_new) == ("a", None, "d", None, True)
+
+
+def test_product_record_with_markup(spark):
+    html = '<script>x</script><script>var p = {"description": "<b>x</b>", "variants": [{"id": "1", "price": 250}]};</script>'
+    row = pages.embedded_variants(spark.createDataFrame([(1, html)], "page int, html string"), "page").first()
+    assert (row.variant_id, row.price) == ("1", 2.5)

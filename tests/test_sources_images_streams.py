@@ -59,7 +59,23 @@ def test_sku_registry_persists(spark, tmp_path):
     second = records.commit_skus(spark.range(2), path, ["id"], 50000)
     numbers = lambda df: [r["sku"] for r in df.orderBy("id").collect()]
     assert numbers(first) == ["50000", "50001", "50002"] and numbers(second) == ["50003", "50004"]
-    assert records.read_version(spark, path).count() == 5
+    stored = records.read_version(spark, path)
+    assert stored.filter("sku IS NOT NULL").count() == 5
+    assert stored.agg({"next_auto_sku": "max"}).first()[0] == 50005
+    records.write_version(stored.filter("sku IS NULL"), path)  # the promised number outlives the rows
+    assert numbers(records.commit_skus(spark.range(1), path, ["id"], 50000)) == ["50005"]
+
+
+def test_split_folders_keep_keys_apart(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "a b"), (2, "a-b"), (3, "a b")], "id int, k string")
+    records.write_split(records.split_by_key(rows, "k", ["id"], mode="exact"), str(tmp_path / "s"), ["id"])
+    got = spark.read.json(str(tmp_path / "s"))
+    assert got.select("folder").distinct().count() == got.select("bucket").distinct().count() == 2
+
+
+def test_scalar_document_fails(spark):
+    with pytest.raises(Exception, match="scalar document"):
+        records.normalize_input(spark.createDataFrame([("5",)], "t string"), "t").collect()
 
 
 def test_catalog_forms(spark, tmp_path):
