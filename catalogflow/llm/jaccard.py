@@ -14,7 +14,7 @@ from .components import bitmap, components, in_bitmap
 
 _U = np.uint64
 PARITY_BITS = 512
-TRIES = 3
+TRIES = 2
 SPARE = 2  # partitions beyond the bound, so that an empty partition in common proves nothing
 
 
@@ -127,17 +127,17 @@ def cluster(rows: DataFrame, full: DataFrame, items: Callable[[pa.Array], tuple[
     words) and keys, of which linked sets share one. items: names and sorted arrays of all sets of some texts, with which
     the arrays of sets that share a key are read again from rows (doc_id, text).
 
-    A few times, each set is compared with one candidate: of the sets that stand for a key and belong to another
-    component, the one with most keys in common. The verified links make components; then all partners of different
-    components, bound by sizes and bitmaps, are verified, each pair at the first key it shares. Pairs in one component
-    need no look.
+    At each key one set stands for the others: first the one that meets most sets over all its keys, then others of its
+    component in turn. A few times, each set outside that component is compared with one of them, the one with most keys
+    in common. The verified links make components; then all partners of different components, bound by sizes and
+    bitmaps, are verified, each pair at the first key it shares. Pairs in one component need no look.
     """
     spark = rows.sparkSession
     names = full.groupBy("h").agg(F.min("doc_id").alias("first"))
     shared = (
         full.select("h", F.explode("keys").alias("key")).groupBy("key").agg(F.min("h").alias("least"), F.max("h").alias("most")).filter("least < most")
     )
-    shared = materialize(shared.select("key", "least"))
+    shared = materialize(shared.select("key"))
     bits = spark.sparkContext.broadcast(bitmap(shared, F.col("key"), 25))
 
     def kept(batches):
@@ -199,15 +199,22 @@ def cluster(rows: DataFrame, full: DataFrame, items: Callable[[pa.Array], tuple[
         labels = components(links).withColumnRenamed("node", "h")
         own = members.select("key", "h").join(labels, "h", "left").select("key", "h", F.coalesce("component", "h").alias("label"))
         own = materialize(own)
-        low = own.groupBy("key").agg(F.min(F.struct("label", "h")).alias("low"), F.max("label").alias("high")).filter("low.label < high")
-        return materialize(own.join(low.select("key", "low"), "key"))
+        own = own.join(weights, "h")
+        low = own.groupBy("key").agg(F.max(F.struct("weight", "h", "label")).alias("top"), F.min("label").alias("a"), F.max("label").alias("b")).filter("a < b")
+        return materialize(own.drop("weight").join(low.select("key", "top"), "key"))
 
+    sizes = members.groupBy("key").count()
+    weights = materialize(members.join(sizes, "key").groupBy("h").agg(F.sum("count").alias("weight")))
     links = tried = spark.createDataFrame([], "a bigint, b bigint")
-    open_ = members.select("key", "h", F.col("h").alias("label"), F.struct(F.col("least").alias("label"), F.col("least").alias("h")).alias("low"))
-    for _ in range(TRIES):  # each set with the one it shares most keys with, of those that stand for their key
-        near = open_.filter("label <> low.label").groupBy(F.col("h").alias("a"), F.col("low.h").alias("b")).agg(F.count(F.lit(1)).alias("n"))
+    open_ = labelled(links)
+    for turn in range(TRIES):  # each set with the one it shares most keys with, of those that stand for their key
+        first = F.when(F.col("h") == F.col("top.h"), 1).otherwise(0) if turn == 0 else F.xxhash64("h", F.lit(turn))
+        there = open_.filter("label = top.label").groupBy("key").agg(F.max_by("h", first).alias("b"))
+        near = open_.filter("label <> top.label").select("key", F.col("h").alias("a")).join(there, "key").groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
         best = near.join(tried, ["a", "b"], "left_anti").groupBy("a").agg(F.max(F.struct("n", "b")).alias("best"))
         one = materialize(best.select("a", F.col("best.b").alias("b")))
+        if one.isEmpty():
+            break
         links = links.union(materialize(verified(sized(one))))
         tried = tried.union(one)
         open_ = labelled(links)

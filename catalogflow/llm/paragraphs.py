@@ -11,6 +11,7 @@ from .arrays import mix, slices, utf8, words
 from .jaccard import cluster
 
 _U = np.uint64
+_BITS = 128
 _STOP = np.zeros(256, bool)
 _STOP[[ord(c) for c in ".!?"]] = True
 
@@ -108,9 +109,13 @@ def repeated(
                 flat = pa.array(np.stack(keys, 1).reshape(-1).view(np.int64))
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(len(begin) + 1, dtype=np.int32) * bands), flat)
                 n = np.diff(np.append(begin, len(found["shingles"])))
+                bit = found["shingle_of"] * _BITS + (found["shingles"] & _U(_BITS - 1)).astype(np.int64)
+                odd = (np.bincount(bit, minlength=len(n) * _BITS) & 1).astype(np.uint8)
+                words_ = _BITS // 64
+                bits = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1, dtype=np.int32) * words_), pa.array(np.packbits(odd).view(np.int64)))
                 plain = [pa.array(found[c].astype(np.int64)) for c in ("first", "last", "order", "n_words")]
-                names_ = ["doc_id", "start", "end", "order", "n_words", "n", "h", "keys"]
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(found["text"] + a)), *plain, pa.array(n), pa.array(names), lists], names_)
+                names_ = ["doc_id", "start", "end", "order", "n_words", "n", "h", "bits", "keys"]
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(found["text"] + a)), *plain, pa.array(n), pa.array(names), bits, lists], names_)
 
     def items(texts: pa.Array) -> tuple[np.ndarray, list[np.ndarray]]:
         found = cut(texts, size, min_words)
@@ -118,9 +123,9 @@ def repeated(
         return names, np.split(found["shingles"], begin[1:]) if len(begin) else []
 
     kind = docs.schema[doc_id].dataType.simpleString()
-    known = materialize(rows.mapInArrow(features, f"doc_id {kind}, start bigint, `end` bigint, `order` bigint, n_words bigint, n bigint, h bigint, keys array<bigint>"))
-    groups = cluster(rows, known.withColumn("bits", F.array().cast("array<bigint>")), items, num, den, 0)
-    placed = known.drop("keys").join(groups, "h", "left").withColumn("class", F.coalesce("component", "h")).drop("component").distinct()
+    known = materialize(rows.mapInArrow(features, f"doc_id {kind}, start bigint, `end` bigint, `order` bigint, n_words bigint, n bigint, h bigint, bits array<bigint>, keys array<bigint>"))
+    groups = cluster(rows, known, items, num, den, _BITS // 64)
+    placed = known.drop("keys", "bits").join(groups, "h", "left").withColumn("class", F.coalesce("component", "h")).drop("component").distinct()
     placed = materialize(placed)
     least = placed.groupBy("class").agg(F.min(F.struct("doc_id", "start")).alias("least"), F.count(F.lit(1)).alias("many")).filter("many > 1")
     shared = placed.join(least, "class")
