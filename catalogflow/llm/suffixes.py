@@ -70,6 +70,20 @@ def _context(text: Text, at: np.ndarray, first: np.ndarray, last: np.ndarray, le
     return mix(text.rank(first, last + length) + mix(offset + _U(1)))
 
 
+def _quarters(text: Text, at: np.ndarray, first: np.ndarray, last: np.ndarray, length: int, window: int) -> list[tuple[np.ndarray, ...]]:
+    """Per quarter of the distances between a start and its anchor: the anchors that stand for such starts, the first
+    and last of these, and the rank of what all strings of that quarter share. It lies at a fixed distance from the
+    anchor, so strings that repeat have partners in the same quarter."""
+    step = -(-window // 4)
+    out = []
+    for low in range(0, window, step):
+        a, z = np.maximum(first, at - low - step + 1), np.minimum(last, at - low)
+        own = np.flatnonzero(a <= z)
+        begin = at[own] - low
+        out.append((own, a[own], z[own], mix(text.rank(begin, begin + length - step + 1) + _U(low))))
+    return out
+
+
 def _where(context: np.ndarray, doc: np.ndarray, mark: np.ndarray, first: np.ndarray) -> np.ndarray:
     doc, mark, first = (x.astype(np.int64).view(np.uint64) for x in (doc, mark, first))
     return mix(context.view(np.uint64) ^ mix(doc + _U(3)) ^ mix((mark << _U(32)) ^ first))
@@ -79,13 +93,25 @@ def _ids(column: pa.Array) -> np.ndarray:
     return np.asarray(column).astype(np.int64)
 
 
+def _again(rows: DataFrame, ranks: list[str]) -> DataFrame:
+    """The rows whose ranks occur more than once. A bitmap of the first rank spares most others the shuffle."""
+    again = materialize(rows.groupBy(*ranks).count().filter("count > 1").select(*ranks))
+    held = rows.sparkSession.sparkContext.broadcast(bitmap(again, F.col(ranks[0]), 25))
+
+    def known(rank: pa.Array) -> pa.Array:
+        return pa.array(in_bitmap(held.value, _ids(rank)))
+
+    return rows.filter(F.arrow_udf(known, "boolean")(ranks[0])).join(again, ranks, "left_semi")
+
+
 def repeats(rows: DataFrame, length: int, window: int) -> DataFrame:
     """doc, mark, first and last start of strings of `length` bytes that start elsewhere too (rows: doc, mark, text).
 
     Prefix doubling over anchors: the rank of the first half of what all of an anchor's strings share, then the pair of
     that rank and the rank half as far on; after each round Spark groups the ranks and drops what is unique. The last
     round doubles to the whole length: anchors with equal contexts repeat with all their starts; where a rank has several
-    contexts, one anchor of each is opened and the ranks of its single starts are grouped.
+    contexts, one anchor of each is opened: first by quarters of its starts, then, where a quarter's rank is not unique,
+    the ranks of single starts are grouped.
     """
     spark = rows.sparkSession
     shared = length - window + 1
@@ -107,8 +133,7 @@ def repeats(rows: DataFrame, length: int, window: int) -> DataFrame:
     names = ["r0", "r1", "context", "doc", "mark", "first", "more"]
     left = materialize(rows.mapInArrow(ranked, ", ".join(f"{c} bigint" for c in names)))
     for ranks in (["r0"], ["r0", "r1"]):  # the offset doubles
-        again = left.groupBy(*ranks).count().filter("count > 1").select(*ranks)
-        left = materialize(left.join(again, ranks, "left_semi"))
+        left = materialize(_again(left, ranks))
     contexts = left.groupBy("r0", "r1", "context").agg(F.count(F.lit(1)).alias("many"), F.min(F.struct("doc", "mark", "first")).alias("one"))
     contexts = materialize(contexts)
     several = contexts.groupBy("r0", "r1").count().filter("count > 1").select("r0", "r1")
@@ -122,27 +147,43 @@ def repeats(rows: DataFrame, length: int, window: int) -> DataFrame:
     keys = materialize(opened.mapInArrow(placed, "place bigint, whole bigint"))
     held = spark.sparkContext.broadcast((bitmap(keys, F.col("place"), 24), bitmap(keys, F.col("whole"), 22)))
 
-    def singles(batches):
+    def opened_in(batch: pa.RecordBatch) -> Iterator[tuple]:
+        """doc, mark, the text and the quarters of its anchors that are to be opened."""
         places, wholes = held.value
-        for batch in batches:
-            doc, mark = _ids(batch.column(0)), _ids(batch.column(1))
-            ok = np.flatnonzero(in_bitmap(wholes, _doc_key(doc, mark)))
-            for k, text in _texts(batch.column(2).take(pa.array(ok))):
-                at, first, last = anchors(text, length, window)
-                if not len(at):
-                    continue
+        doc, mark = _ids(batch.column(0)), _ids(batch.column(1))
+        ok = np.flatnonzero(in_bitmap(wholes, _doc_key(doc, mark)))
+        for k, text in _texts(batch.column(2).take(pa.array(ok))):
+            at, first, last = anchors(text, length, window)
+            if len(at):
                 d, m = doc[ok[k]], mark[ok[k]]
                 many = np.full(len(at), 1)
                 use = in_bitmap(places, _where(_context(text, at, first, last, length).view(np.int64), many * d, many * m, first).view(np.int64))
-                size = last[use] - first[use] + 1
-                start = np.repeat(first[use] - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
-                if len(start):
-                    full = [text.rank(start, start + length, kind).view(np.int64) for kind in (0, 1)]
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (*full, np.full(len(start), d), np.full(len(start), m), start)], ["f0", "f1", "doc", "mark", "first"])
+                if use.any():
+                    yield d, m, text, _quarters(text, at[use], first[use], last[use], length, window)
+
+    def quarters(batches):
+        for batch in batches:
+            found = [rank for *_, parts in opened_in(batch) for *_, rank in parts]
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], ["rank"])
+
+    shared_ranks = rows.mapInArrow(quarters, "rank bigint").groupBy("rank").count().filter("count > 1")
+    worth = spark.sparkContext.broadcast(bitmap(shared_ranks, F.col("rank"), 25))
+
+    def singles(batches):
+        for batch in batches:
+            for d, m, text, parts in opened_in(batch):
+                kept = [(a[hit], z[hit]) for _, a, z, rank in parts for hit in [in_bitmap(worth.value, rank)]]
+                first, last = (np.concatenate(x) for x in zip(*kept, strict=True))
+                size = last - first + 1
+                if not len(size):
+                    continue
+                start = np.repeat(first - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
+                full = [text.rank(start, start + length, kind).view(np.int64) for kind in (0, 1)]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (*full, np.full(len(start), d), np.full(len(start), m), start)], ["f0", "f1", "doc", "mark", "first"])
 
     single = materialize(rows.mapInArrow(singles, "f0 bigint, f1 bigint, doc bigint, mark bigint, first bigint"))
-    twice = single.groupBy("f0", "f1").count().filter("count > 1").select("f0", "f1")
-    found = single.join(twice, ["f0", "f1"], "left_semi").select("doc", "mark", "first", F.col("first").alias("last"))
+    found = _again(single, ["f0", "f1"]).select("doc", "mark", "first", F.col("first").alias("last"))
     equal = left.join(contexts.filter("many > 1").select("r0", "r1", "context"), ["r0", "r1", "context"], "left_semi")
     return found.unionByName(equal.select("doc", "mark", "first", (F.col("first") + F.col("more")).alias("last")))
 
