@@ -127,17 +127,17 @@ def cluster(rows: DataFrame, full: DataFrame, items: Callable[[pa.Array], tuple[
     words) and keys, of which linked sets share one. items: names and sorted arrays of all sets of some texts, with which
     the arrays of sets that share a key are read again from rows (doc_id, text).
 
-    At each key one set stands for the others: first the one that meets most sets over all its keys, then others of its
-    component in turn. A few times, each set outside that component is compared with one of them, the one with most keys
-    in common. The verified links make components; then all partners of different components, bound by sizes and
-    bitmaps, are verified, each pair at the first key it shares. Pairs in one component need no look.
+    At each key one set stands for the others: first the smallest, then the one that meets most sets. A few times, each
+    set outside its component is compared with one of these, the one with most keys in common. The verified links make
+    components; then all partners of different components, bound by sizes and bitmaps, are verified, each pair at the
+    first key it shares. Pairs in one component need no look.
     """
     spark = rows.sparkSession
     names = full.groupBy("h").agg(F.min("doc_id").alias("first"))
     shared = (
         full.select("h", F.explode("keys").alias("key")).groupBy("key").agg(F.min("h").alias("least"), F.max("h").alias("most")).filter("least < most")
     )
-    shared = materialize(shared.select("key"))
+    shared = materialize(shared.select("key", "least"))
     bits = spark.sparkContext.broadcast(bitmap(shared, F.col("key"), 25))
 
     def kept(batches):
@@ -194,30 +194,29 @@ def cluster(rows: DataFrame, full: DataFrame, items: Callable[[pa.Array], tuple[
         both = pairs.join(left.withColumnRenamed("hx", "a"), "a").join(right.withColumnRenamed("hy", "b"), "b").filter(bounded())
         return both.select("a", "b", F.col("nx").alias("na"), F.col("ny").alias("nb"))
 
-    def labelled(links: DataFrame) -> DataFrame:
-        """The members of keys at which components still meet, each with the label of its component."""
+    def still_open(rows: DataFrame, links: DataFrame) -> DataFrame:
+        """key, h and label (the component) at the keys where components still meet, with the one that stands for the key."""
         labels = components(links).withColumnRenamed("node", "h")
-        own = members.select("key", "h").join(labels, "h", "left").select("key", "h", F.coalesce("component", "h").alias("label"))
-        own = materialize(own)
-        own = own.join(weights, "h")
-        low = own.groupBy("key").agg(F.max(F.struct("weight", "h", "label")).alias("top"), F.min("label").alias("a"), F.max("label").alias("b")).filter("a < b")
-        return materialize(own.drop("weight").join(low.select("key", "top"), "key"))
-
-    sizes = members.groupBy("key").count()
-    weights = materialize(members.join(sizes, "key").groupBy("h").agg(F.sum("count").alias("weight")))
+        own = materialize(rows.select("key", "h").join(labels, "h", "left").select("key", "h", F.coalesce("component", "h").alias("label")))
+        meeting = materialize(own.groupBy("key").agg(F.min("label").alias("a"), F.max("label").alias("b"), F.count(F.lit(1)).alias("n")).filter("a < b").select("key", "n"))
+        held = spark.sparkContext.broadcast(bitmap(meeting, F.col("key"), 25))
+        near = F.arrow_udf(lambda keys: pa.array(in_bitmap(held.value, np.asarray(keys))), "boolean")
+        own = materialize(own.filter(near("key")).join(meeting, "key"))
+        weights = own.groupBy("h").agg(F.sum("n").alias("weight"))  # how many it meets
+        top = own.join(weights, "h").groupBy("key").agg(F.max(F.struct("weight", "h", "label")).alias("top"))
+        return materialize(own.drop("n").join(top, "key"))
+
     links = tried = spark.createDataFrame([], "a bigint, b bigint")
-    open_ = labelled(links)
+    near = members.filter("h <> least").groupBy(F.col("h").alias("a"), F.col("least").alias("b")).agg(F.count(F.lit(1)).alias("n"))
+    open_ = members
     for turn in range(TRIES):  # each set with the one it shares most keys with, of those that stand for their key
-        first = F.when(F.col("h") == F.col("top.h"), 1).otherwise(0) if turn == 0 else F.xxhash64("h", F.lit(turn))
-        there = open_.filter("label = top.label").groupBy("key").agg(F.max_by("h", first).alias("b"))
-        near = open_.filter("label <> top.label").select("key", F.col("h").alias("a")).join(there, "key").groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
         best = near.join(tried, ["a", "b"], "left_anti").groupBy("a").agg(F.max(F.struct("n", "b")).alias("best"))
         one = materialize(best.select("a", F.col("best.b").alias("b")))
-        if one.isEmpty():
-            break
         links = links.union(materialize(verified(sized(one))))
         tried = tried.union(one)
-        open_ = labelled(links)
+        open_ = still_open(open_, links)
+        outside = open_.filter("label <> top.label")
+        near = outside.groupBy(F.col("h").alias("a"), F.col("top.h").alias("b")).agg(F.count(F.lit(1)).alias("n"))
     keysets = open_.groupBy("h").agg(F.collect_list("key").alias("k"))  # of one set's own keys
     x, y = sides(open_.select("key", "h", "label").join(summary, "h").join(keysets, "h"), ["h", "label", "k", *[c for c in summary.columns if c != "h"]])
     meets = (F.col("hx") < F.col("hy")) & (F.col("labelx") != F.col("labely")) & bounded() & (F.array_min(F.array_intersect("kx", "ky")) == F.col("key"))

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import uuid
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from catalogflow.llm import decontaminate, jaccard, language, packing, secrets
+from catalogflow.llm.components import bitmap, in_bitmap
 from catalogflow.llm.queries import byte_bpe
-from catalogflow.session import read_table, shared_dir
+from catalogflow.session import materialize, read_table, shared_dir
 
 ORACLE_SQL = None  # no stage can be put into SQL
 
@@ -25,8 +28,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Rows without doc_id stay; rows that repeat a kept doc_id stay.
     """
     groups = jaccard.similar(docs, num=80, den=100, size=5)
-    gone = groups.filter("component_id < doc_id").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    gone = materialize(groups.filter("component_id < doc_id").select("doc_id"))
+    held = spark.sparkContext.broadcast(bitmap(gone, F.xxhash64("doc_id"), 22))
+    near = F.arrow_udf(lambda keys: pa.array(in_bitmap(held.value, np.asarray(keys))), "boolean")
+    marked = docs.withColumn("_near", near(F.xxhash64("doc_id")))  # most documents need no join
+    some = marked.filter("_near").join(gone, "doc_id", "left_anti")
+    return marked.filter("NOT _near").unionByName(some).select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
