@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..session import materialize
 from .arrays import mix, slices, utf8, words
 from .jaccard import cluster
+from .passages import outside
 
 _U = np.uint64
 _BITS = 128
@@ -31,7 +32,8 @@ def cut(texts: pa.Array, size: int, min_words: int) -> dict[str, np.ndarray]:
 
     A paragraph is a line, cut further at those ends of sentences whose last word has an even hash. The cuts depend on
     the words alone, so a passage set into another text has the same ones inside. Returns per paragraph: text (row),
-    first and last (bytes in the text), order among the text's, n_words; and the distinct shingles (hashes in order,
+    first and last (bytes in the text), word (the first one's number in the text), order among the text's, n_words, inside
+    (1 if it begins inside a line, and 2 more if it ends inside one); and the distinct shingles (hashes in order,
     shingle_of: paragraph).
     """
     data, at = utf8(texts)
@@ -43,6 +45,7 @@ def cut(texts: pa.Array, size: int, min_words: int) -> dict[str, np.ndarray]:
     if n:
         last[-1] = True
         last[:-1] = (lines[starts[1:]] > lines[ends[:-1]]) | (row[1:] != row[:-1])
+        line = last.copy()
         last |= _STOP[data[ends - 1]] & ((hashes & _U(1)) == 0)
     group = np.concatenate([[0], np.cumsum(last)[:-1]]) if n else np.zeros(0, np.int64)
     many = np.bincount(group) if n else np.zeros(0, np.int64)
@@ -64,7 +67,8 @@ def cut(texts: pa.Array, size: int, min_words: int) -> dict[str, np.ndarray]:
     text = row[first] if n else np.zeros(0, np.int64)
     place = np.arange(len(first)) - np.searchsorted(text, text)
     final = first + many[keep] - 1
-    return {"text": text, "first": starts[first] - at[text], "last": ends[final] - at[text], "order": place, "n_words": many[keep], "shingles": out, "shingle_of": owner}
+    inside = 2 * ~line[final] + ~np.concatenate([[True], line])[first] if n else first
+    return {"text": text, "inside": inside, "first": starts[first] - at[text], "last": ends[final] - at[text], "word": first - np.searchsorted(starts, at[text]), "order": place, "n_words": many[keep], "shingles": out, "shingle_of": owner}
 
 
 def _names(found: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -78,15 +82,22 @@ def _names(found: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 def repeated(
     docs: DataFrame, doc_id: str = "doc_id", text: str | Column = "text", size: int = 5, num: int = 80, den: int = 100, min_words: int = 8,
-    passage_words: int = 25, recall: float = 0.99,
+    passage_words: int = 25, recall: float = 0.99, rest_words: int = 10,
 ) -> DataFrame:
-    """A row for each paragraph that stands elsewhere too, in a passage of passage_words at least.
+    """A row for each paragraph, and each other run of words, that stands elsewhere too in a passage of passage_words at least.
 
     doc_id, start, end (bytes of the whole text), n_words, class_doc_id and class_start (the class's smallest occurrence),
     removed (false for that one). Paragraphs (see cut) are sets of distinct shingles of `size` words; those with
     den * |common| >= num * |union| are linked, classes are components of links. Bands and rows of the MinHash keys are
     tuned to the recall at the threshold. Neighbouring paragraphs with copies make a passage; shorter passages and
-    paragraphs of under min_words words are not reported. Null and empty texts have no paragraphs. A document given twice
+    paragraphs of under min_words words are not reported.
+
+    Every run of passage_words words and more that stands twice word for word, wherever in a line or across lines it
+    begins and ends, is reported as far as no reported paragraph covers it (see passages.outside): its words outside of
+    these, in stretches of rest_words and more where the paragraph ends with its line; a stretch that begins at a paragraph's end begins with the blank there.
+    class_start then is where the whole run starts in its smallest occurrence.
+
+    Null and empty texts have no paragraphs. A document given twice
     under one doc_id is one document; rows without doc_id are compared and reported with a null doc_id. Other columns
     play no part; an empty table gives no rows.
     """
@@ -113,8 +124,8 @@ def repeated(
                 odd = (np.bincount(bit, minlength=len(n) * _BITS) & 1).astype(np.uint8)
                 words_ = _BITS // 64
                 bits = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1, dtype=np.int32) * words_), pa.array(np.packbits(odd).view(np.int64)))
-                plain = [pa.array(found[c].astype(np.int64)) for c in ("first", "last", "order", "n_words")]
-                names_ = ["doc_id", "start", "end", "order", "n_words", "n", "h", "bits", "keys"]
+                plain = [pa.array(found[c].astype(np.int64)) for c in ("first", "last", "word", "inside", "order", "n_words")]
+                names_ = ["doc_id", "start", "end", "word", "inside", "order", "n_words", "n", "h", "bits", "keys"]
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(found["text"] + a)), *plain, pa.array(n), pa.array(names), bits, lists], names_)
 
     def items(texts: pa.Array) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -123,7 +134,7 @@ def repeated(
         return names, np.split(found["shingles"], begin[1:]) if len(begin) else []
 
     kind = docs.schema[doc_id].dataType.simpleString()
-    known = materialize(rows.mapInArrow(features, f"doc_id {kind}, start bigint, `end` bigint, `order` bigint, n_words bigint, n bigint, h bigint, bits array<bigint>, keys array<bigint>"))
+    known = materialize(rows.mapInArrow(features, f"doc_id {kind}, start bigint, `end` bigint, word bigint, inside bigint, `order` bigint, n_words bigint, n bigint, h bigint, bits array<bigint>, keys array<bigint>"))
     groups = cluster(rows, known, items, num, den, _BITS // 64)
     placed = known.drop("keys", "bits").join(groups, "h", "left").withColumn("class", F.coalesce("component", "h")).drop("component").distinct()
     placed = materialize(placed)
@@ -133,6 +144,7 @@ def repeated(
     islands = shared.withColumn("island", F.col("order") - F.row_number().over(near))
     whole = islands.withColumn("passage", F.sum("n_words").over(Window.partitionBy("doc_id", "island"))).filter(F.col("passage") >= passage_words)
     own = F.struct("doc_id", "start") == F.col("least")
-    return whole.select(
-        "doc_id", "start", "end", "n_words", F.col("least.doc_id").alias("class_doc_id"), F.col("least.start").alias("class_start"), (~own).alias("removed")
-    )
+    whole = materialize(whole.select(
+        "doc_id", "start", "end", "n_words", F.col("least.doc_id").alias("class_doc_id"), F.col("least.start").alias("class_start"), (~own).alias("removed"), "word", "inside"
+    ))
+    return whole.drop("word", "inside").unionByName(outside(rows, whole, passage_words, rest_words))

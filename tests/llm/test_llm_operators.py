@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from catalogflow.llm import decontaminate, jaccard, language, licenses, neighbours, packing, paragraphs, personal, secrets, suffixes
+from catalogflow.llm import decontaminate, jaccard, language, licenses, neighbours, packing, paragraphs, passages, personal, secrets, suffixes
 from catalogflow.llm.queries import byte_bpe
 
 ODD = [(None, None), ("", "x"), ("   \n\t ", "x"), ("12 ?!", "x")]
@@ -139,6 +139,46 @@ def test_passage_inside_other_text_is_found(spark, rng):
     assert paragraphs.repeated(table(spark, [])).count() == 0
 
 
+def test_inline_passages_are_found_whole(spark, rng):
+    words = made_up(rng, 4000)
+    texts, want = [], {}
+    for stops, n in [(0, 25), *((s, n) for s in range(7) for n in (50, 60, 80))]:
+        inner = prose(rng, n, words).split(" ")
+        for k in range(stops):
+            inner[n * (k + 1) // (stops + 1)] += '."' if k % 2 else "."
+        for _ in range(3):
+            before, after = (prose(rng, rng.randint(5, 60), words) for _ in "ab")
+            want[len(texts)] = set(range(len(before.split(" ")), len(before.split(" ")) + n))
+            texts.append(f"{before} {' '.join(inner)} {after}")
+    rows = paragraphs.repeated(table(spark, texts)).collect()
+    found = defaultdict(set)
+    for r in rows:
+        raw = texts[r.doc_id].encode()
+        first = len(raw[: r.start].split())
+        assert len(raw[r.start : r.end].split()) == r.n_words and not found[r.doc_id] & set(range(first, first + r.n_words))
+        found[r.doc_id] |= set(range(first, first + r.n_words))
+    for k, there in want.items():
+        assert found[k] == there, k
+        assert {r.removed for r in rows if r.doc_id == k} == {k % 3 != 0}
+
+
+def test_runs_of_words_against_all_pairs(spark, rng):
+    words = made_up(rng, 300)
+    shared = [prose(rng, n, words) for n in (24, 25, 26, 31, 70, 140)]
+    texts = [None, "", "a " * 90, *[f" {prose(rng, rng.randint(0, 40), words)}\n".join(rng.sample(shared, 3)) for _ in range(25)]]
+    grams = defaultdict(list)
+    for k, t in enumerate(texts):
+        w = (t or "").split()
+        for q in range(len(w) - 24):
+            grams[tuple(w[q : q + 25])].append((k, q))
+    want = {at: min(where) for where in grams.values() if len(where) > 1 for at in where}
+    got = {}
+    for r in passages.runs(table(spark, texts), 25).collect():
+        for i in range(r.n):
+            got[r.doc_id, r.q + i] = (r.cd, r.cq + i)
+    assert got == want and len(want) > 500
+
+
 # benchmark passages
 
 
