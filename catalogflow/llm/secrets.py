@@ -11,6 +11,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +32,12 @@ _RUN = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}")
 _LINES = re.compile(r"(?:[A-Za-z0-9+/_-]{60,76}\r?\n)+[A-Za-z0-9+/_-]{2,76}={0,2}")
 _IS_HEX = bytes(49 if c in b"0123456789abcdef" else 48 for c in range(256))
 _IS_RUN = bytes(49 if chr(c) in "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-" else 48 for c in range(256))
+_STRETCH = re.compile(
+    rb"(?:[\t\n\r\x20-\x7e]|[\xc2-\xdf][\x80-\xbf]|\xe0[\xa0-\xbf][\x80-\xbf]|[\xe1-\xec\xee\xef][\x80-\xbf]{2}|\xed[\x80-\x9f][\x80-\xbf]"
+    rb"|\xf0[\x90-\xbf][\x80-\xbf]{2}|[\xf1-\xf3][\x80-\xbf]{3}|\xf4[\x80-\x8f][\x80-\xbf]{2})+"
+)
+_SHORTEST = 16  # bytes of any secret
+_HEAD = re.compile(rb"(?=\x1f\x8b\x08|BZh[1-9]|\xfd7zXZ\x00|[\x08\x18\x28\x38\x48\x58\x68\x78][\x00-\xff])")
 _URL_SAFE = str.maketrans("-_", "+/")
 _CHUNK, _OVERLAP = 1 << 24, 1 << 16
 
@@ -122,51 +129,82 @@ def _readable(data: bytes) -> str | None:
     return text if text and odd <= len(text) // 20 else None
 
 
-def _inflated(data: bytes) -> tuple[str, Iterator[bytes]] | None:
-    """The kind of compression and its content in pieces of bounded size that overlap, or None."""
+def _stretches(data: bytes) -> Iterator[tuple[int, str]]:
+    """The text of some data with the byte where it begins: all of it, or the readable stretches that can hold a secret."""
+    whole = _readable(data)
+    if whole is not None:
+        yield 0, whole
+        return
+    for m in _STRETCH.finditer(data):
+        if m.end() - m.start() >= _SHORTEST:
+            yield m.start(), m[0].decode("utf-8")
+
+
+def _machine(data: bytes):
+    """The kind of compression that data begins with and a decompressor, or None."""
     if data[:2] == b"\x1f\x8b":
-        kind, machine = "gzip", zlib.decompressobj(47)
-    elif len(data) > 2 and data[0] & 15 == 8 and (data[0] << 8 | data[1]) % 31 == 0:
-        kind, machine = "zlib", zlib.decompressobj(47)
-    elif data[:3] == b"BZh":
-        kind, machine = "bzip2", bz2.BZ2Decompressor()
-    elif data[:6] == b"\xfd7zXZ\x00":
-        kind, machine = "xz", lzma.LZMADecompressor()
-    else:
-        return None
+        return "gzip", zlib.decompressobj(47)
+    if len(data) > 2 and data[0] & 15 == 8 and (data[0] << 8 | data[1]) % 31 == 0:
+        return "zlib", zlib.decompressobj(47)
+    if data[:3] == b"BZh":
+        return "bzip2", bz2.BZ2Decompressor()
+    if data[:6] == b"\xfd7zXZ\x00":
+        return "xz", lzma.LZMADecompressor()
+    return None
+
+
+def _heads(data: bytes) -> Iterator[int]:
+    """Where inside of data compressed data may begin."""
+    for m in _HEAD.finditer(data, 1):
+        part = data[m.start() : m.start() + 256]
+        found = _machine(part)
+        if found is not None:
+            try:
+                found[1].decompress(part)
+            except (zlib.error, OSError, EOFError, lzma.LZMAError):
+                continue
+            yield m.start()
 
-    def pieces() -> Iterator[bytes]:
-        rest, carried = data, b""
+
+def _inflated(machine, chunks: Iterator[bytes]) -> Iterator[bytes]:
+    """The content of compressed chunks, in pieces of _CHUNK at most; what comes before damage is kept."""
+    for rest in chunks:
         while True:
             try:
                 out = machine.decompress(rest, _CHUNK)
             except (zlib.error, OSError, EOFError, lzma.LZMAError):
-                out = b""
-            rest = getattr(machine, "unconsumed_tail", b"")
-            done = machine.eof or not out
+                return
             if out:
-                yield carried + out
-                carried = out[-_OVERLAP:] if len(out) == _CHUNK else b""
-            if done:
+                yield out
+            if machine.eof:
                 return
-
-    return kind, pieces()
+            rest = getattr(machine, "unconsumed_tail", b"")
+            if not out or not (rest or len(out) == _CHUNK):
+                break
 
 
 def _opened(data: bytes) -> Iterator[tuple[str, bytes]]:
-    """Data without its layers of compression; a self-containing archive ends the walk."""
-    work, seen = [("", data)], set()
-    while work:
-        path, part = work.pop()
-        mark = hashlib.blake2b(part, digest_size=16).digest()
+    """Data without its layers of compression, in pieces that overlap; a self-containing archive ends the walk.
+
+    A layer of more than one piece is read as a stream by the one below it.
+    """
+    path, seen, first, more = "", set(), data, iter(())
+    while (found := _machine(first)) is not None:
+        mark = hashlib.blake2b(first, digest_size=16).digest()
         if mark in seen:
-            continue
+            return
         seen.add(mark)
-        inner = _inflated(part)
-        if inner is None:
-            yield path, part
-        else:
-            work += [(f"{path}+{inner[0]}", piece) for piece in inner[1]]
+        path += "+" + found[0]
+        pieces = _inflated(found[1], chain([first], more))
+        first = next(pieces, None)
+        if first is None:
+            return
+        second = next(pieces, None)
+        more = iter(()) if second is None else chain([second], pieces)
+    carried = b""
+    for piece in chain([first], more):
+        yield path, carried + piece
+        carried = (carried + piece)[-_OVERLAP:]
 
 
 def _decoded(layer: Layer, data: bytes) -> Iterator[Layer]:
@@ -188,10 +226,8 @@ def _decoded(layer: Layer, data: bytes) -> Iterator[Layer]:
                 plain = base64.b64decode(body + "=" * (-len(body) % 4))
             except (binascii.Error, ValueError):
                 continue
-            for path, part in _opened(plain):
-                inner = _readable(part)
-                if inner is None:
-                    continue
+            heads = [0] if _machine(plain) is None and _readable(plain) is not None else [0, *_heads(plain)]  # and behind a prefix
+            for (path, part), (first, inner) in ((x, y) for h in heads for x in _opened(plain[h:]) if x[0] or not h for y in _stretches(x[1])):
                 if at is None:
                     at, to = layer.at()
                 name = "+".join(filter(None, [layer.path, "base64" + path]))
@@ -200,7 +236,7 @@ def _decoded(layer: Layer, data: bytes) -> Iterator[Layer]:
                     starts, ends = np.full(len(inner), at[where[0]]), np.full(len(inner), to[m.end() - 1])
                 else:
                     sizes = np.array([len(c.encode()) for c in inner])
-                    last = np.cumsum(sizes)
+                    last = first + np.cumsum(sizes)
                     starts = at[where[(last - sizes) * 8 // 6]]
                     ends = to[where[(last * 8 - 1) // 6]]
                 yield Layer(inner, starts, ends, name)
@@ -231,7 +267,7 @@ def scan(docs: DataFrame, text: str | Column = "text", out: str = "secrets") ->
     """All rows and columns of docs with an array of secrets: kind, start, end, base, path.
 
     Whole texts are scanned. Layers (URL escapes, Unicode escapes and wide forms, base64 runs, gzip, zlib, bzip2 and xz
-    inside base64) are unwrapped until nothing new appears; a layer met before at the same place is not repeated. Spans
+    inside base64) are unwrapped until nothing new appears, also where a run goes on before or after the encoded part; a layer met before at the same place is not repeated. Spans
     of inner layers are those of the characters that encode them, for compressed data the whole run. Base spans stay,
     whatever the layers add. Ordered by start, kind as in KINDS, end. Null and empty texts give an empty array; repeated
     rows equal ones; an empty table stays empty; a column named as the result is replaced.

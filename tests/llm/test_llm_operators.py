@@ -262,6 +262,28 @@ def test_nested_secrets_are_found_in_their_place(wrap):
     assert secrets.scan_text(f"çé before {wrap('nothing to see in here at all')} after") == []
 
 
+@pytest.mark.parametrize("before,after", [("https://x.com/cb/", ""), ("key-", ""), ("sess_id_", ""), ("", "/more"), ("a/", "-b_c"), ("", "")])
+@pytest.mark.parametrize("pack", [bytes, gzip.compress, zlib.compress])
+def test_encoded_secrets_beside_characters_of_the_alphabet(before, after, pack):
+    inner = base64.b64encode(pack(f"some words, then {SECRET}".encode())).decode().rstrip("=")
+    text = f"é {before}{inner}{after} end"
+    first = 2 + len(before)
+    found = [x for x in secrets.scan_text(text) if x[0] == "assign" and not x[3]]
+    assert found and all(a < first + len(inner) and b > first for _, a, b, _, _ in found)
+    if pack is bytes:
+        assert all(first <= a and b <= first + len(inner) for _, a, b, _, _ in found)
+
+
+def test_pieces_of_decompressed_data_are_read_on(monkeypatch):
+    monkeypatch.setattr(secrets, "_CHUNK", 500)
+    monkeypatch.setattr(secrets, "_OVERLAP", 100)
+    noise = np.random.default_rng(1).integers(0, 256, 3000, dtype=np.uint8).tobytes()
+    for lead in range(3):
+        long = ("x" * lead + "é€" * 300 + SECRET + "é€" * 300).encode()
+        for raw in (gzip.compress(long), gzip.compress(zlib.compress(base64.b64encode(noise) + long)), gzip.compress(gzip.compress(long))):
+            assert any(x[0] == "assign" for x in secrets.scan_text(base64.b64encode(raw).decode()))
+
+
 def test_secret_scan_ends_on_cycles_and_keeps_odd_rows(spark):
     layer = "x"
     for _ in range(6):
