@@ -9,11 +9,16 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from ..session import materialize
 from .arrays import with_arrow
 
-_U = np.uint64
+SAMPLE = 8192
 
 
 def hilbert(cells: np.ndarray, bits: int) -> np.ndarray:
-    """Place of each cell (rows of coordinates below 2**bits) on the Hilbert curve; dimensions times bits at most 63.
+    """Place of each cell (rows of coordinates below 2**bits) on the Hilbert curve; dimensions times bits at most 63."""
+    return _interleaved(_turned(cells, bits), bits, 0)
+
+
+def _turned(cells: np.ndarray, bits: int) -> np.ndarray:
+    """Coordinates whose interleaved bits are the place on the Hilbert curve.
 
     Coordinates are turned level by level from the coarsest, as each level's quadrant sets the curve's direction below
     it; the bits of all coordinates then interleave to the key.
@@ -32,14 +37,58 @@ def hilbert(cells: np.ndarray, bits: int) -> np.ndarray:
     turn = np.zeros(len(x), np.int64)
     for level in range(bits - 1, 0, -1):
         turn ^= np.where((x[:, -1] & (1 << level)) > 0, (1 << level) - 1, 0)
-    x ^= turn[:, None]
+    return x ^ turn[:, None]
+
+
+def _interleaved(x: np.ndarray, high: int, low: int) -> np.ndarray:
+    """The bits of all coordinates from below `high` down to `low`, level by level."""
     key = np.zeros(len(x), np.int64)
-    for level in range(bits - 1, -1, -1):
-        for d in range(dims):
+    for level in range(high - 1, low - 1, -1):
+        for d in range(x.shape[1]):
             key = (key << 1) | ((x[:, d] >> level) & 1)
     return key
 
 
+class Grid:
+    """Coordinates of projected vectors between 0 and 1, level with the share of a sample below them.
+
+    So a dense group takes as much room as it has vectors, and a few long vectors none of the others'. What lies beyond
+    the sample goes by the logarithm of its distance into the outer hundredths.
+    """
+
+    def __init__(self, projected: np.ndarray):
+        self.knots = [np.unique(c) for c in projected.T]
+        self.shares = [np.searchsorted(np.sort(c), k, side="right") / len(c) for c, k in zip(projected.T, self.knots, strict=True)]
+        self.wide = [max(float(k[-1] - k[0]), float(np.abs(k).max()) * 1e-9, 1e-300) for k in self.knots]
+
+    def at(self, projected: np.ndarray) -> np.ndarray:
+        out = np.empty(projected.shape)
+        for d, (knots, shares, wide) in enumerate(zip(self.knots, self.shares, self.wide, strict=True)):
+            x = projected[:, d]
+            with np.errstate(over="ignore"):
+                beyond = np.log2(1 + np.maximum(x - knots[-1], 0) / wide) - np.log2(1 + np.maximum(knots[0] - x, 0) / wide)
+            out[:, d] = 0.01 + 0.98 * np.interp(x, knots, shares) + 0.01 * np.clip(beyond / 1024, -1, 1)
+        return out
+
+
+def curve_keys(unit: np.ndarray, shift: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two words of the place on the Hilbert curve of a shifted grid: coarse, and fine within its cells."""
+    bits = min(26, 63 // unit.shape[1])
+    cells = ((unit * 0.75 + 0.25 * shift) * (1 << 2 * bits)).astype(np.int64)
+    turned = _turned(np.clip(cells, 0, (1 << 2 * bits) - 1), 2 * bits)
+    return _interleaved(turned, 2 * bits, bits), _interleaved(turned, bits, 0)
+
+
+def directions(size: int, curves: int, dims: int, seed: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Orthonormal directions, `dims` for each curve, and the shift of its grid."""
+    rng = np.random.default_rng(seed)
+    turns = []
+    while len(turns) < curves:
+        full = np.linalg.qr(rng.normal(size=(size, size)))[0]
+        turns += [full[:, a : a + dims] for a in range(0, max(1, size - dims + 1), dims)]
+    return [(t, rng.random(t.shape[1])) for t in turns[:curves]]
+
+
 def _matrix(vectors: pa.Array) -> np.ndarray:
     return np.asarray(vectors.flatten()).astype(np.float64).reshape(len(vectors), -1)
 
@@ -63,26 +112,27 @@ def _positions(rows: DataFrame, order: list[str], per_part: int, n: int) -> Data
 
 
 def search(
-    rows: DataFrame, queries: Column, k: int = 10, vec_id: str = "vec_id", vector: str = "embedding", curves: int = 16, dims: int = 6, bits: int = 8,
+    rows: DataFrame, queries: Column, k: int = 10, vec_id: str = "vec_id", vector: str = "embedding", curves: int = 16, dims: int = 6,
     window: int = 3000, block: int = 4096, seed: int = 11,
 ) -> DataFrame:
     """The k nearest rows found for each query row: query_id, rank from 1, vec_id, score (Euclidean distance).
 
     rows: every row is indexed; queries: a condition on vec_id. Each curve orders the distinct vectors by the Hilbert key
-    of a random projection to `dims` dimensions on a randomly shifted grid; the `window` vectors on either side of the
+    of a random projection to `dims` dimensions on a randomly shifted grid, level with the quantiles of SAMPLE vectors
+    (chosen by a hash) and of two 63-bit words, so that order within crowded cells goes by nearness too; the `window` vectors on either side of the
     query's place are candidates, reranked by exact distance in double precision. Equal vectors are one index entry with
     its k + 1 smallest ids, so copies neither crowd a window nor a task. Ties go to the smaller vec_id. The query's own
     id never is a result; a query has all candidates found if fewer than k. Rows with null id, rows repeated as a whole
-    and unusable vectors (null, zero, null or non-finite components, another length than the longest) take no part
+    and unusable vectors (null, zero, null or non-finite components, another length than the commonest) take no part
     or count once. An empty table gives no rows. Other columns play no part.
     """
     base = rows.select(F.col(vec_id).cast("bigint").alias("id"), F.col(vector).cast("array<double>").alias("v")).filter(usable("v") & F.col("id").isNotNull())
-    stats = base.agg(F.max(F.size("v")), F.avg(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))).first()
+    lengths = base.groupBy(F.size("v").alias("size")).count().orderBy(F.desc("count"), F.desc("size")).first()
     spark = rows.sparkSession
     out = T.StructType.fromDDL("query_id bigint, rank int, vec_id bigint, score double")
-    if stats[0] is None:
+    if lengths is None:
         return spark.createDataFrame([], out)
-    size, spread = int(stats[0]), float(stats[1] / stats[0]) ** 0.5
+    size = int(lengths[0])
     base = base.filter(F.size("v") == size)
     smallest = F.row_number().over(Window.partitionBy("v").orderBy("id"))
     kept = base.distinct().withColumn("place", smallest).filter(F.col("place") <= k + 1)
@@ -90,25 +140,22 @@ def search(
     n = entries.count()
     asked = materialize(base.filter(queries).distinct().join(entries.select("v", "entry"), "v").select(F.col("id").alias("query_id"), "entry"))
     wanted = asked.select("entry").distinct()
-    rng = np.random.default_rng(seed)
-    turns = []
-    while len(turns) < curves:  # orthonormal directions, `dims` for each curve
-        full = np.linalg.qr(rng.normal(size=(size, size)))[0]
-        turns += [full[:, a : a + dims] for a in range(0, max(1, size - dims + 1), dims)]
-    turns = [(t, rng.random(t.shape[1])) for t in turns[:curves]]
+    turns = directions(size, curves, dims, seed)
+    some = entries.select("v").orderBy(F.xxhash64("v"), "v").limit(max(256, min(SAMPLE, (1 << 23) // size))).toArrow()
+    some = _matrix(some["v"].combine_chunks())
+    grids = [Grid(some @ turn) for turn, _ in turns]
 
     def keys(vectors: pa.Array) -> pa.Array:
         x = _matrix(vectors)
-        every = []
-        for turn, shift in turns:
-            unit = (x @ turn / (8 * spread) + 0.5 + (shift - 0.5) / 4) * (1 << bits)  # four deviations to either side
-            every.append(hilbert(np.clip(unit, 0, (1 << bits) - 1).astype(np.int64), bits))
-        flat = np.stack(every, 1).reshape(-1) if len(x) else np.zeros(0, np.int64)
-        return pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * len(turns)), pa.array(flat))
-
-    keyed = with_arrow(entries.select("entry", "v"), "keys", [F.col("v")], "array<bigint>", keys)
-    spread_out = keyed.select("entry", F.col("v").cast("array<float>" if _is_float(rows, vector) else "array<double>").alias("v"), F.posexplode("keys").alias("curve", "key"))
-    placed = materialize(_positions(spread_out, ["curve", "key", "entry"], 50_000, n * curves))
+        both = [curve_keys(grid.at(x @ turn), shift) for (turn, shift), grid in zip(turns, grids, strict=True)]
+        ends = pa.array(np.arange(len(x) + 1, dtype=np.int32) * len(turns))
+        flat = [pa.array(np.stack([w[k] for w in both], 1).reshape(-1) if len(x) else np.zeros(0, np.int64)) for k in (0, 1)]
+        return pa.ListArray.from_arrays(ends, pa.StructArray.from_arrays(flat, ["key", "fine"]))
+
+    keyed = with_arrow(entries.select("entry", "v"), "keys", [F.col("v")], "array<struct<key bigint, fine bigint>>", keys)
+    spread_out = keyed.select("entry", F.col("v").cast("array<float>" if _is_float(rows, vector) else "array<double>").alias("v"), F.posexplode("keys").alias("curve", "at"))
+    spread_out = spread_out.select("entry", "v", "curve", "at.key", "at.fine")
+    placed = materialize(_positions(spread_out, ["curve", "key", "fine", "entry"], 50_000, n * curves))
     placed = placed.withColumn("block", F.floor(F.col("position") / block))
     low = F.greatest(F.col("curve") * F.lit(n), F.col("position") - window)
     high = F.least((F.col("curve") + 1) * F.lit(n) - 1, F.col("position") + window)

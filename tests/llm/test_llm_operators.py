@@ -337,6 +337,22 @@ def F_mod(n):
     return F.col("id") % n == 0
 
 
+def test_neighbours_in_a_dense_group_beside_long_vectors(spark):
+    rng = np.random.default_rng(4)
+    hot = rng.normal(size=16) + 1e-4 * rng.normal(size=(3000, 16))
+    x = np.concatenate([hot, rng.normal(size=(600, 16)), np.eye(16)[:1] * 1e6])
+    rows = [(int(k), x[i].tolist()) for i, k in enumerate(rng.permutation(len(x)))] + [(9000, [1.0] * 40)]
+    ids = np.array([r[0] for r in rows[:-1]])
+    got = defaultdict(set)
+    for r in neighbours.search(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"), F_mod(20), window=100, block=512).collect():
+        got[r.query_id].add(r.vec_id)
+    hits = total = 0
+    for i in np.flatnonzero(ids % 20 == 0):
+        near = np.argsort(((x - x[i]) ** 2).sum(1))[1:11]
+        hits, total = hits + len(got[int(ids[i])] & set(ids[near].tolist())), total + 10
+    assert hits / total >= 0.9
+
+
 def test_neighbours_of_few_rows(spark):
     assert neighbours.search(spark.createDataFrame([], "vec_id bigint, embedding array<float>"), F_mod(1)).count() == 0
     two = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 1.0])], "vec_id bigint, embedding array<float>")
