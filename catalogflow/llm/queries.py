@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import read_table
-from . import decontaminate, jaccard, language, licenses, neighbours, packing, paragraphs, personal, secrets, suffixes
+from . import decontaminate, jaccard, language, licenses, neighbours, packing, paragraphs, personal, quality, quality_sql, secrets, suffixes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -108,3 +108,10 @@ def op8_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     base = F.filter("personal", lambda s: s["base"])
     counts = [counted(base, k).alias(f"n_{k}") for k in personal.KINDS]
     return found.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("personal")).alias("spans"))
+
+
+@query("op13_quality_rules", quality_sql.SQL)
+def op13_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    found = quality.clean(read_table(spark, folder, "documents").select("doc_id", "text"))
+    wanted = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    return found.select("doc_id", *[f"quality.{c}" for c in wanted])
