@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import read_table
-from . import decontaminate, jaccard, language, licenses, neighbours, packing, paragraphs, personal, quality, quality_sql, secrets, suffixes
+from . import decontaminate, jaccard, language, licenses, negatives, neighbours, packing, paragraphs, personal, quality, quality_sql, secrets, suffixes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -115,3 +115,34 @@ def op13_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     found = quality.clean(read_table(spark, folder, "documents").select("doc_id", "text"))
     wanted = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
     return found.select("doc_id", *[f"quality.{c}" for c in wanted])
+
+
+OP12_SQL = """
+WITH r AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+s AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id AS id, a.label = c.label AS same,
+    CAST(list_sum(list_transform(range(1, len(a.q) + 1), lambda i: a.q[i] * c.q[i])) AS BIGINT) AS score
+  FROM r a JOIN r c ON a.vec_id % 50 = 0 AND a.vec_id <> c.vec_id AND len(a.q) = len(c.q)
+),
+p AS (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) AS place FROM s WHERE same),
+n AS (
+  SELECT p.anchor_id, p.id AS positive_id, p.score AS positive_score, s.id AS negative_id, s.score AS negative_score,
+    row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY s.score DESC, s.id) AS rank
+  FROM p JOIN s ON p.anchor_id = s.anchor_id AND p.place <= 5 AND NOT s.same
+    AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score
+)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3
+"""
+
+
+@query("op12_hard_negatives", OP12_SQL)
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    rows = negatives.prepared(read_table(spark, folder, "embeddings"))
+    moved = F.when(F.col("id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(rows.withColumn("label", moved), F.col("id") % 50 == 0)

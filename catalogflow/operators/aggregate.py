@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.values import blank_array, blank_text
-from .order import ROWS_PER_BUCKET, Running, group_position, nest, running_values
+from .order import Running, group_position, nest, running_values
 
 
 def _pick(df: DataFrame, key: list[str], order: list[str], chooser) -> DataFrame:
@@ -26,7 +26,7 @@ def first_wins(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
 
 
 def group_families(
-    df: DataFrame, title: str, order: list[str], rows_per_bucket: int = ROWS_PER_BUCKET
+    df: DataFrame, title: str, order: list[str], parts: int | None = None
 ) -> DataFrame:
     """Rows with a title, with their family's first position and their own position in the family."""
     named = df.withColumn("family", F.trim(F.col(title))).filter(~blank_text(F.col("family")))
@@ -35,7 +35,7 @@ def group_families(
         ["family"],
         order,
         [Running("member_pos", F.lit(1).cast("bigint")), Running("family_first", F.struct(*order), "first")],
-        rows_per_bucket,
+        parts,
     )
 
 

@@ -14,7 +14,7 @@ from ..functions.text import bullet_points, fix_description, squeeze_ws, text_on
 from ..functions.urls import dedupe_urls, https_url, strip_query
 from ..functions.values import blank_array, blank_text, let
 from .aggregate import first_wins, last_wins
-from .order import ROWS_PER_BUCKET, group_position
+from .order import group_position
 
 
 def manufacturer_record(homepage: str, known: bool = True) -> Column:
@@ -133,7 +133,7 @@ def family_key(df: DataFrame, column: str, item: str) -> Column:
 
 
 def family_join(
-    df: DataFrame, item: str, parent: str, order: str, rows_per_bucket: int = ROWS_PER_BUCKET
+    df: DataFrame, item: str, parent: str, order: str, parts: int | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """(families, orphans). Families: every row with family, is_child and family_pos (parent first, then input order).
 
@@ -145,7 +145,7 @@ def family_join(
     child = F.col("is_child") == 1
     orphans = tagged.filter(child).join(parents, F.col("family") == F.col("__p"), "left_anti")
     kept = tagged.join(parents, F.col("family") == F.col("__p"), "left_semi")
-    placed = group_position(kept, ["family"], ["is_child", order], "family_pos", rows_per_bucket)
+    placed = group_position(kept, ["family"], ["is_child", order], "family_pos", parts)
     return placed, orphans.drop("family", "is_child")
 
 
@@ -193,7 +193,7 @@ def unmapped_colors(products: DataFrame, categories: DataFrame, order: list[str]
 
 def gallery_by_color(
     variants: DataFrame, portal_images: DataFrame, public_images: DataFrame, product: str, title: str,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
+    parts: int | None = None,
 ) -> DataFrame:
     """Gallery of a product by color: own portal images, then hero and lifestyle images, numbered through.
 
@@ -210,14 +210,14 @@ def gallery_by_color(
         [product, "color", "__low"],
         ["ord"],
     )
-    own = group_position(own, [product, "color"], ["ord", "__low"], "counter", rows_per_bucket)
+    own = group_position(own, [product, "color"], ["ord", "__low"], "counter", parts)
     shared = public_images.withColumn("url", strip_query(F.col("url"), keep_fragment=True)).filter("url != ''").withColumns(
         {"__low": F.lower("url"), "__kind": F.when(F.col("kind") == "hero", 1).otherwise(2)}
     )
     shared = first_wins(shared, [product, "__low"], ["__kind", "ord"]).join(
         own.select(product, "__low").distinct(), [product, "__low"], "left_anti"
     )
-    shared = group_position(shared, [product, "__kind"], ["ord", "__low"], "counter", rows_per_bucket)
+    shared = group_position(shared, [product, "__kind"], ["ord", "__low"], "counter", parts)
     of_color = own.select(product, "color", "url", F.lit(0).alias("__kind"), "counter").join(colors, [product, "color"])
     for_all = shared.select(product, "url", "__kind", "counter").join(colors, product)
     every = of_color.unionByName(for_all)
@@ -227,7 +227,7 @@ def gallery_by_color(
         .when(F.col("__kind") == 1, lifestyle_alt(F.col("__title"), F.lit("Hero")))
         .otherwise(lifestyle_alt(F.col("__title"), F.concat(F.lit("Lifestyle "), number)))
     )
-    placed = group_position(every, [product], ["color_ord", "__kind", "counter"], "position", rows_per_bucket)
+    placed = group_position(every, [product], ["color_ord", "__kind", "counter"], "position", parts)
     return placed.select(
         product,
         "position",

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.values import blank_text
 from ..session import materialize, reusable
 from .aggregate import last_wins
-from .order import ROWS_PER_BUCKET, group_position
+from .order import group_position
 
 
 def _with_key(df: DataFrame, id_col: str) -> DataFrame:
@@ -140,7 +140,7 @@ def upsert(existing: DataFrame, new: DataFrame, key: list[str], order: str) -> D
 
 
 def merge_variants(
-    inputs: DataFrame, existing: DataFrame, generated: DataFrame, product: str, rows_per_bucket: int = ROWS_PER_BUCKET
+    inputs: DataFrame, existing: DataFrame, generated: DataFrame, product: str, parts: int | None = None
 ) -> DataFrame:
     """Final variants of every product in input order: (product, position, source, color, unit, sku).
 
@@ -169,9 +169,9 @@ def merge_variants(
     spare_old = last_wins(existing, key, ["ord"]).select(*key, F.lit("existing").alias("source"), "sku", F.col("ord").alias("rank"))
     spare = spare_new.unionByName(spare_old).join(claimed, [*key, "source"], "left_anti")
     spare = spare.withColumn("tier", F.when(F.col("source") == "generated", 0).otherwise(1))
-    spare = group_position(spare, [product, "color"], ["tier", "rank", "unit"], "slot", rows_per_bucket)
+    spare = group_position(spare, [product, "color"], ["tier", "rank", "unit"], "slot", parts)
     unitless = inputs.filter(F.col("unit").isNull() & ~blank_text(F.col("color"))).select(product, "ord", "color")
-    unitless = group_position(unitless, [product, "color"], ["ord"], "slot", rows_per_bucket)
+    unitless = group_position(unitless, [product, "color"], ["ord"], "slot", parts)
     taken = unitless.join(spare, [product, "color", "slot"]).select(
         product, F.lit(0).alias("stage"), "ord", "source", "color", "unit", "sku"
     )
@@ -181,7 +181,7 @@ def merge_variants(
         .select(product, F.lit(1).alias("stage"), F.col("rank").alias("ord"), "source", "color", "unit", "sku")
     )
     every = keyed.unionByName(taken).unionByName(left_over)
-    placed = group_position(every, [product], ["stage", "ord", "color", "unit"], "position", rows_per_bucket)
+    placed = group_position(every, [product], ["stage", "ord", "color", "unit"], "position", parts)
     return placed.select(product, "position", "source", "color", "unit", "sku")
 
 

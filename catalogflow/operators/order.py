@@ -1,10 +1,10 @@
-"""Order as data: positions, running values and forward fill over inputs of any size and any skew.
+"""Order as data: positions and running values over inputs of any size and any skew.
 
-Input order is part of the meaning (slices, first and last wins, numbering). A window over one big group, or
-over no group at all, would put that group in one task. Here rows are cut into range buckets by fixed literal
-bounds of (group, order), so even a single group is spread over many tasks. Each bucket is scanned by a window
-of its own, and what earlier buckets hold of the same group comes in through a small table with one row per
-bucket. Bounds are plain values in the plan, so a recomputed partition lands on the same rows.
+Input order is part of the meaning (slices, first and last wins, numbering). A window over one big group, or over no
+group at all, would put that group in one task. Here rows are range-partitioned by (group, order), so even a single
+group is spread over many partitions. Every partition is scanned by itself; what earlier partitions hold of the group a
+partition begins with comes in through a table with one row per partition, summed in two levels: within runs of
+partitions, and over these runs. The plan is the same for every size.
 """
 
 from __future__ import annotations
@@ -13,17 +13,15 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..session import reusable
+from ..session import materialize
 
-ROWS_PER_BUCKET = 250_000
-MAX_BUCKETS = 4096
-_SAMPLED_KEYS_PER_BUCKET = 16
-_BUCKET = "__bucket"
+RUN = 256  # partitions whose totals are summed by one window
+_PART, _RUN, _GROUP, _AT, _ROW = "__part", "__run", "__group", "__at", "__row"
 
 
 @dataclass
 class Running:
-    """A running value per group in order. kind: sum, max, last (last non-null), first (first non-null)."""
+    """A running value per group in order. kind: sum, max, xor, last (last non-null), first (first non-null)."""
 
     name: str
     value: Column
@@ -34,6 +32,8 @@ class Running:
 def _combine(kind: str, before: Column, here: Column) -> Column:
     if kind == "sum":
         return F.coalesce(before + here, here, before)
+    if kind == "xor":
+        return F.coalesce(before.bitwiseXOR(here), here, before)
     if kind == "max":
         return F.greatest(before, here)
     if kind == "last":
@@ -44,151 +44,102 @@ def _combine(kind: str, before: Column, here: Column) -> Column:
 def _window_value(kind: str, value: Column) -> Column:
     return {
         "sum": lambda: F.sum(value),
+        "xor": lambda: F.bit_xor(value),
         "max": lambda: F.max(value),
         "last": lambda: F.last(value, ignorenulls=True),
         "first": lambda: F.first(value, ignorenulls=True),
     }[kind]()
 
 
-def _bucket_total(kind: str, value: Column, order: Column) -> Column:
-    if kind == "sum":
-        return F.sum(value)
-    if kind == "max":
-        return F.max(value)
-    filled = F.when(value.isNotNull(), order)
-    return F.max_by(value, filled) if kind == "last" else F.min_by(value, filled)
-
-
-def _bounds(df: DataFrame, keys: list[str], buckets: int, rows: int) -> list:
-    """Evenly spaced key values from a hash sample: at most buckets * 16 small rows reach the driver."""
-    wanted = buckets * _SAMPLED_KEYS_PER_BUCKET
-    step = max(1, rows // wanted)
-    sample = df.select(*keys).filter(F.pmod(F.xxhash64(*keys), F.lit(step)) == 0)
-    ordered = sample.orderBy(*keys).limit(wanted * 4).collect()
-    if not ordered:  # a sample of some 16 keys per bucket came out empty: any keys are valid bounds
-        ordered = df.select(*keys).orderBy(*keys).limit(wanted).collect()
-    gap = max(1, len(ordered) // buckets)
-    return ordered[gap::gap][: buckets - 1]
-
-
-def _literal_struct(row, df: DataFrame, keys: list[str]) -> Column:
-    return F.struct(*[F.lit(row[k]).cast(df.schema[k].dataType).alias(k) for k in keys])
-
-
-def _key_struct(keys: list[str]) -> Column:
-    return F.struct(*[F.col(k).alias(k) for k in keys])
-
-
-def _search(bounds: Column, count: int, key: Column) -> Column:
-    """Number of bounds not above the key, by binary search over the sorted literal array."""
-    steps, size = [], 1
-    while size <= count:
-        steps.insert(0, size)
-        size *= 2
-    return F.aggregate(
-        F.array(*[F.lit(s) for s in steps]),
-        F.lit(0),
-        lambda low, step: F.when(
-            (low + step <= count) & (F.get(bounds, low + step - 1) <= key), low + step
-        ).otherwise(low),
-    )
+def _total(kind: str, value: Column, order: Column) -> Column:
+    if kind in ("last", "first"):
+        filled = F.when(value.isNotNull(), order)
+        return F.max_by(value, filled) if kind == "last" else F.min_by(value, filled)
+    return _window_value(kind, value)
 
 
-def running_values(
-    df: DataFrame,
-    group: list[str],
-    order: list[str],
-    values: list[Running],
-    rows_per_bucket: int = ROWS_PER_BUCKET,
-) -> DataFrame:
+def _struct(keys: list[str]) -> Column:
+    return F.struct(*[F.col(k).alias(k) for k in keys]) if keys else F.struct(F.lit(0).alias("all"))
+
+
+def _partitions(df: DataFrame, parts: int | None) -> int:
+    return parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _carried(ends: DataFrame, kinds: dict[str, str]) -> DataFrame:
+    """What the partitions before hold of the group a partition begins with: a row per partition, none for a first one.
+
+    ends: a row per partition with _PART, head (its first group), tail (its last) and the tail's totals.
+    """
+    tails = ends.select(F.col("tail").alias(_GROUP), (F.col(_PART) * 2 + 1).alias(_AT), *kinds)
+    heads = ends.select(F.col("head").alias(_GROUP), (F.col(_PART) * 2).alias(_AT))
+    events = tails.unionByName(heads, allowMissingColumns=True).withColumn(_RUN, F.floor(F.col(_AT) / (2 * RUN)))
+    before = Window.partitionBy(_GROUP, _RUN).orderBy(_AT).rowsBetween(Window.unboundedPreceding, -1)
+    within = events.withColumns({n: _window_value(k, F.col(n)).over(before) for n, k in kinds.items()}).filter(F.col(_AT) % 2 == 0)
+
+    runs = events.groupBy(_GROUP, _RUN).agg(*[_total(k, F.col(n), F.col(_AT)).alias(n) for n, k in kinds.items()])
+    upto = events.filter(F.col(_AT) % 2 == 0).groupBy(F.col(_GROUP).alias("__of")).agg(F.max(_RUN).alias("__upto"))
+    later = runs.join(upto, (F.col(_GROUP).eqNullSafe(F.col("__of"))) & (F.col("__upto") > F.col(_RUN)))
+    spread = later.withColumn("__to", F.explode(F.sequence(F.col(_RUN) + 1, F.col("__upto"))))
+    over = spread.groupBy("__of", "__to").agg(*[_total(k, F.col(n), F.col(_RUN)).alias(f"__over_{n}") for n, k in kinds.items()])
+    both = within.join(over, F.col(_GROUP).eqNullSafe(F.col("__of")) & (F.col(_RUN) == F.col("__to")), "left")
+    return both.select(
+        (F.col(_AT) / 2).cast("int").alias(_PART), F.col(_GROUP),
+        *[_combine(k, F.col(f"__over_{n}"), F.col(n)).alias(f"__before_{n}") for n, k in kinds.items()],
+    )
+
+
+def running_values(df: DataFrame, group: list[str], order: list[str], values: list[Running], parts: int | None = None) -> DataFrame:
     """Add running values per group in ascending order. (group, order) must identify a row.
 
-    Costs one pass over the key columns to count and place the bounds, one to total the buckets, and one range
-    shuffle of the rows; inputs that fit one bucket skip all but the window. An input that is more than a scan is
-    written once to the shared folder first, so these passes do not repeat its joins.
+    Costs a range shuffle of the rows (whose sampling reads their source once more) and one by (partition, group). The
+    result of both is written to the shared folder, so that what follows sees the very same partitions. parts: range partitions,
+    by default the session's number of shuffle partitions.
     """
     keys = [*group, *order]
-    df = reusable(df)
-    rows = df.count()
-    buckets = min(MAX_BUCKETS, -(-rows // rows_per_bucket))
-    found = _bounds(df, keys, buckets, rows) if buckets > 1 else []
-    frame_end = {False: Window.currentRow, True: -1}
-
-    def windowed(data: DataFrame, partition: list[Column]) -> DataFrame:
-        base = Window.partitionBy(*partition).orderBy(*order)
-        return data.withColumns(
-            {
-                v.name: _window_value(v.kind, v.value).over(
-                    base.rowsBetween(Window.unboundedPreceding, frame_end[v.exclude_current])
-                )
-                for v in values
-            }
-        )
-
-    if not found:
-        return windowed(df, [F.col(g) for g in group] or [F.lit(0)])
-
-    bounds = F.array(*[_literal_struct(row, df, keys) for row in found])
-    bucketed = df.withColumn(_BUCKET, _search(bounds, len(found), _key_struct(keys)))
-    groups = (
-        F.array(*[_literal_struct(row, df, group) for row in found])
-        if group
-        else F.array_repeat(F.struct(F.lit(0).alias("g")), len(found))
-    )
-    own = _key_struct(group) if group else F.struct(F.lit(0).alias("g"))
-
-    # what each bucket holds of the group that runs on into the next bucket: one row per bucket
-    running_on = bucketed.filter(own.eqNullSafe(F.get(groups, F.col(_BUCKET))))
-    totals = running_on.groupBy(_BUCKET).agg(
-        *[_bucket_total(v.kind, v.value, _key_struct(order)).alias(v.name) for v in values]
-    )
-    # at most MAX_BUCKETS rows, so this window and the broadcast below are bounded by a constant
-    upto = Window.partitionBy(F.get(groups, F.col(_BUCKET))).orderBy(_BUCKET).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    carried = totals.select(
-        (F.col(_BUCKET) + 1).alias(_BUCKET),
-        *[_window_value(v.kind, F.col(v.name)).over(upto).alias(f"__before_{v.name}") for v in values],
-    )
-    local = windowed(bucketed, [F.col(_BUCKET), *[F.col(g) for g in group]])
-    joined = local.join(F.broadcast(carried), _BUCKET, "left")
-    continues = (F.col(_BUCKET) > 0) & own.eqNullSafe(F.get(groups, F.col(_BUCKET) - 1))
-    return joined.withColumns(
-        {
-            v.name: _combine(v.kind, F.when(continues, F.col(f"__before_{v.name}")), F.col(v.name))
-            for v in values
-        }
-    ).drop(_BUCKET, *[f"__before_{v.name}" for v in values])
-
-
-def distributed_sequence(
-    df: DataFrame, order: list[str], name: str = "seq", rows_per_bucket: int = ROWS_PER_BUCKET
-) -> DataFrame:
-    """Contiguous 0-based position of every row in the given order (which must be unique)."""
-    counted = running_values(df, [], order, [Running(name, F.lit(1).cast("bigint"))], rows_per_bucket)
-    return counted.withColumn(name, F.col(name) - 1)
+    ranged = df.repartitionByRange(_partitions(df, parts), *keys).withColumn(_PART, F.spark_partition_id())
+    base = Window.partitionBy(_PART, *group).orderBy(*order)
+    here = base.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    earlier = base.rowsBetween(Window.unboundedPreceding, -1)
+    found = {v.name: _window_value(v.kind, v.value).over(earlier if v.exclude_current else here) for v in values}
+    whole = {f"__upto_{v.name}": _window_value(v.kind, v.value).over(here) for v in values if v.exclude_current}
+    local = materialize(ranged.withColumns(found | whole))
+
+    totals = [F.col(f"__upto_{v.name}" if v.exclude_current else v.name).alias(v.name) for v in values]
+    last = F.max_by(F.struct(_struct(group).alias("tail"), *totals), _struct(keys))
+    ends = local.groupBy(_PART).agg(F.min_by(_struct(group), _struct(keys)).alias("head"), last.alias("last")).select(_PART, "head", "last.*")
+    carried = F.broadcast(_carried(ends, {v.name: v.kind for v in values}))  # at most a row per partition
+    joined = local.join(carried, _PART, "left")
+    continues = _struct(group).eqNullSafe(F.col(_GROUP))
+    whole_value = {v.name: _combine(v.kind, F.when(continues, F.col(f"__before_{v.name}")), F.col(v.name)) for v in values}
+    return joined.withColumns(whole_value).drop(_PART, _GROUP, *whole, *[f"__before_{v.name}" for v in values])
+
+
+def distributed_sequence(df: DataFrame, order: list[str], name: str = "seq", parts: int | None = None) -> DataFrame:
+    """Contiguous 0-based position of every row in the given order (which must be unique).
+
+    One range shuffle: rows are counted within their sorted partitions, and the partitions' counts are summed.
+    """
+    placed = df.repartitionByRange(_partitions(df, parts), *order).sortWithinPartitions(*order)
+    placed = placed.withColumn(_ROW, F.monotonically_increasing_id())  # partition in the upper bits, place within it below
+    local = materialize(placed.withColumns({_PART: F.shiftright(_ROW, 33).cast("int"), name: F.col(_ROW).bitwiseAND((1 << 33) - 1)}).drop(_ROW))
+    ends = local.groupBy(_PART).agg(F.count(F.lit(1)).alias(name)).select(_PART, _struct([]).alias("head"), _struct([]).alias("tail"), name)
+    carried = F.broadcast(_carried(ends, {name: "sum"}).drop(_GROUP))  # at most a row per partition
+    total = F.col(name) + F.coalesce(F.col(f"__before_{name}"), F.lit(0))
+    return local.join(carried, _PART, "left").withColumn(name, total).drop(_PART, f"__before_{name}")
 
 
-def group_position(
-    df: DataFrame, group: list[str], order: list[str], name: str = "pos", rows_per_bucket: int = ROWS_PER_BUCKET
-) -> DataFrame:
+def group_position(df: DataFrame, group: list[str], order: list[str], name: str = "pos", parts: int | None = None) -> DataFrame:
     """1-based position of every row inside its group; a group may be larger than a task."""
-    return running_values(df, group, order, [Running(name, F.lit(1).cast("bigint"))], rows_per_bucket)
-
-
-def forward_fill(
-    df: DataFrame, group: list[str], order: list[str], fills: dict[str, Column], rows_per_bucket: int = ROWS_PER_BUCKET
-) -> DataFrame:
-    """Latest non-null value so far, per group."""
-    return running_values(df, group, order, [Running(n, c, "last") for n, c in fills.items()], rows_per_bucket)
+    return running_values(df, group, order, [Running(name, F.lit(1).cast("bigint"))], parts)
 
 
 def record_range(
-    df: DataFrame, order: list[str], start: int | None, end: int | None, rows_per_bucket: int = ROWS_PER_BUCKET
+    df: DataFrame, order: list[str], start: int | None, end: int | None, parts: int | None = None
 ) -> DataFrame:
     """1-based inclusive slice of the ordered rows; a blank or bad start means the first row."""
     first = start if start and start >= 1 else 1
-    numbered = distributed_sequence(df, order, "__seq", rows_per_bucket)
+    numbered = distributed_sequence(df, order, "__seq", parts)
     kept = numbered.filter(F.col("__seq") >= first - 1)
     if end:
         kept = kept.filter(F.col("__seq") <= end - 1)
@@ -196,10 +147,10 @@ def record_range(
 
 
 def split_batches(
-    df: DataFrame, size: int, order: list[str], rows_per_bucket: int = ROWS_PER_BUCKET
+    df: DataFrame, size: int, order: list[str], parts: int | None = None
 ) -> DataFrame:
     """Batch number (from 1) and its zero-padded label for `size` rows per batch, in order."""
-    numbered = distributed_sequence(df, order, "__seq", rows_per_bucket)
+    numbered = distributed_sequence(df, order, "__seq", parts)
     batches = df.agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / size)).alias("n")).scalar()
     digits = F.greatest(F.lit(3), F.length(batches.cast("string")))
     return (
@@ -216,13 +167,13 @@ def nest(
     item: Column,
     name: str = "items",
     max_items: int = 1000,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
+    parts: int | None = None,
 ) -> DataFrame:
     """Rows of a key as ordered arrays of at most `max_items`: (key.., part, items).
 
     A key that outgrows one array goes on in part 1, 2, ..; nothing is dropped and no task holds a whole hot key.
     """
-    placed = group_position(df, key, order, "__pos", rows_per_bucket)
+    placed = group_position(df, key, order, "__pos", parts)
     return (
         placed.groupBy(*key, F.floor((F.col("__pos") - 1) / max_items).alias("part"))
         .agg(F.array_sort(F.collect_list(F.struct(F.col("__pos").alias("pos"), item.alias("item")))).alias("__sorted"))
@@ -256,11 +207,11 @@ def sku_base(registry: DataFrame, start: int) -> DataFrame:
 
 
 def allocate_skus(
-    df: DataFrame, registry: DataFrame, order: list[str], start: int, rows_per_bucket: int = ROWS_PER_BUCKET
+    df: DataFrame, registry: DataFrame, order: list[str], start: int, parts: int | None = None
 ) -> DataFrame:
     """A new, unique, ascending text number per row; gaps in the registry are not refilled."""
     base = sku_base(registry, start).select("next_auto_sku").scalar()
-    numbered = distributed_sequence(df, order, "__seq", rows_per_bucket)
+    numbered = distributed_sequence(df, order, "__seq", parts)
     return numbered.withColumn("sku", (base + F.col("__seq")).cast("string")).drop("__seq")
 
 
@@ -271,7 +222,7 @@ def mark_used(registry: DataFrame, used: DataFrame) -> DataFrame:
 
 
 def search_breaker(
-    df: DataFrame, group: list[str], order: list[str], failed: Column, n: int, rows_per_bucket: int = ROWS_PER_BUCKET
+    df: DataFrame, group: list[str], order: list[str], failed: Column, n: int, parts: int | None = None
 ) -> DataFrame:
     """disabled = the search path was already off when the row ran: n failures in a row came before, no reset after.
 
@@ -283,10 +234,10 @@ def search_breaker(
         group,
         order,
         [Running("__pos", F.lit(1).cast("bigint"))],
-        rows_per_bucket,
+        parts,
     )
     ran = running_values(
-        placed, group, order, [Running("__last_ok", F.when(~F.col("__failed"), F.col("__pos")), "max")], rows_per_bucket
+        placed, group, order, [Running("__last_ok", F.when(~F.col("__failed"), F.col("__pos")), "max")], parts
     )
     ran = ran.withColumn("failures", F.col("__pos") - F.coalesce(F.col("__last_ok"), F.lit(0)))
     tripped = ran.filter(F.col("failures") >= n)
@@ -306,7 +257,7 @@ def log_context(
     product_marker: Column,
     color_marker: Column,
     used: Column,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
+    parts: int | None = None,
 ) -> DataFrame:
     """Carry the latest product and color markers down; a color is spent once a line uses it."""
     marker = F.when(color_marker.isNotNull(), F.struct(color_marker.alias("color"))).when(
@@ -320,7 +271,7 @@ def log_context(
             Running("product", F.col("__product"), "last"),
             Running("__color", F.col("__marker"), "last", exclude_current=True),
         ],
-        rows_per_bucket,
+        parts,
     )
     color = F.coalesce(color_marker, F.col("__color.color"))
     return carried.withColumn("color", color).drop("__product", "__marker", "__color")

@@ -20,7 +20,7 @@ from ..session import materialize
 from .aggregate import default_options, option_title, option_values
 from .checks import variant_unit
 from .lookup import gallery_by_color, variant_image_lookup
-from .order import ROWS_PER_BUCKET, allocate_skus, group_position, nest
+from .order import allocate_skus, group_position, nest
 
 OPTIONS = ["option_1", "option_2", "option_3", "option_4"]
 
@@ -153,7 +153,7 @@ class FamilyProducts:
     data_columns: list[str]
     vendor: str
     max_items: int = 1000
-    rows_per_bucket: int = ROWS_PER_BUCKET
+    parts: int | None = None
 
     @cached_property
     def variants(self) -> DataFrame:
@@ -197,26 +197,26 @@ class FamilyProducts:
         """(family, part, product as JSON text)."""
         self.__dict__["variants"] = materialize(self.variants)
         return pack_products(
-            self.head, self.variants, self.options, self.images, self.videos, self.max_items, self.rows_per_bucket
+            self.head, self.variants, self.options, self.images, self.videos, self.max_items, self.parts
         )
 
 
 def pack_products(
     head: DataFrame, variants: DataFrame, options: DataFrame, images: DataFrame, videos: DataFrame | None,
-    max_items: int = 1000, rows_per_bucket: int = ROWS_PER_BUCKET,
+    max_items: int = 1000, parts: int | None = None,
 ) -> DataFrame:
     """(family, part, product as JSON text). Part 0 carries the head; lists longer than max_items go on in further parts."""
-    v = nest(variants, ["family"], ["position"], variant_struct(), "variants", max_items, rows_per_bucket)
-    values = nest(options, ["family", "slot", "name"], ["value_pos"], F.col("value"), "values", max_items, rows_per_bucket)
+    v = nest(variants, ["family"], ["position"], variant_struct(), "variants", max_items, parts)
+    values = nest(options, ["family", "slot", "name"], ["value_pos"], F.col("value"), "values", max_items, parts)
     # at most four slots per family and part
     o = values.groupBy("family", "part").agg(
         F.array_sort(F.collect_list(F.struct(F.col("slot").alias("position"), "name", "values"))).alias("options")
     )
-    i = nest(images, ["family"], ["position", "sub"], F.struct("position", "src", "alt"), "images", max_items, rows_per_bucket)
+    i = nest(images, ["family"], ["position", "sub"], F.struct("position", "src", "alt"), "images", max_items, parts)
     out = v.join(o, ["family", "part"], "full").join(i, ["family", "part"], "full")
     if videos is not None:
         item = F.struct("alt", "media_content_type", "original_source", F.struct("option1", "option2", "option3").alias("variant_options"))
-        m = nest(videos, ["family"], ["position", "sub"], item, "media", max_items, rows_per_bucket)
+        m = nest(videos, ["family"], ["position", "sub"], item, "media", max_items, parts)
         out = out.join(m, ["family", "part"], "full")
     first = out.join(head, "family")
     body = [
@@ -265,7 +265,7 @@ class PaverProducts:
     start_sku: int = fixed.FIRST_AUTO_SKU
     inventory: int = 5
     max_items: int = 1000
-    rows_per_bucket: int = ROWS_PER_BUCKET
+    parts: int | None = None
 
     @cached_property
     def weighed(self) -> DataFrame:
@@ -284,8 +284,8 @@ class PaverProducts:
     @cached_property
     def variants(self) -> DataFrame:
         good = self.weighed.join(self.errors.select("family").distinct(), "family", "left_anti")
-        numbered = allocate_skus(good, self.registry, ["ord"], self.start_sku, self.rows_per_bucket)
-        placed = group_position(numbered, ["family"], ["ord"], "position", self.rows_per_bucket)
+        numbered = allocate_skus(good, self.registry, ["ord"], self.start_sku, self.parts)
+        placed = group_position(numbered, ["family"], ["ord"], "position", self.parts)
         none = F.lit(None).cast("string")
         return placed.select(
             "family", "position", "sku", F.col("unit_price").cast("string").alias("price"),
@@ -313,7 +313,7 @@ class PaverProducts:
     @cached_property
     def images(self) -> DataFrame:
         titled = self.rows.filter(F.col("unit").isNotNull()).withColumn("title", F.col("family"))
-        gallery = gallery_by_color(titled, self.portal_images, self.public_images, "family", "title", self.rows_per_bucket)
+        gallery = gallery_by_color(titled, self.portal_images, self.public_images, "family", "title", self.parts)
         return gallery.withColumn("sub", F.lit(0))
 
     @cached_property
@@ -329,4 +329,4 @@ class PaverProducts:
     def nested(self) -> DataFrame:
         """(family, part, product as JSON text)."""
         self.__dict__["variants"] = materialize(self.variants)
-        return pack_products(self.head, self.variants, self.options, self.images, None, self.max_items, self.rows_per_bucket)
+        return pack_products(self.head, self.variants, self.options, self.images, None, self.max_items, self.parts)

@@ -15,7 +15,7 @@ from .registry import LINES, big, query, text
 
 @query("E1_distributed_sequence", "SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1 AS seq FROM orders")
 def e1(t):
-    return O.distributed_sequence(t.orders.select("o_orderkey", "o_orderdate"), ["o_orderdate", "o_orderkey"], rows_per_bucket=200_000).select("o_orderkey", "seq")
+    return O.distributed_sequence(t.orders.select("o_orderkey", "o_orderdate"), ["o_orderdate", "o_orderkey"]).select("o_orderkey", "seq")
 
 
 @query(
@@ -24,7 +24,7 @@ def e1(t):
 )
 def e1_group(t):
     """Few, large groups cut into many range buckets."""
-    return O.group_position(t.events.select("event_id", "event_type", "ts"), ["event_type"], ["ts", "event_id"], rows_per_bucket=2_000).select("event_id", "event_type", "pos")
+    return O.group_position(t.events.select("event_id", "event_type", "ts"), ["event_type"], ["ts", "event_id"]).select("event_id", "event_type", "pos")
 
 
 @query(

@@ -12,7 +12,7 @@ from ..functions.values import blank_array, blank_text, strip
 from ..operators.checks import variant_complete
 from ..operators.lookup import color_title, lookup_title
 from ..operators.merge import merge_variants, skip_variants, upsert
-from ..operators.order import ROWS_PER_BUCKET, allocate_skus, record_range
+from ..operators.order import allocate_skus, record_range
 from ..operators.products import priced_rows
 from ..session import materialize
 
@@ -39,7 +39,7 @@ class CatalogRun:
     start: int | None = None
     end: int | None = None
     start_sku: int = fixed.FIRST_AUTO_SKU
-    rows_per_bucket: int = ROWS_PER_BUCKET
+    parts: int | None = None
 
     @cached_property
     def old_variants(self) -> DataFrame:
@@ -50,7 +50,7 @@ class CatalogRun:
         """Input rows of the slice with family, unit, skip and family_skipped; used by every later step."""
         sliced = self.inputs
         if self.start or self.end:
-            sliced = record_range(sliced, ["ord"], self.start, self.end, self.rows_per_bucket)
+            sliced = record_range(sliced, ["ord"], self.start, self.end, self.parts)
         priced = priced_rows(sliced)
         if self.mode == "skip":
             return materialize(skip_variants(priced, self.old_variants, "family"))
@@ -94,11 +94,11 @@ class CatalogRun:
         built = self.families.filter(F.col("status").startswith("ok")).select("family")
         todo = materialize(self.rows.join(built, "family", "left_semi"))
         fresh = allocate_skus(
-            todo.filter(~F.col("skip") & F.col("unit").isNotNull()), self.registry, ["ord"], self.start_sku, self.rows_per_bucket
+            todo.filter(~F.col("skip") & F.col("unit").isNotNull()), self.registry, ["ord"], self.start_sku, self.parts
         )
         generated = fresh.select("family", "ord", "color", "unit", "sku")
         inputs = todo.select("family", "ord", "color", "unit", "skip")
-        return merge_variants(inputs, self.old_variants, generated, "family", self.rows_per_bucket)
+        return merge_variants(inputs, self.old_variants, generated, "family", self.parts)
 
     @cached_property
     def products(self) -> DataFrame:

@@ -10,7 +10,7 @@ from ..functions.text import canonical_key, slugify
 from ..functions.values import blank_text
 from ..operators.aggregate import last_wins
 from ..session import materialize
-from ..operators.order import ROWS_PER_BUCKET, allocate_skus, group_position, mark_used, nest, sku_base, split_batches
+from ..operators.order import allocate_skus, group_position, mark_used, nest, sku_base, split_batches
 
 # A bare NaN token, not one inside quotes.
 _NAN = r'(?<!")\bNaN\b(?!")'
@@ -30,9 +30,9 @@ def _broken() -> Column:
     return (F.trim("line") != "") & F.try_parse_json(F.regexp_replace("line", _NAN, "null")).isNull()
 
 
-def bad_lines(spark: SparkSession, path: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+def bad_lines(spark: SparkSession, path: str, parts: int | None = None) -> DataFrame:
     """(file, line_no, line) of the NDJSON lines that are no JSON: the reject table of a lenient read."""
-    numbered = group_position(_lines(spark, path), ["file"], ["pos"], "line_no", rows_per_bucket)
+    numbered = group_position(_lines(spark, path), ["file"], ["pos"], "line_no", parts)
     return numbered.filter(_broken()).select("file", "line_no", "line")
 
 
@@ -187,14 +187,14 @@ def read_version(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def commit_skus(
-    df: DataFrame, path: str, order: list[str], start: int, rows_per_bucket: int = ROWS_PER_BUCKET
+    df: DataFrame, path: str, order: list[str], start: int, parts: int | None = None
 ) -> DataFrame:
     """New stock numbers for the rows, recorded in the registry at `path` by one commit per batch of rows."""
     spark = df.sparkSession
     registry = read_version(spark, path)
     if registry is None:
         registry = spark.createDataFrame([], "sku string, next_auto_sku bigint")
-    numbered = materialize(allocate_skus(df, registry, order, start, rows_per_bucket))
+    numbered = materialize(allocate_skus(df, registry, order, start, parts))
     used = mark_used(registry.select("sku"), numbered)
     ahead = sku_base(registry.unionByName(numbered.select(F.col("sku").cast("string")), allowMissingColumns=True), start).select("next_auto_sku")
     # the next number is a row of its own, so it outlives the rows it was promised after
@@ -230,7 +230,7 @@ def split_by_key(
     missing: str = "_missing",
     max_per_file: int = 0,
     mapping: dict[str, str] | None = None,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
+    parts: int | None = None,
 ) -> DataFrame:
     """Rows with bucket, slug and part (from 1); buckets under min_bucket are left out as asked.
 
@@ -241,7 +241,7 @@ def split_by_key(
         kept = keyed.groupBy("bucket").count().filter(F.col("count") >= min_bucket).select("bucket")
         keyed = keyed.join(kept, "bucket", "left_semi")
     if max_per_file:
-        placed = group_position(keyed, ["bucket"], order, "__pos", rows_per_bucket)
+        placed = group_position(keyed, ["bucket"], order, "__pos", parts)
         keyed = placed.withColumn("part", F.floor((F.col("__pos") - 1) / max_per_file) + 1).drop("__pos")
     else:
         keyed = keyed.withColumn("part", F.lit(1).cast("bigint"))

@@ -8,7 +8,7 @@ from pyspark.sql import Row, functions as F
 
 from catalogflow.operators import aggregate, checks, lookup, matching, merge, order, pages, products, sets
 
-ONE_BIG_GROUP = 7  # rows per bucket in skew tests, so a group of hundreds is spread over many buckets
+ONE_BIG_GROUP = 40  # partitions in skew tests, so a group of hundreds is spread over many of them
 
 
 def skewed(spark, n=400):
@@ -18,16 +18,19 @@ def skewed(spark, n=400):
     return rows, spark.createDataFrame(rows, "g string, o long, v long").repartition(5)
 
 
-@pytest.mark.parametrize("size", [3, ONE_BIG_GROUP, 100, 10_000])
+@pytest.mark.parametrize("size", [1, 3, ONE_BIG_GROUP, 600])
 def test_sequence_is_contiguous(spark, size):
     rows, df = skewed(spark)
-    got = order.distributed_sequence(df, ["v", "o"], rows_per_bucket=size).collect()
+    got = order.distributed_sequence(df, ["v", "o"], parts=size).collect()
     expected = {o: i for i, (_, o, _) in enumerate(sorted(rows, key=lambda r: (r[2], r[1])))}
     assert {r["o"]: r["seq"] for r in got} == expected
 
 
-@pytest.mark.parametrize("size", [3, ONE_BIG_GROUP, 100, 10_000])
-def test_running_values_over_buckets(spark, size):
+@pytest.mark.parametrize("size", [1, 3, ONE_BIG_GROUP, 600])
+@pytest.mark.parametrize("run", [2, 256])
+def test_running_values_over_partitions(spark, size, run, monkeypatch):
+    """Also with more partitions than one run holds, and with empty partitions."""
+    monkeypatch.setattr(order, "RUN", run)
     rows, df = skewed(spark)
     even = F.when(F.col("v") % 2 == 0, F.col("v"))
     got = order.running_values(
@@ -35,6 +38,7 @@ def test_running_values_over_buckets(spark, size):
         [
             order.Running("pos", F.lit(1).cast("bigint")), order.Running("total", F.col("v")), order.Running("top", F.col("v"), "max"),
             order.Running("latest", even, "last"), order.Running("start", F.col("o"), "first"), order.Running("before", even, "last", exclude_current=True),
+            order.Running("parity", F.col("v"), "xor"),
         ],
         size,
     ).collect()
@@ -42,19 +46,20 @@ def test_running_values_over_buckets(spark, size):
     seen = {}
     expected = {}
     for g, o, v in sorted(rows, key=lambda r: (r[0], r[1])):
-        s = seen.setdefault(g, {"pos": 0, "total": 0, "top": None, "latest": None, "start": o})
+        s = seen.setdefault(g, {"pos": 0, "total": 0, "top": None, "latest": None, "start": o, "parity": 0})
         before = s["latest"]
         s["pos"] += 1
         s["total"] += v
+        s["parity"] ^= v
         s["top"] = v if s["top"] is None else max(s["top"], v)
         s["latest"] = v if v % 2 == 0 else s["latest"]
-        expected[o] = (s["pos"], s["total"], s["top"], s["latest"], s["start"], before)
-    assert {r["o"]: (r["pos"], r["total"], r["top"], r["latest"], r["start"], r["before"]) for r in got} == expected
+        expected[o] = (s["pos"], s["total"], s["top"], s["latest"], s["start"], before, s["parity"])
+    assert {r["o"]: (r["pos"], r["total"], r["top"], r["latest"], r["start"], r["before"], r["parity"]) for r in got} == expected
 
 
 def test_null_groups_and_empty_input(spark):
     df = spark.createDataFrame([(None, i) for i in range(30)] + [("a", i) for i in range(30)], "g string, o long")
-    got = order.group_position(df, ["g"], ["o"], rows_per_bucket=4).collect()
+    got = order.group_position(df, ["g"], ["o"], parts=4).collect()
     assert all(r["pos"] == r["o"] + 1 for r in got)
     assert order.distributed_sequence(df.filter("false"), ["o"]).count() == 0
 
@@ -64,22 +69,27 @@ def test_null_groups_and_empty_input(spark):
 def test_positions_law(spark, keys, size):
     rows = [(g, v, i) for i, (g, v) in enumerate(keys)]
     df = spark.createDataFrame(rows, "g string, v long, i long")
-    got = {r["i"]: r["pos"] for r in order.group_position(df, ["g"], ["v", "i"], rows_per_bucket=size).collect()}
+    got = {r["i"]: r["pos"] for r in order.group_position(df, ["g"], ["v", "i"], parts=size).collect()}
     for g in {"a", "b", None}:
         ranked = sorted((v, i) for gg, v, i in rows if gg == g)
         assert [got[i] for _, i in ranked] == list(range(1, len(ranked) + 1))
 
 
-def test_hot_group_is_spread_over_tasks(spark):
-    """No window sees more than a bucket: the window is partitioned by bucket as well as group."""
+def test_no_task_sees_a_whole_table_or_a_hot_group(spark):
+    """Rows reach the windows by partition; the same plan for one row and for many, without values from the driver."""
     _, df = skewed(spark)
-    plan = order.group_position(df, ["g"], ["o"], rows_per_bucket=10)._jdf.queryExecution().optimizedPlan().toString()
-    assert "__bucket" in plan and "windowspecdefinition(__bucket" in plan.replace(" ", "").replace("windowspecdefinition(__bucket#", "windowspecdefinition(__bucket")
+    few, many = (order.running_values(d, ["g"], ["o"], [order.Running("n", F.lit(1))], parts=32) for d in (df.limit(1), df))
+    assert all("SinglePartition" not in d._jdf.queryExecution().executedPlan().toString() for d in (few, many))
+    steps = [len(d._jdf.queryExecution().optimizedPlan().toString().splitlines()) for d in (few, many)]
+    assert steps[0] == steps[1]
+    numbered = order.distributed_sequence(df, ["o"], parts=32)
+    assert "SinglePartition" not in numbered._jdf.queryExecution().executedPlan().toString()
+    assert [r.seq for r in numbered.orderBy("o").collect()] == list(range(400))
 
 
 def test_batches_and_slices(spark):
     df = spark.range(120).withColumnRenamed("id", "k")
-    out = order.split_batches(df, 50, ["k"], rows_per_bucket=11)
+    out = order.split_batches(df, 50, ["k"], parts=11)
     assert {r["batch_label"]: r["count"] for r in out.groupBy("batch_label").count().collect()} == {"001": 50, "002": 50, "003": 20}
     assert [r["k"] for r in order.record_range(df, ["k"], 101, 103, 11).orderBy("k").collect()] == [100, 101, 102]
     assert order.record_range(df, ["k"], 0, None, 11).count() == 120
@@ -87,7 +97,7 @@ def test_batches_and_slices(spark):
 
 def test_nest_keeps_every_row_in_bounded_parts(spark):
     rows, df = skewed(spark)
-    parts = order.nest(df, ["g"], ["o"], F.col("o"), "items", max_items=25, rows_per_bucket=ONE_BIG_GROUP).collect()
+    parts = order.nest(df, ["g"], ["o"], F.col("o"), "items", max_items=25, parts=ONE_BIG_GROUP).collect()
     assert max(len(p["items"]) for p in parts) <= 25
     hot = [o for p in sorted((p for p in parts if p["g"] == "hot"), key=lambda p: p["part"]) for o in p["items"]]
     assert hot == sorted(o for g, o, _ in rows if g == "hot")
@@ -176,7 +186,7 @@ def test_title_lookup(spark):
 def test_families(spark):
     items = [(7676, None), (36962, 36962.0), (33673, 36962.0), (5, 99.0), (33674, 36962.0)]
     df = spark.createDataFrame([(a, b, i) for i, (a, b) in enumerate(items)], "item long, parent double, ord long")
-    placed, orphans = lookup.family_join(df, "item", "parent", "ord", rows_per_bucket=2)
+    placed, orphans = lookup.family_join(df, "item", "parent", "ord", parts=2)
     assert [r["item"] for r in orphans.collect()] == [5]
     assert {(r["item"], r["family"], r["family_pos"]) for r in placed.collect()} == {(7676, 7676, 1), (36962, 36962, 1), (33673, 36962, 2), (33674, 36962, 3)}
 
@@ -291,7 +301,7 @@ def test_skip_and_variant_order(spark):
         ("Red", "Piece"): True, ("Red", "Sq Ft"): False, ("Blue", "Piece"): True, ("Green", "Piece"): False,
     }
     fresh = spark.createDataFrame([("T", 1, "Red", "Sq Ft", "n1"), ("T", 3, "Green", "Piece", "n2"), ("T", 9, "Grey", "Kit", "n3")], "family string, ord long, color string, unit string, sku string")
-    merged = merge.merge_variants(marked.select("family", "ord", "color", "unit", "skip"), existing, fresh, "family", rows_per_bucket=2)
+    merged = merge.merge_variants(marked.select("family", "ord", "color", "unit", "skip"), existing, fresh, "family", parts=2)
     assert [r["sku"] for r in merged.orderBy("position").collect()] == ["s1", "n1", "s2", "n2", "n3"]
 
 
@@ -360,7 +370,7 @@ def test_skew_join_equals_join(spark, how):
 
 def test_native_operators_have_no_python_node(spark):
     rows, df = skewed(spark)
-    for out in (order.group_position(df, ["g"], ["o"], rows_per_bucket=9), aggregate.last_wins(df, ["g"], ["o"])):
+    for out in (order.group_position(df, ["g"], ["o"], parts=9), aggregate.last_wins(df, ["g"], ["o"])):
         plan = out._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "CartesianProduct" not in plan
 
