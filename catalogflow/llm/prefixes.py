@@ -14,6 +14,7 @@ from ..session import materialize
 WIDTH = 8
 _SPACE = r"[^\x20\x09-\x0D]+"
 _CHUNK = 4096
+_KEYS = ["block", "p1", "p2"]
 NO_IDS = hashlib.sha256(b"").hexdigest()
 
 
@@ -73,7 +74,7 @@ def _blocks(members: DataFrame, width: int) -> DataFrame:
     """
     block = F.coalesce(F.floor((F.col("pos") - 1) / width), F.lit(0)).alias("block")
     slot = F.pmod(F.col("pos") - 1, F.lit(width))
-    lanes = [F.coalesce(F.bit_xor(_lane(k, F.col("id"), F.col("pos"))), F.lit(0)).alias(f"o{k}") for k in (1, 2)]
+    lanes = [F.coalesce(F.bit_xor(F.when(F.col("id").isNotNull(), _lane(k, F.col("id"), F.col("pos")))), F.lit(0)).alias(f"o{k}") for k in (1, 2)]
     cells = [F.max(F.when(slot == j, F.col("id"))).alias(f"t{j + 1}") for j in range(width)]
     rows = members.groupBy("conv_id", block).agg(F.max("n").alias("n"), *lanes, *cells)
     running = [Running(f"x{k}", F.col(f"o{k}"), "xor") for k in (1, 2)]
@@ -81,11 +82,15 @@ def _blocks(members: DataFrame, width: int) -> DataFrame:
     return named.withColumns({f"p{k}": F.col(f"x{k}").bitwiseXOR(F.col(f"o{k}")) for k in (1, 2)}).drop("o1", "o2")
 
 
+def _columns(width: int) -> list[str]:
+    return [f"t{j + 1}" for j in range(width)]
+
+
 def _rolled_up(df: DataFrame, width: int, aggregates: str) -> DataFrame:
     """Aggregates of every prefix of t1 .. tW within (block, p1, p2), with its length in the block as `level`."""
-    cells = ", ".join(f"t{j + 1}" for j in range(width))
+    cells = ", ".join(_columns(width))
     held = df.sparkSession.sql(
-        f"""SELECT block, p1, p2, {cells}, {width} - CAST(log2(grouping_id() + 1) AS int) AS level, {aggregates}
+        f"""SELECT block, p1, p2, {cells}, {width} - bit_count(grouping_id()) AS level, {aggregates}
         FROM {{cells}} GROUP BY block, p1, p2, ROLLUP ({cells})""",
         cells=df,
     )
@@ -209,18 +214,31 @@ def trie(members: DataFrame, width: int = WIDTH) -> DataFrame:
         }
     )
     nodes = materialize(nodes.filter("level > 0 OR block = 0"))
-    first = F.count_if(level == 1).alias("first")
-    starts = nodes.filter("level > 0 AND block > 0").groupBy("block", "p1", "p2").agg(first)
-    deeper = _below(nodes).filter("block > 0").join(starts, ["block", "p1", "p2"])
-    deeper = deeper.select((F.col("block") - 1).alias("block"), F.col("p1").alias("d1"), F.col("p2").alias("d2"), "first", F.col("leaves").alias("b_leaves"), F.col("saved").alias("b_saved"))
-    ends = nodes.filter("boundary").join(deeper, ["block", "d1", "d2"], "left")
-    rest = nodes.filter("NOT boundary").withColumns({c: F.lit(None).cast("bigint") for c in ("first", "b_leaves", "b_saved")})
-    whole = materialize(ends.unionByName(rest))
-
-    counts = ", ".join(f"count_if(level = {j + 1})" for j in range(width))
-    own = ", ".join(["block", "p1", "p2", *[f"t{j + 1}" for j in range(width)], "level", "first"])
-    brought = whole.selectExpr(own.replace("level", "level AS level"), "leaf + coalesce(b_leaves, 0) AS leaf", "saved + coalesce(b_saved, 0) AS saved") if False else whole.select(
-        "block", "p1", "p2", *[f"t{j + 1}" for j in range(width)], "level", (F.col("leaf") + F.coalesce("b_leaves", F.lit(0))).alias("leaf"),
-        (F.col("saved") + F.coalesce("b_saved", F.lit(0))).alias("saved"), "first",
+    first = nodes.filter("level = 1 AND block > 0").groupBy("block", "p1", "p2").agg(F.count("conv_id").alias("first"))
+    deeper = _below(nodes).filter("block > 0").join(first, ["block", "p1", "p2"])
+    deeper = deeper.select(
+        (F.col("block") - 1).alias("block"), F.col("p1").alias("d1"), F.col("p2").alias("d2"), "first", F.col("leaves").alias("more_leaves"), F.col("saved").alias("more_saved")
+    )
+    own = nodes.select(*_KEYS, *_columns(width), F.col("level").alias("own_level"), "conv_id", "n_convs", "leaf", "saved", "boundary", "d1", "d2")
+    ends = own.filter("boundary").join(deeper, ["block", "d1", "d2"], "left")
+    whole = ends.unionByName(own.filter("NOT boundary"), allowMissingColumns=True)
+
+    children = ", ".join(f"count_if(own_level = {j + 1}) AS c{j + 1}" for j in range(width))
+    summed = _rolled_up(
+        whole, width,
+        f"""min(conv_id) AS conv_id, max(n_convs) AS n_convs, sum(leaf + coalesce(more_leaves, 0)) AS n_leaves,
+        sum(saved + coalesce(more_saved, 0)) AS saved_tokens, max(first) AS first, {children}""",
+    ).filter("level > 0 OR block = 0")
+    below = F.coalesce(*[F.when(level == j, F.col(f"c{j + 1}")) for j in range(width)], F.col("first"), F.lit(0))
+    named = summed.select(
+        "conv_id", depth.alias("depth"), "n_convs", below.alias("n_children"), "n_leaves", "saved_tokens",
+        *[c.alias(n) for c, n in zip([*here, *above], ["d1", "d2", "e1", "e2"], strict=True)],
+    )
+    named = materialize(named)
+    parents = named.filter("n_children > 0").select(F.col("conv_id").alias("parent_conv_id"), (F.col("depth") + 1).alias("depth"), F.col("d1").alias("e1"), F.col("d2").alias("e2"))
+    last = cells.filter(F.col("n") <= (F.col("block") + 1) * width).select(F.col("n").alias("depth"), F.col("x1").alias("d1"), F.col("x2").alias("d2"), "conv_id")
+    hashes = _digests(last)
+    joined = named.join(parents, ["depth", "e1", "e2"], "left").join(hashes, ["depth", "d1", "d2"], "left")
+    return joined.select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", F.coalesce("ends_sha256", F.lit(NO_IDS)).alias("ends_sha256")
     )
-    return brought, counts

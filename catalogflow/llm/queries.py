@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import read_table
-from . import decontaminate, jaccard, language, licenses, negatives, neighbours, packing, paragraphs, personal, quality, quality_sql, secrets, suffixes
+from . import decontaminate, jaccard, language, licenses, negatives, neighbours, packing, paragraphs, personal, prefixes, quality, quality_sql, secrets, suffixes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -146,3 +146,45 @@ def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     rows = negatives.prepared(read_table(spark, folder, "embeddings"))
     moved = F.when(F.col("id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return negatives.mine(rows.withColumn("label", moved), F.col("id") % 50 == 0)
+
+
+_CRC32 = """list_reduce(
+      list_prepend(CAST(4294967295 AS BIGINT), flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: list_prepend(CAST(ascii(x) AS BIGINT), CAST([-1, -1, -1, -1, -1, -1, -1, -1] AS BIGINT[]))))),
+      lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, 3988292384 * (a & 1)) END)"""
+
+_WORD = r"'[^\x20\x09-\x0D]+'"
+
+OP11_SQL = f"""
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, turn FROM conversations WHERE conv_id IS NOT NULL
+),
+own AS (
+  SELECT conv_id, list(struct_pack(r := role, t := text) ORDER BY turn NULLS FIRST, md5(concat(length(role), ':', role, ':', text))) AS own
+  FROM t GROUP BY conv_id
+),
+h AS (SELECT conv_id, own, conv_id - conv_id % 20 AS base, xor({_CRC32}, 4294967295) % 4 AS h FROM own),
+rebuilt AS (SELECT h.conv_id, list_concat(coalesce(b.own, [])[1:h], h.own[h + 1:]) AS seq FROM h LEFT JOIN own b ON b.conv_id = h.base),
+members AS (SELECT conv_id, d, len(seq) AS n, seq[1:d] AS prefix FROM (SELECT conv_id, seq, unnest(range(0, len(seq) + 1)) AS d FROM rebuilt)),
+nodes AS (
+  SELECT prefix, d AS depth, count(*) AS n_convs, min(conv_id) AS conv_id, CAST(max(n) = d AS INTEGER) AS leaf,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE n = d), '')) AS ends_sha256,
+    CASE WHEN d = 0 THEN 0 ELSE (count(*) - 1) * len(regexp_extract_all(prefix[d].t, {_WORD})) END AS saved
+  FROM members GROUP BY prefix, d
+),
+subtrees AS (
+  SELECT prefix[1:k] AS top, sum(leaf) AS n_leaves, sum(saved) AS saved_tokens
+  FROM (SELECT prefix, leaf, saved, unnest(range(0, depth + 1)) AS k FROM nodes) GROUP BY 1
+),
+children AS (SELECT prefix[1:depth - 1] AS top, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1)
+SELECT v.conv_id, v.depth, p.conv_id AS parent_conv_id, v.n_convs, coalesce(c.n, 0) AS n_children, CAST(s.n_leaves AS BIGINT) AS n_leaves,
+  CAST(s.saved_tokens AS BIGINT) AS saved_tokens, v.ends_sha256
+FROM nodes v JOIN subtrees s ON s.top = v.prefix LEFT JOIN children c ON c.top = v.prefix
+  LEFT JOIN nodes p ON v.depth > 0 AND p.prefix = v.prefix[1:v.depth - 1]
+"""
+
+
+@query("op11_prefix_trie", OP11_SQL)
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    own = prefixes.turns(read_table(spark, folder, "conversations"))
+    c = F.col("conv_id")
+    return prefixes.trie(prefixes.branched(own, c - c % 20, F.crc32(c.cast("string")) % 4, at_most=3))
