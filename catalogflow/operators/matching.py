@@ -6,9 +6,12 @@ partial aggregation. Only `nearest_title` compares two whole title lists, throug
 
 from __future__ import annotations
 
+import functools
+import math
 from collections.abc import Callable
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions import fixed
@@ -272,8 +275,11 @@ def sorted_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([200.0 * lcs(x, y) / (len(x) + len(y)) if x or y else 100.0 for x, y in zip(a, b)])
 
 
-# Letters from common to rare: the global order of the prefix filter. Any order is exact, this one is selective.
-_COMMON_FIRST = " etaoinsrhldcumfpgwybvkxjqz"
+# Common letters that take part in the global order of the key prefixes; all others count as rare. Any order is exact.
+_ORDERED = 256
+# Key combinations per row and pair of length bands; the widest combination within them is the most selective.
+_COMBINATIONS = 70
+_WIDEST = 4
 
 
 def sorted_words(c: Column) -> Column:
@@ -281,55 +287,125 @@ def sorted_words(c: Column) -> Column:
     return F.array_join(F.array_sort(words), " ")
 
 
-def _letters_rare_first(text: Column) -> Column:
-    """(letter, n-th use) tokens of a text as strings, rarest first; equal multisets share all tokens."""
+def _letters(text: Column) -> Column:
+    """(letter, n-th use) of every letter of a text as one number, so that equal multisets have equal numbers."""
 
     def numbered(chars: Column) -> Column:
         return F.transform(
             chars,
-            lambda x, i: F.struct(x.alias("x"), F.size(F.filter(F.slice(chars, F.lit(1), i + 1), lambda y: y == x)).alias("n")),
+            lambda x, i: F.ascii(x).cast("bigint") * (1 << 32) + F.size(F.filter(F.slice(chars, F.lit(1), i + 1), lambda y: y == x)),
         )
 
-    def ranked(use: Column) -> Column:
-        place = F.instr(F.lit(_COMMON_FIRST), use["x"])
-        rarity = F.when(place > 0, place).otherwise(40) + 8 * use["n"]
-        return F.struct((-rarity).alias("rank"), F.concat(use["x"], use["n"].cast("string")).alias("token"))
+    return let(F.filter(F.split(text, ""), lambda x: x != ""), numbered)
 
-    chars = F.filter(F.split(text, ""), lambda x: x != "")
-    tokens = F.transform(let(chars, numbered), ranked)
-    return F.transform(F.array_sort(tokens), lambda t: t["token"])
 
+def _common_letters(*sides: DataFrame) -> list[int]:
+    """The commonest letter numbers of the tables (columns letters), commonest first: _ORDERED at most."""
+    every = sides[0].select(F.explode("letters").alias("letter"))
+    for side in sides[1:]:
+        every = every.unionByName(side.select(F.explode("letters").alias("letter")))
+    counted = every.groupBy("letter").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "letter").limit(_ORDERED)
+    return [row["letter"] for row in counted.collect()]
 
-def _lettered(df: DataFrame, text: str) -> DataFrame:
-    return df.withColumn(f"{text}_letters", _letters_rare_first(F.col(text)))
+
+def _rare_first(letters: Column, common: list[int]) -> Column:
+    order = F.expr(f"array({', '.join(f'{x}L' for x in common)})").cast("array<bigint>")
+    ranked = F.transform(
+        letters, lambda x: F.struct(F.when(F.array_contains(order, x), -F.array_position(order, x)).otherwise(-_ORDERED - 1).alias("rank"), x.alias("letter"))
+    )
+    return F.transform(F.array_sort(ranked), lambda t: t["letter"])
+
+
+def _band_starts() -> list[int]:
+    """Least lengths of the bands: single lengths at first, then about a tenth wide."""
+    starts = list(range(13))
+    while starts[-1] < 1 << 30:
+        starts.append(max(starts[-1] + 1, int(starts[-1] * 1.1)))
+    return starts
+
+
+def _band(length: Column, starts: list[int]) -> Column:
+    """Index of the band of a length."""
+    steps, size = [], 1
+    while size <= len(starts):
+        steps.insert(0, size)
+        size *= 2
+    bounds = F.expr(f"array({', '.join(map(str, starts))})")
+    place = F.aggregate(
+        F.expr(f"array({', '.join(map(str, steps))})"), F.lit(0), lambda low, step: F.when((low + step <= len(starts)) & (F.get(bounds, low + step - 1) <= length), low + step).otherwise(low)
+    )
+    return place - 1
+
+
+def _combinations(letters: str, width: str) -> str:
+    """SQL of all combinations of `width` (1 .. _WIDEST) letters in order, as arrays."""
+    found = f"transform({letters}, (x, i) -> named_struct('next', i + 1, 'key', array(x)))"
+    cases = []
+    for w in range(1, _WIDEST + 1):
+        cases.append(f"WHEN {w} THEN transform({found}, c -> c.key)")
+        more = f"transform(slice({letters}, c.next + 1, size({letters})), (y, j) -> named_struct('next', c.next + j + 1, 'key', concat(c.key, array(y))))"
+        found = f"flatten(transform({found}, c -> {more}))"
+    return f"CASE {width} {' '.join(cases)} END"
+
+
+@functools.cache
+def _band_pairs(ratio: float) -> pa.Table:
+    """For two bands that may hold a pair: own band, other band, least and greatest length of the other, letters per key."""
+
+    def shared(a: int, b: int) -> int:
+        return math.ceil((a + b) * (ratio / 2) - 1e-9)
+
+    starts = _band_starts()
+    bands = [(a, b - 1) for a, b in zip(starts, starts[1:])]
+    fits = [(width, max(x for x in range(64) if math.comb(x + width, width) <= _COMBINATIONS)) for width in range(_WIDEST, 1, -1)]
+    out = []
+    for own, (low, high) in enumerate(bands[1:], 1):
+        for other, (first, last) in enumerate(bands[1:], 1):
+            if first * ratio > high * (2 - ratio) + 1:
+                break
+            if shared(low, first) <= min(high, last):
+                spare = max(high - shared(high, first), last - shared(last, low))
+                width = next((w for w, most in fits if spare <= most and shared(low, first) >= w), 1)
+                out.append((own, other, first, last, width))
+    names = ["__own", "__other", "__first", "__last", "__width"]
+    return pa.table([pa.array(c, pa.int32()) for c in zip(*out, strict=True)], names)
+
+
+def _keyed(df: DataFrame, text: str, letters: str, ratio: float, is_query: bool) -> DataFrame:
+    """text and every key under which a partner within the ratio can be met.
+
+    A pair needs o = ratio / 2 * (len a + len b) letters in common. Then the rarest len a - o + l letters of a and the
+    rarest len b - o + l of b share l of them, whichever l is taken. Partners are met by bands of their length, where o is
+    known but for the band's width; so few letters are left over that several of them, l at once, can be the key.
+    """
+    n = F.size(letters)
+    rows = df.filter(n > 0).select(F.col(text), F.col(letters).alias("__letters"), n.alias("__n"), _band(n, _band_starts()).alias("__own"))
+    table = df.sparkSession.createDataFrame(_band_pairs(ratio))
+    need = F.ceil((F.col("__n") + F.col("__first")) * (ratio / 2) - 1e-9).cast("int")
+    met = rows.join(F.broadcast(table), "__own").withColumn("__need", need).filter(F.col("__need") <= F.least("__n", "__last"))  # a fixed table
+    chosen = f"transform(array(slice(__letters, 1, __n - __need + __width)), p -> {_combinations('p', '__width')})[0]"
+    bands = (F.col("__own"), F.col("__other")) if is_query else (F.col("__other"), F.col("__own"))
+    return met.withColumn("__key", F.explode(F.expr(chosen))).select(text, F.xxhash64(*bands, "__key").alias("__key"))
 
 
 def title_pairs(queries: DataFrame, titles: DataFrame, ratio: float) -> DataFrame:
-    """Every (q, t) pair whose letters allow a ratio of at least `ratio`; no such pair is lost.
+    """Every (q, t) pair whose letters allow a ratio of at least `ratio`; no such pair is lost."""
+    sides = [df.withColumn("letters", _letters(F.col(name))) for df, name in ((queries, "q"), (titles, "t"))]
+    common = _common_letters(*sides)
+    ready = [materialize(side.withColumn("letters", _rare_first(F.col("letters"), common))) for side in sides]
+    return _letter_pairs(ready[0].withColumnRenamed("letters", "q_letters"), ready[1].withColumnRenamed("letters", "t_letters"), ratio).select(*queries.columns, *titles.columns)
 
-    LCS <= shared letters, so a pair needs ratio/2 * (len q + len t) letters in common. Two token sets with that
-    overlap meet inside their rarest len - ceil(ratio / (2 - ratio) * len) + 1 tokens, which makes it an equi join.
-    """
-    pairs = _letter_pairs(_lettered(queries, "q"), _lettered(titles, "t"), ratio)
-    return pairs.select(*queries.columns, *titles.columns)
+
+def _candidates(queries: DataFrame, titles: DataFrame, ratio: float) -> DataFrame:
+    """Pairs (q, t) that share a key, once each."""
+    left, right = _keyed(queries, "q", "q_letters", ratio, True), _keyed(titles, "t", "t_letters", ratio, False)
+    return left.join(right, "__key").select("q", "t").distinct()
 
 
 def _letter_pairs(queries: DataFrame, titles: DataFrame, ratio: float) -> DataFrame:
-    def prefixed(df: DataFrame, name: str) -> DataFrame:
-        length = F.size(f"{name}_letters")
-        needed = F.ceil(length * F.lit(ratio / (2 - ratio)) - F.lit(1e-9))
-        prefix = F.slice(f"{name}_letters", F.lit(1), (length - needed + 1).cast("int"))
-        return df.filter(length > 0).withColumn(f"{name}_prefix", prefix).withColumn("token", F.explode(f"{name}_prefix"))
-
-    pairs = prefixed(queries, "q").join(prefixed(titles, "t"), "token")
-    q_len, t_len = F.size("q_letters"), F.size("t_letters")
-    needed = F.lit(ratio / 2) * (q_len + t_len) - F.lit(1e-9)
-    return pairs.filter(
-        (F.least(q_len, t_len) >= needed)
-        # a pair meets on every shared prefix token; keep the meeting on the rarest
-        & (F.get(F.array_intersect("q_prefix", "t_prefix"), F.lit(0)) == F.col("token"))
-        & (F.size(F.array_intersect("q_letters", "t_letters")) >= needed)
-    )
+    pairs = _candidates(queries, titles, ratio).join(queries, "q").join(titles, "t")
+    needed = F.lit(ratio / 2) * (F.size("q_letters") + F.size("t_letters")) - F.lit(1e-9)
+    return pairs.filter(F.size(F.array_intersect("q_letters", "t_letters")) >= needed)
 
 
 def nearest_title(
@@ -340,16 +416,19 @@ def nearest_title(
 
     Output: title, matched_title, score. Works on distinct word-sorted titles: equal ones first, then down a ladder
     of ratios; each rung sees only the titles still open, so the wide low rungs stay small. Every rung is exact.
+    Pairs meet under several rare letters at once, by bands of their lengths.
     """
     names = inputs.select(F.col(title).alias("title")).filter(F.col("title").isNotNull()).distinct()
     keyed = materialize(names.withColumn("q", sorted_words(F.col("title"))))
     side = index.select(sorted_words(F.col(index_title)).alias("t"), F.col(index_title).alias("matched_title"), F.col(index_order).alias("__ord"))
     first = side.groupBy("t").agg(F.min_by("matched_title", "__ord").alias("matched_title"), F.min("__ord").alias("__ord"))
-    titles = materialize(_lettered(first, "t"))
-    queries = keyed.select("q").distinct()
-    done = queries.join(titles.withColumnRenamed("t", "q"), "q").select("q", "matched_title", F.lit(100.0).alias("score"))
+    titles = first.withColumn("letters", _letters(F.col("t")))
+    queries = keyed.select("q").distinct().withColumn("letters", _letters(F.col("q")))
+    common = _common_letters(queries, titles)
+    titles = materialize(titles.withColumn("t_letters", _rare_first(F.col("letters"), common)).drop("letters"))
+    queries = materialize(queries.withColumn("q_letters", _rare_first(F.col("letters"), common)).drop("letters"))
+    done = queries.join(titles.select(F.col("t").alias("q"), "matched_title"), "q").select("q", "matched_title", F.lit(100.0).alias("score"))
     still = queries.join(titles.select(F.col("t").alias("q")), "q", "left_anti")
-    still = materialize(_lettered(still, "q"))
     for rung in [*[r for r in ladder if r > threshold], threshold]:
         if still.isEmpty():
             break

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.codes import upc_digits
@@ -12,6 +12,7 @@ from ..operators.aggregate import last_wins
 from ..operators.lookup import enrich_from_catalog
 from ..operators.order import Running, running_values
 from ..session import materialize
+from .keyed import BUCKET, KeyedState, KeyFilters, bucket_of, make_folder, touched
 
 
 def file_stream(spark: SparkSession, path: str, schema, name: str | None = None, files_per_trigger: int | None = None) -> DataFrame:
@@ -55,64 +56,61 @@ def start_batches(stream: DataFrame, checkpoint: str, handle: Callable[[DataFram
     )
 
 
-def committed(spark: SparkSession, target: str, batch_id: int, schema) -> DataFrame:
-    """Rows of the batches before this one; the same whether or not the batch itself ran before."""
-    return (
-        spark.read.schema(schema)
-        .option("pathGlobFilter", "*.parquet")
-        .option("basePath", target)
-        .parquet(target)
-        .filter(F.col("batch") < batch_id)
-    )
-
-
-def _make_folder(spark: SparkSession, path: str) -> None:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
-
-
 def upsert_stream(
-    stream: DataFrame, target: str, checkpoint: str, key: list[str], order: list[str], mode: str = "skip"
-) -> None:
+    stream: DataFrame, target: str, checkpoint: str, key: list[str], order: list[str], mode: str = "skip", buckets: int = 64
+) -> list[dict[str, int]]:
     """Rows of new keys (mode 'skip') or the newest row of every key (mode 'overwrite').
 
     Each micro-batch writes only its own folder, named by the batch id, so a replayed batch replaces itself and a
-    batch costs its own size. `read_upserted` gives the current table.
+    batch costs its own size. `read_upserted` gives the current table. In mode 'skip' a batch must know the keys before it:
+    files are cut by key buckets and have Bloom filters, and the anti join reads those files only that may hold one of the
+    batch's keys. Returned, per batch of this mode: batch, files (before it) and read (of these).
     """
-    stored = T.StructType([*stream.schema.fields, T.StructField("batch", T.LongType())])
-    _make_folder(stream.sparkSession, target)
+    make_folder(stream.sparkSession, target)
+    filters = KeyFilters(stream.sparkSession, f"{target.rstrip('/')}-filters", key, buckets)
+    report: list[dict[str, int]] = []
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        rows = last_wins(batch, key, order)
-        if mode == "skip":
-            done = committed(spark, target, batch_id, stored)
-            rows = rows.join(done.select(*key), key, "left_anti")
-        rows.write.mode("overwrite").parquet(_batch_path(target, batch_id))
+    def newest(batch: DataFrame, batch_id: int) -> None:
+        last_wins(batch, key, order).write.mode("overwrite").parquet(_batch_path(target, batch_id))
 
-    start_batches(stream, checkpoint, handle).awaitTermination()
+    def unseen(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        rows = materialize(last_wins(batch, key, order))
+        maybe = sorted(filters.may_hold(rows.select(*key), batch_id))
+        report.append({"batch": batch_id, "files": len(filters.files(batch_id)), "read": len(maybe)})
+        new = rows
+        if maybe:
+            kinds = ", ".join(f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in key)
+            done = spark.read.schema(kinds).parquet(*[f"{_batch_path(target, a)}/{BUCKET}={b}" for a, b in maybe])
+            new = materialize(rows.join(done, key, "left_anti"))
+        placed = new.withColumn(BUCKET, bucket_of(key, buckets)).repartition(BUCKET)
+        placed.write.mode("overwrite").partitionBy(BUCKET).parquet(_batch_path(target, batch_id))
+        filters.write(new.select(*key), batch_id)
+
+    start_batches(stream, checkpoint, unseen if mode == "skip" else newest).awaitTermination()
+    return report
 
 
 def read_upserted(spark: SparkSession, target: str, key: list[str]) -> DataFrame:
     """Newest row per key over all committed batches."""
-    return last_wins(spark.read.parquet(target), key, ["batch"]).drop("batch")
+    return last_wins(spark.read.parquet(target), key, ["batch"]).drop("batch", BUCKET)
 
 
 def breaker_stream(
-    stream: DataFrame, target: str, state: str, checkpoint: str, source: str, order: list[str], failed: Column, n: int
+    stream: DataFrame, target: str, state: str, checkpoint: str, source: str, order: list[str], failed: Column, n: int, buckets: int = 64
 ) -> None:
     """Search breaker on a stream: rows with `disabled`, state (failures in a row, tripped) kept per source.
 
-    A micro-batch is scanned with the same range-bucketed running values as the batch form, so one busy source does
-    not end up in one task; the state table has one row per source and a version per batch id.
+    A micro-batch is scanned with the same running values over range partitions as the batch form, so one busy source does
+    not end up in one task. The state is kept in key buckets; a batch reads and rewrites those of its own sources only.
     """
     spark = stream.sparkSession
     kind = stream.schema[source].dataType.simpleString()
-    state_schema = f"{source} {kind}, carried bigint, tripped boolean"
-    _make_folder(spark, _batch_path(state, -1))
+    store = KeyedState(spark, state, f"`{source}` {kind}, carried bigint, tripped boolean", [source], buckets)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        before = batch.sparkSession.read.schema(state_schema).parquet(_batch_path(state, batch_id - 1))
+        store.compact(batch_id)
+        before = store.read(batch_id, touched(batch.select(bucket_of([source], buckets).alias(BUCKET))))
         marked = batch.withColumn("__failed", failed).join(before, source, "left").withColumns(
             {"carried": F.coalesce("carried", F.lit(0)), "tripped": F.coalesce("tripped", F.lit(False))}
         )
@@ -131,6 +129,6 @@ def breaker_stream(
             (F.bool_or("tripped") | F.bool_or(F.col("failures") >= n)).alias("tripped"),
         )
         kept = before.join(after.select(source), source, "left_anti")
-        after.unionByName(kept).write.mode("overwrite").parquet(_batch_path(state, batch_id))
+        store.write(after.unionByName(kept), batch_id)
 
     start_batches(stream, checkpoint, handle).awaitTermination()

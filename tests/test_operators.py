@@ -1,5 +1,6 @@
 """Operators on small fixtures: results, laws, skew, plans."""
 
+import collections
 import random
 
 import pytest
@@ -423,3 +424,28 @@ def test_product_record_with_markup(spark):
     html = '<script>x</script><script>var p = {"description": "<b>x</b>", "variants": [{"id": "1", "price": 250}]};</script>'
     row = pages.embedded_variants(spark.createDataFrame([(1, html)], "page int, html string"), "page").first()
     assert (row.variant_id, row.price) == ("1", 2.5)
+
+
+def test_nearest_title_keys_lose_no_pair_and_join_few(spark):
+    """Several rare letters at once: equal to brute force at every ratio, and far from all pairs at a high one."""
+    rng = random.Random(2)
+    words = ["".join(rng.choice("eeeaaiotnsrhldcmfpgwybvkz") for _ in range(rng.randint(3, 9))) for _ in range(150)]
+    made = lambda n: [" ".join(rng.choice(words) for _ in range(rng.randint(1, 6))) for _ in range(n)]
+    titles = made(250) + ["", " ", "ß", "zz", "x" * 90]
+    queries = made(200) + ["".join(rng.sample(t, len(t))) for t in titles[:40]] + [t[1:] + "q" for t in titles[:40]] + ["", "éß", "x" * 80]
+    left = spark.createDataFrame([(q,) for q in set(queries)], "q string")
+    right = spark.createDataFrame([(t,) for t in set(titles)], "t string")
+    count = {x: collections.Counter(x) for x in {*queries, *titles}}
+    for ratio in (0.85, 0.6):
+        want = {
+            (q, t) for q in set(queries) for t in set(titles) if q and t and 2 * (count[q] & count[t]).total() >= ratio * (len(q) + len(t)) - 1e-9
+        }
+        got = [(r.q, r.t) for r in matching.title_pairs(left, right, ratio).collect()]
+        assert len(got) == len(set(got)) and set(got) == want and want
+    common = matching._common_letters(left.withColumn("letters", matching._letters(F.col("q"))))
+    sides = [df.withColumn(f"{c}_letters", matching._rare_first(matching._letters(F.col(c)), common)) for df, c in ((left, "q"), (right, "t"))]
+    assert matching._candidates(*sides, 0.85).count() < 0.1 * len(set(queries)) * len(set(titles))
+    keys = [matching._keyed(side, c, f"{c}_letters", 0.85, c == "q").groupBy("__key").count() for side, c in zip(sides, "qt")]
+    met = keys[0].join(keys[1].withColumnRenamed("count", "n"), "__key").select((F.col("count") * F.col("n")).alias("rows"))
+    most, total = met.agg(F.max("rows"), F.sum("rows")).first()
+    assert most < total / 20  # no key makes a large share of the pairs

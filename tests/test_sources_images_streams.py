@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from catalogflow.operators import dom, images, pages
 from catalogflow.sources import records
-from catalogflow.streaming import streams
+from catalogflow.streaming import keyed, streams
 
 
 def test_ndjson_rules(spark, tmp_path):
@@ -178,6 +178,8 @@ def test_streams_over_several_files(spark, tmp_path):
         # every drain takes the new file only and goes on from the stored state
         stream = streams.file_stream(spark, str(source), "s string, o long, f boolean", files_per_trigger=1)
         streams.breaker_stream(stream, str(tmp_path / "out"), str(tmp_path / "state"), str(tmp_path / "ck"), "s", ["o"], F.col("f"), 5)
+        store = keyed.KeyedState(spark, str(tmp_path / "state"), "s string, carried bigint, tripped boolean", ["s"])
+        assert all(len(v) <= 2 for v in store.versions().values())  # what a batch read and what it wrote
     got = spark.read.parquet(str(tmp_path / "out")).filter("s = 'a'").orderBy("o").collect()
     assert [r["failures"] for r in got] == [1, 2, 3, 4, 5, 0, 1, 2]
     assert [r["disabled"] for r in got] == [False] * 5 + [True] * 3
@@ -193,3 +195,43 @@ def test_upsert_stream_modes(spark, tmp_path):
     rows = lambda mode: sorted((r["k"], r["o"]) for r in streams.read_upserted(spark, str(tmp_path / mode), ["k"]).collect())
     assert rows("skip") == [("a", 0), ("b", 10), ("c", 11)]
     assert rows("overwrite") == [("a", 1), ("b", 10), ("c", 11)]
+
+
+def test_state_rewrites_touched_buckets_only(spark, tmp_path):
+    store = keyed.KeyedState(spark, str(tmp_path), "k bigint, v bigint", ["k"], buckets=8)
+    rows = lambda keys, v: spark.createDataFrame([(k, v) for k in keys], "k bigint, v bigint")
+    store.write(rows(range(40), 0), 0)
+    one = keyed.touched(rows([3], 1).select(keyed.bucket_of(["k"], 8).alias(keyed.BUCKET)))
+    mates = sorted(r.k for r in store.read(1, one).collect())
+    assert 3 in mates and 0 < len(mates) < 20
+    store.write(rows(mates, 1), 1)
+    assert {b: v for b, v in store.versions().items() if b in one} == {one[0]: [0, 1]}
+    assert all(v == [0] for b, v in store.versions().items() if b not in one)
+    assert {r.k: r.v for r in store.read(2).collect()} == {k: int(k in mates) for k in range(40)}
+    assert {r.v for r in store.read(1).collect()} == {0}  # a replayed batch reads what it read before
+    store.write(rows(mates, 2), 2)
+    store.compact(2)
+    assert store.versions()[one[0]] == [1, 2] and {r.k for r in store.read(2).collect()} == set(range(40))
+
+
+def test_skip_stream_reads_only_files_that_may_hold_a_key(spark, tmp_path):
+    source, out, ck = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "ck")
+    reports = []
+    for batch in ([(k, 0) for k in range(200)], [(k, 1) for k in range(1000, 1200)], [(7, 2), (5000, 2)], [(7, 3)]):
+        spark.createDataFrame(batch, "k long, o long").coalesce(1).write.mode("append").parquet(source)
+        stream = streams.file_stream(spark, source, "k long, o long")
+        reports += streams.upsert_stream(stream, out, ck, ["k"], ["o"], "skip", buckets=16)
+    got = {r.k: r.o for r in streams.read_upserted(spark, out, ["k"]).collect()}
+    assert got == {k: 0 for k in range(200)} | {k: 1 for k in range(1000, 1200)} | {5000: 2}
+    assert [r["files"] for r in reports] == [0, 16, 32, 33]
+    assert reports[1]["read"] == 0 and 1 <= reports[2]["read"] <= 2 and reports[3]["read"] == 1
+
+
+def test_key_filters_let_no_key_through_unseen(spark, tmp_path):
+    filters = keyed.KeyFilters(spark, str(tmp_path), ["k"], buckets=4, words=64)
+    keys = lambda a, b: spark.range(a, b).withColumnRenamed("id", "k")
+    filters.write(keys(0, 1500), 0)
+    for a in (0, 700, 1499):
+        bucket = keyed.touched(keys(a, a + 1).select(keyed.bucket_of(["k"], 4).alias(keyed.BUCKET)))[0]
+        assert (0, bucket) in filters.may_hold(keys(a, a + 1), 1)
+    assert filters.may_hold(keys(0, 5), 0) == set()  # nothing before the first batch
