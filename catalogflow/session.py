@@ -57,17 +57,32 @@ def materialize(df: DataFrame) -> DataFrame:
     path = new_shared_path(df.sparkSession, "table")
     df.write.parquet(path)
     _written.append(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._written_to = path
+    return out
 
 
 _COSTLY = ("Join", "Aggregate", "Window", "Generate", "MapInPandas", "Union")
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete tables as `materialize` returned them, once nothing reads them any more; other frames are left alone."""
+    for df in frames:
+        path = getattr(df, "_written_to", None)
+        if path in _written:
+            _written.remove(path)
+            _delete(df.sparkSession, path)
+
+
 def release(spark: SparkSession) -> None:
     """Delete the tables this process materialized; call it when their results have been written."""
     while _written:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(spark, _written.pop())
 
 
 def reusable(df: DataFrame) -> DataFrame:
