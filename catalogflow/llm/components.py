@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..session import materialize
+from ..session import discard, materialize
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -30,7 +30,8 @@ def components(links: DataFrame) -> DataFrame:
         first = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(first, "u")
         moved = small.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        now = materialize(moved.unionByName(first.select("u", F.col("m").alias("v"))).distinct())
+        before, now = now, materialize(moved.unionByName(first.select("u", F.col("m").alias("v"))).distinct())
+        discard(before, large)
 
 
 def bitmap(df: DataFrame, key: Column, log2: int) -> np.ndarray:

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..session import materialize
+from ..session import discard, materialize
 from .arrays import mix, shingles, slices, utf8, word_ranges, with_arrow, words
 from .components import bitmap, components, in_bitmap
 
@@ -150,23 +150,6 @@ def cluster(rows: DataFrame, full: DataFrame, items: Callable[[pa.Array], tuple[
 
     members = materialize(full.select("h", "keys").mapInArrow(kept, "h bigint, key bigint").join(shared, "key").distinct())
     nodes = materialize(members.select("h").distinct().join(names, "h"))
-    by_set = bitmap(nodes, F.col("h"), 22)
-    by_doc = bitmap(nodes, F.xxhash64("first"), 22)
-    wanted = spark.sparkContext.broadcast((by_set, by_doc))
-
-    def arrays(batches):
-        by_set, by_doc = wanted.value
-        for batch in batches:
-            texts = batch.column(0).filter(pa.array(in_bitmap(by_doc, np.asarray(batch.column(1)))))
-            for a, b in slices(texts):
-                own, found = items(texts.slice(a, b - a))
-                if len(own) and (hit := in_bitmap(by_set, own)).any():
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(own[hit]), lists([s for s, y in zip(found, hit, strict=True) if y]).cast(pa.list_(pa.int64()))], ["h", "s"]
-                    )
-
-    texts = rows.select("text", F.xxhash64("doc_id").alias("k")).mapInArrow(arrays, "h bigint, s array<bigint>")
-    content = materialize(texts.join(nodes.select("h"), "h", "left_semi").dropDuplicates(["h"]))
     parts = range(words)
     summary = full.select("h", "n", *[F.col("bits")[i].alias(f"p{i}") for i in parts]).join(nodes.select("h"), "h", "left_semi")
     summary = materialize(summary.dropDuplicates(["h"]))
@@ -182,11 +165,33 @@ def cluster(rows: DataFrame, full: DataFrame, items: Callable[[pa.Array], tuple[
         total = F.col("nx") + F.col("ny")
         return (F.least("nx", "ny") * den >= F.greatest("nx", "ny") * num) & (differ * (den + num) <= total * (den - num))
 
+    def arrays(wanted: DataFrame) -> DataFrame:
+        """h and the array of the sets wanted (h, first), read from the texts again: bitmaps rule out nearly all others."""
+        held = spark.sparkContext.broadcast((bitmap(wanted, F.col("h"), 22), bitmap(wanted, F.xxhash64("first"), 22)))
+
+        def read(batches):
+            by_set, by_doc = held.value
+            for batch in batches:
+                texts = batch.column(0).filter(pa.array(in_bitmap(by_doc, np.asarray(batch.column(1)))))
+                for a, b in slices(texts):
+                    own, found = items(texts.slice(a, b - a))
+                    if len(own) and (hit := in_bitmap(by_set, own)).any():
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(own[hit]), lists([s for s, y in zip(found, hit, strict=True) if y]).cast(pa.list_(pa.int64()))], ["h", "s"]
+                        )
+
+        return rows.select("text", F.xxhash64("doc_id").alias("k")).mapInArrow(read, "h bigint, s array<bigint>")
+
     def verified(pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b, na, nb) that are linked."""
+        """The pairs (a, b, na, nb) that are linked. Only sets of these pairs have their arrays moved; they go afterwards."""
+        sets_met = pairs.select(F.col("a").alias("h")).union(pairs.select("b")).distinct()
+        wanted = materialize(sets_met.join(nodes, "h"))
+        content = arrays(wanted).dropDuplicates(["h"])  # what bitmaps let through besides meets no pair
         both = pairs.join(content.select(F.col("h").alias("a"), F.col("s").alias("x")), "a").join(content.select(F.col("h").alias("b"), F.col("s").alias("y")), "b")
         counted = with_arrow(both, "both", [F.col("x"), F.col("y")], "bigint", _common).drop("x", "y")
-        return counted.filter((F.col("na") + F.col("nb") - F.col("both")) * num <= F.col("both") * den).select("a", "b")
+        found = materialize(counted.filter((F.col("na") + F.col("nb") - F.col("both")) * num <= F.col("both") * den).select("a", "b"))
+        discard(wanted)
+        return found
 
     def sized(pairs: DataFrame) -> DataFrame:
         """Pairs (a, b) with sizes na and nb that sizes and bitmaps allow."""
@@ -201,10 +206,13 @@ def cluster(rows: DataFrame, full: DataFrame, items: Callable[[pa.Array], tuple[
         meeting = materialize(own.groupBy("key").agg(F.min("label").alias("a"), F.max("label").alias("b"), F.count(F.lit(1)).alias("n")).filter("a < b").select("key", "n"))
         held = spark.sparkContext.broadcast(bitmap(meeting, F.col("key"), 25))
         near = F.arrow_udf(lambda keys: pa.array(in_bitmap(held.value, np.asarray(keys))), "boolean")
-        own = materialize(own.filter(near("key")).join(meeting, "key"))
+        every, own = own, materialize(own.filter(near("key")).join(meeting, "key"))
+        discard(every)
         weights = own.groupBy("h").agg(F.sum("n").alias("weight"))  # how many it meets
         top = own.join(weights, "h").groupBy("key").agg(F.max(F.struct("weight", "h", "label")).alias("top"))
-        return materialize(own.drop("n").join(top, "key"))
+        out = materialize(own.drop("n").join(top, "key"))
+        discard(own, meeting)
+        return out
 
     links = tried = spark.createDataFrame([], "a bigint, b bigint")
     near = members.filter("h <> least").groupBy(F.col("h").alias("a"), F.col("least").alias("b")).agg(F.count(F.lit(1)).alias("n"))
@@ -212,16 +220,20 @@ def cluster(rows: DataFrame, full: DataFrame, items: Callable[[pa.Array], tuple[
     for turn in range(TRIES):  # each set with the one it shares most keys with, of those that stand for their key
         best = near.join(tried, ["a", "b"], "left_anti").groupBy("a").agg(F.max(F.struct("n", "b")).alias("best"))
         one = materialize(best.select("a", F.col("best.b").alias("b")))
-        links = links.union(materialize(verified(sized(one))))
+        allowed = materialize(sized(one))
+        links = links.union(verified(allowed))
         tried = tried.union(one)
-        open_ = still_open(open_, links)
+        before, open_ = open_, still_open(open_, links)
+        discard(allowed, before)
         outside = open_.filter("label <> top.label")
         near = outside.groupBy(F.col("h").alias("a"), F.col("top.h").alias("b")).agg(F.count(F.lit(1)).alias("n"))
     keysets = open_.groupBy("h").agg(F.collect_list("key").alias("k"))  # of one set's own keys
     x, y = sides(open_.select("key", "h", "label").join(summary, "h").join(keysets, "h"), ["h", "label", "k", *[c for c in summary.columns if c != "h"]])
     meets = (F.col("hx") < F.col("hy")) & (F.col("labelx") != F.col("labely")) & bounded() & (F.array_min(F.array_intersect("kx", "ky")) == F.col("key"))
     pairs = x.join(y, "key").filter(meets).select(F.col("hx").alias("a"), F.col("hy").alias("b"), F.col("nx").alias("na"), F.col("ny").alias("nb"))
-    links = links.union(verified(materialize(pairs)))
+    pairs = materialize(pairs)
+    links = links.union(verified(pairs))
+    discard(pairs, open_, summary, shared, nodes)
     return components(links).withColumnRenamed("node", "h")
 
 
