@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -15,7 +16,7 @@ from .components import bitmap, components, in_bitmap
 _U = np.uint64
 PARITY_BITS = 512
 TRIES = 2
-SPARE = 2  # partitions beyond the bound, so that an empty partition in common proves nothing
+SPARE = 2  # least number of partitions beyond the bound, so that an empty partition in common proves nothing
 
 
 def sets(texts: pa.Array, size: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -38,28 +39,46 @@ class Bands:
     def __init__(self, num: int, den: int):
         self.num, self.den = num, den
         self.low = [1]
+        self.spares: dict[int, int] = {}
 
     def reach(self, n: int) -> int:
         """Of |x ^ y| for sizes whose sum is n."""
         return n * (self.den - self.num) // (self.den + self.num)
 
-    def tiles(self, n: int) -> list[tuple[int, int]]:
-        """Bands in which a set of n meets its partners, with their partitions."""
+    def tiles(self, n: int) -> list[tuple[int, int, int]]:
+        """Bands in which a set of n meets its partners, with their partitions and how many of these are spare."""
         while self.low[-1] <= 2 * n * self.den // self.num + 2:
             self.low.append(max(self.low[-1] + 1, self.low[-1] * 3 // 2))
         j = int(np.searchsorted(self.low, n, side="right")) - 1
         own = [j] if n * self.den // self.num < self.low[j + 1] else [j, j + 1]
-        return [(j, k + 1 + SPARE) for j in own if (k := self.reach(2 * (self.low[j + 1] - 1)))]
+        return [(j, k + 1 + self.spare(j), self.spare(j)) for j in own if (k := self.reach(2 * (self.low[j + 1] - 1)))]
+
+    def spare(self, j: int) -> int:
+        """Partitions of band j beyond the bound: more than a set of the band leaves empty but by rare chance.
+
+        A set with no more empty partitions than these has its full ones in common with a linked set; else its empty ones are
+        keys, too. Where sets are so small that most partitions stay empty anyway, SPARE of them will do.
+        """
+        if j not in self.spares:
+            k, spare = self.reach(2 * (self.low[j + 1] - 1)), SPARE
+            for _ in range(50):
+                m = k + 1 + spare
+                empty = m * math.exp(-self.low[j] / m)
+                spare = math.ceil(empty + 5 * math.sqrt(empty)) + SPARE
+                if spare > k:
+                    break
+            self.spares[j] = spare if spare <= k else SPARE
+        return self.spares[j]
 
     def keys(self, s: np.ndarray) -> np.ndarray:
         """A key for each partition of each tile: band, partition and content."""
         out = [np.zeros(0, np.uint64)]
         scrambled = mix(s)
-        for j, m in self.tiles(len(s)) if len(s) else ():
+        for j, m, spare in self.tiles(len(s)) if len(s) else ():
             part = ((s >> _U(32)) * _U(m)) >> _U(32)
             first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
             here, content = part[first], np.add.reduceat(scrambled, first)
-            if m - len(here) > SPARE:
+            if m - len(here) > spare:
                 gone = np.setdiff1d(np.arange(m, dtype=np.uint64), here)
                 here, content = np.concatenate([here, gone]), np.concatenate([content, np.zeros(len(gone), np.uint64)])
             out.append(mix(content + mix(here + (_U(j) << _U(40)))))
