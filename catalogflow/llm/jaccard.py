@@ -148,8 +148,8 @@ def cluster(rows: DataFrame, full: DataFrame, items: Callable[[pa.Array], tuple[
 
     At each key one set stands for the others: first the smallest, then the one that meets most sets. A few times, each
     set outside its component is compared with one of these, the one with most keys in common. The verified links make
-    components; then all partners of different components, bound by sizes and bitmaps, are verified, each pair at the
-    first key it shares. Pairs in one component need no look.
+    components; then all partners of different components, bound by sizes and bitmaps, are verified, each pair
+    once. Pairs in one component need no look.
     """
     spark = rows.sparkSession
     names = full.groupBy("h").agg(F.min("doc_id").alias("first"))
@@ -246,10 +246,9 @@ def cluster(rows: DataFrame, full: DataFrame, items: Callable[[pa.Array], tuple[
         discard(allowed, before)
         outside = open_.filter("label <> top.label")
         near = outside.groupBy(F.col("h").alias("a"), F.col("top.h").alias("b")).agg(F.count(F.lit(1)).alias("n"))
-    keysets = open_.groupBy("h").agg(F.collect_list("key").alias("k"))  # of one set's own keys
-    x, y = sides(open_.select("key", "h", "label").join(summary, "h").join(keysets, "h"), ["h", "label", "k", *[c for c in summary.columns if c != "h"]])
-    meets = (F.col("hx") < F.col("hy")) & (F.col("labelx") != F.col("labely")) & bounded() & (F.array_min(F.array_intersect("kx", "ky")) == F.col("key"))
-    pairs = x.join(y, "key").filter(meets).select(F.col("hx").alias("a"), F.col("hy").alias("b"), F.col("nx").alias("na"), F.col("ny").alias("nb"))
+    x, y = sides(open_.select("key", "h", "label").join(summary, "h"), ["h", "label", *[c for c in summary.columns if c != "h"]])
+    meets = (F.col("hx") < F.col("hy")) & (F.col("labelx") != F.col("labely")) & bounded()
+    pairs = x.join(y, "key").filter(meets).select(F.col("hx").alias("a"), F.col("hy").alias("b"), F.col("nx").alias("na"), F.col("ny").alias("nb")).distinct()
     pairs = materialize(pairs)
     links = links.union(verified(pairs))
     discard(pairs, open_, summary, shared, nodes)
