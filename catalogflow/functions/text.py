@@ -116,23 +116,54 @@ _LETTERS, _BASES, _MARKS = _latin_folding()
 
 def drop_accents(c: Column) -> Column:
     """Latin letters without accents; for other scripts use `decompose` first."""
-    return F.translate(F.replace(c, F.lit(" "), F.lit(" ")), _LETTERS + _MARKS, _BASES)
+    return F.translate(F.replace(c, F.lit("\u00a0"), F.lit(" ")), _LETTERS + _MARKS, _BASES)
+
+
+_ASCII = r"^[\x00-\x7F]*$"
+_PLAIN_CASE = r"^[\x00-\xB4\xB6-\xFF]*$"  # letters whose full case fold is their lower case, but for the sharp s
+
+
+def _bare(text: str) -> str:
+    return "".join(ch for ch in text if not unicodedata.combining(ch))
 
 
 @F.pandas_udf(T.StringType())
 def decompose(texts: pd.Series) -> pd.Series:
     """Compatibility decomposition without combining marks, for any script."""
-    pieces = texts.str.normalize("NFKD")
-    return pieces.map(lambda t: None if t is None else "".join(ch for ch in t if not unicodedata.combining(ch)))
+    return texts.map(lambda t: None if t is None else _bare(unicodedata.normalize("NFKD", t)))
+
+
+@F.pandas_udf(T.StringType())
+def _folded_any(texts: pd.Series) -> pd.Series:
+    """Compatibility decomposition, full case fold, no combining marks."""
+    return texts.map(lambda t: None if t is None else _bare(unicodedata.normalize("NFKD", t).casefold()))
+
+
+@F.pandas_udf(T.StringType())
+def _casefold_any(texts: pd.Series) -> pd.Series:
+    return texts.map(lambda t: None if t is None else t.casefold())
+
+
+def _elsewhere(c: Column, simple: Column, udf) -> Column:
+    """The udf's value for the texts that SQL functions cannot do; the others reach it as null."""
+    return udf(F.when(~simple, c))
 
 
 def casefold(c: Column) -> Column:
-    return F.lower(F.replace(c, F.lit("ß"), F.lit("ss")))
+    """Full case fold of any script; texts of Latin letters stay in SQL functions."""
+    simple = c.rlike(_PLAIN_CASE)
+    return F.when(simple, F.lower(F.replace(c, F.lit("ß"), F.lit("ss")))).otherwise(_elsewhere(c, simple, _casefold_any))
+
 
+def soft_key(c: Column) -> Column:
+    """Decomposed, case-folded, without accents and punctuation, white space squeezed; any script.
 
-def soft_key(c: Column, any_script: bool = False) -> Column:
-    bare = decompose(c) if any_script else drop_accents(c)
-    out = F.regexp_replace(strip(casefold(bare)), r"(?U)\s+", " ")
+    Latin letters with accents are done by SQL functions; only texts with other letters are sent to Python.
+    """
+    latin = drop_accents(c)
+    simple = latin.rlike(_ASCII)
+    bare = F.when(simple, F.lower(latin)).otherwise(_elsewhere(c, simple, _folded_any))
+    out = F.regexp_replace(strip(bare), r"(?U)\s+", " ")
     return F.regexp_replace(out, r"(?U)[^\w\s.-]", "")
 
 
@@ -158,7 +189,10 @@ def canonical_key(c: Column, mode: str, mapping: dict[str, str] | None = None, g
 
 
 def slugify(c: Column, maxlen: int = 80) -> Column:
-    out = F.regexp_replace(drop_accents(c), r"[^a-zA-Z0-9._-]+", "-")
+    latin = drop_accents(c)
+    simple = latin.rlike(_ASCII)
+    bare = F.when(simple, latin).otherwise(_elsewhere(c, simple, decompose))
+    out = F.regexp_replace(bare, r"[^a-zA-Z0-9._-]+", "-")
     out = F.left(F.regexp_replace(out, r"^[-._]+|[-._]+$", ""), F.lit(maxlen))
     return F.when(F.coalesce(out, F.lit("")) == "", F.lit("_")).otherwise(out)
 

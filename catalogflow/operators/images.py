@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,6 +48,7 @@ def _perceptual_hash(gray: np.ndarray) -> int:
     n = np.arange(32)
     cosines = np.cos(np.pi * (2 * n[None, :] + 1) * n[:, None] / 64)
     low = (cosines @ small @ cosines.T)[:8, :8]
+    low = np.round(low, 6)  # so that flat images do not hash their rounding errors
     bits = (low > np.median(low)).ravel()
     return int(np.packbits(bits).view(">i8")[0])
 
@@ -79,29 +82,68 @@ def image_metrics(images: DataFrame) -> DataFrame:
     return flat.mapInPandas(measure, f"origin string, {_SCHEMA}")
 
 
-def hash_bands(c: Column, limit: int = fixed.MAX_HAMMING) -> Column:
-    """The 64 bits cut into limit + 1 bands: hashes within the limit agree on at least one whole band."""
+# Known hashes that one task compares with all images at once, and how often such a block is repeated to spread the work.
+BLOCK = 1024
+_SPREAD = 64
+
+
+def hash_bands(c: Column, count: int) -> list[Column]:
+    """The 64 bits cut into so many bands of nearly equal width."""
     bands, start = [], 0
-    for i in range(limit + 1):
-        width = (64 - start) // (limit + 1 - i)
-        mask = (1 << width) - 1
-        bands.append(F.shiftrightunsigned(c, start).bitwiseAND(F.lit(mask)))
+    for i in range(count):
+        width = (64 - start) // (count - i)
+        bands.append(F.shiftrightunsigned(c, start).bitwiseAND(F.lit((1 << width) - 1)))
         start += width
-    return F.array(*bands)
+    return bands
+
+
+def _pair_keys(c: Column, limit: int) -> Column:
+    """Every pair of limit + 2 bands with its bits: hashes within the limit differ in `limit` bands at most, so two agree."""
+    bands = hash_bands(c, limit + 2)
+    pairs = list(itertools.combinations(range(limit + 2), 2))
+    return F.array(*[F.xxhash64(F.lit(k), bands[a], bands[b]) for k, (a, b) in enumerate(pairs)])
+
+
+def _selective(limit: int) -> bool:
+    """Whether keys of two bands let through a small share of unrelated hashes."""
+    return math.comb(limit + 2, 2) * 2.0 ** (-128 / (limit + 2)) < 0.1
+
+
+def _near(own: Column, known: Column, limit: int) -> Column:
+    return F.bit_count(own.bitwiseXOR(known)) <= limit
+
+
+def indexed_pairs(images: DataFrame, known: DataFrame, key: str, phash: str, limit: int) -> DataFrame:
+    """key, own and known hash of the rows that share a pair of bands; a pair may come more than once."""
+    left = images.select(key, F.col(phash).alias("__own"), F.explode(_pair_keys(F.col(phash), limit)).alias("__key"))
+    right = known.select("__known", F.explode(_pair_keys(F.col("__known"), limit)).alias("__key"))
+    return left.join(right, "__key").select(key, "__own", "__known")
 
 
 def placeholder_join(
-    images: DataFrame, placeholders: DataFrame, key: str, phash: str = "phash", limit: int = fixed.MAX_HAMMING
+    images: DataFrame, placeholders: DataFrame, key: str, phash: str = "phash", limit: int = fixed.MAX_HAMMING, block: int = BLOCK
 ) -> DataFrame:
-    """Keys of the images within `limit` bits of any placeholder. Exact: an equi join per band, then the distance.
+    """Keys of the images within `limit` bits of any placeholder. Exact in each of its forms.
+
+    Up to `block` known hashes go to every task as one array (their count is checked). More are met through an index on pairs
+    of agreeing bands, if the limit leaves these selective, else in blocks of about `block`, each an array of its own.
 
     placeholders: phash.
     """
-    known = placeholders.select(F.col(phash).alias("__known")).distinct()
-    left = images.select(key, F.col(phash).alias("__own"), F.posexplode(hash_bands(F.col(phash), limit)).alias("__i", "__band"))
-    right = known.select("__known", F.posexplode(hash_bands(F.col("__known"), limit)).alias("__i", "__band"))
-    near = left.join(right, ["__i", "__band"]).filter(F.bit_count(F.col("__own").bitwiseXOR(F.col("__known"))) <= limit)
-    return near.select(key).distinct()
+    known = placeholders.select(F.col(phash).alias("__known")).filter("__known IS NOT NULL").distinct()
+    count = known.count()
+    own = F.col(phash)
+    if count > block and _selective(limit):
+        return indexed_pairs(images, known, key, phash, limit).filter(_near(F.col("__own"), F.col("__known"), limit)).select(key).distinct()
+    blocks = max(1, -(-count // block))
+    spread = _SPREAD if blocks > 1 else 1
+    arrays = known.groupBy(F.pmod(F.xxhash64("__known"), F.lit(blocks)).cast("int").alias("__block")).agg(F.collect_list("__known").alias("__all"))
+    left = images.select(
+        key, own.alias("__own"), F.pmod(F.xxhash64(key, own), F.lit(spread)).cast("int").alias("__part"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("__block")
+    )
+    arrays = arrays.select("__block", "__all", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))).alias("__part"))
+    met = left.join(F.broadcast(arrays) if blocks == 1 else arrays, ["__block", "__part"])  # one array of `block` numbers at most
+    return met.filter(F.exists("__all", lambda k: _near(F.col("__own"), k, limit))).select(key).distinct()
 
 
 def mark_placeholders(images: DataFrame, placeholders: DataFrame, key: str, limit: int = fixed.MAX_HAMMING) -> DataFrame:

@@ -125,9 +125,11 @@ def color_title(title: Column, color: Column) -> Column:
 
 
 def family_key(df: DataFrame, column: str, item: str) -> Column:
-    """A number of an item or a parent in the type of item: '36962.0' is 36962, blank or unreadable is null."""
+    """A number of an item or a parent in the type of item: '36962.0' is 36962; blank, broken or unreadable is null."""
     kind = df.schema[column].dataType
-    raw = F.col(column).try_cast("decimal(38,0)") if isinstance(kind, (T.DoubleType, T.FloatType)) else F.col(column)
+    raw = F.col(column)
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        raw = F.when(raw == F.floor(raw), raw.try_cast("decimal(38,0)"))
     plain = F.nullif(F.regexp_replace(F.trim(raw.cast("string")), r"^(-?[0-9]+)\.0*$", "$1"), F.lit(""))
     return plain if isinstance(df.schema[item].dataType, T.StringType) else plain.try_cast(df.schema[item].dataType)
 

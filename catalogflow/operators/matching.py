@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions import fixed
+from ..functions.codes import upc_digits
 from ..functions.names import flavors, forms, normalize_name, product_lines, taxonomy
 from ..functions.sizes import extract_sizes, sizes_match
 from ..functions.text import keyword_set, word_tokens
@@ -173,6 +174,36 @@ def match_attributes(inputs: DataFrame, candidates: DataFrame, cap: int | None =
     return best.select("input_id", "b.url", "b.score")
 
 
+STAGES = ("code", "description", "title")
+
+
+def match_staged(inputs: DataFrame, candidates: DataFrame, cap: int | None = None) -> DataFrame:
+    """Best candidate of the first stage that has one: input_id, stage, url, score. Rows without one are absent.
+
+    inputs: input_id, upc, description, title. candidates: input_id, stage (code, description, title: the search that brought them), pos,
+    url, title, page_text, page_taxonomy. The words asked for are the code's digits, the normalized description, or the
+    normalized title; what a candidate may not contradict (animal, flavor, line, size, form) comes from the description, else
+    from the title, in all stages. A single word never is enough, so a bare code finds nothing, as where the rules come
+    from. Each candidate is scored once, for its own stage; later stages count for rows that earlier ones left open.
+    """
+    listed = candidates.filter(F.col("pos") <= cap) if cap else candidates
+    asked = inputs.select("input_id", *[strip(F.coalesce(F.col(c).cast("string"), F.lit(""))).alias(c) for c in ("upc", "description", "title")])
+    told = F.when(F.col("description") != "", F.col("description")).otherwise(F.col("title"))
+    named = asked.select("input_id", "upc", "description", "title", told.alias("query_text"), normalize_name(told).alias("query"), F.col("title").alias("alt_text"))
+    attributes = query_attributes(named).withColumn("q_taxonomy", taxonomy(F.col("description")))
+
+    def words(c: Column) -> Column:
+        return F.filter(F.split(c, " "), lambda w: w != "")
+
+    texts = {"code": upc_digits(F.col("upc")), "description": normalize_name(F.col("description")), "title": normalize_name(F.col("title"))}
+    stages = F.explode(F.array(*[F.struct(F.lit(n).alias("stage"), F.lit(i).alias("stage_no"), words(texts[n]).alias("words")) for i, n in enumerate(STAGES)]))
+    queries = attributes.withColumn("s", stages).filter(F.size("s.words") > 0)
+    queries = queries.select(*[c for c in attributes.columns if c not in ("upc", "description", "title", "q_words")], "s.stage", "s.stage_no", F.col("s.words").alias("q_words"))
+    scored = attribute_score(skew_join(title_attributes(listed), queries, ["input_id", "stage"]))
+    best = scored.groupBy("input_id").agg(F.min_by(F.struct("stage", "url", "score"), F.struct("stage_no", -F.col("score"), "pos")).alias("b"))
+    return best.select("input_id", "b.*")
+
+
 def title_score(name: Column, query: Column) -> Column:
     """Shared tokens minus a tenth per extra name token."""
     words, asked = word_tokens(name), word_tokens(query)

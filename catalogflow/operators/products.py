@@ -68,7 +68,7 @@ def family_variants(families: DataFrame, data_columns: list[str], parsed: DataFr
             "sku": F.col("item_no").cast("string"),
             "price": money_text(F.col("sold_ext_price_adj"), F.col("avg_price_per_unit"), default="0"),
             "cost_text": money_text(F.col("sold_ext_cost_adj")),
-            "barcode": F.coalesce(*[F.when(~blank_text(F.col(c)), F.col(c)) for c in ("upc", "upc_updated")], F.lit("")),
+            "barcode": F.coalesce(*[F.when(~blank_text(F.col(c)), F.col(c)) for c in ("sku", "upc", "upc_updated") if c in joined.columns], F.lit("")),
             "inventory_quantity": F.coalesce(F.col("inventory_qty").cast("int"), F.lit(0)),
             "w": weight,
         }
@@ -306,13 +306,14 @@ class PaverProducts:
     @cached_property
     def options(self) -> DataFrame:
         rank = F.when(F.col("option2") == "Piece", 0).when(F.col("option2") == "Kit", 1).otherwise(2)
-        colors = option_values(self.variants, "family", "position", [(1, F.lit("Color"), F.col("option1"))])
+        every = self.rows.join(self.variants.select("family").distinct(), "family", "left_semi")  # colors without a unit, too
+        colors = option_values(every, "family", "ord", [(1, F.lit("Color"), F.trim("color"))])
         ranked = self.variants.withColumn("__rank", rank)
         return colors.unionByName(option_values(ranked, "family", "__rank", [(2, F.lit("Unit of Sale"), F.col("option2"))]))
 
     @cached_property
     def images(self) -> DataFrame:
-        titled = self.rows.filter(F.col("unit").isNotNull()).withColumn("title", F.col("family"))
+        titled = self.rows.withColumn("title", F.col("family"))  # a color's place may be that of a row without a unit
         gallery = gallery_by_color(titled, self.portal_images, self.public_images, "family", "title", self.parts)
         return gallery.withColumn("sub", F.lit(0))
 

@@ -10,7 +10,7 @@ from .registry import query, text
 
 def vector_images(t):
     """The 64 numbers of a vector as the pixels of an 8 x 8 gray image, in the image source's form."""
-    pixel = F.transform("embedding", lambda x: F.lpad(F.hex(F.least(F.floor(F.abs(x) * 1200), F.lit(255))), 2, "0"))
+    pixel = F.transform("embedding", lambda x: F.lpad(F.hex(F.least(F.floor(F.abs(x).cast("double") * 1200), F.lit(255))), 2, "0"))
     data = F.unhex(F.array_join(pixel, ""))
     image = F.struct(
         text("vec_id").alias("origin"), F.lit(8).alias("height"), F.lit(8).alias("width"), F.lit(1).alias("nChannels"), F.lit(0).alias("mode"), data.alias("data")
@@ -47,7 +47,27 @@ def j1_sharpness(t):
     return I.image_metrics(t.embeddings.select(image.alias("image"))).select("origin", F.floor(F.col("sharpness") * 4096 + 0.5).alias("sharpness_4096"))
 
 
-@query("J1_perceptual_hash")
+def _weights(taps: int) -> str:
+    """Lanczos weights of an image side of `taps` pixels widened to 32: place o, pixel i, weight w."""
+    x = f"(i + 0.5 - (o + 0.5) * {taps} / 32.0)"
+    sinc = lambda v: f"CASE WHEN {v} = 0 THEN 1.0 ELSE sin(pi() * {v}) / (pi() * {v}) END"
+    return f"""SELECT o, i, v / sum(v) OVER (PARTITION BY o) AS w FROM (SELECT o, i, CASE WHEN abs({x}) < 3 THEN ({sinc(x)}) * ({sinc(f"({x} / 3.0)")}) ELSE 0.0 END AS v
+      FROM (SELECT unnest(range(32)) AS o), (SELECT unnest(range({taps})) AS i))"""
+
+
+@query(
+    "J1_perceptual_hash",
+    f"""WITH p AS (SELECT vec_id, i // 8 AS r, i % 8 AS c, least(floor(abs(embedding[i + 1]::DOUBLE) * 1200), 255) AS g FROM embeddings, (SELECT unnest(range(64)) AS i)),
+    w AS ({_weights(8)}),
+    a AS (SELECT vec_id, r, o AS c, greatest(0, least(255, round_even(sum(g * w), 0))) AS g FROM p JOIN w ON p.c = w.i GROUP BY 1, 2, 3),
+    b AS (SELECT vec_id, o AS r, c, greatest(0, least(255, round_even(sum(g * w), 0))) AS g FROM a JOIN w ON a.r = w.i GROUP BY 1, 2, 3),
+    k AS (SELECT f, n, cos(pi() * (2 * n + 1) * f / 64) AS v FROM (SELECT unnest(range(8)) AS f), (SELECT unnest(range(32)) AS n)),
+    d AS (SELECT vec_id, f AS y, c, sum(g * v) AS s FROM b JOIN k ON b.r = k.n GROUP BY 1, 2, 3),
+    e AS (SELECT vec_id, y, f AS x, round_even(sum(s * v), 6) AS s FROM d JOIN k ON d.c = k.n GROUP BY 1, 2, 3),
+    m AS (SELECT *, median(s) OVER (PARTITION BY vec_id) AS mid FROM e),
+    h AS (SELECT vec_id, sum(CASE WHEN s > mid THEN CAST(1 AS HUGEINT) << CAST(63 - (8 * y + x) AS INTEGER) ELSE 0 END) AS h FROM m GROUP BY 1)
+    SELECT CAST(vec_id AS VARCHAR) AS origin, CAST(CASE WHEN h >= 9223372036854775808 THEN h - 18446744073709551616 ELSE h END AS BIGINT) AS phash FROM h""",
+)
 def j1_hash(t):
     return I.image_metrics(vector_images(t)).select("origin", "phash")
 

@@ -114,6 +114,35 @@ def c8(t):
     return M.match_attributes(inputs, candidates).withColumn("score", F.round("score", 6))
 
 
+@query(
+    "C8_match_staged",
+    f"""WITH {_SEARCH}, x AS (SELECT w.input_id, c.source, c.pos, 'https://x.example/product/' || replace(c.name, ' ', '-') || '-' || c.p_size AS url,
+      list_filter(CASE WHEN c.source = 1 THEN string_split(upper(w.description) || ' ' || w.size, ' ') ELSE string_split(replace(w.title, ' Horse Feed', ''), ' ') END, lambda s: s <> 'NEW' AND s <> '') AS qt,
+      list_filter(string_split(upper(c.name) || ' ' || c.p_size, ' '), lambda s: s <> 'NEW') AS tt,
+      string_split(upper(replace(c.name, ' ', '-')) || '-' || c.p_size, '-') AS sl, upper(replace(c.name, ' ', '-')) || '-' || c.p_size AS slug,
+      w.size AS qs, c.p_size AS ps, contains(coalesce(upper(w.description), w.title), 'RING') AS qf
+      FROM want w JOIN cand c USING (input_id) WHERE (c.source = 1 AND w.description IS NOT NULL) OR (c.source = 2 AND w.title IS NOT NULL)),
+    y AS (SELECT *, len(list_filter(qt, lambda s: list_contains(tt, s) OR list_contains(sl, s))) AS m, list_contains(tt, 'RING') AS tf,
+      len(list_filter(qt, lambda s: contains(slug, s))) AS sh FROM x WHERE qs IS NULL OR abs(ps - qs) / ps <= 0.08),
+    z AS (SELECT *, m * 1.2::DOUBLE + CASE WHEN NOT qf THEN 0.0::DOUBLE WHEN tf THEN 1.5::DOUBLE ELSE -0.8::DOUBLE END + CASE WHEN sh >= 2 THEN 0.6::DOUBLE ELSE 0.0::DOUBLE END AS score
+      FROM y WHERE m >= 2 AND m / len(tt) >= CASE WHEN len(tt) <= 4 THEN 0.75 ELSE 0.6 END AND m / len(qt) >= 0.5)
+    SELECT input_id, first(CASE source WHEN 1 THEN 'description' ELSE 'title' END ORDER BY source, score DESC, pos) AS stage,
+      first(url ORDER BY source, score DESC, pos) AS url, round(first(score ORDER BY source, score DESC, pos), 6) AS score FROM z GROUP BY 1""",
+)
+def c8_staged(t):
+    """Lines 1-3 come from the search by description, 4-5 by title, 6-7 by code."""
+    name = F.concat("description", F.lit(" "), text("size"), F.lit(" in"))
+    inputs = wanted(t).select("input_id", F.format_string("%012d", F.col("input_id")).alias("upc"), name.alias("description"), F.replace("title", F.lit(" Horse Feed")).alias("title"))
+    results = search_results(t)
+    slug = F.concat(F.replace("name", F.lit(" "), F.lit("-")), F.lit("-"), text("p_size"))
+    stage = F.when(F.col("source") == "by_description", "description").when(F.col("source") == "by_title", "title").otherwise("code")
+    candidates = results.select(
+        "input_id", stage.alias("stage"), "pos", F.concat(F.lit("https://x.example/product/"), slug).alias("url"),
+        F.concat("name", F.lit(" "), text("p_size"), F.lit(" inch")).alias("title"), F.lit("").alias("page_text"), F.lit("").alias("page_taxonomy"),
+    )
+    return M.match_staged(inputs, candidates).withColumn("score", F.round("score", 6))
+
+
 @query(
     "C9_rank_titles",
     f"""WITH {_SEARCH}, x AS (SELECT w.input_id, c.pos, c.url, list_distinct(string_split(c.name || ' ' || lower(c.p_type), ' ')) AS nt, string_split(w.description, ' ') AS qt

@@ -21,6 +21,7 @@ def product_inputs(t):
         F.lit("[16 oz]").alias("upcitemdb_size"), F.lit(None).cast("string").alias("upcitemdb_title"),
         F.concat(F.lit("$"), F.format_number("c_acctbal", 2)).alias("sold_ext_price_adj"), F.lit("").alias("avg_price_per_unit"),
         F.when(F.col("c_nationkey") > 10, text("c_nationkey")).alias("sold_ext_cost_adj"), F.lit(None).cast("string").alias("upc"),
+        F.when(F.col("c_nationkey") % 5 == 0, F.concat(F.lit("S"), text("item_no"))).alias("sku"),
         F.lpad(text("item_no"), 12, "0").alias("upc_updated"), F.col("c_nationkey").cast("bigint").alias("inventory_qty"), F.lower("c_mktsegment").alias("color"),
         F.when(F.col("c_nationkey") >= 5, "size").otherwise("").alias("option_1"), F.when(F.col("c_nationkey") >= 15, "color").otherwise("").alias("option_2"),
         F.lit("").alias("option_3"), F.lit("").alias("option_4"),
@@ -47,7 +48,7 @@ def family_products(t, max_items=1000):
 _FAMILY_VARIANTS = FAMILIES + """, par AS (SELECT family, CASE WHEN c_nationkey >= 5 THEN 'size' WHEN c_mktsegment IN ('BUILDING', 'HOUSEHOLD', 'MACHINERY') THEN 'size' ELSE '' END AS o1,
    CASE WHEN c_nationkey >= 15 THEN 'color' ELSE '' END AS o2 FROM pos WHERE is_child = 0),
  v AS (SELECT pos.family, pos.family_pos AS position, CAST(pos.item_no AS VARCHAR) AS sku, CAST(CAST(c_acctbal AS DECIMAL(12,2)) AS VARCHAR) AS price,
-   CASE WHEN c_nationkey > 10 THEN CAST(c_nationkey AS VARCHAR) END AS cost, lpad(CAST(pos.item_no AS VARCHAR), 12, '0') AS barcode, c_nationkey AS inventory_quantity,
+   CASE WHEN c_nationkey > 10 THEN CAST(c_nationkey AS VARCHAR) END AS cost, CASE WHEN c_nationkey % 5 = 0 THEN 'S' || pos.item_no ELSE lpad(CAST(pos.item_no AS VARCHAR), 12, '0') END AS barcode, c_nationkey AS inventory_quantity,
    CASE c_mktsegment WHEN 'BUILDING' THEN 50.0 WHEN 'HOUSEHOLD' THEN 15.0 ELSE 16.0 END::DOUBLE AS weight, CASE WHEN c_mktsegment IN ('BUILDING', 'HOUSEHOLD') THEN 'lb' ELSE 'oz' END AS weight_unit,
    CAST(CASE c_mktsegment WHEN 'BUILDING' THEN 22680 WHEN 'HOUSEHOLD' THEN 6804 ELSE 454 END AS BIGINT) AS grams,
    CASE WHEN o1 = 'size' THEN CASE c_mktsegment WHEN 'BUILDING' THEN '50 LB' WHEN 'HOUSEHOLD' THEN '2 Gallon' WHEN 'MACHINERY' THEN 'Each' END END AS option1,
@@ -95,7 +96,7 @@ def i1_nested(t):
     skus = F.transform("p.product.variants", lambda v: v["sku"])
     return read.select(
         "family", "part", big(F.size(skus)).alias("n_variants"), F.array_min(skus).alias("first_sku"), F.col("p.product.media").isNotNull().alias("has_video")
-    ).filter("n_variants > 0")
+    )
 
 
 def paver_inputs(t):
@@ -156,7 +157,7 @@ def i2_errors(t):
     "I2_paver_options",
     f"""WITH {_PAVERS}, g AS (SELECT * FROM r WHERE unit IS NOT NULL AND family NOT IN (SELECT family FROM r WHERE q = 31)),
     u AS (SELECT DISTINCT family, unit FROM g)
-    SELECT family, 1 AS slot, 'Color' AS name, color AS value, row_number() OVER (PARTITION BY family ORDER BY ord) AS value_pos FROM g
+    SELECT family, 1 AS slot, 'Color' AS name, color AS value, row_number() OVER (PARTITION BY family ORDER BY ord) AS value_pos FROM r WHERE family IN (SELECT family FROM g)
     UNION ALL SELECT family, 2, 'Unit of Sale', unit, row_number() OVER (PARTITION BY family ORDER BY unit = 'Sq Ft', unit = 'Kit') FROM u""",
 )
 def i2_options(t):

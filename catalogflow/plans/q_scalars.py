@@ -189,7 +189,32 @@ def h12(t):
     f"SELECT doc_id, md5({_SOFT}) AS normal FROM documents",
 )
 def h12_any(t):
-    return t.documents.select("doc_id", F.md5(X.soft_key(F.col("text"), any_script=True)).alias("normal"))
+    return t.documents.select("doc_id", F.md5(X.soft_key(F.col("text"))).alias("normal"))
+
+
+_WIDE = "translate(upper(p_name), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'ＡＢＣＤＥＦＧＨＩＪＫＬＭＮＯＰＱＲＳＴＵＶＷＸＹＺ')"
+
+
+@query(
+    "H12_canonical_key_scripts",
+    f"""SELECT p_partkey, p_name AS wide, translate(p_name, 'aeiou', 'αειου') AS greek, translate(p_name, 'aei', 'иеі') AS cyrillic, replace(p_name, 'e', 'fi') AS ligature,
+      replace(p_name, 'o', chr(4370) || chr(4449) || chr(4523)) AS hangul, translate(p_name, 'aeiou', 'άέίόύ') AS folded,
+      translate(lower({_WIDE}), 'ＡＢＣＤＥＦＧＨＩＪＫＬＭＮＯＰＱＲＳＴＵＶＷＸＹＺ', 'ａｂｃｄｅｆｇｈｉｊｋｌｍｎｏｐｑｒｓｔｕｖｗｘｙｚ') AS wide_folded, left(p_name, 3) AS prefix,
+      CASE WHEN p_name = 'hot ring' THEN 'first' ELSE p_name END AS mapped FROM part""",
+)
+def h12_scripts(t):
+    """Full-width, Greek, Cyrillic, ligature and Hangul spellings of the names, in every mode that folds."""
+    name = F.col("p_name")
+    wide = F.translate(F.upper(name), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "ＡＢＣＤＥＦＧＨＩＪＫＬＭＮＯＰＱＲＳＴＵＶＷＸＹＺ")
+    greek = F.translate(name, "aeiou", "ΆΈΊΌΎ")
+    return t.part.select(
+        "p_partkey", X.canonical_key(wide, "normalize").alias("wide"), X.canonical_key(greek, "normalize").alias("greek"),
+        X.canonical_key(F.translate(name, "aei", "ЙЁЇ"), "normalize").alias("cyrillic"),
+        X.canonical_key(F.replace(name, F.lit("e"), F.lit("ﬁ")), "normalize").alias("ligature"),
+        X.canonical_key(F.replace(name, F.lit("o"), F.lit("한")), "normalize").alias("hangul"),
+        X.canonical_key(greek, "casefold").alias("folded"), X.canonical_key(wide, "casefold").alias("wide_folded"),
+        X.canonical_key(wide, "prefix:3").alias("prefix"), X.canonical_key(wide, "map", {"hot ring": "first"}).alias("mapped"),
+    )
 
 
 @query(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from ..operators.order import distributed_sequence, nest, split_batches
 from ..session import new_shared_path
@@ -18,6 +18,20 @@ def a1(t):
     return back.select("page_id", "url", big(F.length("html")).alias("n_chars"))
 
 
+@query("A1_read_array", "SELECT doc_id, source, CAST(length(text) AS BIGINT) AS n_chars, md5(text) AS digest FROM documents WHERE text IS NOT NULL")
+def a1_array(t):
+    """All documents as JSON arrays of 400 in files of their own, read back in byte ranges."""
+    path = new_shared_path(t.spark, "a1")
+    rows = t.documents.filter("text IS NOT NULL").select("doc_id", "source", "text", F.floor(F.col("doc_id") / 400).alias("p"))
+    own = Window.partitionBy("p").orderBy("doc_id", "source", "text")
+    ends = F.when(F.lead(F.lit(1)).over(own).isNull(), " ]")
+    line = F.concat(F.when(F.row_number().over(own) == 1, "[ ").otherwise(""), F.to_json(F.struct("doc_id", "source", "text")), ends.otherwise(","))
+    placed = rows.select("p", F.row_number().over(own).alias("n"), line.alias("value"))
+    placed.repartition("p").sortWithinPartitions("p", "n").select("p", "value").write.partitionBy("p").text(path)
+    back = R.read_records(t.spark, path, "doc_id bigint, source string, text string", ndjson=False)
+    return back.select("doc_id", "source", big(F.length("text")).alias("n_chars"), F.md5("text").alias("digest"))
+
+
 @query(
     "A2_normalize_input",
     """WITH p AS (SELECT event_id, event_type, replace(props, ' ', '') AS j FROM events)

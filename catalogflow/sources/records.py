@@ -10,6 +10,7 @@ from ..functions.text import canonical_key, slugify
 from ..functions.values import blank_text
 from ..operators.aggregate import last_wins
 from ..session import materialize
+from .documents import elements
 from ..operators.order import allocate_skus, group_position, mark_used, nest, sku_base, split_batches
 
 # A bare NaN token, not one inside quotes.
@@ -51,19 +52,19 @@ def read_records(
     """Objects of an NDJSON file or of a JSON array as rows.
 
     fix_nan turns bare NaN tokens into null. Blank NDJSON lines are skipped. strict raises on the first bad line,
-    naming file and line; otherwise bad lines are left out (see `bad_lines`). A JSON array is one document and so one
-    task per file: convert large ones to NDJSON once.
+    naming file and line; otherwise bad lines are left out (see `bad_lines`). A JSON array is read by many tasks, too (see
+    `documents.elements`); strict raises where a file is no array or one of its elements is no JSON object.
     """
     if not ndjson:
-        text = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.col("value"))
-        value = F.regexp_replace("value", _NAN, "null") if fix_nan else F.col("value")
+        found = elements(spark, path, strict)
+        value = F.regexp_replace("element", _NAN, "null") if fix_nan else F.col("element")
+        read = found.select("file", "kind", "idx", value.alias("v"))
+        fine = (F.col("kind") == "[") & F.col("v").startswith("{") & F.try_parse_json("v").isNotNull()
         if strict:
-            odd = text.filter(~F.trim(value).startswith("[") | F.try_parse_json(value).isNull()).select("file").head()
+            odd = read.filter(~fine).select("file", "idx").head()
             if odd:
-                raise ValueError(f"{odd['file']}: expected a JSON array at the top level")
-        kind = schema if isinstance(schema, str) else schema.simpleString()
-        kind = kind if kind.startswith("struct<") else T.StructType.fromDDL(kind).simpleString()
-        return text.select(F.explode(F.from_json(value, f"array<{kind}>")).alias("r")).select("r.*")
+                raise ValueError(f"{odd['file']}: expected a JSON array of objects at the top level; element {odd['idx']} is none")
+        return read.filter(fine).select(F.from_json("v", schema).alias("r")).select("r.*")
     if strict:
         _fail_on_bad_line(spark, path)
     lines = _lines(spark, path).filter(F.trim("line") != "")
@@ -76,7 +77,8 @@ def normalize_input(documents: DataFrame, text: str) -> DataFrame:
     """Records of whole JSON documents: (keys.., index, record as JSON text).
 
     A list of objects gives its objects; an object with exactly one list-of-objects field gives that list; any other
-    object is one record; a list with scalars gives {value, index} records; a scalar document fails the job.
+    object is one record; a list with scalars gives {value, index} records; a scalar or unreadable document fails the
+    job; a null one holds no records.
     """
     keys = [c for c in documents.columns if c != text]
     doc = F.try_parse_json(F.col(text))
@@ -100,7 +102,7 @@ def normalize_input(documents: DataFrame, text: str) -> DataFrame:
     )
     records = F.when(is_list & all_objects(as_list), texts(as_list)).when(is_list, wrapped).when(
         F.size(lists) == 1, texts(F.get(lists, F.lit(0)))
-    ).when(doc.isNull() | F.schema_of_variant(doc).startswith("OBJECT"), F.array(F.to_json(doc))).otherwise(F.raise_error(F.lit("a scalar document holds no records")))
+    ).when(F.schema_of_variant(doc).startswith("OBJECT"), F.array(F.to_json(doc))).when(F.col(text).isNotNull(), F.raise_error(F.lit("a scalar document holds no records, nor does an unreadable one")))
     return documents.select(*keys, F.posexplode(F.coalesce(records, empty)).alias("index", "record"))
 
 
@@ -121,9 +123,12 @@ def read_table(spark: SparkSession, path: str, header: bool = True, upc_columns:
 
 
 def read_catalog(spark: SparkSession, path: str, key: str = "upc", value: str = "url") -> DataFrame:
-    """Catalog files {key: value} or [{key, value}] as rows."""
-    text = spark.read.text(path, wholetext=True)
-    return catalog_entries(text.select(F.col("_metadata.file_path").alias("file"), F.col("value")), key, value)
+    """Catalog files {key: value} or [{key, value}] as rows; a file is read by many tasks."""
+    found = elements(spark, path)
+    pair = F.element_at(F.map_entries(F.from_json(F.concat(F.lit("{"), "element", F.lit("}")), "map<string,string>")), 1)
+    listed = F.from_json("element", f"struct<{key}:string,{value}:string>")
+    read = found.select("file", "idx", F.when(F.col("kind") == "{", F.struct(pair["key"].alias(key), pair["value"].alias(value))).otherwise(listed).alias("e"))
+    return _last_entries(read.select("file", F.col("idx").alias("pos"), F.trim(F.col(f"e.{key}")).alias(key), F.trim(F.col(f"e.{value}")).alias(value)), key, value)
 
 
 def catalog_entries(documents: DataFrame, key: str = "upc", value: str = "url") -> DataFrame:
@@ -137,7 +142,11 @@ def catalog_entries(documents: DataFrame, key: str = "upc", value: str = "url")
     from_list = text.filter(F.col("value").startswith("[")).select("file", F.posexplode(listed).alias("pos", "e")).select(
         "file", "pos", F.trim(F.col(f"e.{key}")).alias(key), F.trim(F.col(f"e.{value}")).alias(value)
     )
-    good = from_map.unionByName(from_list).filter(~blank_text(F.col(key)) & ~blank_text(F.col(value)))
+    return _last_entries(from_map.unionByName(from_list), key, value)
+
+
+def _last_entries(entries: DataFrame, key: str, value: str) -> DataFrame:
+    good = entries.filter(~blank_text(F.col(key)) & ~blank_text(F.col(value)))
     return last_wins(good, [key], ["file", "pos"]).select(key, value)
 
 

@@ -449,3 +449,18 @@ def test_nearest_title_keys_lose_no_pair_and_join_few(spark):
     met = keys[0].join(keys[1].withColumnRenamed("count", "n"), "__key").select((F.col("count") * F.col("n")).alias("rows"))
     most, total = met.agg(F.max("rows"), F.sum("rows")).first()
     assert most < total / 20  # no key makes a large share of the pairs
+
+
+def test_paver_colors_and_gallery_count_rows_without_a_unit(spark):
+    """Red first stands on a row without a unit: it leads the gallery; Gray has no unit at all: an option, but no image."""
+    rows = spark.createDataFrame(
+        [("T", 1, "Red", None), ("T", 2, "Blue", "Piece"), ("T", 3, "Red", "Piece"), ("T", 4, "Gray", None), ("U", 5, "Red", None)], "family string, ord bigint, color string, unit string"
+    ).withColumns({c: F.lit(2.0) for c in ("unit_price", "unit_cost", "pieces_per_cube", "sq_ft_per_cube")} | {"item_no": F.col("ord")})
+    portal = spark.createDataFrame([], "family string, color string, weight string, model_number string, swatch string")
+    own = spark.createDataFrame([("T", "Blue", 1, "/b.png"), ("T", "Red", 1, "/r.png"), ("T", "Gray", 1, "/g.png")], "family string, color string, ord int, url string")
+    shared = spark.createDataFrame([], "family string, kind string, ord int, url string")
+    public = spark.createDataFrame([("T", "d", "s")], "family string, description string, specifications string")
+    built = products.PaverProducts(rows, public, portal, own, shared, spark.createDataFrame([], "sku string"), "Maker")
+    assert [r.src for r in built.images.orderBy("position").collect()] == ["/r.png", "/b.png"]
+    options = [(r.family, r.slot, r.value) for r in built.options.orderBy("family", "slot", "value_pos").collect()]
+    assert options == [("T", 1, "Red"), ("T", 1, "Blue"), ("T", 1, "Gray"), ("T", 2, "Piece")]

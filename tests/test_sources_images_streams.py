@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from catalogflow.operators import dom, images, pages
-from catalogflow.sources import records
+from catalogflow.sources import documents, records
 from catalogflow.streaming import keyed, streams
 
 
@@ -137,9 +137,14 @@ def test_hash_bands_lose_no_pair(spark):
         rows.append((i, value - 2**64 if value >= 2**63 else value))
     df = spark.createDataFrame(rows, "k long, phash long")
     known = spark.createDataFrame([(int(b),) for b in base], "phash long")
-    got = {r["k"] for r in images.placeholder_join(df, known, "k").collect()}
     distance = lambda a, b: bin((a ^ int(b)) & (2**64 - 1)).count("1")
-    assert got == {k for k, v in rows if any(distance(v, b) <= 10 for b in base)}
+    for limit in (10, 20):
+        want = {k for k, v in rows if any(distance(v, b) <= limit for b in base)}
+        for block in (1000, 8):  # all known hashes at once; the index, and for 20 bits blocks
+            assert {r["k"] for r in images.placeholder_join(df, known, "k", limit=limit, block=block).collect()} == want
+    ready = known.withColumnRenamed("phash", "__known")
+    met = images.indexed_pairs(df, ready, "k", "phash", 10)
+    assert met.filter("NOT bit_count(__own ^ __known) <= 10").count() < 0.1 * len(rows) * len(base)
 
 
 def test_dom_positions(spark):
@@ -235,3 +240,47 @@ def test_key_filters_let_no_key_through_unseen(spark, tmp_path):
         bucket = keyed.touched(keys(a, a + 1).select(keyed.bucket_of(["k"], 4).alias(keyed.BUCKET)))[0]
         assert (0, bucket) in filters.may_hold(keys(a, a + 1), 1)
     assert filters.may_hold(keys(0, 5), 0) == set()  # nothing before the first batch
+
+
+def test_one_json_document_is_read_by_many_tasks(spark, tmp_path):
+    """Strings with brackets, commas and escapes, nested values and line ends, with range borders everywhere."""
+    rng = np.random.default_rng(7)
+    odd = ['a,b', '},{', '\\', '"', '\\"', '],[', 'é,ü', '{"x": "[,"}', '\n', ' , ', "ends with \\", '\\\\",']
+    rows = [{"id": k, "s": "".join(rng.choice(odd, rng.integers(0, 6))), "deep": [{"n": [1, 2, {"m": ","}]}, []]} for k in range(120)]
+    (tmp_path / "a.json").write_text(json.dumps(rows, indent=1, ensure_ascii=False))
+    (tmp_path / "b.json").write_text(" \n" + json.dumps(rows[:7]) + "\n\n")
+    (tmp_path / "c.json").write_text(" [ \n ] ")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    for size in ("97", "4096", "100000"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        try:
+            if size == "97":
+                assert spark.read.option("lineSep", ",").text(str(tmp_path / "a.json")).rdd.getNumPartitions() > 50
+            found = documents.elements(spark, str(tmp_path / "*.json")).collect()
+            back = records.read_records(spark, str(tmp_path / "*.json"), "id bigint, s string", ndjson=False).collect()
+        finally:
+            for k, v in before.items():
+                spark.conf.set(k, v)
+        whole = {name: [json.loads(r.element) for r in sorted(found, key=lambda r: r.idx) if r.file.endswith(name)] for name in ("a.json", "b.json", "c.json")}
+        assert whole == {"a.json": rows, "b.json": rows[:7], "c.json": []}
+        assert sorted((r.id, r.s) for r in back) == sorted((r["id"], r["s"]) for r in rows + rows[:7])
+
+
+def test_documents_that_are_no_arrays_of_objects(spark, tmp_path):
+    for name, text in {"open": '[{"a": 1}', "string": '[{"a": "x}]', "object": '{"a": 1}', "scalar": "7", "mixed": '[{"a": 1}, 2]', "empty": ""}.items():
+        (tmp_path / f"{name}.json").write_text(text)
+    for name in ("open", "string", "object", "scalar", "mixed", "empty"):
+        if name != "empty":  # an empty file has no piece that could tell
+            with pytest.raises(ValueError, match=name):
+                records.read_records(spark, str(tmp_path / f"{name}.json"), "a bigint", ndjson=False)
+    kept = records.read_records(spark, str(tmp_path / "*.json"), "a bigint", ndjson=False, strict=False)
+    assert [r.a for r in kept.collect()] == [1]
+
+
+def test_unreadable_documents_fail_and_null_ones_hold_nothing(spark):
+    docs = lambda *texts: records.normalize_input(spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, doc string"), "doc")
+    assert docs(None, '{"a": 1}').select("k", "record").collect() == [(1, '{"a":1}')]
+    for bad in ("{bad json", "7"):
+        with pytest.raises(Exception, match="unreadable"):
+            docs(bad).collect()
