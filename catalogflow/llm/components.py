@@ -46,6 +46,10 @@ def bitmap(df: DataFrame, key: Column, log2: int) -> np.ndarray:
     return out
 
 
-def in_bitmap(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+def in_bitmap(bits: np.ndarray, keys: np.ndarray, step: int = 1 << 17) -> np.ndarray:
     keys = keys.view(np.uint64)
-    return (bits[((keys >> np.uint64(6)) & np.uint64(len(bits) - 1)).astype(np.int64)] >> (keys & np.uint64(63))) & np.uint64(1) > 0
+    out = np.empty(len(keys), bool)
+    for a in range(0, len(keys), step):  # so that what is needed in between stays small
+        part = keys[a : a + step]
+        out[a : a + step] = (bits[((part >> np.uint64(6)) & np.uint64(len(bits) - 1)).astype(np.int64)] >> (part & np.uint64(63))) & np.uint64(1) > 0
+    return out

@@ -16,6 +16,7 @@ from .components import bitmap, components, in_bitmap
 _U = np.uint64
 PARITY_BITS = 512
 TRIES = 2
+_ROWS = 500  # documents whose keys are held at once
 SPARE = 2  # least number of partitions beyond the bound, so that an empty partition in common proves nothing
 
 
@@ -110,18 +111,17 @@ def _features(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
 
     def fn(batches):
         bands = Bands(num, den)
-        for batch in batches:
-            texts = batch.column(1)
-            n, names, bits, keys = [], [], [], []
-            for _, s in sets(texts, size):
-                n.append(len(s))
-                names.append(name(s) if len(s) else 0)
-                bits.append(_parity(s))
-                keys.append(bands.keys(s))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(names, pa.int64()), lists(bits).cast(pa.list_(pa.int64())), lists(keys).cast(pa.list_(pa.int64()))],
-                ["doc_id", "n", "h", "bits", "keys"],
-            )
+        for whole in batches:
+            for first in range(0, whole.num_rows, _ROWS):
+                batch = whole.slice(first, _ROWS)
+                n, names, bits, keys = [], [], [], []
+                for _, s in sets(batch.column(1), size):
+                    n.append(len(s))
+                    names.append(name(s) if len(s) else 0)
+                    bits.append(_parity(s))
+                    keys.append(bands.keys(s))
+                columns = [pa.array(n, pa.int64()), pa.array(names, pa.int64()), *[lists(c).cast(pa.list_(pa.int64())) for c in (bits, keys)]]
+                yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc_id", "n", "h", "bits", "keys"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.mapInArrow(fn, f"doc_id {kind}, n bigint, h bigint, bits array<bigint>, keys array<bigint>")
