@@ -71,12 +71,19 @@ def _delete(spark: SparkSession, path: str) -> None:
 
 
 def discard(*frames: DataFrame) -> None:
-    """Delete tables as `materialize` returned them, once nothing reads them any more; other frames are left alone."""
+    """Delete tables as `materialize` returned them, once nothing reads them any more; other frames are left alone.
+
+    The shuffle files of finished steps go when the driver's JVM collects its garbage, so it is asked to.
+    """
+    spark = None
     for df in frames:
         path = getattr(df, "_written_to", None)
         if path in _written:
+            spark = df.sparkSession
             _written.remove(path)
-            _delete(df.sparkSession, path)
+            _delete(spark, path)
+    if spark is not None:
+        spark._jvm.System.gc()
 
 
 def release(spark: SparkSession) -> None:
