@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -86,6 +88,22 @@ def discard(*frames: DataFrame) -> None:
         spark._jvm.System.gc()
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables that `materialize` writes inside the block go at its end; what was computed from them must be written by then."""
+    before = len(_written)
+    try:
+        yield
+    finally:
+        while len(_written) > before:
+            _delete(spark, _written.pop())
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of any file system Spark reads."""
+    _delete(spark, path)
+
+
 def release(spark: SparkSession) -> None:
     """Delete the tables this process materialized; call it when their results have been written."""
     while _written:
