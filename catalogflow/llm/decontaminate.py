@@ -65,23 +65,26 @@ class Index:
     segment: np.ndarray
     place: np.ndarray
     near: np.ndarray  # a bit for each hash modulo its size
+    exact: int  # a segment shorter than this stands for a whole short text, which is matched as it is between word borders
 
     def budget(self) -> np.ndarray:
-        return np.array([int(len(s) * self.rate) for s in self.segments], np.int64)
+        return np.array([int(len(s) * self.rate) if len(s) >= self.exact else 0 for s in self.segments], np.int64)
 
     def least(self) -> np.ndarray:
         """Shared q-grams of a match: each edit spoils q of them at most."""
-        return np.array([len(s) + 1 - self.q - self.q * int(len(s) * self.rate) for s in self.segments], np.int64)
+        return np.array([len(s) + 1 - self.q for s in self.segments], np.int64) - self.q * self.budget()
 
 
 def build(rows: list[tuple[int, str]], q: int, rate: float, segment_chars: int, min_chars: int) -> Index:
     items, segments = [], []
     for item, text in rows:
         code, _, _ = normalize(pa.array([text.strip()]))
-        if len(code) >= min_chars:
-            n = max(1, len(code) // segment_chars)
-            segments += np.array_split(code, n)
-            items += [item] * n
+        if len(code) < q:
+            continue
+        last = max(0, len(code) - segment_chars)
+        firsts = np.linspace(0, last, 1 + -(-last * 2 // segment_chars)).astype(np.int64)  # half a segment apart at most
+        segments += [code[a : a + segment_chars] for a in firsts]
+        items += [item] * len(firsts)
     hashes = [grams(s, q) for s in segments]
     flat = np.concatenate([np.zeros(0, np.uint64), *hashes])
     segment = np.repeat(np.arange(len(segments)), [len(h) for h in hashes])
@@ -90,7 +93,7 @@ def build(rows: list[tuple[int, str]], q: int, rate: float, segment_chars: int,
     distinct, first = np.unique(flat[order], return_index=True)
     near = np.zeros(_TABLE, bool)
     near[(distinct & _U(_TABLE - 1)).astype(np.int64)] = True
-    return Index(q, rate, np.array(items, np.int64), segments, distinct, np.append(first, len(flat)), segment[order], place[order], near)
+    return Index(q, rate, np.array(items, np.int64), segments, distinct, np.append(first, len(flat)), segment[order], place[order], near, min_chars)
 
 
 def align(pattern: np.ndarray, text: np.ndarray, shift: int, budget: int) -> tuple[int, int]:
@@ -177,12 +180,34 @@ def _matches(index: Index, texts: pa.Array) -> list[list[tuple[int, int, int, in
             if z - a < size - e or any(a <= x and y <= z for x, y in seen.get((r, s), ())):
                 continue
             part = code[a:z]
-            span = _verified(index.segments[s], part, e)
+            span = _verified(index.segments[s], part, e) if size >= index.exact else _between_words(index.segments[s], code, a, z, int(at[r]), int(at[r + 1]))
             if span:
                 first, end, edits = span
                 seen.setdefault((r, s), []).append((a + first, a + end))
                 out[r].append((int(index.items[s]), int(place[a + first]), int(place[a + end - 1]) + 1, edits))
-    return [sorted(set(r)) for r in out]
+    return [_merged(r) for r in out]
+
+
+def _between_words(segment: np.ndarray, code: np.ndarray, a: int, z: int, first: int, last: int) -> tuple[int, int, int] | None:
+    """As `_verified` in the places a to z of a text first to last: equal, and no letter or digit goes on before or after."""
+    size = len(segment)
+    for k in np.flatnonzero(code[a : z - size + 1] == segment[0]).tolist() if z - a >= size else ():
+        x, y = a + k, a + k + size
+        inside = (x > first and chr(code[x - 1]).isalnum() and chr(code[x]).isalnum()) or (y < last and chr(code[y]).isalnum() and chr(code[y - 1]).isalnum())
+        if not inside and np.array_equal(code[x:y], segment):
+            return k, k + size, 0
+    return None
+
+
+def _merged(found: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int, int]]:
+    """Matches of one item that overlap as one, with the most edits that any of them has."""
+    out: list[tuple[int, int, int, int]] = []
+    for item, a, b, edits in sorted(set(found)):
+        if out and out[-1][0] == item and a < out[-1][2]:
+            _, first, end, most = out.pop()
+            a, b, edits = first, max(end, b), max(most, edits)
+        out.append((item, a, b, edits))
+    return out
 
 
 def find(
@@ -191,11 +216,13 @@ def find(
 ) -> DataFrame:
     """All rows and columns of docs with an array of benchmark passages found: item_id, start, end (code points), edits.
 
-    Texts are compared in lower case with white space runs as one blank. A benchmark text is cut into equal segments of
-    at least segment_chars (one, if shorter); a segment of m characters is found where a stretch of the document is within
-    rate * m edits. The q-gram lemma leaves the diagonal bands with m + 1 - q - q * edits shared q-grams; banded alignment
-    decides. Benchmark texts with under min_chars characters, null ones and null item ids take no part; repeated ones
-    count once. The benchmark is taken in blocks of about block_chars characters, so what is sent to the tasks is bounded
+    Texts are compared in lower case with white space runs as one blank. A benchmark text is cut into segments of
+    segment_chars (one, if shorter) that overlap by half at least, so any part copy of one and a half segments holds a whole one; a segment of
+    m characters is found where a stretch of the document is within rate * m edits. The q-gram lemma leaves the diagonal
+    bands with m + 1 - q - q * edits shared q-grams; banded alignment decides. Overlapping matches of one item are one,
+    with the most edits of any of its segments. Benchmark texts of under min_chars characters must occur as they are,
+    between word borders; those of under q characters, which are words rather than passages, null ones and null item ids
+    take no part; repeated ones count once. The benchmark is taken in blocks of about block_chars characters, so what is sent to the tasks is bounded
     whatever its size. Null and empty texts give an empty array; an empty benchmark finds nothing; a column named as the
     result is replaced.
     """

@@ -85,23 +85,50 @@ def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+def _words(text: str) -> np.ndarray:
+    data, at = utf8(pa.array([text]))
+    return words(data, at, _NOT_WORD)[0]
+
+
 class Notices:
-    """The words of the templates and how often each template has them."""
-
-    def __init__(self, templates: list[tuple[str, str]]):
-        self.names = [name for name, _ in templates]
-        self.words = []
-        for _, text in templates:
-            data, at = utf8(pa.array([text]))
-            self.words.append(words(data, at, _NOT_WORD)[0])
+    """The words of the templates, how often each template has them, and its telling words."""
+
+    def __init__(self, templates: list[tuple[str, ...]]):
+        self.names = [name for name, *_ in templates]
+        self.words = [_words(text) for _, text, *_ in templates]
+        self.telling = [_words(" ".join(more)) for _, _, *more in templates]
         self.vocabulary = np.unique(np.concatenate([np.zeros(0, np.uint64), *self.words]))
         self.counts = np.zeros((len(self.vocabulary), len(templates)), np.int64)
         for k, w in enumerate(self.words):
             np.add.at(self.counts[:, k], np.searchsorted(self.vocabulary, w), 1)
+        self.must = np.zeros(self.counts.shape, np.int64)
+        for k, w in enumerate(self.telling):
+            if not np.isin(w, self.words[k]).all():
+                raise ValueError(f"a telling word of {self.names[k]} is not in its notice")
+            self.must[np.searchsorted(self.vocabulary, w), k] = 1
         self.near = np.zeros(_TABLE, bool)
         self.near[(self.vocabulary & _U(_TABLE - 1)).astype(np.int64)] = True
 
 
+def _tells(telling: list[int], template: list[int], match: list[tuple[int, int]]) -> bool:
+    """Whether the telling words are matched in one piece, with nothing between them in the text."""
+    m = len(telling)
+    for k in range(len(match) - m + 1):
+        i, j = match[k]
+        if match[k + m - 1] == (i + m - 1, j + m - 1) and template[i : i + m] == telling:
+            return True
+    return not m
+
+
+def _best(found: list[tuple[int, str, int, int, float]]) -> list[tuple[str, int, int, float]]:
+    """Of overlapping notices the one with most words found, then the best covered, then by name."""
+    out: list[tuple[str, int, int, float]] = []
+    for _, name, a, b, coverage in sorted(set(found), key=lambda m: (-m[0], -m[4], m[1], m[2])):
+        if not any(a < y and x < b for _, x, y, _ in out):
+            out.append((name, a, b, coverage))
+    return sorted(out, key=lambda m: (m[1], m[2], m[0]))
+
+
 def _scan(notices: Notices, texts: pa.Array, least: float) -> list[list[tuple[str, int, int, float]]]:
     out: list[list] = [[] for _ in range(len(texts))]
     data, at = utf8(texts)
@@ -117,8 +144,10 @@ def _scan(notices: Notices, texts: pa.Array, least: float) -> list[list[tuple[st
     pairs = np.unique(row * len(notices.vocabulary) + term)
     there = np.zeros((len(texts), len(notices.names)), np.int64)
     np.add.at(there, pairs // len(notices.vocabulary), notices.counts[pairs % len(notices.vocabulary)])
+    told = np.zeros_like(there)
+    np.add.at(told, pairs // len(notices.vocabulary), notices.must[pairs % len(notices.vocabulary)])
     need = np.array([int(np.ceil(least * len(w))) for w in notices.words])
-    for r, t in zip(*np.nonzero(there >= need), strict=True):
+    for r, t in zip(*np.nonzero((there >= need) & (told >= notices.must.sum(0))), strict=True):
         own = hit[(row == r) & (notices.counts[term, t] > 0)]
         reach = len(notices.words[t]) * 3 // 2 + 4
         full = np.flatnonzero(np.searchsorted(own, own + reach) - np.arange(len(own)) >= need[t])
@@ -130,21 +159,22 @@ def _scan(notices: Notices, texts: pa.Array, least: float) -> list[list[tuple[st
             a = int(own[k])
             z = min(a + reach, int(first[r + 1]))
             match = patience(template, hashes[a:z].tolist())
-            if len(match) >= need[t]:
+            if len(match) >= need[t] and _tells(notices.telling[t].tolist(), template, match):
                 begin, last = a + match[0][1], a + match[-1][1]
                 base = int(at[r])
                 span = [len(data[base : int(x)].tobytes().decode("utf-8", "ignore")) for x in (starts[begin], ends[last])]
-                out[r].append((notices.names[t], *span, len(match) / len(template)))
-    return [sorted(set(x), key=lambda m: (m[1], m[2], m[0])) for x in out]
+                out[r].append((len(match), notices.names[t], *span, len(match) / len(template)))
+    return [_best(x) for x in out]
 
 
-def scan(docs: DataFrame, text: str | Column = "text", out: str = "licenses", templates: list[tuple[str, str]] = TEMPLATES, least: float = 0.8) -> DataFrame:
+def scan(docs: DataFrame, text: str | Column = "text", out: str = "licenses", templates: list[tuple[str, ...]] = TEMPLATES, least: float = 0.8) -> DataFrame:
     """All rows and columns of docs with an array of notices found: license, start, end (code points), coverage.
 
     Whole texts are read as words of letters and digits in lower case. A notice is found where a stretch of up to one and
-    a half times its length aligns with `least` of its words in order; stretches of a notice do not overlap. Only
-    stretches that hold that many of its words are aligned, as no other can reach the coverage. The templates are a
-    parameter held by every task. Null and empty texts give an empty array, repeated rows equal ones, an empty table
+    a half times its length aligns with `least` of its words in order, its telling words (name, version, kind: the third entry of
+    a template, if any) among them in one piece, so that notices of one wording are told apart. Of overlapping notices the one with most words
+    found stays. Only stretches that hold that many of its words are aligned, as no other can reach the coverage. The
+    templates are a parameter held by every task. Null and empty texts give an empty array, repeated rows equal ones, an empty table
     none; a column named as the result is replaced. Order: start, end, license.
     """
     held = docs.sparkSession.sparkContext.broadcast(Notices(templates))

@@ -46,7 +46,10 @@ SPAN = "struct<kind string, start bigint, `end` bigint, base boolean, path strin
 
 @dataclass
 class Layer:
-    """A decoded text; character i came from starts[i]..ends[i] of the original (both None: the original itself)."""
+    """A decoded text; character i came from starts[i]..ends[i] of the original (both None: the original itself).
+
+    All characters of a compressed layer come from one span, held once whatever the layer's length.
+    """
 
     text: str
     starts: np.ndarray | None
@@ -103,21 +106,29 @@ def _unescaped(layer: Layer) -> Layer | None:
             code = int(raw, 10 if kind == "dec" else 16)
             new, step = chr(code) if code < 0x110000 and not 0xD800 <= code < 0xE000 else "�", b - a
         pieces += [text[last:a], new]
-        starts.append(at[last:a])
-        ends.append(to[last:a])
+        before, last = last, b
+        if at.strides == (0,):  # all from one span
+            continue
+        starts.append(at[before:a])
+        ends.append(to[before:a])
         if len(new) * step == b - a:  # one character for each escape
             starts.append(at[a:b:step])
             ends.append(to[a + step - 1 : b : step])
         else:
             starts.append(np.full(len(new), at[a]))
             ends.append(np.full(len(new), to[b - 1]))
-        last = b
     if not names:
         return None
     pieces.append(text[last:])
-    starts.append(at[last:])
-    ends.append(to[last:])
-    return Layer("".join(pieces), np.concatenate(starts), np.concatenate(ends), "+".join([*filter(None, [layer.path]), *sorted(names)]))
+    whole, path = "".join(pieces), "+".join([*filter(None, [layer.path]), *sorted(names)])
+    if at.strides == (0,):
+        return Layer(whole, _one_span(at[0], len(whole)), _one_span(to[0], len(whole)), path)
+    return Layer(whole, np.concatenate([*starts, at[last:]]), np.concatenate([*ends, to[last:]]), path)
+
+
+def _one_span(place: int, n: int) -> np.ndarray:
+    """One place for n characters, held once."""
+    return np.broadcast_to(np.int64(place), n) if n > 1 else np.full(n, place)
 
 
 def _readable(data: bytes) -> str | None:
@@ -215,7 +226,7 @@ def _decoded(layer: Layer, data: bytes) -> Iterator[Layer]:
     at = to = None
     for m in [*_RUN.finditer(text), *_LINES.finditer(text)]:
         raw = m[0].translate(_URL_SAFE).rstrip("=")
-        keep = np.array([i for i, c in enumerate(raw) if c not in "\r\n"])
+        raw_bytes, keep = raw.encode("ascii"), None
         raw = raw.replace("\r", "").replace("\n", "")
         for skip in range(4):  # the run may begin with characters that are not part of the encoding
             body = raw[skip:]
@@ -231,10 +242,13 @@ def _decoded(layer: Layer, data: bytes) -> Iterator[Layer]:
                 if at is None:
                     at, to = layer.at()
                 name = "+".join(filter(None, [layer.path, "base64" + path]))
-                where = m.start() + keep[skip : skip + len(body)]
-                if path:
-                    starts, ends = np.full(len(inner), at[where[0]]), np.full(len(inner), to[m.end() - 1])
+                if path or at.strides == (0,):
+                    starts, ends = _one_span(at[m.start() + skip], len(inner)), _one_span(to[m.end() - 1], len(inner))
                 else:
+                    if keep is None:
+                        code = np.frombuffer(raw_bytes, np.uint8)
+                        keep = np.flatnonzero((code != 10) & (code != 13))
+                    where = m.start() + keep[skip : skip + len(body)]
                     sizes = np.array([len(c.encode()) for c in inner])
                     last = first + np.cumsum(sizes)
                     starts = at[where[(last - sizes) * 8 // 6]]
@@ -245,9 +259,13 @@ def _decoded(layer: Layer, data: bytes) -> Iterator[Layer]:
 def scan_text(text: str) -> list[tuple[str, int, int, bool, str]]:
     """Kind, start, end (code points), whether found in the text as it stands, and the encodings passed through."""
     found: dict[tuple[int, int, int], tuple[bool, str]] = {}
-    work, seen = [Layer(text, None, None, "")], set()
-    while work:
-        layer = work.pop()
+    work: list[Iterator[Layer]] = [iter([Layer(text, None, None, "")])]
+    seen = set()
+    while work:  # layers are unwrapped one by one, so an archive's pieces are never held together
+        layer = next(work[-1], None)
+        if layer is None:
+            work.pop()
+            continue
         key = layer.key() if layer.path else None
         if key in seen:
             continue
@@ -256,9 +274,7 @@ def scan_text(text: str) -> list[tuple[str, int, int, bool, str]]:
         for kind, a, b in matches(layer.text, data):
             found.setdefault((kind, *layer.span(a, b)), (not layer.path, layer.path))
         inner = _unescaped(layer)
-        if inner is not None:
-            work.append(inner)
-        work += _decoded(layer, data)
+        work.append(chain([] if inner is None else [inner], _decoded(layer, data)))
     order = sorted(found, key=lambda x: (x[1], x[0], x[2]))
     return [(KINDS[k], a, b, *found[k, a, b]) for k, a, b in order]
 

@@ -4,6 +4,7 @@ import base64
 import gzip
 import random
 import re
+import tracemalloc
 import urllib.parse
 import zlib
 from collections import defaultdict
@@ -13,6 +14,7 @@ import pyarrow as pa
 import pytest
 
 from catalogflow.llm import decontaminate, jaccard, language, licenses, neighbours, packing, paragraphs, passages, personal, secrets, suffixes
+from catalogflow.llm.license_texts import TEMPLATES
 from catalogflow.llm.queries import byte_bpe
 
 ODD = [(None, None), ("", "x"), ("   \n\t ", "x"), ("12 ?!", "x")]
@@ -216,6 +218,20 @@ def test_decontamination_against_edit_distance(spark, rng):
     assert got == want and (3, 0) in got and (4, 1) in got and len(got) > 8
 
 
+def test_part_copies_and_short_items(spark, rng):
+    words = made_up(rng)
+    long = prose(rng, 60, words)[:239]
+    bench = spark.createDataFrame([(1, long), (2, "Where is the red door?"), (3, "a b")], "item_id bigint, text string")
+    texts = [f"{prose(rng, 30, words)} {long[k : k + 190]} {prose(rng, 30, words)}" for k in (0, 20, 49)]
+    texts += [long, "Ask: where IS  the red door? Here.", "somewhere is the red door?", "a b", long[:100] + " # " + long[130:230]]
+    got = {r.doc_id: [(m.item_id, m.start, m.end) for m in r.leaks] for r in decontaminate.find(table(spark, texts), bench).collect()}
+    for d, k in enumerate((0, 20, 49)):
+        [(item, a, b)] = got[d]
+        at = texts[d].index(long[k : k + 190])
+        assert item == 1 and at - 12 <= a < b <= at + 202 and b - a >= 120
+    assert got[3] == [(1, 0, 239)] and got[4] == [(2, 5, 28)] and got[5] == got[6] == got[7] == []
+
+
 def test_decontamination_without_benchmark(spark):
     none = spark.createDataFrame([], "item_id bigint, text string")
     rows = decontaminate.find(table(spark, ["some text", None]), none).collect()
@@ -284,6 +300,17 @@ def test_pieces_of_decompressed_data_are_read_on(monkeypatch):
             assert any(x[0] == "assign" for x in secrets.scan_text(base64.b64encode(raw).decode()))
 
 
+def test_a_large_archive_is_held_piece_by_piece(monkeypatch):
+    monkeypatch.setattr(secrets, "_CHUNK", 1 << 20)
+    inner = gzip.compress(b"x" * (24 << 20) + (" &#65; " + SECRET).encode() + b"y" * (8 << 20))
+    text = "before " + base64.b64encode(inner).decode()
+    tracemalloc.start()
+    found = secrets.scan_text(text)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert {x[:3] for x in found} >= {("assign", 7, len(text))} and peak < 40 << 20
+
+
 def test_secret_scan_ends_on_cycles_and_keeps_odd_rows(spark):
     layer = "x"
     for _ in range(6):
@@ -467,7 +494,7 @@ def test_personal_data_of_odd_rows(spark):
 
 def test_notices_are_aligned(spark, rng):
     words = made_up(rng)
-    full = dict((len(t), (n, t)) for n, t in licenses.TEMPLATES)[max(len(t) for n, t in licenses.TEMPLATES)]
+    full = dict((len(t), (n, t)) for n, t, *_ in licenses.TEMPLATES)[max(len(t) for n, t, *_ in licenses.TEMPLATES)]
     changed = full[1].replace("software", "thing").replace("copy", "duplicate").upper()
     texts = [
         None, "", prose(rng, 50, words), f"é {prose(rng, 9, words)}\nReleased under the MIT License. {prose(rng, 9, words)}", f"{prose(rng, 9, words)}. {changed}",
@@ -481,6 +508,48 @@ def test_notices_are_aligned(spark, rng):
     assert licenses.scan(table(spark, [])).count() == 0
 
 
+def test_notices_are_told_apart():
+    held = licenses.Notices(TEMPLATES)
+    scan = lambda t: [m[0] for m in licenses._scan(held, pa.array([t]), 0.8)[0]]
+    for name, notice, *_ in TEMPLATES:
+        assert scan(f"Lead in. {notice} And on.") == [name], notice
+    assert scan("Released under the BSD License.") == scan("Released under the Apache License.") == []
+    assert scan("Licensed under CC BY 4.0.") == ["CC-BY-4.0"]
+    assert scan("This work is licensed under the GNU General Public License, version 2.") == ["GPL-2.0"]
+    assert scan("Released under the MIT License. All rights reserved.") == ["MIT", "Proprietary"]
+    with pytest.raises(ValueError):
+        licenses.Notices([("X", "some words", "other")])
+
+
+def test_notices_against_every_stretch(rng):
+    words = made_up(rng, 3000)
+    words = sorted({w for w in words if len(w) > 3})
+
+    def longest(a, b):
+        best = [0] * (len(b) + 1)
+        for x in a:
+            diagonal = 0
+            for j, y in enumerate(b):
+                diagonal, best[j + 1] = best[j + 1], diagonal + 1 if x == y else max(best[j], best[j + 1])
+        return best[-1]
+
+    some = 0
+    for _ in range(150):
+        pool = rng.sample(words, 60)
+        template, text = pool[:10], pool[20:60]
+        at = rng.randint(0, 30)
+        piece = [w for w in template if rng.random() < 0.85]
+        for _ in range(rng.randint(0, 5)):
+            piece.insert(rng.randint(0, len(piece)), pool[10 + rng.randint(0, 9)] + "q" * rng.randint(0, 9))
+        text[at:at] = piece
+        got = licenses._scan(licenses.Notices([("N", " ".join(template))]), pa.array([" ".join(text)]), 0.8)[0]
+        reach = 10 * 3 // 2 + 4
+        want = any(longest(text[a : a + reach], template) >= 8 for a in range(len(text)))
+        assert bool(got) == want
+        some += want
+    assert 30 < some < 145
+
+
 def test_patience_finds_a_common_subsequence(rng):
     for _ in range(200):
         a, b = ([rng.randrange(8) for _ in range(rng.randint(0, 12))] for _ in "ab")
