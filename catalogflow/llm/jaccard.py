@@ -139,12 +139,13 @@ def _common(left: pa.Array, right: pa.Array) -> pa.Array:
     return pa.array(out)
 
 
-def cluster(rows: DataFrame, full: DataFrame, items: Callable[[pa.Array], tuple[np.ndarray, list[np.ndarray]]], num: int, den: int, words: int) -> DataFrame:
+def cluster(rows: DataFrame, full: DataFrame, items: Callable[[pa.Array], tuple[np.ndarray, list[np.ndarray]]], num: int, den: int, words: int, spent: DataFrame | None = None) -> DataFrame:
     """h and component of every set that is linked: den * |common| >= num * |union|.
 
     full: a row per occurrence of a set with doc_id, n (its size), h (its name), bits (a parity bitmap of so many 64-bit
     words) and keys, of which linked sets share one. items: names and sorted arrays of all sets of some texts, with which
-    the arrays of sets that share a key are read again from rows (doc_id, text).
+    the arrays of sets that share a key are read again from rows (doc_id, text). spent: the table behind full, if nothing
+    else reads it; it goes as soon as its keys have been looked up, before any array is moved.
 
     At each key one set stands for the others: first the smallest, then the one that meets most sets. A few times, each
     set outside its component is compared with one of these, the one with most keys in common. The verified links make
@@ -174,6 +175,7 @@ def cluster(rows: DataFrame, full: DataFrame, items: Callable[[pa.Array], tuple[
     parts = range(words)
     summary = full.select("h", "n", *[F.col("bits")[i].alias(f"p{i}") for i in parts]).join(nodes.select("h"), "h", "left_semi")
     summary = materialize(summary.dropDuplicates(["h"]))
+    discard(shared, *([] if spent is None else [spent]))  # keys are the most of what is written here
 
     def sides(df: DataFrame, own: list[str]) -> tuple[DataFrame, DataFrame]:
         """The frame twice, with an x or a y after the names of its own columns."""
@@ -253,7 +255,7 @@ def cluster(rows: DataFrame, full: DataFrame, items: Callable[[pa.Array], tuple[
     pairs = x.join(y, "key").filter(meets).select(F.col("hx").alias("a"), F.col("hy").alias("b"), F.col("nx").alias("na"), F.col("ny").alias("nb")).distinct()
     pairs = materialize(pairs)
     links = links.union(verified(pairs))
-    discard(pairs, open_, summary, shared, nodes)
+    discard(pairs, open_, summary, nodes)
     return components(links).withColumnRenamed("node", "h")
 
 
@@ -271,9 +273,11 @@ def similar(docs: DataFrame, num: int = 90, den: int = 100, size: int = 3, doc_i
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), (F.col(text) if isinstance(text, str) else text).alias("text"))
     known = materialize(_features(rows, size, num, den))
-    groups = cluster(rows, known.filter("n > 0"), lambda texts: _named(texts, size), num, den, PARITY_BITS // 64)
-    placed = known.select("doc_id", "n", "h").join(groups, "h", "left").withColumn("group", F.when(F.col("n") > 0, F.coalesce("component", "h")))
+    own = materialize(known.select("doc_id", "n", "h"))
+    groups = cluster(rows, known.filter("n > 0"), lambda texts: _named(texts, size), num, den, PARITY_BITS // 64, known)
+    placed = own.join(groups, "h", "left").withColumn("group", F.when(F.col("n") > 0, F.coalesce("component", "h")))
     placed = materialize(placed.select("doc_id", "n", "group"))
+    discard(own)
     least = placed.filter("`group` IS NOT NULL").groupBy("group").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("many")).filter("many > 1")
     out = placed.join(least, "group", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"))

@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..session import materialize
+from ..session import discard, materialize
 from .arrays import mix, slices, utf8, words
 from .jaccard import cluster
 from .passages import outside
@@ -135,9 +135,11 @@ def repeated(
 
     kind = docs.schema[doc_id].dataType.simpleString()
     known = materialize(rows.mapInArrow(features, f"doc_id {kind}, start bigint, `end` bigint, word bigint, inside bigint, `order` bigint, n_words bigint, n bigint, h bigint, bits array<bigint>, keys array<bigint>"))
-    groups = cluster(rows, known, items, num, den, _BITS // 64)
-    placed = known.drop("keys", "bits").join(groups, "h", "left").withColumn("class", F.coalesce("component", "h")).drop("component").distinct()
+    places = materialize(known.drop("keys", "bits"))
+    groups = cluster(rows, known, items, num, den, _BITS // 64, known)
+    placed = places.join(groups, "h", "left").withColumn("class", F.coalesce("component", "h")).drop("component").distinct()
     placed = materialize(placed)
+    discard(places)
     least = placed.groupBy("class").agg(F.min(F.struct("doc_id", "start")).alias("least"), F.count(F.lit(1)).alias("many")).filter("many > 1")
     shared = placed.join(least, "class")
     near = Window.partitionBy("doc_id").orderBy("order", "start", "end")
