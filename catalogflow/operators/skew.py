@@ -7,7 +7,7 @@ just these over several partitions; all other keys join as usual.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import reusable
 
@@ -18,6 +18,12 @@ _SALT = "__salt"
 _PARTS = "__parts"
 
 
+def _hashable(df: DataFrame, name: str) -> Column:
+    """The column, or its text where its type holds a map, which has no hash."""
+    c = F.col(name)
+    return F.to_json(F.struct(c)) if "map<" in df.schema[name].dataType.simpleString() else c
+
+
 def skew_join(
     big: DataFrame, small: DataFrame, key: list[str], how: str = "inner", rows_per_part: int = ROWS_PER_PART
 ) -> DataFrame:
@@ -33,11 +39,11 @@ def skew_join(
         return big.join(small, key, how)
     counted = big.groupBy(*key).agg(F.count(F.lit(1)).alias(_PARTS)).filter(F.col(_PARTS) > limit)
     hot = F.broadcast(counted.withColumn(_PARTS, F.ceil(F.col(_PARTS) / limit)))
-    spread = F.xxhash64(*[F.col(c) for c in big.columns if c not in key] or [F.lit(0)])
+    spread = F.xxhash64(*[_hashable(big, c) for c in big.columns if c not in key] or [F.lit(0)])
     # rows without key match nothing and may go anywhere
     without_key = F.greatest(*[F.col(k).isNull() for k in key]) if len(key) > 1 else F.col(key[0]).isNull()
     parts = F.when(without_key, F.lit(_NULL_PARTS)).otherwise(F.coalesce(_PARTS, F.lit(1)))
-    salted = big.join(hot, key, "left").withColumn(_SALT, F.pmod(spread, parts)).drop(_PARTS)
+    salted = big.join(hot, key, "left").withColumn(_SALT, F.when(parts > 1, F.pmod(spread, parts)).otherwise(F.lit(0).cast("bigint"))).drop(_PARTS)
     repeated = small.join(hot, key, "left").withColumn(
         _SALT, F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce(_PARTS, F.lit(1)) - 1))
     ).drop(_PARTS)

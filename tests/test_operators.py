@@ -369,6 +369,15 @@ def test_skew_join_equals_join(spark, how):
     assert "__salt" in even._jdf.queryExecution().analyzed().toString()
 
 
+def test_skew_join_of_rows_with_maps(spark):
+    from catalogflow.operators.skew import skew_join
+
+    big = spark.createDataFrame([("hot", i, {"weight": [float(i)]}) for i in range(50)], "g string, o int, m map<string,array<double>>")
+    even = skew_join(big, spark.createDataFrame([("hot", 1)], "g string, w int"), ["g"], rows_per_part=20)
+    assert sorted(r["m"]["weight"][0] for r in even.collect()) == [float(i) for i in range(50)]
+    assert skew_join(big.select("g", "m"), big.select("g", "o"), ["g"], rows_per_part=20).count() == 2500
+
+
 def test_native_operators_have_no_python_node(spark):
     rows, df = skewed(spark)
     for out in (order.group_position(df, ["g"], ["o"], parts=9), aggregate.last_wins(df, ["g"], ["o"])):
