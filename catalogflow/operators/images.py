@@ -41,15 +41,29 @@ def _resample(size_in: int, size_out: int) -> np.ndarray:
     return w / w.sum(axis=1, keepdims=True)
 
 
+# Whole-number arithmetic, so that no sum depends on its order: bits of the resampling weights (as in the image library) and of the cosines.
+_WEIGHT_BITS = 22
+_COSINE_BITS = 28
+_DROPPED_BITS = 14  # between the two cosine sums, so that the second fits 64 bits
+
+
+def _shifted(sums: np.ndarray, bits: int) -> np.ndarray:
+    return (sums + (1 << (bits - 1))) >> bits
+
+
+def _whole_weights(size_in: int) -> np.ndarray:
+    return np.rint(_resample(size_in, 32) * (1 << _WEIGHT_BITS)).astype(np.int64)
+
+
 def _perceptual_hash(gray: np.ndarray) -> int:
-    """64 signs of the low cosine frequencies of the 32x32 image against their median."""
-    small = np.clip(np.rint(gray @ _resample(gray.shape[1], 32).T), 0, 255)
-    small = np.clip(np.rint(_resample(gray.shape[0], 32) @ small), 0, 255)
+    """64 signs of the low cosine frequencies of the 32x32 image against their median, all in whole numbers."""
+    small = np.clip(_shifted(gray @ _whole_weights(gray.shape[1]).T, _WEIGHT_BITS), 0, 255)
+    small = np.clip(_shifted(_whole_weights(gray.shape[0]) @ small, _WEIGHT_BITS), 0, 255)
     n = np.arange(32)
-    cosines = np.cos(np.pi * (2 * n[None, :] + 1) * n[:, None] / 64)
-    low = (cosines @ small @ cosines.T)[:8, :8]
-    low = np.round(low, 6)  # so that flat images do not hash their rounding errors
-    bits = (low > np.median(low)).ravel()
+    cosines = np.rint(np.cos(np.pi * (2 * n[None, :] + 1) * n[:8, None] / 64) * (1 << _COSINE_BITS)).astype(np.int64)
+    low = _shifted(cosines @ small, _DROPPED_BITS) @ cosines.T
+    middle = np.sort(low, axis=None)[31:33].sum()  # twice the median
+    bits = (2 * low > middle).ravel()
     return int(np.packbits(bits).view(">i8")[0])
 
 

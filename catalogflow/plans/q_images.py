@@ -58,14 +58,15 @@ def _weights(taps: int) -> str:
 @query(
     "J1_perceptual_hash",
     f"""WITH p AS (SELECT vec_id, i // 8 AS r, i % 8 AS c, least(floor(abs(embedding[i + 1]::DOUBLE) * 1200), 255) AS g FROM embeddings, (SELECT unnest(range(64)) AS i)),
-    w AS ({_weights(8)}),
-    a AS (SELECT vec_id, r, o AS c, greatest(0, least(255, round_even(sum(g * w), 0))) AS g FROM p JOIN w ON p.c = w.i GROUP BY 1, 2, 3),
-    b AS (SELECT vec_id, o AS r, c, greatest(0, least(255, round_even(sum(g * w), 0))) AS g FROM a JOIN w ON a.r = w.i GROUP BY 1, 2, 3),
-    k AS (SELECT f, n, cos(pi() * (2 * n + 1) * f / 64) AS v FROM (SELECT unnest(range(8)) AS f), (SELECT unnest(range(32)) AS n)),
-    d AS (SELECT vec_id, f AS y, c, sum(g * v) AS s FROM b JOIN k ON b.r = k.n GROUP BY 1, 2, 3),
-    e AS (SELECT vec_id, y, f AS x, round_even(sum(s * v), 6) AS s FROM d JOIN k ON d.c = k.n GROUP BY 1, 2, 3),
-    m AS (SELECT *, median(s) OVER (PARTITION BY vec_id) AS mid FROM e),
-    h AS (SELECT vec_id, sum(CASE WHEN s > mid THEN CAST(1 AS HUGEINT) << CAST(63 - (8 * y + x) AS INTEGER) ELSE 0 END) AS h FROM m GROUP BY 1)
+    w AS (SELECT o, i, CAST(round_even(w * 4194304, 0) AS BIGINT) AS w FROM ({_weights(8)})),
+    a AS (SELECT vec_id, r, o AS c, greatest(0, least(255, CAST(floor((sum(CAST(g AS BIGINT) * w) + 2097152) / 4194304::DOUBLE) AS BIGINT))) AS g FROM p JOIN w ON p.c = w.i GROUP BY 1, 2, 3),
+    b AS (SELECT vec_id, o AS r, c, greatest(0, least(255, CAST(floor((sum(g * w) + 2097152) / 4194304::DOUBLE) AS BIGINT))) AS g FROM a JOIN w ON a.r = w.i GROUP BY 1, 2, 3),
+    k AS (SELECT f, n, CAST(round_even(cos(pi() * (2 * n + 1) * f / 64) * 268435456, 0) AS BIGINT) AS v FROM (SELECT unnest(range(8)) AS f), (SELECT unnest(range(32)) AS n)),
+    d AS (SELECT vec_id, f AS y, c, CAST(floor((sum(g * v) + 8192) / 16384::DOUBLE) AS BIGINT) AS s FROM b JOIN k ON b.r = k.n GROUP BY 1, 2, 3),
+    e AS (SELECT vec_id, y, f AS x, sum(s * v) AS s FROM d JOIN k ON d.c = k.n GROUP BY 1, 2, 3),
+    t AS (SELECT vec_id, list_sort(list(s)) AS l FROM e GROUP BY 1),
+    m AS (SELECT e.*, l[32] + l[33] AS mid FROM e JOIN t USING (vec_id)),
+    h AS (SELECT vec_id, sum(CASE WHEN 2 * s > mid THEN CAST(1 AS HUGEINT) << CAST(63 - (8 * y + x) AS INTEGER) ELSE 0 END) AS h FROM m GROUP BY 1)
     SELECT CAST(vec_id AS VARCHAR) AS origin, CAST(CASE WHEN h >= 9223372036854775808 THEN h - 18446744073709551616 ELSE h END AS BIGINT) AS phash FROM h""",
 )
 def j1_hash(t):

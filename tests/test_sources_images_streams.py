@@ -284,3 +284,15 @@ def test_unreadable_documents_fail_and_null_ones_hold_nothing(spark):
     for bad in ("{bad json", "7"):
         with pytest.raises(Exception, match="unreadable"):
             docs(bad).collect()
+
+
+def test_perceptual_hash_does_not_depend_on_the_order_of_sums():
+    from catalogflow.operators.images import _perceptual_hash
+
+    half = [
+        [144, 136, 139, 192], [155, 89, 226, 149], [236, 96, 62, 135], [92, 132, 236, 43],
+        [69, 110, 34, 125], [64, 111, 50, 33], [136, 202, 192, 133], [125, 184, 217, 189],
+    ]
+    mirrored = np.array([row + row[::-1] for row in half])
+    bits = [[_perceptual_hash(mirrored) >> (63 - 8 * y - x) & 1 for x in range(8)] for y in range(8)]
+    assert len({bits[y][x] for y in range(8) for x in (1, 3, 5, 7)}) == 1  # these frequencies are zero in a mirrored image
