@@ -24,6 +24,14 @@ def _hashable(df: DataFrame, name: str) -> Column:
     return F.to_json(F.struct(c)) if "map<" in df.schema[name].dataType.simpleString() else c
 
 
+def spread(df: DataFrame, *by: str) -> DataFrame:
+    """The rows dealt by key over the session's number of shuffle partitions, which stay as many however short the rows are.
+
+    For costly work on short rows: file splits and coalesced partitions go by size, so a few tasks would do it all.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by)
+
+
 def skew_join(
     big: DataFrame, small: DataFrame, key: list[str], how: str = "inner", rows_per_part: int = ROWS_PER_PART
 ) -> DataFrame:

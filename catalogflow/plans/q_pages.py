@@ -8,6 +8,7 @@ from ..functions.rules import PAGE_RULES
 from ..functions.urls import strip_query
 from ..operators import dom as D
 from ..operators import pages as P
+from ..operators.skew import spread
 from .q_scalars import WS, re
 from .registry import big, query, text
 
@@ -92,7 +93,8 @@ def tree_html(t):
         F.lit('</li></ul></section><section>Guaranteed Analysis<table class="t"><tr><td>'), name, F.lit('</td></tr></table></section></div><span class="price-lead" data-rate="'),
         text("p_size"), F.lit('">x</span></body></html>'),
     )
-    return t.part.select("p_partkey", html.alias("html"))
+    # pages are built and parsed by all cores, however few files and row groups the short rows come from
+    return spread(t.part.select("p_partkey", "p_name", "p_brand", "p_size"), "p_partkey").select("p_partkey", html.alias("html"))
 
 
 @query(

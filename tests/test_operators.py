@@ -378,6 +378,14 @@ def test_skew_join_of_rows_with_maps(spark):
     assert skew_join(big.select("g", "m"), big.select("g", "o"), ["g"], rows_per_part=20).count() == 2500
 
 
+def test_pages_of_one_small_file_are_parsed_by_many_tasks(spark):
+    from catalogflow.plans.q_pages import tree_html
+    from catalogflow.plans.registry import Tables
+
+    pages = tree_html(Tables(spark, "/root/testdata/sf0.001"))
+    assert pages.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def test_native_operators_have_no_python_node(spark):
     rows, df = skewed(spark)
     for out in (order.group_position(df, ["g"], ["o"], parts=9), aggregate.last_wins(df, ["g"], ["o"])):
