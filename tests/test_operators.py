@@ -386,6 +386,25 @@ def test_pages_of_one_small_file_are_parsed_by_many_tasks(spark):
     assert pages.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def test_swatch_blobs_are_read_once(spark):
+    import json
+
+    from catalogflow.operators import lookup
+
+    config = {
+        "attributes": {"1": {"code": "style", "options": [{"id": "5", "label": "Red", "products": ["a"]}, {"id": "6", "label": "Blue", "products": []}]}},
+        "index": {"b": {"1": "6"}}, "images": {"a": ["i"], "b": ["j"]},
+    }
+    widget = {"jsonConfig": config, "mediaGallery": {"a": ["m", "n"]}, "gallery": {"a": ["g"], "c": []}}
+    pages = spark.createDataFrame([(1, json.dumps({"x": {lookup.SWATCH_WIDGET: widget}})), (2, "{}"), (3, None)], "page int, blob string")
+    labels = lookup.swatch_labels(pages, "page", "blob")
+    assert sorted(map(tuple, labels.collect())) == [(1, "a", "Red"), (1, "b", "Blue")]
+    media = lookup.swatch_media(pages, "page", "blob")
+    assert sorted(map(tuple, media.collect())) == [(1, "a", 0, "m"), (1, "a", 1, "n"), (1, "b", 0, "j")]
+    assert "jsonConfig" not in labels._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in media._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_native_operators_have_no_python_node(spark):
     rows, df = skewed(spark)
     for out in (order.group_position(df, ["g"], ["o"], parts=9), aggregate.last_wins(df, ["g"], ["o"])):
