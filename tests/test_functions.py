@@ -208,3 +208,15 @@ def test_canonical_keys_equal_the_plain_rule_in_any_script(spark, raw):
     assert row.c == raw.casefold()
     if raw.isprintable() and all(unicodedata.category(c)[0] in "LPZ" for c in unicodedata.normalize("NFKD", raw)):  # \w and \s of odder kinds differ in Java
         assert (row.n, row.p) == (soft, soft[:3])
+
+
+def test_slugify_of_long_texts_reads_on_only_where_needed(spark):
+    from pyspark.sql import functions as F
+
+    from catalogflow.functions.text import slugify
+
+    texts = ["ab " * 500, "!" * 1000 + "end", "é" * 90 + " x", "a" * 79 + "-" * 400 + "b", "a" * 80 + "." * 400 + "b", "-" * 330 + "漢" * 9 + "Ω tail", "", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", slugify(F.col("t")).alias("s"))
+    found = [r["s"] for r in df.orderBy("i").collect()]
+    assert found == [("ab-" * 27)[:80], "end", "e" * 80, "a" * 79 + "-", "a" * 80, "tail", "_", "_"]
+    assert "320" in df._jdf.queryExecution().analyzed().toString()  # the beginning is tried first
