@@ -175,6 +175,16 @@ def i7(t):
     'https://x/s.png /d.png /big' || p_partkey || '.png' AS block FROM part""",
 )
 def i7_sources(t):
+    rows, h = gallery_html(t), F.col("html")
+    block = r'(?is)<div[^>]+class="[^"]*product-details__preview-images[^"]*"[^>]*>(.*?)</div>'
+    return rows.select(
+        "p_partkey", F.array_join(P.extract_gallery(P.json_ld_images(h)), " ").alias("ld"), F.array_join(P.extract_gallery(P.gallery_json(h)), " ").alias("data"),
+        F.array_join(P.og_image(h), " ").alias("og"), F.array_join(P.extract_gallery(P.block_images(h, block)), " ").alias("block"),
+    )
+
+
+def gallery_html(t):
+    """Parts as pages with images in every place the gallery is read from, dealt over all tasks before they are parsed."""
     key = text("p_partkey")
     html = F.concat(
         F.lit('<script type="application/ld+json">{"@type":"Product","image":["http://x/'), key, F.lit('.png?v=1","http://x/b.png"]}</script>'),
@@ -182,13 +192,7 @@ def i7_sources(t):
         F.lit('<meta property="og:image" content="/og/'), key, F.lit('"><div class="a product-details__preview-images"><img src="http://x/s.png" data-src="/d.png" srcset="/small 1x, /big'),
         key, F.lit('.png 2x"></div>'),
     )
-    rows = t.part.select("p_partkey", html.alias("html"))
-    h = F.col("html")
-    block = r'(?is)<div[^>]+class="[^"]*product-details__preview-images[^"]*"[^>]*>(.*?)</div>'
-    return rows.select(
-        "p_partkey", F.array_join(P.extract_gallery(P.json_ld_images(h)), " ").alias("ld"), F.array_join(P.extract_gallery(P.gallery_json(h)), " ").alias("data"),
-        F.array_join(P.og_image(h), " ").alias("og"), F.array_join(P.extract_gallery(P.block_images(h, block)), " ").alias("block"),
-    )
+    return spread(t.part.select("p_partkey"), "p_partkey").select("p_partkey", html.alias("html"))
 
 
 @query(

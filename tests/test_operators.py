@@ -386,6 +386,14 @@ def test_pages_of_one_small_file_are_parsed_by_many_tasks(spark):
     assert pages.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def test_gallery_pages_of_one_small_file_are_parsed_by_many_tasks(spark):
+    from catalogflow.plans.q_pages import gallery_html
+    from catalogflow.plans.registry import Tables
+
+    pages = gallery_html(Tables(spark, "/root/testdata/sf0.001"))
+    assert pages.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def test_swatch_blobs_are_read_once(spark):
     import json
 
