@@ -177,6 +177,22 @@ def test_enrich_from_catalog(spark):
         assert out[i]["manufacturer"]["homepage"] == "https://home" and out[i]["manufacturer"]["name"] == "" and out[i]["shopify"]["media"] == []
 
 
+def test_rows_without_code_do_not_meet_in_one_task(spark):
+    catalog = spark.createDataFrame([("012345678901", "u", "n", "b", "d", None, None, 1)], CATALOG)
+    rows = spark.range(1000).select("id", F.when(F.col("id") == 0, "012345678901").alias("upc"), F.lit(" ").alias("upc_updated"), F.create_map(F.lit("a"), F.col("id")).alias("m"))
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        for k, v in zip(kept, ("-1", "false")):
+            spark.conf.set(k, v)
+        out = lookup.enrich_from_catalog(rows, catalog, ["upc", "upc_updated"], ["ord"], "https://home")
+        got = out.select("id", "manufacturer.name", F.spark_partition_id().alias("at")).collect()
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    assert sorted((r["id"], r["name"]) for r in got) == [(i, "n" if i == 0 else "") for i in range(1000)]
+    assert len({r["at"] for r in got if r["id"]}) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def test_title_lookup(spark):
     index = spark.createDataFrame([(64, "Kit", "/a"), (92, "Kit", "/b"), (10, "Stone Red", "http://o/c")], "prodid int, title string, url string")
     rows = spark.createDataFrame([("Kit", None), ("kit", None), ("Stone", "Red")], "title string, color string")
