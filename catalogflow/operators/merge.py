@@ -104,17 +104,22 @@ def product_key(upc: Column, item: Column) -> Column:
     return F.when(text != "", text).otherwise(F.concat(F.lit("item_"), item.cast("string")))
 
 
-def skip_variants(df: DataFrame, existing: DataFrame, product: str) -> DataFrame:
-    """Input rows with `skip` (their color and unit exist complete) and the family's `family_skipped`.
+def mark_skipped(df: DataFrame, existing: DataFrame, product: str) -> DataFrame:
+    """Input rows with `skip`: their color and unit exist complete.
 
     df: product, color, unit (null = unknown, always processed). existing: product, color, unit, complete.
     """
     done = existing.filter("complete").select(product, "color", "unit").distinct().withColumn("__done", F.lit(True))
-    marked = df.join(done, [product, "color", "unit"], "left").withColumn(
+    return df.join(done, [product, "color", "unit"], "left").withColumn(
         "skip", F.col("unit").isNotNull() & F.coalesce("__done", F.lit(False))
-    )
+    ).drop("__done")
+
+
+def skip_variants(df: DataFrame, existing: DataFrame, product: str) -> DataFrame:
+    """Input rows with `skip` as in mark_skipped and the family's `family_skipped`."""
+    marked = materialize(mark_skipped(df, existing, product))
     families = marked.groupBy(product).agg(F.bool_and("skip").alias("family_skipped"))
-    return marked.drop("__done").join(families, product)
+    return marked.join(families, product)
 
 
 def upsert(existing: DataFrame, new: DataFrame, key: list[str], order: str) -> DataFrame:
@@ -151,8 +156,9 @@ def merge_variants(
     key = [product, "color", "unit"]
     # each is read several times below
     inputs, existing, generated = reusable(inputs), reusable(existing), reusable(generated)
-    old = last_wins(existing, key, ["ord"]).select(*key, F.col("sku").alias("old_sku"))
-    new = last_wins(generated, key, ["ord"]).select(*key, F.col("sku").alias("new_sku"), F.col("ord").alias("new_ord"))
+    newest = materialize(last_wins(existing.select(*key, "sku", "ord"), key, ["ord"]))
+    old = newest.select(*key, F.col("sku").alias("old_sku"))
+    new = materialize(last_wins(generated.select(*key, "sku", "ord"), key, ["ord"])).select(*key, F.col("sku").alias("new_sku"), F.col("ord").alias("new_ord"))
     with_unit = inputs.filter(F.col("unit").isNotNull() & ~blank_text(F.col("color")))
     keyed = with_unit.join(old, key, "left").join(new, key, "left").select(
         product,
@@ -166,7 +172,7 @@ def merge_variants(
     keyed = materialize(keyed)
     claimed = keyed.select(*key, "source").distinct()
     spare_new = new.select(*key, F.lit("generated").alias("source"), F.col("new_sku").alias("sku"), F.col("new_ord").alias("rank"))
-    spare_old = last_wins(existing, key, ["ord"]).select(*key, F.lit("existing").alias("source"), "sku", F.col("ord").alias("rank"))
+    spare_old = newest.select(*key, F.lit("existing").alias("source"), "sku", F.col("ord").alias("rank"))
     spare = spare_new.unionByName(spare_old).join(claimed, [*key, "source"], "left_anti")
     spare = spare.withColumn("tier", F.when(F.col("source") == "generated", 0).otherwise(1))
     spare = group_position(spare, [product, "color"], ["tier", "rank", "unit"], "slot", parts)

@@ -11,7 +11,7 @@ from ..functions import fixed
 from ..functions.values import blank_array, blank_text, strip
 from ..operators.checks import variant_complete
 from ..operators.lookup import color_title, lookup_title
-from ..operators.merge import merge_variants, skip_variants, upsert
+from ..operators.merge import mark_skipped, merge_variants, upsert
 from ..operators.order import allocate_skus, record_range
 from ..operators.products import priced_rows
 from ..session import materialize
@@ -24,7 +24,7 @@ class CatalogRun:
     A failing family never stops the others: failures are statuses with a reason (skipped, failed, ok,
     ok_portal_only). Each table is planned when first asked for.
 
-    inputs: ord, portal_title, public_title, color, item_no and the unit price columns. Indexes: title, url, ord.
+    inputs: ord, portal_title, public_title, color, item_no and the unit price columns, or the output of priced_rows. Indexes: title, url, ord.
     public_pages: url, title, description, hero_image, gallery_images. existing: family, ord, color, unit, sku, price,
     cost. mode: 'skip' keeps complete old variants, 'overwrite' builds all anew.
     """
@@ -47,21 +47,21 @@ class CatalogRun:
 
     @cached_property
     def rows(self) -> DataFrame:
-        """Input rows of the slice with family, unit, skip and family_skipped; used by every later step."""
+        """Input rows of the slice with family, unit and skip; used by every later step."""
         sliced = self.inputs
         if self.start or self.end:
             sliced = record_range(sliced, ["ord"], self.start, self.end, self.parts)
-        priced = priced_rows(sliced)
+        priced = sliced if "unit_price" in sliced.columns else priced_rows(sliced)
         if self.mode == "skip":
-            return materialize(skip_variants(priced, self.old_variants, "family"))
-        return materialize(priced.withColumns({"skip": F.lit(False), "family_skipped": F.lit(False)}))
+            return materialize(mark_skipped(priced, self.old_variants, "family"))
+        return materialize(priced.withColumn("skip", F.lit(False)))
 
     @cached_property
     def families(self) -> DataFrame:
         families = self.rows.groupBy("family").agg(
             F.min("ord").alias("ord"),
             F.min_by(strip(F.coalesce("public_title", F.lit(""))), "ord").alias("public_title"),
-            F.bool_and("family_skipped").alias("family_skipped"),
+            F.bool_and("skip").alias("family_skipped"),
             F.count(F.lit(1)).alias("n_rows"),
             F.count_if("skip").alias("n_skipped"),
         )

@@ -524,3 +524,14 @@ def test_paver_colors_and_gallery_count_rows_without_a_unit(spark):
     assert [r.src for r in built.images.orderBy("position").collect()] == ["/r.png", "/b.png"]
     options = [(r.family, r.slot, r.value) for r in built.options.orderBy("family", "slot", "value_pos").collect()]
     assert options == [("T", 1, "Red"), ("T", 1, "Blue"), ("T", 1, "Gray"), ("T", 2, "Piece")]
+
+
+def test_run_tables_are_numbered_and_priced_once(spark):
+    from catalogflow.plans.q_products import run_parts
+    from catalogflow.plans.registry import Tables
+
+    run = run_parts(Tables(spark, "/root/testdata/sf0.001"))
+    for df in (run.inputs, run.existing, run.portal_index):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert "Window" not in plan and "regexp_replace" not in plan
+    assert run.families.filter("status = 'skipped'").count() == run.rows.groupBy("family").agg(F.bool_and("skip").alias("s")).filter("s").count()
