@@ -535,3 +535,13 @@ def test_run_tables_are_numbered_and_priced_once(spark):
         plan = df._jdf.queryExecution().optimizedPlan().toString()
         assert "Window" not in plan and "regexp_replace" not in plan
     assert run.families.filter("status = 'skipped'").count() == run.rows.groupBy("family").agg(F.bool_and("skip").alias("s")).filter("s").count()
+
+
+def test_paver_options_need_no_numbers(spark):
+    rows = products.priced_rows(paver_rows(spark))
+    portal = spark.createDataFrame([], "family string, color string, weight string, model_number string, swatch string")
+    built = products.PaverProducts(rows, None, portal, None, None, spark.createDataFrame([], "sku string"), "V")
+    got = [(r["slot"], r["value"], r["value_pos"]) for r in built.options.orderBy("slot", "value_pos").collect()]
+    assert got == [(1, "Red", 1), (1, "Blue", 2), (1, "Green", 3), (2, "Piece", 1), (2, "Sq Ft", 2)]
+    assert "variants" not in vars(built)
+    assert not {"portal_title", "cost_per_piece", "w", "__cube"} & set(built.good.columns)
