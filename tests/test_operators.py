@@ -545,3 +545,13 @@ def test_paver_options_need_no_numbers(spark):
     assert got == [(1, "Red", 1), (1, "Blue", 2), (1, "Green", 3), (2, "Piece", 1), (2, "Sq Ft", 2)]
     assert "variants" not in vars(built)
     assert not {"portal_title", "cost_per_piece", "w", "__cube"} & set(built.good.columns)
+
+
+def test_lines_read_several_times_are_numbered_once(spark):
+    from catalogflow.plans.q_joins import existing_variants, variant_inputs
+    from catalogflow.plans.registry import Tables
+
+    t = Tables(spark, "/root/testdata/sf0.001")
+    for df in (variant_inputs(t), existing_variants(t)):
+        assert "Window" not in df._jdf.queryExecution().optimizedPlan().toString()
+    assert t.kept_lines is t.kept_lines and t.kept_lines.count() == t.lineitem.count()
