@@ -26,8 +26,8 @@ def a1_array(t):
     own = Window.partitionBy("p").orderBy("doc_id", "source", "text")
     ends = F.when(F.lead(F.lit(1)).over(own).isNull(), " ]")
     line = F.concat(F.when(F.row_number().over(own) == 1, "[ ").otherwise(""), F.to_json(F.struct("doc_id", "source", "text")), ends.otherwise(","))
-    placed = rows.select("p", F.row_number().over(own).alias("n"), line.alias("value"))
-    placed.repartition("p").sortWithinPartitions("p", "n").select("p", "value").write.partitionBy("p").text(path)
+    placed = rows.select("p", "doc_id", "source", "text", line.alias("value")).sortWithinPartitions("p", "doc_id", "source", "text")  # as the window left them
+    placed.select("p", "value").write.partitionBy("p").text(path)
     back = R.read_records(t.spark, path, "doc_id bigint, source string, text string", ndjson=False)
     return back.select("doc_id", "source", big(F.length("text")).alias("n_chars"), F.md5("text").alias("digest"))
 

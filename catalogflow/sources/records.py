@@ -64,6 +64,7 @@ def read_records(
             odd = read.filter(~fine).select("file", "idx").head()
             if odd:
                 raise ValueError(f"{odd['file']}: expected a JSON array of objects at the top level; element {odd['idx']} is none")
+            return read.select(F.from_json("v", schema).alias("r")).select("r.*")  # all are fine
         return read.filter(fine).select(F.from_json("v", schema).alias("r")).select("r.*")
     if strict:
         _fail_on_bad_line(spark, path)

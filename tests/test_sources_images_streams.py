@@ -278,6 +278,14 @@ def test_documents_that_are_no_arrays_of_objects(spark, tmp_path):
     assert [r.a for r in kept.collect()] == [1]
 
 
+def test_elements_of_a_document_are_put_together_once(spark, tmp_path):
+    """What reads the elements, the check for odd ones too, finds them written and does not join the pieces again."""
+    (tmp_path / "a.json").write_text(json.dumps([{"id": k, "s": "x, y"} for k in range(50)]))
+    back = records.read_records(spark, str(tmp_path / "a.json"), "id bigint, s string", ndjson=False)
+    assert "Join" not in back._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(r.id for r in back.collect()) == list(range(50))
+
+
 def test_unreadable_documents_fail_and_null_ones_hold_nothing(spark):
     docs = lambda *texts: records.normalize_input(spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, doc string"), "doc")
     assert docs(None, '{"a": 1}').select("k", "record").collect() == [(1, '{"a":1}')]
