@@ -274,16 +274,14 @@ def match_child(chosen: DataFrame, labels: DataFrame, key: list[str]) -> DataFra
 
     chosen: key, label, tokens. labels: key, child, child_pos, label (one row per child label).
     """
-    joined = skew_join(labels.withColumnRenamed("label", "__have"), chosen.select(*key, "label", "tokens"), key)
-    want = F.array_union(word_tokens(F.col("label")), F.col("tokens"))
-    words = joined.withColumns(
-        {"__exact": (F.lower("__have") == F.lower("label")).cast("int"), "__hits": F.array_intersect(word_tokens(F.col("__have")), want)}
-    )
-    exact = words.groupBy(*key, "child", "child_pos").agg(F.max("__exact").alias("exact"))
+    asked = chosen.select(*key, F.lower("label").alias("__low"), F.array_union(word_tokens(F.col("label")), F.col("tokens")).alias("__want"))
+    joined = skew_join(labels.select(*key, "child", "child_pos", F.col("label").alias("__have")), asked, key)
+    hits = F.array_intersect(word_tokens(F.col("__have")), F.col("__want"))
+    words = joined.select(*key, "child", "child_pos", (F.lower("__have") == F.col("__low")).cast("int").alias("exact"), F.explode_outer(hits).alias("w"))
     # a word shared by several labels of a child counts once
-    hits = words.select(*key, "child", F.explode("__hits").alias("w")).groupBy(*key, "child").agg(F.count_distinct("w").alias("n"))
-    scored = exact.join(hits, [*key, "child"], "left")
-    score = F.when(F.col("exact") == 1, F.lit(1_000_000)).otherwise(F.coalesce("n", F.lit(0)))
+    once = words.groupBy(*key, "child", "w").agg(F.max("exact").alias("exact"), F.min("child_pos").alias("child_pos"))
+    scored = once.groupBy(*key, "child").agg(F.max("exact").alias("exact"), F.min("child_pos").alias("child_pos"), F.count("w").alias("n"))
+    score = F.when(F.col("exact") == 1, F.lit(1_000_000)).otherwise(F.col("n"))
     best = scored.groupBy(*key).agg(_best(F.col("child"), score, F.col("child_pos"), F.lit(True)).alias("b"))
     return best.select(*key, F.col("b.url").alias("child"))
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..session import reusable
+from ..session import materialize, reusable
 
 ROWS_PER_PART = 1_000_000
 MAX_HOT_KEYS = 4096
@@ -46,7 +46,10 @@ def skew_join(
     if rows <= limit:
         return big.join(small, key, how)
     counted = big.groupBy(*key).agg(F.count(F.lit(1)).alias(_PARTS)).filter(F.col(_PARTS) > limit)
-    hot = F.broadcast(counted.withColumn(_PARTS, F.ceil(F.col(_PARTS) / limit)))
+    found = materialize(counted.withColumn(_PARTS, F.ceil(F.col(_PARTS) / limit)))
+    if found.isEmpty():  # a plain join leaves the rows by key, as an aggregation on the key wants them
+        return big.join(small, key, how)
+    hot = F.broadcast(found)
     spread = F.xxhash64(*[_hashable(big, c) for c in big.columns if c not in key] or [F.lit(0)])
     # rows without key match nothing and may go anywhere
     without_key = F.greatest(*[F.col(k).isNull() for k in key]) if len(key) > 1 else F.col(key[0]).isNull()

@@ -385,6 +385,23 @@ def test_skew_join_equals_join(spark, how):
     assert "__salt" in even._jdf.queryExecution().analyzed().toString()
 
 
+def test_child_of_a_label_is_matched_in_one_join_without_salt(spark):
+    """Many rows and no hot key: pairs lie by key after the join, and are read once for both rules."""
+    from catalogflow.operators.skew import skew_join
+
+    many = spark.range(3000).select((F.col("id") % 1000).cast("string").alias("g"), "id")
+    even = skew_join(many, many.select("g", F.col("id").alias("w")), ["g"], rows_per_part=20)
+    assert "__salt" not in even._jdf.queryExecution().optimizedPlan().toString() and even.count() == 9000
+    chosen = spark.createDataFrame([(1, "Dark Oak", ["moss"]), (2, "red", [])], "k int, label string, tokens array<string>")
+    labels = spark.createDataFrame(
+        [(1, "a", 0, "oak"), (1, "b", 1, "moss dark"), (1, "b", 1, "oak dark"), (1, "c", 2, "dark oak moss"), (2, "d", 1, "blue"), (2, "e", 0, "green"), (2, "f", 2, "RED")],
+        "k int, child string, child_pos int, label string",
+    )
+    found = matching.match_child(chosen, labels, ["k"])
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
+    assert {r.k: r.child for r in found.collect()} == {1: "b", 2: "f"}
+
+
 def test_skew_join_of_rows_with_maps(spark):
     from catalogflow.operators.skew import skew_join
 
