@@ -227,16 +227,19 @@ def _style_text(c: Column) -> Column:
     return F.regexp_replace(out, r"\bgrizzle\b", "grizzly")
 
 
-def style_score(label: Column, reference: Column, tokens: Column | None = None) -> Column:
-    """100 when the label stands in the reference, else shared words, plus 0.1 if any word is a substring of it."""
+def _reference_text(reference: Column) -> Column:
     ref = F.replace(F.lower(F.coalesce(reference, F.lit(""))), F.lit("×"), F.lit("x"))
-    ref = F.regexp_replace(F.regexp_replace(ref, r"[^a-z0-9\s-]", " "), r"\s+", " ")
-    known = word_tokens(ref) if tokens is None else F.array_union(word_tokens(ref), tokens)
-    text = _style_text(label)
-    words = word_tokens(text)
-    part = F.exists(words, lambda w: ref.contains(w))
+    return F.regexp_replace(F.regexp_replace(ref, r"[^a-z0-9\s-]", " "), r"\s+", " ")
+
+
+def style_score(text: str, words: str, ref: str, known: str) -> Column:
+    """100 when the label stands in the reference, else shared words, plus 0.1 if any word is a substring of it.
+
+    Names of columns: the label's text and words, the reference's text and words.
+    """
+    part = F.exists(words, lambda w: F.col(ref).contains(w))
     partial = F.size(F.array_intersect(words, known)) + F.when(part, F.lit(0.1)).otherwise(F.lit(0.0))
-    return F.when(ref.contains(text), F.lit(100.0)).otherwise(partial)
+    return F.when(F.col(ref).contains(F.col(text)), F.lit(100.0)).otherwise(partial)
 
 
 def match_style(references: DataFrame, labels: DataFrame, key: list[str]) -> DataFrame:
@@ -246,9 +249,10 @@ def match_style(references: DataFrame, labels: DataFrame, key: list[str]) -> Dat
     labels: key, pos, label.
     """
     tokens = F.coalesce("tokens", F.array().cast("array<string>")) if "tokens" in references.columns else F.array().cast("array<string>")
-    scored = skew_join(labels, references.select(*key, "reference", tokens.alias("__tokens")), key).withColumn(
-        "score", style_score(F.col("label"), F.col("reference"), F.col("__tokens"))
-    )
+    asked = references.select(*key, _reference_text(F.col("reference")).alias("__ref"), tokens.alias("__tokens"))
+    known = asked.select(*key, "__ref", F.array_union(word_tokens(F.col("__ref")), "__tokens").alias("__known"))  # once per reference
+    named = skew_join(labels.select(*key, "pos", "label"), known, key).withColumn("__text", _style_text(F.col("label")))
+    scored = named.withColumn("__words", word_tokens(F.col("__text"))).withColumn("score", style_score("__text", "__words", "__ref", "__known"))
     best = scored.groupBy(*key).agg(_best(F.col("label"), F.col("score"), F.col("pos"), F.lit(True)).alias("b"))
     return best.select(*key, F.col("b.url").alias("label"), "b.score")
 

@@ -402,6 +402,15 @@ def test_child_of_a_label_is_matched_in_one_join_without_salt(spark):
     assert {r.k: r.child for r in found.collect()} == {1: "b", 2: "f"}
 
 
+def test_reference_of_a_style_is_cleaned_once(spark):
+    """Not again for every word of every label."""
+    refs = spark.createDataFrame([(1, "Giant Moss 2×1"), (2, None)], "k int, reference string")
+    labels = spark.createDataFrame([(1, 0, "oak"), (1, 1, "Moss oak"), (1, 2, "moss"), (2, 0, "oak")], "k int, pos int, label string")
+    found = matching.match_style(refs, labels, ["k"])
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("[^a-z0-9") == 1
+    assert {r.k: (r.label, r.score) for r in found.collect()} == {1: ("moss", 100.0), 2: ("oak", 0.0)}
+
+
 def test_skew_join_of_rows_with_maps(spark):
     from catalogflow.operators.skew import skew_join
 
