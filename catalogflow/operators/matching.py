@@ -21,7 +21,7 @@ from ..functions.sizes import extract_sizes, sizes_match
 from ..functions.text import keyword_set, word_tokens
 from ..functions.urls import strip_query
 from ..functions.values import let, strip
-from ..session import materialize
+from ..session import materialize, reusable
 from .skew import skew_join
 
 
@@ -47,31 +47,30 @@ def match_keywords(
     that place of a search; by default every candidate counts.
     """
     description, title = strip(F.coalesce("description", F.lit(""))), strip(F.coalesce("title", F.lit("")))
+    inputs = reusable(inputs)  # read again for rows without candidates
     queries = inputs.select(
         "input_id",
         F.lower(description).alias("q"),
         keyword_set(description).alias("q_words"),
         (title != description).alias("other_title"),
         keyword_set(title).alias("t_words"),
-        keyword_set(F.when(description != "", description).otherwise(title)).alias("s_words"),
     )
     listed = candidates.filter(F.col("pos") <= cap) if cap else candidates
-    named = listed.withColumns({"low": F.lower("name"), "words": keyword_set(F.col("name"))})
-    pairs = skew_join(named, queries, ["input_id"])
+    met = skew_join(listed.select("input_id", "source", "pos", "name", "url"), queries, ["input_id"])
     by_description, by_title, second = [F.col("source") == s for s in ("by_description", "by_title", "second")]
     has_query = F.col("q") != ""
+    asked = F.when(by_description & has_query, F.col("q_words")).when(by_title & F.col("other_title"), F.col("t_words")).when(
+        second, F.when(has_query, F.col("q_words")).otherwise(F.col("t_words"))
+    )  # the words its own search is scored by
+    pairs = met.withColumns({"low": F.lower("name"), "words": keyword_set(F.col("name")), "asked": asked}).withColumn(
+        "score", F.when(F.col("asked").isNotNull(), keyword_score(F.col("words"), F.col("asked")))
+    )
     contained = by_description & has_query & (F.col("low").contains(F.col("q")) | F.col("q").contains(F.col("low")))
-    url, pos = F.col("url"), F.col("pos")
-
-    def tier(words: str, when: Column) -> Column:
-        score = keyword_score(F.col("words"), F.col(words))
-        return _best(url, score, pos, when & (score > 0) & (score >= threshold))
-
+    url, pos, score = F.col("url"), F.col("pos"), F.col("score")
+    enough = (score > 0) & (score >= threshold)
     best = pairs.groupBy("input_id").agg(
         F.min_by(F.struct(url.alias("url"), F.lit(1.0).alias("score")), F.when(contained, pos)).alias("t1"),
-        tier("q_words", by_description & has_query).alias("t2"),
-        tier("t_words", by_title & F.col("other_title")).alias("t3"),
-        tier("s_words", second).alias("t4"),
+        *[_best(url, score, pos, when & enough).alias(f"t{i}") for i, when in ((2, by_description), (3, by_title), (4, second))],
     )
     found = F.coalesce("t1", "t2", "t3", "t4")
     number = F.coalesce(*[F.when(F.col(f"t{i}").isNotNull(), F.lit(i)) for i in (1, 2, 3, 4)], F.lit(0))

@@ -411,6 +411,19 @@ def test_reference_of_a_style_is_cleaned_once(spark):
     assert {r.k: (r.label, r.score) for r in found.collect()} == {1: ("moss", 100.0), 2: ("oak", 0.0)}
 
 
+def test_keywords_of_a_pair_are_scored_once(spark):
+    """Whatever the tier, and words of a row asked for are not cut a third time for the second site."""
+    inputs = spark.createDataFrame([(1, "blue moss", "red moss"), (2, "", "red oak"), (3, "oak", "oak"), (4, "oak", "oak")], "input_id int, description string, title string")
+    found = [
+        (1, "by_title", 0, "red moss", "/t"), (1, "second", 0, "blue moss", "/s"), (1, "by_description", 5, "moss pale blue", "/d"),
+        (2, "second", 1, "oak red", "/s"), (2, "by_description", 0, "oak", "/d"), (3, "by_title", 0, "oak", "/t"),
+    ]
+    out = matching.match_keywords(inputs, spark.createDataFrame(found, "input_id int, source string, pos int, name string, url string"))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("array_intersect(") == 1 and plan.count("\\W+") == 3
+    assert {r.input_id: (r.url, r.tier, r.score) for r in out.collect()} == {1: ("/d", 2, 1.0), 2: ("/s", 4, 1.0), 3: ("", 0, 0.0), 4: ("", 0, 0.0)}
+
+
 def test_skew_join_of_rows_with_maps(spark):
     from catalogflow.operators.skew import skew_join
 
