@@ -424,6 +424,16 @@ def test_keywords_of_a_pair_are_scored_once(spark):
     assert {r.input_id: (r.url, r.tier, r.score) for r in out.collect()} == {1: ("/d", 2, 1.0), 2: ("/s", 4, 1.0), 3: ("", 0, 0.0), 4: ("", 0, 0.0)}
 
 
+def test_arrays_need_positions_only_where_a_key_outgrows_one(spark):
+    rows = [("a", 3, "z"), ("a", None, "x"), ("a", 1, "y"), (None, 1, "n"), ("b", 2, "p"), ("b", 1, "q")]
+    df = spark.createDataFrame(rows, "k string, o int, v string")
+    small = order.nest(df, ["k"], ["o", "v"], F.col("v"), max_items=3)
+    assert "Window" not in small._jdf.queryExecution().optimizedPlan().toString() and "__part" not in small._jdf.queryExecution().optimizedPlan().toString()
+    assert {(r.k, r.part): r["items"] for r in small.collect()} == {("a", 0): ["x", "y", "z"], (None, 0): ["n"], ("b", 0): ["q", "p"]}
+    large = order.nest(df, ["k"], ["o", "v"], F.col("v"), max_items=2)
+    assert {(r.k, r.part): r["items"] for r in large.collect()} == {("a", 0): ["x", "y"], ("a", 1): ["z"], (None, 0): ["n"], ("b", 0): ["q", "p"]}
+
+
 def test_skew_join_of_rows_with_maps(spark):
     from catalogflow.operators.skew import skew_join
 
