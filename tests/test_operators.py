@@ -434,6 +434,12 @@ def test_arrays_need_positions_only_where_a_key_outgrows_one(spark):
     assert {(r.k, r.part): r["items"] for r in large.collect()} == {("a", 0): ["x", "y"], ("a", 1): ["z"], (None, 0): ["n"], ("b", 0): ["q", "p"]}
 
 
+def test_arrays_of_numbered_rows_are_cut_by_their_numbers(spark):
+    df = spark.range(1, 8).select((F.col("id") * 0).alias("k"), F.col("id").alias("n"))
+    cut = order.nest(df, ["k"], ["n"], F.col("n"), max_items=3, numbered=True)
+    assert {r.part: r["items"] for r in cut.collect()} == {0: [1, 2, 3], 1: [4, 5, 6], 2: [7]}
+
+
 def test_skew_join_of_rows_with_maps(spark):
     from catalogflow.operators.skew import skew_join
 
