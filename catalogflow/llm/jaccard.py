@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import discard, materialize
@@ -16,7 +17,8 @@ from .components import bitmap, components, in_bitmap
 _U = np.uint64
 PARITY_BITS = 512
 TRIES = 2
-_ROWS = 500  # documents whose keys are held at once
+_ROWS = 500  # documents whose bitmaps are held at once
+_KEYS = 1 << 16  # keys that are held at once, besides those of one set
 SPARE = 2  # least number of partitions beyond the bound, so that an empty partition in common proves nothing
 
 
@@ -106,25 +108,64 @@ def lists(rows: list[np.ndarray]) -> pa.Array:
     return pa.LargeListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(rows).view(np.int64))) if rows else pa.array([], pa.large_list(pa.int64()))
 
 
-def _features(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
-    """doc_id, number of shingles, name of the set (64 bits; 0 if empty), parity bitmap and partition keys."""
+def _features(docs: DataFrame, size: int) -> DataFrame:
+    """doc_id, number of shingles, name of the set (64 bits; 0 if empty) and parity bitmap."""
 
     def fn(batches):
-        bands = Bands(num, den)
         for whole in batches:
             for first in range(0, whole.num_rows, _ROWS):
                 batch = whole.slice(first, _ROWS)
-                n, names, bits, keys = [], [], [], []
+                n, names, bits = [], [], []
                 for _, s in sets(batch.column(1), size):
                     n.append(len(s))
                     names.append(name(s) if len(s) else 0)
                     bits.append(_parity(s))
-                    keys.append(bands.keys(s))
-                columns = [pa.array(n, pa.int64()), pa.array(names, pa.int64()), *[lists(c).cast(pa.list_(pa.int64())) for c in (bits, keys)]]
-                yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc_id", "n", "h", "bits", "keys"])
+                columns = [pa.array(n, pa.int64()), pa.array(names, pa.int64()), lists(bits).cast(pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc_id", "n", "h", "bits"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(fn, f"doc_id {kind}, n bigint, h bigint, bits array<bigint>, keys array<bigint>")
+    return docs.mapInArrow(fn, f"doc_id {kind}, n bigint, h bigint, bits array<bigint>")
+
+
+def flat_keys(found: Iterable[tuple[int, Callable[[], np.ndarray]]], held: Broadcast | None) -> Iterator[pa.RecordBatch]:
+    """Rows (h, key) of sets given by name and keys, each name once; of keys in the held bitmap alone, if there is one."""
+
+    def rows() -> pa.RecordBatch:
+        h, key = np.repeat(np.array(names, np.int64), [len(k) for k in keys]), np.concatenate(keys).view(np.int64)
+        if held is not None:
+            ok = in_bitmap(held.value, key)
+            h, key = h[ok], key[ok]
+        return pa.RecordBatch.from_arrays([pa.array(h), pa.array(key)], ["h", "key"])
+
+    seen: set[int] = set()
+    names, keys, many = [], [], 0
+    for h, own in found:
+        if h in seen:
+            continue
+        seen.add(h)
+        names.append(h)
+        keys.append(own())
+        many += len(keys[-1])
+        if many >= _KEYS:
+            yield rows()
+            names, keys, many = [], [], 0
+    if names:
+        yield rows()
+
+
+def _keyed(rows: DataFrame, size: int, num: int, den: int) -> Callable[[Broadcast | None], DataFrame]:
+    """Partition keys worked out from the texts whenever they are asked for: as a table they would outweigh the texts."""
+
+    def keyed(held: Broadcast | None = None) -> DataFrame:
+        def fn(batches):
+            bands = Bands(num, den)
+            for batch in batches:
+                found = (s for _, s in sets(batch.column(0), size) if len(s))
+                yield from flat_keys(((name(s), lambda s=s: bands.keys(s)) for s in found), held)
+
+        return rows.select("text").mapInArrow(fn, "h bigint, key bigint")
+
+    return keyed
 
 
 def _common(left: pa.Array, right: pa.Array) -> pa.Array:
@@ -139,13 +180,17 @@ def _common(left: pa.Array, right: pa.Array) -> pa.Array:
     return pa.array(out)
 
 
-def cluster(rows: DataFrame, full: DataFrame, items: Callable[[pa.Array], tuple[np.ndarray, list[np.ndarray]]], num: int, den: int, words: int, spent: DataFrame | None = None) -> DataFrame:
+def cluster(
+    rows: DataFrame, full: DataFrame, keyed: Callable[[Broadcast | None], DataFrame], items: Callable[[pa.Array], tuple[np.ndarray, list[np.ndarray]]],
+    num: int, den: int, words: int, spent: DataFrame | None = None,
+) -> DataFrame:
     """h and component of every set that is linked: den * |common| >= num * |union|.
 
-    full: a row per occurrence of a set with doc_id, n (its size), h (its name), bits (a parity bitmap of so many 64-bit
-    words) and keys, of which linked sets share one. items: names and sorted arrays of all sets of some texts, with which
-    the arrays of sets that share a key are read again from rows (doc_id, text). spent: the table behind full, if nothing
-    else reads it; it goes as soon as its keys have been looked up, before any array is moved.
+    full: a row per occurrence of a set with doc_id, n (its size), h (its name) and bits (a parity bitmap of so many 64-bit
+    words). keyed: rows (h, key) of every set, repeated or not, of which linked sets share a key; given a bitmap, those
+    whose key is in it. items: names and sorted arrays of all sets of some texts, with which the arrays of sets that share
+    a key are read again from rows (doc_id, text). spent: the table behind full, if nothing else reads it; it goes as soon
+    as the keys have been looked up, before any array is moved.
 
     At each key one set stands for the others: first the smallest, then the one that meets most sets. A few times, each
     set outside its component is compared with one of these, the one with most keys in common. The verified links make
@@ -155,27 +200,17 @@ def cluster(rows: DataFrame, full: DataFrame, items: Callable[[pa.Array], tuple[
     spark = rows.sparkSession
     names = full.groupBy("h").agg(F.min("doc_id").alias("first"))
     shared = (
-        full.select("h", F.explode("keys").alias("key")).groupBy("key").agg(F.min("h").alias("least"), F.max("h").alias("most")).filter("least < most")
+        keyed(None).groupBy("key").agg(F.min("h").alias("least"), F.max("h").alias("most")).filter("least < most")
     )
     shared = materialize(shared.select("key", "least"))
     bits = spark.sparkContext.broadcast(bitmap(shared, F.col("key"), 25))
 
-    def kept(batches):
-        for whole in batches:
-            for first in range(0, whole.num_rows, _ROWS):
-                batch = whole.slice(first, _ROWS)
-                keys = batch.column(1)
-                flat = np.asarray(keys.flatten())
-                row = np.repeat(np.arange(len(keys)), np.asarray(keys.value_lengths()))
-                ok = in_bitmap(bits.value, flat)
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row[ok])), pa.array(flat[ok])], ["h", "key"])
-
-    members = materialize(full.select("h", "keys").mapInArrow(kept, "h bigint, key bigint").join(shared, "key").distinct())
+    members = materialize(keyed(bits).join(shared, "key").distinct())
     nodes = materialize(members.select("h").distinct().join(names, "h"))
     parts = range(words)
     summary = full.select("h", "n", *[F.col("bits")[i].alias(f"p{i}") for i in parts]).join(nodes.select("h"), "h", "left_semi")
     summary = materialize(summary.dropDuplicates(["h"]))
-    discard(shared, *([] if spent is None else [spent]))  # keys are the most of what is written here
+    discard(shared, *([] if spent is None else [spent]))
 
     def sides(df: DataFrame, own: list[str]) -> tuple[DataFrame, DataFrame]:
         """The frame twice, with an x or a y after the names of its own columns."""
@@ -272,9 +307,9 @@ def similar(docs: DataFrame, num: int = 90, den: int = 100, size: int = 3, doc_i
     then the bits of the parity bitmaps (a lower bound of the difference), then the sorted arrays.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), (F.col(text) if isinstance(text, str) else text).alias("text"))
-    known = materialize(_features(rows, size, num, den))
+    known = materialize(_features(rows, size))
     own = materialize(known.select("doc_id", "n", "h"))
-    groups = cluster(rows, known.filter("n > 0"), lambda texts: _named(texts, size), num, den, PARITY_BITS // 64, known)
+    groups = cluster(rows, known.filter("n > 0"), _keyed(rows, size, num, den), lambda texts: _named(texts, size), num, den, PARITY_BITS // 64, known)
     placed = own.join(groups, "h", "left").withColumn("group", F.when(F.col("n") > 0, F.coalesce("component", "h")))
     placed = materialize(placed.select("doc_id", "n", "group"))
     discard(own)

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import discard, materialize
 from .arrays import mix, slices, utf8, words
+from .components import in_bitmap
 from .jaccard import cluster
 from .passages import outside
 
@@ -136,7 +138,20 @@ def repeated(
     kind = docs.schema[doc_id].dataType.simpleString()
     known = materialize(rows.mapInArrow(features, f"doc_id {kind}, start bigint, `end` bigint, word bigint, inside bigint, `order` bigint, n_words bigint, n bigint, h bigint, bits array<bigint>, keys array<bigint>"))
     places = materialize(known.drop("keys", "bits"))
-    groups = cluster(rows, known, items, num, den, _BITS // 64, known)
+
+    def keyed(held: Broadcast | None = None) -> DataFrame:
+        """The few keys of each paragraph, from the table."""
+
+        def kept(batches):
+            for batch in batches:
+                h, key = np.repeat(np.asarray(batch.column(0)), bands), np.asarray(batch.column(1).flatten())
+                ok = in_bitmap(held.value, key)
+                yield pa.RecordBatch.from_arrays([pa.array(h[ok]), pa.array(key[ok])], ["h", "key"])
+
+        stored = known.select("h", "keys")
+        return stored.select("h", F.explode("keys").alias("key")) if held is None else stored.mapInArrow(kept, "h bigint, key bigint")
+
+    groups = cluster(rows, known, keyed, items, num, den, _BITS // 64, known)
     placed = places.join(groups, "h", "left").withColumn("class", F.coalesce("component", "h")).drop("component").distinct()
     placed = materialize(placed)
     discard(places)

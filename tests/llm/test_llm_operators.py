@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from catalogflow import session
 from catalogflow.llm import decontaminate, jaccard, language, licenses, neighbours, packing, paragraphs, passages, personal, secrets, suffixes
 from catalogflow.llm.license_texts import TEMPLATES
 from catalogflow.llm.queries import byte_bpe
@@ -422,6 +423,16 @@ def test_jaccard_against_all_pairs(spark, rng, num, size):
     assert got == {k: (len(sets[k]), top(k)) for k in range(len(texts))}
 
 
+def test_jaccard_keys_are_made_in_small_batches_and_not_written(spark, monkeypatch):
+    numbers = [*range(200), *range(50)]
+    batches = list(jaccard.flat_keys(((k, lambda k=k: np.arange(1000, dtype=np.uint64) + np.uint64(k)) for k in numbers), None))
+    assert max(b.num_rows for b in batches) < jaccard._KEYS + 1000 and sum(b.num_rows for b in batches) == 200_000
+    written = []
+    monkeypatch.setattr(jaccard, "materialize", lambda df: written.append(df.schema.simpleString()) or session.materialize(df))
+    got = {r.doc_id: r.component_id for r in jaccard.similar(table(spark, ["a b c d e", "a b c d e", "x y z"])).collect()}
+    assert got == {0: 0, 1: 0, 2: 2} and written and not any("keys" in x for x in written)
+
+
 def test_jaccard_of_nothing_and_unnamed_rows(spark):
     assert jaccard.similar(table(spark, [])).count() == 0
     rows = spark.createDataFrame([(None, "a b c d"), (4, "a b c d"), (4, "a b c d"), (None, "e f g h")], "doc_id bigint, text string")
