@@ -164,4 +164,5 @@ def repeated(
     whole = materialize(whole.select(
         "doc_id", "start", "end", "n_words", F.col("least.doc_id").alias("class_doc_id"), F.col("least.start").alias("class_start"), (~own).alias("removed"), "word", "inside"
     ))
+    discard(placed)
     return whole.drop("word", "inside").unionByName(outside(rows, whole, passage_words, rest_words))

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..session import materialize
+from ..session import discard, materialize
 from .arrays import mix, powers, slices, utf8, words
 from .components import bitmap, in_bitmap
 
@@ -63,12 +63,32 @@ def anchors(texts: pa.Array, size: int) -> dict[str, np.ndarray]:
     }
 
 
+def _stretches(found: DataFrame) -> DataFrame:
+    """anchor, whole and an array of i, n, cd, cq, cs: runs (anchor, whole, i, cd, cq, cs) that follow each other in both places as one."""
+    listed = found.groupBy("anchor", "whole").agg(F.sort_array(F.collect_list(F.struct("i", "cd", "cq", "cs"))).alias("runs"))
+
+    def follows(x: Column, k: Column) -> Column:
+        before = F.get("runs", k - 1)
+        return (before["i"] + 1).eqNullSafe(x["i"]) & before["cd"].eqNullSafe(x["cd"]) & (before["cq"] + 1).eqNullSafe(x["cq"])
+
+    marked = F.transform("runs", lambda x, k: F.struct(k.alias("k"), x.alias("run"), follows(x, k).alias("on")))
+    heads = listed.select("anchor", "whole", F.size("runs").alias("many"), F.filter(marked, lambda y: ~y["on"]).alias("heads"))
+
+    def stretch(y: Column, m: Column) -> Column:
+        n = F.coalesce(F.get("heads", m + 1)["k"], F.col("many")) - y["k"]
+        return F.struct(y["run"]["i"].alias("i"), n.alias("n"), *[y["run"][c].alias(c) for c in ("cd", "cq", "cs")])
+
+    return heads.select("anchor", "whole", F.transform("heads", stretch).alias("at"))
+
+
 def runs(rows: DataFrame, size: int) -> DataFrame:
-    """Where the runs of `size` words that stand twice are: rows (doc_id, tk, q, n, start, end, cd, cq, cs).
+    """Where the runs of `size` words that stand twice are: rows (doc_id, tk, q, n, start, end, cd, cq, cs, cl).
 
     n runs one after the other from word q, over the bytes start to end; tk names the text. The smallest occurrence of
-    each is in cd at word cq and byte cs, and for the n - 1 others one word further each. Only groups whose anchor stands
-    twice are looked at, and single runs only where the groups of an anchor differ.
+    each is in cd at word cq and byte cs, and for the n - 1 others one word further each. cl is the word of the last one
+    where single runs were looked at, else cq again. Only groups whose anchor stands twice are looked at, and single runs
+    only where the groups of an anchor differ; those of a group that follow each other in both places are one row. The
+    result is written once, and what it was made from goes.
     """
     kind = rows.schema["doc_id"].dataType.simpleString()
     spark = rows.sparkSession
@@ -118,17 +138,20 @@ def runs(rows: DataFrame, size: int) -> DataFrame:
     plain = groups.filter((F.size("grams") == 0) & differ()).select("anchor", "whole", *source, F.col("least.start").alias("cs"))
     spans = ["doc_id", "tk", "q", "n", "start", "end", "cd", "cq", "cs"]
     out = placed.filter(F.size("grams") == 0).drop("grams", "starts", "ends").join(plain, ["anchor", "whole"]).select(*spans)
-    each = materialize(groups.filter(F.size("grams") > 0).select("anchor", "whole", "least", "most", F.posexplode("grams").alias("i", "gram")).select(
+    each = groups.filter(F.size("grams") > 0).select("anchor", "whole", "least", "most", F.posexplode("grams").alias("i", "gram")).select(
         "anchor", "whole", "i", "gram",
         F.struct(F.col("least.doc_id").alias("doc_id"), (F.col("least.q") + F.col("i")).alias("q"), F.col("least.tk").alias("tk"), F.get("least.starts", F.col("i")).alias("s")).alias("least"),
         F.struct(F.col("most.doc_id").alias("doc_id"), (F.col("most.q") + F.col("i")).alias("q"), F.col("most.tk").alias("tk")).alias("most"),
-    ))
+    )
     shared = each.groupBy("gram").agg(F.min("least").alias("least"), F.max("most").alias("most")).filter(differ())
     shared = each.select("anchor", "whole", "i", "gram").join(shared.select("gram", *source, F.col("least.s").alias("cs")), "gram").drop("gram")
-    parts = placed.filter(F.size("grams") > 0).select("doc_id", "tk", "q", "starts", "ends", "anchor", "whole").join(shared, ["anchor", "whole"])
-    at = F.col("i")
-    parts = parts.select("doc_id", "tk", (F.col("q") + at).alias("q"), F.lit(1).cast("bigint").alias("n"), F.get("starts", at).alias("start"), F.get("ends", at).alias("end"), "cd", "cq", "cs")
-    return out.unionByName(parts)
+    parts = placed.filter(F.size("grams") > 0).select("doc_id", "tk", "q", "starts", "ends", "anchor", "whole").join(_stretches(shared), ["anchor", "whole"])
+    parts = parts.select("doc_id", "tk", "q", "starts", "ends", F.explode("at").alias("at")).select("*", "at.*")
+    first, last = F.get("starts", F.col("i")).alias("start"), F.get("ends", F.col("i") + F.col("n") - 1).alias("end")
+    parts = parts.select("doc_id", "tk", (F.col("q") + F.col("i")).alias("q"), F.col("n").cast("bigint").alias("n"), first, last, "cd", "cq", "cs", (F.col("cq") + F.col("n") - 1).alias("cl"))
+    found = materialize(out.withColumn("cl", F.col("cq")).unionByName(parts))
+    discard(twice, placed, groups)
+    return found
 
 
 class _Taken:
@@ -164,13 +187,13 @@ def outside(rows: DataFrame, known: DataFrame, size: int, least: int) -> DataFra
     those of paragraphs.repeated, class_start being the one of the passage before anything is taken off.
     """
     kind = rows.schema["doc_id"].dataType.simpleString()
-    numbers = ["dk", "tk", "q", "n", "start", "end", "cdk", "cq", "cs", "inside"]
+    numbers = ["dk", "tk", "q", "n", "start", "end", "cdk", "cq", "cs", "cl", "inside"]
     none = F.lit(None).cast("bigint")
     ours = F.xxhash64("doc_id").alias("dk")
-    twice = runs(rows, size).select("doc_id", "cd", ours, "tk", "q", "n", "start", "end", F.xxhash64("cd").alias("cdk"), "cq", "cs", F.lit(3).cast("bigint").alias("inside"), F.lit(1).alias("kind"))
+    twice = runs(rows, size).select("doc_id", "cd", ours, "tk", "q", "n", "start", "end", F.xxhash64("cd").alias("cdk"), "cq", "cs", "cl", F.lit(3).cast("bigint").alias("inside"), F.lit(1).alias("kind"))
     old = known.select(
         "doc_id", F.lit(None).cast(kind).alias("cd"), ours, F.lit(0).cast("bigint").alias("tk"), F.col("word").alias("q"), F.col("n_words").alias("n"), "start", "end",
-        none.alias("cdk"), none.alias("cq"), none.alias("cs"), "inside", F.lit(0).alias("kind"),
+        none.alias("cdk"), none.alias("cq"), none.alias("cs"), none.alias("cl"), "inside", F.lit(0).alias("kind"),
     ).join(twice.select("dk").distinct(), "dk", "left_semi")
     both = twice.unionByName(old).repartition("doc_id").sortWithinPartitions("dk", "kind", "tk", "q")
 
@@ -184,7 +207,8 @@ def outside(rows: DataFrame, known: DataFrame, size: int, least: int) -> DataFra
         c = {x: v[lead] for x, v in c.items()}
         own = own[lead]
         follows = np.concatenate([[False], (c["q"] + c["n"])[:-1] == c["q"][1:]])
-        one = same(c["dk"]) & same(c["tk"]) & same(c["kind"]) & same(c["cdk"]) & same(own) & follows & (same(c["q"] - c["cq"]) | same(c["cq"])) & (c["kind"] == 1)
+        stays = np.concatenate([[False], c["cl"][:-1] == c["cq"][1:]])
+        one = same(c["dk"]) & same(c["tk"]) & same(c["kind"]) & same(c["cdk"]) & same(own) & follows & (same(c["q"] - c["cq"]) | stays) & (c["kind"] == 1)
         first = np.flatnonzero(~one)
         last = np.append(first[1:], len(one)) - 1
         begin = c["q"][first]

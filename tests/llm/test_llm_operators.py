@@ -182,6 +182,16 @@ def test_runs_of_words_against_all_pairs(spark, rng):
     assert got == want and len(want) > 500
 
 
+def test_runs_that_follow_each_other_are_one_row_and_written_once(spark, rng):
+    words = made_up(rng, 300)
+    shared = [prose(rng, n, words) for n in (31, 70, 140)]
+    texts = [f" {prose(rng, rng.randint(1, 40), words)} ".join(rng.sample(shared, 3)) for _ in range(25)]
+    before = len(session._written)
+    rows = passages.runs(table(spark, texts), 25).collect()
+    assert len(session._written) == before + 1
+    assert len(rows) < sum(r.n for r in rows) / 3
+
+
 # benchmark passages
 
 
