@@ -20,6 +20,7 @@ TRIES = 2
 _ROWS = 500  # documents whose bitmaps are held at once
 _KEYS = 1 << 16  # keys that are held at once, besides those of one set
 SPARE = 2  # least number of partitions beyond the bound, so that an empty partition in common proves nothing
+LEFT_OUT = 0.9  # of the keys a set could spare; the others are told by their number in common
 
 
 def sets(texts: pa.Array, size: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -36,31 +37,47 @@ class Bands:
     """Sizes in bands whose upper end is half as large again as the lower; a band's tile has a number of partitions.
 
     Sets x and y are linked when den * |x & y| >= num * |x | y|; then |x ^ y| <= (|x| + |y|) * (den - num) / (den + num).
-    With more partitions of the hash range than this bound some partition is the same in both.
+    With more partitions of the hash range than this bound some partition is the same in both; with more of them by r,
+    so are r. Then each set may leave out r - 1 of its partitions, if all sets agree on which go first: of those in
+    common the last in that order is left out by neither. Those with fewest shingles go first, as unlike sets have
+    these in common, too: empty ones, then single shingles of a common phrase.
     """
 
     def __init__(self, num: int, den: int):
         self.num, self.den = num, den
         self.low = [1]
         self.spares: dict[int, int] = {}
+        self.known: dict[int, list[tuple[int, int, int]]] = {}
 
     def reach(self, n: int) -> int:
         """Of |x ^ y| for sizes whose sum is n."""
         return n * (self.den - self.num) // (self.den + self.num)
 
     def tiles(self, n: int) -> list[tuple[int, int, int]]:
-        """Bands in which a set of n meets its partners, with their partitions and how many of these are spare."""
-        while self.low[-1] <= 2 * n * self.den // self.num + 2:
-            self.low.append(max(self.low[-1] + 1, self.low[-1] * 3 // 2))
-        j = int(np.searchsorted(self.low, n, side="right")) - 1
-        own = [j] if n * self.den // self.num < self.low[j + 1] else [j, j + 1]
-        return [(j, k + 1 + self.spare(j), self.spare(j)) for j in own if (k := self.reach(2 * (self.low[j + 1] - 1)))]
+        """Bands in which a set of n meets its partners, with their partitions and how many of these it leaves out."""
+        if n not in self.known:
+            most = n * self.den // self.num
+            while self.low[-1] <= 2 * most + 2:
+                self.low.append(max(self.low[-1] + 1, self.low[-1] * 3 // 2))
+            j = int(np.searchsorted(self.low, n, side="right")) - 1
+            self.known[n] = []
+            for j in [j] if most < self.low[j + 1] else [j, j + 1]:
+                top = self.low[j + 1] - 1
+                if k := self.reach(2 * top):
+                    m = k + 1 + self.spare(j)
+                    same = m - self.reach(n + min(most, top))  # with the largest partner
+                    self.known[n].append((j, m, int((same - 1) * LEFT_OUT)))
+        return self.known[n]
+
+    def common(self, x: int, y: int) -> int:
+        """Least number of keys that linked sets of x and y have in common."""
+        own = {j: out for j, _, out in self.tiles(x)}
+        return sum(m - self.reach(x + y) - max(own[j], out) for j, m, out in self.tiles(y) if j in own)
 
     def spare(self, j: int) -> int:
         """Partitions of band j beyond the bound: more than a set of the band leaves empty but by rare chance.
 
-        A set with no more empty partitions than these has its full ones in common with a linked set; else its empty ones are
-        keys, too. Where sets are so small that most partitions stay empty anyway, SPARE of them will do.
+        Where sets are so small that most partitions stay empty anyway, SPARE of them will do.
         """
         if j not in self.spares:
             k, spare = self.reach(2 * (self.low[j + 1] - 1)), SPARE
@@ -74,17 +91,16 @@ class Bands:
         return self.spares[j]
 
     def keys(self, s: np.ndarray) -> np.ndarray:
-        """A key for each partition of each tile: band, partition and content."""
+        """A key for each partition of each tile that is not left out: band, partition and content."""
         out = [np.zeros(0, np.uint64)]
         scrambled = mix(s)
-        for j, m, spare in self.tiles(len(s)) if len(s) else ():
-            part = ((s >> _U(32)) * _U(m)) >> _U(32)
+        for j, m, less in self.tiles(len(s)) if len(s) else ():
+            part = (((s >> _U(32)) * _U(m)) >> _U(32)).astype(np.int64)
             first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
-            here, content = part[first], np.add.reduceat(scrambled, first)
-            if m - len(here) > spare:
-                gone = np.setdiff1d(np.arange(m, dtype=np.uint64), here)
-                here, content = np.concatenate([here, gone]), np.concatenate([content, np.zeros(len(gone), np.uint64)])
-            out.append(mix(content + mix(here + (_U(j) << _U(40)))))
+            content = np.zeros(m, np.uint64)
+            content[part[first]] = np.add.reduceat(scrambled, first)
+            found = mix(content + mix(np.arange(m, dtype=np.uint64) + (_U(j) << _U(40))))
+            out.append(found[np.lexsort((found, np.bincount(part, minlength=m)))[less:]])
         return np.concatenate(out)
 
 
@@ -168,6 +184,16 @@ def _keyed(rows: DataFrame, size: int, num: int, den: int) -> Callable[[Broadcas
     return keyed
 
 
+def _enough(num: int, den: int) -> Callable[[pa.Array, pa.Array, pa.Array], pa.Array]:
+    """Whether two sizes and the number of keys in common allow a link."""
+
+    def enough(x: pa.Array, y: pa.Array, n: pa.Array) -> pa.Array:
+        bands = Bands(num, den)
+        return pa.array([k >= bands.common(a, b) for a, b, k in zip(x.to_pylist(), y.to_pylist(), n.to_pylist(), strict=True)], pa.bool_())
+
+    return enough
+
+
 def _common(left: pa.Array, right: pa.Array) -> pa.Array:
     def values(x: pa.Array) -> np.ndarray:
         return np.asarray(x.values).view(np.uint64)  # sorted as such
@@ -182,7 +208,7 @@ def _common(left: pa.Array, right: pa.Array) -> pa.Array:
 
 def cluster(
     rows: DataFrame, full: DataFrame, keyed: Callable[[Broadcast | None], DataFrame], items: Callable[[pa.Array], tuple[np.ndarray, list[np.ndarray]]],
-    num: int, den: int, words: int, spent: DataFrame | None = None,
+    num: int, den: int, words: int, spent: DataFrame | None = None, enough: Callable[[pa.Array, pa.Array, pa.Array], pa.Array] | None = None,
 ) -> DataFrame:
     """h and component of every set that is linked: den * |common| >= num * |union|.
 
@@ -190,12 +216,13 @@ def cluster(
     words). keyed: rows (h, key) of every set, repeated or not, of which linked sets share a key; given a bitmap, those
     whose key is in it. items: names and sorted arrays of all sets of some texts, with which the arrays of sets that share
     a key are read again from rows (doc_id, text). spent: the table behind full, if nothing else reads it; it goes as soon
-    as the keys have been looked up, before any array is moved.
+    as the keys have been looked up, before any array is moved. enough: whether sets of two sizes that have so many keys in
+    common may be linked; without it one key will do.
 
     At each key one set stands for the others: first the smallest, then the one that meets most sets. A few times, each
     set outside its component is compared with one of these, the one with most keys in common. The verified links make
-    components; then all partners of different components, bound by sizes and bitmaps, are verified, each pair
-    once. Pairs in one component need no look.
+    components; then all partners of different components, bound by sizes, bitmaps and the number of keys they have in
+    common, are verified, each pair once. Pairs in one component need no look.
     """
     spark = rows.sparkSession
     names = full.groupBy("h").agg(F.min("doc_id").alias("first"))
@@ -287,8 +314,11 @@ def cluster(
         near = outside.groupBy(F.col("h").alias("a"), F.col("top.h").alias("b")).agg(F.count(F.lit(1)).alias("n"))
     x, y = sides(open_.select("key", "h", "label").join(summary, "h"), ["h", "label", *[c for c in summary.columns if c != "h"]])
     meets = (F.col("hx") < F.col("hy")) & (F.col("labelx") != F.col("labely")) & bounded()
-    pairs = x.join(y, "key").filter(meets).select(F.col("hx").alias("a"), F.col("hy").alias("b"), F.col("nx").alias("na"), F.col("ny").alias("nb")).distinct()
-    pairs = materialize(pairs)
+    met = x.join(y, "key").filter(meets).groupBy(F.col("hx").alias("a"), F.col("hy").alias("b"), F.col("nx").alias("na"), F.col("ny").alias("nb"))
+    pairs = met.agg(F.count(F.lit(1)).alias("n"))  # all their keys: one where two components meet is still open
+    if enough is not None:
+        pairs = with_arrow(pairs, "ok", [F.col("na"), F.col("nb"), F.col("n")], "boolean", enough).filter("ok")
+    pairs = materialize(pairs.select("a", "b", "na", "nb"))
     links = links.union(verified(pairs))
     discard(pairs, open_, summary, nodes)
     return components(links).withColumnRenamed("node", "h")
@@ -303,13 +333,14 @@ def similar(docs: DataFrame, num: int = 90, den: int = 100, size: int = 3, doc_i
     A row without doc_id belongs to its text's class and never names one. Other columns play no part; an empty table
     gives no rows. Sets are named by 64 bits (two of n sets share a name with probability n * n / 2**65).
 
-    Keys are hash partitions by size band, of which linked sets share one at least (Bands). Verification compares sizes,
-    then the bits of the parity bitmaps (a lower bound of the difference), then the sorted arrays.
+    Keys are hash partitions by size band, of which linked sets share one at least, large ones many (Bands). Verification
+    compares sizes, then the bits of the parity bitmaps (a lower bound of the difference), the number of keys in common,
+    then the sorted arrays.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), (F.col(text) if isinstance(text, str) else text).alias("text"))
     known = materialize(_features(rows, size))
     own = materialize(known.select("doc_id", "n", "h"))
-    groups = cluster(rows, known.filter("n > 0"), _keyed(rows, size, num, den), lambda texts: _named(texts, size), num, den, PARITY_BITS // 64, known)
+    groups = cluster(rows, known.filter("n > 0"), _keyed(rows, size, num, den), lambda texts: _named(texts, size), num, den, PARITY_BITS // 64, known, _enough(num, den))
     placed = own.join(groups, "h", "left").withColumn("group", F.when(F.col("n") > 0, F.coalesce("component", "h")))
     placed = materialize(placed.select("doc_id", "n", "group"))
     discard(own)

@@ -443,6 +443,40 @@ def test_jaccard_keys_are_made_in_small_batches_and_not_written(spark, monkeypat
     assert got == {0: 0, 1: 0, 2: 2} and written and not any("keys" in x for x in written)
 
 
+@pytest.mark.parametrize("num", [80, 90])
+def test_linked_sets_share_as_many_keys_as_told(num):
+    random_, bands, least = np.random.default_rng(num), jaccard.Bands(num, 100), {}
+    for n in [*range(2, 60), *range(60, 900, 7), 3000, 5000]:
+        x = np.unique(random_.integers(0, 1 << 63, n, dtype=np.uint64))
+        most = bands.reach(2 * n)
+        for gone, more in [(most, 0), (most // 2, most // 2), (0, 2 * most), (1, 0)]:
+            y = np.unique(np.concatenate([x[gone:], random_.integers(0, 1 << 63, more, dtype=np.uint64)]))
+            both = len(np.intersect1d(x, y))
+            if 100 * both >= num * (len(x) + len(y) - both) and not np.array_equal(x, y):
+                assert len(np.intersect1d(bands.keys(x), bands.keys(y))) >= max(1, bands.common(len(x), len(y))), (len(x), len(y))
+                least[n] = bands.common(len(x), len(y))
+    assert min(least.values()) >= 1 and least[5000] > 20
+
+
+def test_jaccard_moves_no_arrays_of_large_sets_that_share_a_passage(spark, rng, monkeypatch):
+    words = made_up(rng)
+    passage = prose(rng, 700, words)
+    texts = [f"{prose(rng, 1500, words)} {passage} {prose(rng, 1500, words)}" for _ in range(8)]
+    texts.append(texts[3].replace(" ", " extra ", 40))
+    pairs = []
+
+    def seen(df):
+        out = session.materialize(df)
+        if df.columns == ["a", "b", "na", "nb"]:
+            pairs.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "materialize", seen)
+    got = {r.doc_id: r.component_id for r in jaccard.similar(table(spark, texts), 80, 100, 5).collect()}
+    assert got == {**{k: k for k in range(8)}, 8: 3}
+    assert pairs[-1] == 0  # all sets beyond the two of a kind share keys; these were compared by their arrays
+
+
 def test_jaccard_of_nothing_and_unnamed_rows(spark):
     assert jaccard.similar(table(spark, [])).count() == 0
     rows = spark.createDataFrame([(None, "a b c d"), (4, "a b c d"), (4, "a b c d"), (None, "e f g h")], "doc_id bigint, text string")
