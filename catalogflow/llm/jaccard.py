@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..session import discard, materialize
+from ..session import batches_of, discard, materialize
 from .arrays import mix, shingles, slices, utf8, word_ranges, with_arrow, words
 from .components import bitmap, components, in_bitmap
 
@@ -18,6 +18,7 @@ _U = np.uint64
 PARITY_BITS = 512
 TRIES = 2
 _ROWS = 500  # documents whose bitmaps are held at once
+_BYTES = 1 << 22  # of the Arrow batches of texts
 _KEYS = 1 << 16  # keys that are held at once, besides those of one set
 SPARE = 2  # least number of partitions beyond the bound, so that an empty partition in common proves nothing
 LEFT_OUT = 0.9  # of the keys a set could spare; the others are told by their number in common
@@ -338,9 +339,11 @@ def similar(docs: DataFrame, num: int = 90, den: int = 100, size: int = 3, doc_i
     then the sorted arrays.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), (F.col(text) if isinstance(text, str) else text).alias("text"))
-    known = materialize(_features(rows, size))
-    own = materialize(known.select("doc_id", "n", "h"))
-    groups = cluster(rows, known.filter("n > 0"), _keyed(rows, size, num, den), lambda texts: _named(texts, size), num, den, PARITY_BITS // 64, known, _enough(num, den))
+    with batches_of(docs.sparkSession, _BYTES):
+        known = materialize(_features(rows, size))
+        own = materialize(known.select("doc_id", "n", "h"))
+        keyed, items = _keyed(rows, size, num, den), lambda texts: _named(texts, size)
+        groups = cluster(rows, known.filter("n > 0"), keyed, items, num, den, PARITY_BITS // 64, known, _enough(num, den))
     placed = own.join(groups, "h", "left").withColumn("group", F.when(F.col("n") > 0, F.coalesce("component", "h")))
     placed = materialize(placed.select("doc_id", "n", "group"))
     discard(own)

@@ -477,6 +477,14 @@ def test_jaccard_moves_no_arrays_of_large_sets_that_share_a_passage(spark, rng,
     assert pairs[-1] == 0  # all sets beyond the two of a kind share keys; these were compared by their arrays
 
 
+def test_jaccard_reads_texts_in_batches_of_few_bytes(spark, monkeypatch):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before, seen = spark.conf.get(key), []
+    monkeypatch.setattr(jaccard, "materialize", lambda df: seen.append(spark.conf.get(key)) or session.materialize(df))
+    assert jaccard.similar(table(spark, ["a b c d e", "x y z"])).count() == 2
+    assert seen[0] == str(jaccard._BYTES) and spark.conf.get(key) == before
+
+
 def test_jaccard_of_nothing_and_unnamed_rows(spark):
     assert jaccard.similar(table(spark, [])).count() == 0
     rows = spark.createDataFrame([(None, "a b c d"), (4, "a b c d"), (4, "a b c d"), (None, "e f g h")], "doc_id bigint, text string")
